@@ -1 +1,211 @@
-"""."""
+"""Streams, tables and file layout: what is written must read back the same."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from quarrylake.operators.reshape import group_columns, split_columns
+from quarrylake.operators.upsert import update_columns
+from quarrylake.plans.silver import conform
+from quarrylake.queries import query
+from quarrylake.queries.changes import _DISCOUNTS, _discounts
+from quarrylake.queries.inputs import (
+    FIRST_DELIVERY,
+    PROCESSED_AT,
+    SALT,
+    SQL_CUSTOMERS,
+    SQL_FACT,
+    SQL_MESSAGES,
+    Inputs,
+    stamp,
+)
+from quarrylake.schemas import CUSTOMERS, ORDERS
+from quarrylake.sources import layout
+from quarrylake.sources.landing import read_landing_hours, write_landing
+from quarrylake.sources.tables import DayTable, VersionedTable, table_files
+from quarrylake.streaming.bronze import BronzeTable, ingest
+from quarrylake.streaming.silver import SilverTable, refresh, since, stream_to_silver
+from quarrylake.workspace import new_folder
+
+
+def _land(inputs: Inputs, folder: str, orders: DataFrame) -> None:
+    """Orders arrive with the first hour of their month; unreadable dates at once."""
+    month = F.date_trunc("month", F.col("order_date").try_cast("timestamp"))
+    write_landing(orders, folder, F.coalesce(month, stamp(FIRST_DELIVERY)))
+
+
+def _ingested(inputs: Inputs) -> tuple[BronzeTable, str]:
+    base = new_folder(inputs.spark, "orders")
+    _land(inputs, f"{base}/landing", inputs.order_messages())
+    bronze = BronzeTable(inputs.spark, f"{base}/bronze", ORDERS)
+    ingest(bronze, f"{base}/landing", f"{base}/bronze_checkpoint").awaitTermination()
+    return bronze, base
+
+
+_STATUS = """CASE WHEN trim(order_id) = '' OR customer_id IS NULL OR total_amount IS NULL
+  THEN 'invalid' ELSE 'valid' END"""
+
+
+@query(f"""
+WITH {SQL_MESSAGES}
+SELECT {_STATUS} AS _record_status, count(*) AS records FROM messages GROUP BY 1
+""")
+def bronze_stream_counts(inputs: Inputs) -> DataFrame:
+    bronze, _ = _ingested(inputs)
+    return bronze.read().groupBy("_record_status").agg(F.count("*").alias("records"))
+
+
+_SILVER_ROWS = f"""
+WITH {SQL_MESSAGES}
+SELECT order_id, customer_id, TRY_CAST(order_date AS TIMESTAMP) AS order_date, total_amount, status,
+  CAST(TRY_CAST(order_date AS TIMESTAMP) AS DATE) AS order_day
+FROM messages WHERE {_STATUS} = 'valid' AND TRY_CAST(order_date AS TIMESTAMP) IS NOT NULL
+"""
+_SILVER_COLUMNS = ["order_id", "customer_id", "order_date", "total_amount", "status", "order_day"]
+
+
+@query(_SILVER_ROWS)
+def silver_from_new_batches(inputs: Inputs) -> DataFrame:
+    """Landing to bronze to silver, by high-water mark."""
+    bronze, base = _ingested(inputs)
+    silver = SilverTable(inputs.spark, f"{base}/fact_orders", ORDERS)
+    refresh(bronze, silver)
+    return silver.read().select(*_SILVER_COLUMNS)
+
+
+@query(_SILVER_ROWS)
+def silver_from_stream(inputs: Inputs) -> DataFrame:
+    """Landing to bronze to silver, both as streams."""
+    bronze, base = _ingested(inputs)
+    silver = SilverTable(inputs.spark, f"{base}/fact_orders", ORDERS)
+    stream_to_silver(bronze, silver, f"{base}/silver_checkpoint").awaitTermination()
+    return silver.read().select(*_SILVER_COLUMNS)
+
+
+@query(f"""
+WITH {SQL_MESSAGES}
+SELECT CAST(year(arrival) AS INTEGER) AS year, CAST(month(arrival) AS INTEGER) AS month, count(*) AS records
+FROM (
+  SELECT coalesce(date_trunc('month', TRY_CAST(order_date AS TIMESTAMP)), TIMESTAMP '2002-01-01') AS arrival
+  FROM messages
+) GROUP BY 1, 2
+""")
+def landing_hours(inputs: Inputs) -> DataFrame:
+    base = new_folder(inputs.spark, "landing")
+    _land(inputs, base, inputs.order_messages())
+    hours = read_landing_hours(inputs.spark, ORDERS, base)
+    return hours.groupBy("year", "month").agg(F.count("*").alias("records"))
+
+
+@query(f"WITH {SQL_FACT} SELECT *, CAST(order_date AS DATE) AS order_day FROM fact")
+def fact_orders_merged_by_day(inputs: Inputs) -> DataFrame:
+    """The first deliveries written by day, then the later ones merged in."""
+    bronze = inputs.bronze_orders
+    later = since(bronze, "_ingestion_timestamp", FIRST_DELIVERY)
+    first = bronze.where(F.col("_ingestion_timestamp") <= stamp(FIRST_DELIVERY))
+    table = DayTable(inputs.spark, new_folder(inputs.spark, "fact_orders"), "order_day")
+    for part in (first, later):
+        rows = conform(part, ORDERS, PROCESSED_AT).withColumn("order_day", F.to_date("order_date"))
+        table.merge(rows, ["order_id"], "_ingestion_timestamp")
+    return table.read()
+
+
+@query(f"""
+WITH {SQL_CUSTOMERS}
+SELECT * REPLACE (
+  CASE WHEN state < 'NATION_2' THEN 'moved' ELSE city END AS city,
+  _ingestion_timestamp + CASE WHEN state < 'NATION_2' THEN INTERVAL 1 HOUR ELSE INTERVAL 0 HOUR END
+    AS _ingestion_timestamp)
+FROM dim_customers
+""")
+def dim_customers_versioned(inputs: Inputs) -> DataFrame:
+    """A second version of the table in which the customers of some nations moved."""
+    rows = conform(inputs.bronze_customers, CUSTOMERS, PROCESSED_AT, SALT)
+    table = VersionedTable(inputs.spark, new_folder(inputs.spark, "dim_customers"))
+    table.merge(rows, ["customer_id"], "_ingestion_timestamp")
+    moved = rows.where(F.col("state") < "NATION_2").withColumns(
+        {
+            "city": F.lit("moved"),
+            "_ingestion_timestamp": F.col("_ingestion_timestamp") + F.expr("INTERVAL 1 HOUR"),
+        }
+    )
+    table.merge(moved, ["customer_id"], "_ingestion_timestamp")
+    return table.read()
+
+
+@query(f"""
+WITH {_DISCOUNTS}
+SELECT o.o_orderkey, o.o_totalprice, CAST(date_trunc('month', o.o_orderdate) AS DATE) AS order_month,
+  d.discount_amount
+FROM orders o LEFT JOIN discounts d ON o.o_orderkey = d.o_orderkey
+""")
+def backfill_by_partition(inputs: Inputs) -> DataFrame:
+    """A new column filled one year's partitions at a time."""
+    spark = inputs.spark
+    month = F.trunc("o_orderdate", "month").alias("order_month")
+    orders = inputs.table("orders").select("o_orderkey", "o_totalprice", month)
+    table = DayTable(spark, new_folder(spark, "orders_by_month"), "order_month")
+    table.write(orders)
+    months = [row[0] for row in table.partitions().collect()]
+    for year in sorted({m.year for m in months}):
+        chunk = [m for m in months if m.year == year]
+        table.rewrite(
+            chunk,
+            lambda old: update_columns(old, _discounts(inputs), ["o_orderkey"], ["discount_amount"]),
+        )
+    return table.read()
+
+
+@query("SELECT * FROM orders")
+def compaction_roundtrip(inputs: Inputs) -> DataFrame:
+    path = new_folder(inputs.spark, "compacted")
+    layout.compacted(inputs.table("orders")).write.parquet(path)
+    return inputs.spark.read.parquet(path)
+
+
+@query("SELECT * FROM lineitem")
+def z_order_roundtrip(inputs: Inputs) -> DataFrame:
+    path = new_folder(inputs.spark, "z_ordered")
+    rows = layout.z_ordered(inputs.table("lineitem"), ["l_partkey", "l_shipdate"], partitions=16)
+    rows.write.parquet(path)
+    return inputs.spark.read.parquet(path)
+
+
+@query("""
+SELECT 'lineitem' AS table_name, count(*) AS rows FROM lineitem
+UNION ALL SELECT 'orders', count(*) FROM orders
+""")
+def table_sizes(inputs: Inputs) -> DataFrame:
+    """Files and bytes are left out of the comparison: SQL does not see them."""
+    sizes = [table_files(inputs.table(name), name) for name in ("lineitem", "orders")]
+    return sizes[0].unionByName(sizes[1]).select("table_name", "rows")
+
+
+@query("""
+SELECT CAST(o_orderkey AS VARCHAR) AS order_id, o_totalprice AS total_amount,
+  CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' THEN o_orderpriority END AS priority
+FROM orders
+""")
+def schema_growth(inputs: Inputs) -> DataFrame:
+    """Files written before a column came up read as NULL in it."""
+    path = new_folder(inputs.spark, "growing")
+    orders = inputs.table("orders")
+    columns = [F.col("o_orderkey").cast("string").alias("order_id"), F.col("o_totalprice").alias("total_amount")]
+    recent = F.col("o_orderdate") >= "1998-01-01"
+    orders.where(~recent).select(*columns).write.parquet(path)
+    newer = orders.where(recent).select(*columns, F.col("o_orderpriority").alias("priority"))
+    newer.write.mode("append").parquet(path)
+    return inputs.spark.read.option("mergeSchema", "true").parquet(path)
+
+
+@query(f"""
+WITH {SQL_CUSTOMERS}
+SELECT customer_id, name, city, state, country FROM all_customers
+""")
+def wide_table_split(inputs: Inputs) -> DataFrame:
+    """Address columns grouped into a struct, the table split in two and joined again."""
+    nested = group_columns(inputs.customer_messages(), {"place": ["city", "state", "country"]})
+    core, rest = split_columns(nested, ["customer_id"], ["name"])
+    both = core.join(rest.select("customer_id", "place"), "customer_id")
+    return both.select("customer_id", "name", "place.city", "place.state", "place.country")

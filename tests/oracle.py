@@ -45,11 +45,27 @@ def _canonical(columns, rows):
     )
 
 
+SPARK_TO_SQL = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "timestamp": "TIMESTAMP",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def difference(df, con, sql: str) -> str | None:
-    """None if both give the same columns and rows, else what differs."""
+    """None if both give the same columns, types and rows, else what differs."""
     cursor = con.execute(sql)
     names = [d[0] for d in cursor.description]
+    kinds = {d[0]: str(d[1]) for d in cursor.description}
     expected = cursor.fetchall()
+    mine = {name: SPARK_TO_SQL.get(kind, kind) for name, kind in df.dtypes}
+    if mine != kinds:
+        return f"types {sorted(set(mine.items()) ^ set(kinds.items()))}"
     if sorted(names) != sorted(df.columns):
         return f"columns {sorted(df.columns)} vs {sorted(names)}"
     got = [tuple(row) for row in df.collect()]
@@ -72,6 +88,7 @@ def main():
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

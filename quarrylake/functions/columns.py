@@ -5,30 +5,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
-# Amounts are added as decimals: the total then does not depend on the order in
-# which tasks deliver their part, so a re-run after a lost executor agrees.
-MONEY = "decimal(18,4)"
+# Amounts are added as whole ten-thousandths: the total then does not depend on the
+# order in which tasks deliver their part, so a re-run after a lost executor agrees.
+MONEY_UNITS = 10_000
+MONEY_LIMIT = 9e13
 
 SALT_SEPARATOR = "|"
 
 
 def is_blank(column: Column) -> Column:
     """True for NULL, for an empty text and for a text of spaces only."""
-    return F.nullif(F.trim(column.cast("string")), F.lit("")).isNull()
+    return F.coalesce(F.trim(column.cast("string")), F.lit("")) == ""
 
 
 def exact_sum(column: Column, window: WindowSpec | None = None) -> Column:
     """Order-independent sum, per group or over a window; NULL without values.
 
-    A group with a value that no ``MONEY`` decimal can hold (NaN, beyond 10^14)
-    falls back to the plain double sum rather than failing or losing the value.
+    A group whose values or total do not fit (NaN, beyond 9 * 10^13) falls back to
+    the plain double sum rather than failing or losing a value.
     """
-    money = column.try_cast(MONEY)
-    parts = [F.count(column), F.count(money), F.sum(money), F.sum(column)]
+    fits = column.between(-MONEY_LIMIT, MONEY_LIMIT)
+    units = F.when(fits, F.floor(column * MONEY_UNITS + 0.5))
+    parts = [F.count(column), F.count(units), F.try_sum(units), F.sum(column)]
     if window is not None:
         parts = [part.over(window) for part in parts]
-    values, fitting, exact, plain = parts
-    return F.when(values == fitting, exact.cast("double")).otherwise(plain)
+    values, fitting, total, plain = parts
+    return F.coalesce(F.when(values == fitting, total / MONEY_UNITS), plain)
 
 
 def exact_avg(column: Column) -> Column:

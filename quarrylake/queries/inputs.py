@@ -22,13 +22,17 @@ FIRST_DELIVERY = datetime(2002, 1, 1, 0, 0)
 SECOND_DELIVERY = datetime(2002, 1, 1, 1, 0)
 PROCESSED_AT = datetime(2002, 1, 2, 0, 0)
 SALT = "not-a-secret"
-ISO = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
 def stamp(moment: datetime) -> Column:
     return F.lit(moment).cast("timestamp")
 
 
+def _iso_day(moment: Column) -> Column:
+    """Midnight of the day as text; the given dates are all at midnight."""
+    return F.concat(F.to_date(moment).cast("string"), F.lit("T00:00:00Z"))
+
+
 class Inputs:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
@@ -46,7 +50,7 @@ class Inputs:
             F.when(price < 2000, F.lit("  ")).otherwise(F.col("o_orderkey").cast("string")).alias("order_id"),
             F.when(~no_customer, F.col("o_custkey").cast("string")).alias("customer_id"),
             F.when(unreadable, F.date_format(date, "dd/MM/yyyy"))
-            .otherwise(F.date_format(date, ISO))
+            .otherwise(_iso_day(date))
             .alias("order_date"),
             F.when(price <= 495000, price).alias("total_amount"),
             status.alias("status"),
@@ -114,8 +118,8 @@ class Inputs:
                 F.col("n_name").alias("state"),
                 F.col("r_name").alias("country"),
                 F.lit(None).cast("string").alias("postal_code"),
-                F.date_format(created, ISO).alias("created_at"),
-                F.date_format(F.date_add(created, 30), ISO).alias("updated_at"),
+                _iso_day(created).alias("created_at"),
+                _iso_day(F.date_add(created, 30)).alias("updated_at"),
                 F.col("c_acctbal").alias("lifetime_value"),
             )
         )

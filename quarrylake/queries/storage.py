@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,12 +25,17 @@ from quarrylake.queries.inputs import (
 from quarrylake.schemas import CUSTOMERS, ORDERS
 from quarrylake.sources import layout
 from quarrylake.sources.landing import read_landing_hours, write_landing
-from quarrylake.sources.tables import DayTable, VersionedTable, table_files
+from quarrylake.sources.tables import PartitionedTable, VersionedTable, table_files
 from quarrylake.streaming.bronze import BronzeTable, ingest
 from quarrylake.streaming.silver import SilverTable, refresh, since, stream_to_silver
 from quarrylake.workspace import new_folder
 
 
+# The given orders are few per day: folders by month keep the files from being tiny.
+ORDERS_BY_MONTH = replace(ORDERS, partition_by="order_month", partition_unit="month")
+_MONTH = "CAST(date_trunc('month', {}) AS DATE) AS order_month"
+
+
 def _land(inputs: Inputs, folder: str, orders: DataFrame) -> None:
     """Orders arrive with the first hour of their month; unreadable dates at once."""
     month = F.date_trunc("month", F.col("order_date").try_cast("timestamp"))
@@ -59,17 +66,17 @@ def bronze_stream_counts(inputs: Inputs) -> DataFrame:
 _SILVER_ROWS = f"""
 WITH {SQL_MESSAGES}
 SELECT order_id, customer_id, TRY_CAST(order_date AS TIMESTAMP) AS order_date, total_amount, status,
-  CAST(TRY_CAST(order_date AS TIMESTAMP) AS DATE) AS order_day
+  {_MONTH.format("TRY_CAST(order_date AS TIMESTAMP)")}
 FROM messages WHERE {_STATUS} = 'valid' AND TRY_CAST(order_date AS TIMESTAMP) IS NOT NULL
 """
-_SILVER_COLUMNS = ["order_id", "customer_id", "order_date", "total_amount", "status", "order_day"]
+_SILVER_COLUMNS = ["order_id", "customer_id", "order_date", "total_amount", "status", "order_month"]
 
 
 @query(_SILVER_ROWS)
 def silver_from_new_batches(inputs: Inputs) -> DataFrame:
     """Landing to bronze to silver, by high-water mark."""
     bronze, base = _ingested(inputs)
-    silver = SilverTable(inputs.spark, f"{base}/fact_orders", ORDERS)
+    silver = SilverTable(inputs.spark, f"{base}/fact_orders", ORDERS_BY_MONTH)
     refresh(bronze, silver)
     return silver.read().select(*_SILVER_COLUMNS)
 
@@ -78,7 +85,7 @@ def silver_from_new_batches(inputs: Inputs) -> DataFrame:
 def silver_from_stream(inputs: Inputs) -> DataFrame:
     """Landing to bronze to silver, both as streams."""
     bronze, base = _ingested(inputs)
-    silver = SilverTable(inputs.spark, f"{base}/fact_orders", ORDERS)
+    silver = SilverTable(inputs.spark, f"{base}/fact_orders", ORDERS_BY_MONTH)
     stream_to_silver(bronze, silver, f"{base}/silver_checkpoint").awaitTermination()
     return silver.read().select(*_SILVER_COLUMNS)
 
@@ -98,15 +105,16 @@ def landing_hours(inputs: Inputs) -> DataFrame:
     return hours.groupBy("year", "month").agg(F.count("*").alias("records"))
 
 
-@query(f"WITH {SQL_FACT} SELECT *, CAST(order_date AS DATE) AS order_day FROM fact")
-def fact_orders_merged_by_day(inputs: Inputs) -> DataFrame:
-    """The first deliveries written by day, then the later ones merged in."""
+@query(f"WITH {SQL_FACT} SELECT *, {_MONTH.format('order_date')} FROM fact")
+def fact_orders_merged(inputs: Inputs) -> DataFrame:
+    """The first deliveries written by month, then the later ones merged in."""
     bronze = inputs.bronze_orders
     later = since(bronze, "_ingestion_timestamp", FIRST_DELIVERY)
     first = bronze.where(F.col("_ingestion_timestamp") <= stamp(FIRST_DELIVERY))
-    table = DayTable(inputs.spark, new_folder(inputs.spark, "fact_orders"), "order_day")
+    table = PartitionedTable(inputs.spark, new_folder(inputs.spark, "fact_orders"), "order_month")
     for part in (first, later):
-        rows = conform(part, ORDERS, PROCESSED_AT).withColumn("order_day", F.to_date("order_date"))
+        rows = conform(part, ORDERS, PROCESSED_AT)
+        rows = rows.withColumn("order_month", F.trunc("order_date", "month"))
         table.merge(rows, ["order_id"], "_ingestion_timestamp")
     return table.read()
 
@@ -141,18 +149,27 @@ SELECT o.o_orderkey, o.o_totalprice, CAST(date_trunc('month', o.o_orderdate) AS
 FROM orders o LEFT JOIN discounts d ON o.o_orderkey = d.o_orderkey
 """)
 def backfill_by_partition(inputs: Inputs) -> DataFrame:
-    """A new column filled one year's partitions at a time."""
+    """A new column filled one year's partitions at a time.
+
+    The values are computed once and laid out by the same months, so that each
+    step reads no more than its own part of them.
+    """
     spark = inputs.spark
     month = F.trunc("o_orderdate", "month").alias("order_month")
     orders = inputs.table("orders").select("o_orderkey", "o_totalprice", month)
-    table = DayTable(spark, new_folder(spark, "orders_by_month"), "order_month")
+    table = PartitionedTable(spark, new_folder(spark, "orders_by_month"), "order_month")
     table.write(orders)
+    values = PartitionedTable(spark, new_folder(spark, "discounts_by_month"), "order_month")
+    values.write(
+        _discounts(inputs).join(orders.select("o_orderkey", "order_month"), "o_orderkey")
+    )
     months = [row[0] for row in table.partitions().collect()]
     for year in sorted({m.year for m in months}):
         chunk = [m for m in months if m.year == year]
+        patch = values.read().where(F.col("order_month").isin(chunk)).drop("order_month")
         table.rewrite(
             chunk,
-            lambda old: update_columns(old, _discounts(inputs), ["o_orderkey"], ["discount_amount"]),
+            lambda old, patch=patch: update_columns(old, patch, ["o_orderkey"], ["discount_amount"]),
         )
     return table.read()
 

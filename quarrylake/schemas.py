@@ -23,6 +23,7 @@ class Topic:
     not_null: tuple[str, ...]
     salted: tuple[str, ...] = ()
     partition_by: str | None = None
+    partition_unit: str = "day"
     cluster_by: tuple[str, ...] = field(default=())
 
     @property

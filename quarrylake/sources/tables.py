@@ -4,9 +4,9 @@
 once Spark's own ``_SUCCESS`` marker is there, so readers see the old state or the
 new one, and a failed write is simply written again.
 
-``DayTable`` is partitioned by a column and replaces only the partitions a merge
-touches. The new partitions are written aside first; from then on the merge can
-be finished at any later time, by repeating the same overwrite.
+``PartitionedTable`` replaces only the partitions a merge touches. The new partitions
+are written aside first and then moved in, folder by folder; a merge that was cut
+off while moving is finished by the next one.
 
 Both allow one writer at a time.
 """
@@ -41,6 +41,10 @@ class Folders:
     def drop(self, path: str) -> None:
         self._fs.delete(self._path(path), True)
 
+    def move(self, path: str, to: str) -> None:
+        if not self._fs.rename(self._path(path), self._path(to)):
+            raise OSError(f"cannot move {path} to {to}")
+
 
 class VersionedTable:
     def __init__(self, spark: SparkSession, path: str):
@@ -83,7 +87,7 @@ class VersionedTable:
             self.folders.drop(self._folder(version))
 
 
-class DayTable:
+class PartitionedTable:
     def __init__(self, spark: SparkSession, path: str, partition: str, schema: str | None = None):
         self.spark, self.path, self.partition = spark, path.rstrip("/"), partition
         self._schema = schema
@@ -148,39 +152,35 @@ class DayTable:
 
     def _replace(self, touched: DataFrame, change: Callable[[DataFrame], DataFrame]) -> None:
         touched.write.parquet(f"{self._staged}/touched")
-        days = self._touched_days()
-        old = self.read().where(_is_one_of(self.partition, days))
+        stored = self.spark.read.parquet(f"{self._staged}/touched")
+        values = [row[0] for row in stored.collect()]
+        old = self.read().where(_is_one_of(self.partition, values))
         _by_partition(change(old), self.partition).parquet(f"{self._staged}/rows")
+        # partitions whose rows all went elsewhere; from here on the change counts
+        emptied = {self._folder(value) for value in values} - set(self._staged_folders())
+        names = self.spark.createDataFrame([(name,) for name in emptied], "folder string")
+        names.coalesce(1).write.parquet(f"{self._staged}/emptied")
         self._finish()
 
-    def _touched_days(self) -> list:
-        rows = self.spark.read.parquet(f"{self._staged}/touched").select(self.partition)
-        return [row[0] for row in rows.collect()]
+    def _folder(self, value) -> str:
+        return f"{self.partition}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+
+    def _staged_folders(self) -> list[str]:
+        names = self.folders.names(f"{self._staged}/rows")
+        return [name for name in names if name.startswith(f"{self.partition}=")]
 
     def _finish(self) -> None:
-        """Move complete staged partitions into the table; may run any number of times."""
-        if not self.folders.exists(f"{self._staged}/rows/{SUCCESS}"):
+        """Move what is completely staged into the table; may be cut off and repeated."""
+        emptied = f"{self._staged}/emptied"
+        if not self.folders.exists(f"{emptied}/{SUCCESS}"):
             return
-        rows = self.spark.read.parquet(f"{self._staged}/rows")
-        (
-            rows.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(self.partition)
-            .parquet(self.path)
-        )
-        # partitions whose rows all moved elsewhere are not in the overwrite
-        kept = set(self.folders.names(f"{self._staged}/rows"))
-        for name in self._touched_folders():
-            if name not in kept:
-                self.folders.drop(f"{self.path}/{name}")
+        for row in self.spark.read.schema("folder string").parquet(emptied).collect():
+            self.folders.drop(f"{self.path}/{row.folder}")
+        for name in self._staged_folders():
+            self.folders.drop(f"{self.path}/{name}")
+            self.folders.move(f"{self._staged}/rows/{name}", f"{self.path}/{name}")
         self.folders.drop(self._staged)
 
-    def _touched_folders(self) -> list[str]:
-        default = "__HIVE_DEFAULT_PARTITION__"
-        return [
-            f"{self.partition}={default if day is None else day}" for day in self._touched_days()
-        ]
-
 
 def _is_one_of(name: str, values: list):
     known = F.col(name).isin([v for v in values if v is not None])

@@ -12,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from quarrylake.plans.run_log import log_run
 from quarrylake.plans.silver import conform, rejects
 from quarrylake.schemas import Topic, ddl
-from quarrylake.sources.tables import DayTable, Folders, VersionedTable
+from quarrylake.sources.tables import PartitionedTable, Folders, VersionedTable
 from quarrylake.streaming.bronze import BronzeTable
 
 _MARKS = "feed string, batch_id int"
@@ -27,8 +27,8 @@ def since(df: DataFrame, column: str, mark: datetime | None) -> DataFrame:
 class SilverTable:
     """A topic's silver table and the marks of the bronze batches it holds.
 
-    Facts with a partition column are merged day by day, dimensions as whole
-    versions. The marks are stored after the merge: a run that fails in between
+    Facts with a partition column replace the days a merge touches, dimensions get
+    a new version. The marks are stored after the merge: a run that fails in between
     merges the same batches again, which changes nothing.
     """
 
@@ -37,7 +37,7 @@ class SilverTable:
         by = topic.partition_by
         if by:
             columns = {**topic.silver, **_ADDED, by: "date"}
-            self.rows = DayTable(spark, f"{path}/rows", by, ddl(columns))
+            self.rows = PartitionedTable(spark, f"{path}/rows", by, ddl(columns))
         else:
             self.rows = VersionedTable(spark, f"{path}/rows")
         self._marks = f"{path}/marks"
@@ -47,8 +47,8 @@ class SilverTable:
 
     def merge(self, latest: DataFrame) -> None:
         if self.topic.partition_by:
-            day = F.to_date(self.topic.event_time)
-            latest = latest.withColumn(self.topic.partition_by, day)
+            start = F.date_trunc(self.topic.partition_unit, self.topic.event_time)
+            latest = latest.withColumn(self.topic.partition_by, start.cast("date"))
         self.rows.merge(latest, [self.topic.key], "_ingestion_timestamp")
 
     def keep_rejects(self, rows: DataFrame, batches: dict[str, int]) -> None:

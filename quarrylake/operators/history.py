@@ -5,13 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarrylake.operators.timeline import HOT_KEY_ROWS, value_before
+from quarrylake.operators.timeline import HOT_KEY_ROWS, look_back, slice_timeline, value_before
 
 
 def _columns(names) -> list:
     return [F.col(name) for name in names]
 
 
+def _changes(sliced: DataFrame, time: str, tracked: list[str], then_by) -> DataFrame:
+    state = F.struct(*tracked)
+    marked = look_back(sliced, time, state, "_before", then_by=_columns(then_by))
+    return marked.where(~F.col("_before").eqNullSafe(state)).drop("_before")
+
+
 def drop_unchanged(
     versions: DataFrame,
     keys: list[str],
@@ -21,12 +27,8 @@ def drop_unchanged(
     hot_key_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
     """Keep only versions that differ from the version before in ``tracked``."""
-    state = F.struct(*tracked)
-    marked = value_before(
-        versions, keys, time, state, "_before",
-        then_by=_columns(then_by), hot_key_rows=hot_key_rows,
-    )
-    return marked.where(~F.col("_before").eqNullSafe(state)).drop("_before")
+    sliced = slice_timeline(versions, keys, time, hot_key_rows)
+    return _changes(sliced, time, tracked, then_by).drop("_key", "_slice")
 
 
 def scd2_history(
@@ -34,12 +36,18 @@ def scd2_history(
     keys: list[str],
     time: str,
     then_by: list[str] = (),
+    tracked: list[str] | None = None,
     hot_key_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
-    """Full history: each version is valid until the next one of its key starts."""
-    closed = value_before(
-        versions, keys, time, F.struct(time), "_next",
-        then_by=_columns(then_by), latest_first=True, hot_key_rows=hot_key_rows,
+    """Full history: each version is valid until the next one of its key starts.
+
+    With ``tracked`` columns, versions that change none of them are left out.
+    """
+    rows = slice_timeline(versions, keys, time, hot_key_rows)
+    if tracked:
+        rows = _changes(rows, time, tracked, then_by)
+    closed = look_back(
+        rows, time, F.struct(time), "_next", then_by=_columns(then_by), latest_first=True
     )
     return closed.withColumns(
         {
@@ -47,7 +55,7 @@ def scd2_history(
             "valid_to": F.col(f"_next.{time}"),
             "is_current": F.col("_next").isNull(),
         }
-    ).drop("_next", *([] if time == "valid_from" else [time]))
+    ).drop("_next", "_key", "_slice", *([] if time == "valid_from" else [time]))
 
 
 def scd2_apply(
@@ -112,10 +120,11 @@ def scd3_previous(
 
     Previous means the value before the last change.
     """
-    changes = drop_unchanged(versions, keys, time, tracked, then_by, hot_key_rows)
-    with_previous = value_before(
-        changes, keys, time, F.struct(*tracked), "_previous",
-        then_by=_columns(then_by), hot_key_rows=hot_key_rows,
+    changes = _changes(
+        slice_timeline(versions, keys, time, hot_key_rows), time, tracked, then_by
+    )
+    with_previous = look_back(
+        changes, time, F.struct(*tracked), "_previous", then_by=_columns(then_by)
     )
     order = F.struct(time, *then_by)
     state = F.struct(

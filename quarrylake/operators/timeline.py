@@ -52,8 +52,17 @@ def _cuts_of_hot_keys(df: DataFrame, time: str, min_rows: int) -> DataFrame:
     )
 
 
-def _with_slices(df: DataFrame, time: str, min_rows: int) -> DataFrame:
-    """Add ``_slice``: NULL for a normal key, the time slice number for a hot one."""
+def slice_timeline(
+    df: DataFrame, keys: list[str], time: str, hot_key_rows: int = HOT_KEY_ROWS
+) -> DataFrame:
+    """Add ``_key`` and ``_slice``: NULL for a normal key, a slice number for a hot one.
+
+    The slices stay right when rows are dropped later, so a chain of look-backs
+    needs them only once, and all its windows share one shuffle.
+    """
+    # One struct as the key: equality on it treats NULL parts as equal, so window,
+    # join and shuffle all work on the same partitioning.
+    keyed = df.withColumn("_key", F.struct(*keys))
     at = _micros(time)
 
     def passed(bounds):
@@ -63,45 +72,36 @@ def _with_slices(df: DataFrame, time: str, min_rows: int) -> DataFrame:
     number = coarse * _FAN_OUT + passed(F.col("_fine")[coarse])
     # rows without a time come first, as they do in the orderings below
     number = F.when(F.col("_coarse").isNotNull(), F.when(at.isNull(), -1).otherwise(number))
-    cuts = F.broadcast(_cuts_of_hot_keys(df, time, min_rows))
-    return df.join(cuts, "_key", "left").withColumn("_slice", number).drop("_coarse", "_fine")
+    cuts = F.broadcast(_cuts_of_hot_keys(keyed, time, hot_key_rows))
+    return keyed.join(cuts, "_key", "left").withColumn("_slice", number).drop("_coarse", "_fine")
 
 
-def value_before(
-    df: DataFrame,
-    keys: list[str],
+def look_back(
+    rows: DataFrame,
     time: str,
     value: Column,
     output: str,
     *,
     then_by: list[Column] = (),
     latest_first: bool = False,
-    hot_key_rows: int = HOT_KEY_ROWS,
 ) -> DataFrame:
-    """Add the last non-NULL ``value`` among the rows before each row of its key.
-
-    Rows are ordered by ``time`` and ``then_by`` (given in ascending sense). With
-    ``latest_first`` the walk is reversed, so the result is the next value in time.
-    """
+    """``value_before`` on rows that went through ``slice_timeline``; keeps the slices."""
 
     def sort(column):
         return column.desc_nulls_last() if latest_first else column.asc_nulls_first()
 
-    # One struct as the key: equality on it treats NULL parts as equal, so window,
-    # join and shuffle all work on the same partitioning.
-    keyed = df.withColumns({"_key": F.struct(*keys), "_value": value})
-    rows = _with_slices(keyed, time, hot_key_rows)
     order = [sort(F.col(time)), *[sort(column) for column in then_by]]
     earlier = Window.unboundedPreceding, -1
     in_slice = Window.partitionBy("_key", "_slice").orderBy(*order).rowsBetween(*earlier)
-    seen = rows.withColumn("_seen", F.last("_value", ignorenulls=True).over(in_slice))
+    valued = rows.withColumn("_value", value)
+    seen = valued.withColumn("_seen", F.last("_value", ignorenulls=True).over(in_slice))
 
     # Hot keys only: the last value of each slice, carried into the slices after it.
     pick = F.min_by if latest_first else F.max_by
     has_value = F.col("_value").isNotNull()
     place = F.when(has_value, F.struct(F.col(time), *then_by))
     ends = (
-        rows.where(F.col("_slice").isNotNull())
+        valued.where(F.col("_slice").isNotNull())
         .groupBy("_key", "_slice")
         .agg(pick(F.when(has_value, F.col("_value")), place).alias("_end"))
     )
@@ -110,5 +110,26 @@ def value_before(
         "_key", "_slice", F.last("_end", ignorenulls=True).over(over_slices).alias("_carried")
     )
     return seen.join(carried, ["_key", "_slice"], "left").select(
-        *df.columns, F.coalesce("_seen", "_carried").alias(output)
+        *rows.columns, F.coalesce("_seen", "_carried").alias(output)
     )
+
+
+def value_before(
+    df: DataFrame,
+    keys: list[str],
+    time: str,
+    value: Column,
+    output: str,
+    *,
+    then_by: list[Column] = (),
+    latest_first: bool = False,
+    hot_key_rows: int = HOT_KEY_ROWS,
+) -> DataFrame:
+    """Add the last non-NULL ``value`` among the rows before each row of its key.
+
+    Rows are ordered by ``time`` and ``then_by`` (given in ascending sense). With
+    ``latest_first`` the walk is reversed, so the result is the next value in time.
+    """
+    rows = slice_timeline(df, keys, time, hot_key_rows)
+    found = look_back(rows, time, value, output, then_by=then_by, latest_first=latest_first)
+    return found.drop("_key", "_slice")

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarrylake.functions.columns import exact_sum
 from quarrylake.operators import compare
 from quarrylake.operators.history import (
     as_of_join,
-    drop_unchanged,
     scd2_apply,
     scd2_history,
     scd3_previous,
@@ -16,7 +16,6 @@ from quarrylake.operators.history import (
 from quarrylake.operators.upsert import update_columns, upsert
 from quarrylake.queries import query
 from quarrylake.queries.inputs import FIRST_DELIVERY, SECOND_DELIVERY, Inputs, money_sum, stamp
-from quarrylake.functions.columns import exact_sum
 
 
 def _accounts(inputs: Inputs) -> DataFrame:
@@ -146,8 +145,9 @@ SELECT customer_id, order_id, priority, changed_at AS valid_from,
 FROM changes WINDOW w AS (PARTITION BY customer_id ORDER BY changed_at, order_id)
 """)
 def scd2_changes_only(inputs: Inputs) -> DataFrame:
-    changes = drop_unchanged(_versions(inputs), ["customer_id"], "changed_at", ["priority"], ["order_id"])
-    return scd2_history(changes, ["customer_id"], "changed_at", ["order_id"])
+    return scd2_history(
+        _versions(inputs), ["customer_id"], "changed_at", ["order_id"], tracked=["priority"]
+    )
 
 
 @query(f"""

@@ -22,6 +22,7 @@ FIRST_DELIVERY = datetime(2002, 1, 1, 0, 0)
 SECOND_DELIVERY = datetime(2002, 1, 1, 1, 0)
 PROCESSED_AT = datetime(2002, 1, 2, 0, 0)
 SALT = "not-a-secret"
+ITEM_TYPE = "struct<product_id:string,quantity:int,unit_price:double>"
 
 
 def stamp(moment: datetime) -> Column:
@@ -91,15 +92,22 @@ class Inputs:
 
         Orders without lines come as one message without items.
         """
-        lines = self.table("lineitem").select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
-        joined = self.table("orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        # an inner join can split an order with very many lines, an outer one cannot
+        orders, line = self.table("orders"), self.table("lineitem")
+        line = line.select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
         item = F.struct(
             F.col("l_partkey").cast("string").alias("product_id"),
             F.col("l_quantity").cast("int").alias("quantity"),
             (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
         )
-        items = F.when(F.col("l_orderkey").isNotNull(), F.array(item)).alias("items")
-        return self._delivered(joined, [items])
+        with_lines = line.join(orders, F.col("o_orderkey") == F.col("l_orderkey"))
+        sold = line.select(F.col("l_orderkey").alias("o_orderkey")).distinct()
+        without = orders.join(sold, "o_orderkey", "left_anti").withColumn("_item", F.lit(None))
+        rows = with_lines.withColumn("_item", item).select(*orders.columns, "_item").unionByName(
+            without.withColumn("_item", F.col("_item").cast(ITEM_TYPE))
+        )
+        items = F.when(F.col("_item").isNotNull(), F.array("_item")).alias("items")
+        return self._delivered(rows, [items])
 
     def customer_messages(self) -> DataFrame:
         nation, region = self.table("nation"), self.table("region")

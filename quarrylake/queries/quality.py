@@ -291,6 +291,6 @@ def corrupt_lines(inputs: Inputs) -> DataFrame:
         F.col("o_orderkey").cast("string").alias("order_id"), F.col("o_totalprice").alias("total_amount")
     )
     line = F.to_json(fields)
-    cut = F.when(F.col("o_totalprice") > 400000, F.substring(line, 1, 20)).otherwise(line)
+    cut = F.when(F.col("o_totalprice") > 400000, F.regexp_replace(line, r"\}$", "")).otherwise(line)
     parsed = parse_lines(inputs.table("orders").select(cut.alias("line")), "line", ORDERS)
     return parsed.select("order_id", "total_amount", F.col(CORRUPT_COLUMN).isNotNull().alias("is_corrupt"))

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quarrylake.operators.history import as_of_join, drop_unchanged, scd2_apply, scd2_history, scd3_previous
-from quarrylake.operators.timeline import hot_keys, value_before
+from quarrylake.operators.timeline import hot_keys, slice_timeline, value_before
 
 DAY0 = datetime(2024, 1, 1)
 VERSIONS = "k string, at timestamp, n int, v string"
@@ -69,6 +69,14 @@ def test_histories_match_brute_force(spark, hot_key_rows):
     }
     assert {r.n for r in changes.collect()} == kept
 
+    short = scd2_history(df, ["k"], "at", ["n"], tracked=["v"], hot_key_rows=hot_key_rows)
+    expected = {}
+    for group in groups.values():
+        group = [row for row in group if row[2] in kept]
+        for row, after in zip(group, [*group[1:], None]):
+            expected[row[2]] = (row[1], after and after[1], after is None)
+    assert {r.n: (r.valid_from, r.valid_to, r.is_current) for r in short.collect()} == expected
+
     latest = scd3_previous(df, ["k"], "at", ["v"], ["n"], hot_key_rows=hot_key_rows)
     expected = {}
     for key, group in groups.items():
@@ -111,10 +119,7 @@ def test_hot_key_windows_are_sliced(spark):
     df = spark.range(20000).select(
         F.lit("hot").alias("k"), F.timestamp_seconds("id").alias("at"), F.col("id").alias("n")
     )
-    from quarrylake.operators.timeline import _with_slices
-
-    keyed = df.withColumn("_key", F.struct("k"))
-    sizes = _with_slices(keyed, "at", 1000).groupBy("_slice").count().agg(F.max("count"), F.count("*")).first()
+    sizes = slice_timeline(df, ["k"], "at", 1000).groupBy("_slice").count().agg(F.max("count"), F.count("*")).first()
     assert sizes[0] < 100 and sizes[1] > 500
 
 
@@ -143,3 +148,11 @@ def test_apply_changes_to_history(spark, rows):
         ("d", "x", None, True),
         ("e", "new", None, True),
     ]
+
+
+def test_chained_look_backs_share_one_shuffle(spark):
+    df = spark.createDataFrame([("a", DAY0, 1, "x")], VERSIONS)
+    history = scd2_history(df, ["k"], "at", ["n"], tracked=["v"])
+    history.collect()
+    plan = history._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Window [") == 2 and plan.count("Exchange hashpartitioning") == 1

@@ -153,26 +153,25 @@ def as_of_join(
     usable = F.col(fact_time).isNotNull()
     for name in keys:
         usable = usable & F.col(name).isNotNull()
+    # facts that can match nothing get a key of their own, which keeps them spread
+    lone = F.when(~usable, F.xxhash64(*facts.columns))
     fact_row, version_row = F.struct(*facts.columns), F.struct("valid_to", *columns)
-    points = (
-        facts.where(usable)
-        .select(*keys, F.col(fact_time).alias("_time"), F.lit(1).alias("_kind"), fact_row.alias("_fact"))
-        .unionByName(
-            history.select(
-                *keys, F.col("valid_from").alias("_time"), F.lit(0).alias("_kind"),
-                version_row.alias("_version"),
-            ),
-            allowMissingColumns=True,
-        )
+    points = facts.select(
+        *keys, lone.alias("_lone"), F.col(fact_time).alias("_time"), F.lit(1).alias("_kind"),
+        fact_row.alias("_fact"),
+    ).unionByName(
+        history.select(
+            *keys, F.col("valid_from").alias("_time"), F.lit(0).alias("_kind"),
+            version_row.alias("_version"),
+        ),
+        allowMissingColumns=True,
     )
     # of versions starting together, the one that stays valid comes last
     still_open = F.coalesce(F.col("_version.valid_to").isNull(), F.lit(False))
     found = value_before(
-        points, keys, "_time", F.col("_version"), "_at",
+        points, [*keys, "_lone"], "_time", F.col("_version"), "_at",
         then_by=[F.col("_kind"), still_open, F.col("_version.valid_to")],
         hot_key_rows=hot_key_rows,
     ).where(F.col("_kind") == 1)
     valid = F.col("_at.valid_to").isNull() | (F.col("_time") < F.col("_at.valid_to"))
-    matched = found.select("_fact.*", *[F.when(valid, F.col(f"_at.{c}")).alias(c) for c in columns])
-    # facts without key or time can match nothing
-    return matched.unionByName(facts.where(~usable), allowMissingColumns=True)
+    return found.select("_fact.*", *[F.when(valid, F.col(f"_at.{c}")).alias(c) for c in columns])

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quarrylake.operators.reshape import group_columns, split_columns
 from quarrylake.operators.upsert import update_columns
+from quarrylake.plans import gold
 from quarrylake.plans.silver import conform
 from quarrylake.queries import query
 from quarrylake.queries.changes import _DISCOUNTS, _discounts
@@ -26,7 +27,7 @@ from quarrylake.schemas import CUSTOMERS, ORDERS
 from quarrylake.sources import layout
 from quarrylake.sources.landing import read_landing_hours, write_landing
 from quarrylake.sources.tables import PartitionedTable, VersionedTable, table_files
-from quarrylake.streaming.bronze import BronzeTable, ingest
+from quarrylake.streaming.bronze import BronzeTable, bulk_load, ingest
 from quarrylake.streaming.silver import SilverTable, refresh, since, stream_to_silver
 from quarrylake.workspace import new_folder
 
@@ -63,6 +64,19 @@ def bronze_stream_counts(inputs: Inputs) -> DataFrame:
     return bronze.read().groupBy("_record_status").agg(F.count("*").alias("records"))
 
 
+@query(f"""
+WITH {SQL_MESSAGES}
+SELECT order_id, {_STATUS} AS _record_status FROM messages
+""")
+def bulk_loaded_orders(inputs: Inputs) -> DataFrame:
+    """The same files as one batch job."""
+    base = new_folder(inputs.spark, "history")
+    _land(inputs, f"{base}/landing", inputs.order_messages())
+    bronze = BronzeTable(inputs.spark, f"{base}/bronze", ORDERS)
+    bulk_load(bronze, f"{base}/landing", "history-1")
+    return bronze.read().select("order_id", "_record_status")
+
+
 _SILVER_ROWS = f"""
 WITH {SQL_MESSAGES}
 SELECT order_id, customer_id, TRY_CAST(order_date AS TIMESTAMP) AS order_date, total_amount, status,
@@ -174,6 +188,28 @@ def backfill_by_partition(inputs: Inputs) -> DataFrame:
     return table.read()
 
 
+@query(f"""
+WITH {SQL_FACT}, {SQL_CUSTOMERS}
+SELECT o.order_id, o.total_amount, c.customer_id, c.country AS customer_country
+FROM fact o LEFT JOIN dim_customers c ON o.customer_id = c.customer_id
+""")
+def materialized_order_summary(inputs: Inputs) -> DataFrame:
+    """A gold view stored as a table."""
+    path = new_folder(inputs.spark, "order_summary")
+    gold.materialize(gold.order_summary(inputs.fact_orders, inputs.dim_customers), path)
+    stored = inputs.spark.read.parquet(path)
+    return stored.select("order_id", "total_amount", "customer_id", "customer_country")
+
+
+@query(f"WITH {SQL_CUSTOMERS} SELECT customer_id, city, state, email_salt_key FROM dim_customers")
+def clustered_dim_customers(inputs: Inputs) -> DataFrame:
+    """The customer dimension after its files were rewritten in cluster order."""
+    silver = SilverTable(inputs.spark, new_folder(inputs.spark, "dim_customers"), CUSTOMERS)
+    silver.merge(inputs.dim_customers)
+    silver.optimize(files=4)
+    return silver.read().select("customer_id", "city", "state", "email_salt_key")
+
+
 @query("SELECT * FROM orders")
 def compaction_roundtrip(inputs: Inputs) -> DataFrame:
     path = new_folder(inputs.spark, "compacted")

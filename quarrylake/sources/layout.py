@@ -34,9 +34,13 @@ def _as_number(df: DataFrame, name: str) -> Column:
     return F.conv(F.rpad(F.hex(part), 12, "0"), 16, 10).cast("double")
 
 
-def z_ordered(df: DataFrame, columns: list[str], partitions: int) -> DataFrame:
+def z_ordered(
+    df: DataFrame, columns: list[str], partitions: int, within: str | None = None
+) -> DataFrame:
     """Rows that are close in all of ``columns`` come to lie in the same files.
 
+    With ``within``, the order is kept inside each value of that partition column.
+
     Each column is cut into 256 quantile buckets; interleaving the bucket bits
     gives one sort key. Parquet's per-file minimum and maximum then skip files for
     filters on any of the columns.
@@ -54,10 +58,11 @@ def z_ordered(df: DataFrame, columns: list[str], partitions: int) -> DataFrame:
         for place, bucket in enumerate(buckets):
             one = F.shiftright(F.col(bucket).cast("bigint"), bit).bitwiseAND(1)
             key = key.bitwiseOR(F.shiftleft(one, bit * len(columns) + place))
+    order = [within, "_z"] if within else ["_z"]
     return (
         cut.withColumn("_z", key)
-        .repartitionByRange(partitions, "_z")
-        .sortWithinPartitions("_z")
+        .repartitionByRange(partitions, *order)
+        .sortWithinPartitions(*order)
         .select(*df.columns)
     )
 

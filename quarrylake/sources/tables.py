@@ -138,24 +138,35 @@ class PartitionedTable:
         )
         self._replace(touched, lambda old: upsert(old, source, keys, version_column))
 
-    def rewrite(self, days: list, change: Callable[[DataFrame], DataFrame]) -> None:
+    def rewrite(
+        self, days: list, change: Callable[[DataFrame], DataFrame], arranged: bool = False
+    ) -> None:
         """Replace the given partitions by ``change`` of their rows.
 
         For backfills: give a chunk of partitions at a time and repeat a chunk that
-        failed. ``change`` must leave the partition column as it is.
+        failed. ``change`` must leave the partition column as it is. ``arranged``
+        says that it sorted the rows by the partition column first, and as they
+        shall lie in the files.
         """
         self._finish()
         self.folders.drop(self._staged)
         column = F.col(self.partition)
         touched = self.read().where(column.isin(days)).select(self.partition).distinct()
-        self._replace(touched, change)
+        self._replace(touched, change, arranged)
 
-    def _replace(self, touched: DataFrame, change: Callable[[DataFrame], DataFrame]) -> None:
+    def _replace(
+        self, touched: DataFrame, change: Callable[[DataFrame], DataFrame], arranged: bool = False
+    ) -> None:
         touched.write.parquet(f"{self._staged}/touched")
         stored = self.spark.read.parquet(f"{self._staged}/touched")
         values = [row[0] for row in stored.collect()]
         old = self.read().where(_is_one_of(self.partition, values))
-        _by_partition(change(old), self.partition).parquet(f"{self._staged}/rows")
+        new = change(old)
+        if arranged:
+            writer = new.write.partitionBy(self.partition)
+        else:
+            writer = _by_partition(new, self.partition)
+        writer.parquet(f"{self._staged}/rows")
         # partitions whose rows all went elsewhere; from here on the change counts
         emptied = {self._folder(value) for value in values} - set(self._staged_folders())
         names = self.spark.createDataFrame([(name,) for name in emptied], "folder string")

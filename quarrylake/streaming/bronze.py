@@ -17,7 +17,7 @@ from quarrylake.operators.quality_rules import (
 )
 from quarrylake.plans.run_log import log_run
 from quarrylake.schemas import Topic
-from quarrylake.sources.landing import CORRUPT_COLUMN, stream_landing
+from quarrylake.sources.landing import CORRUPT_COLUMN, read_landing, stream_landing
 from quarrylake.sources.tables import SUCCESS, Folders
 
 
@@ -110,6 +110,14 @@ def write_batch(
         )
 
 
+def bulk_load(table: BronzeTable, landing: str, load: str, run_log: str | None = None) -> None:
+    """Load landed history in one batch job, past the stream's files-per-batch limit.
+
+    ``load`` names the load; repeating it replaces it.
+    """
+    write_batch(read_landing(table.spark, table.topic, landing), 0, load, table, run_log)
+
+
 def ingest(
     table: BronzeTable,
     landing: str,

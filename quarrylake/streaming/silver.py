@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from quarrylake.plans.run_log import log_run
 from quarrylake.plans.silver import conform, rejects
 from quarrylake.schemas import Topic, ddl
+from quarrylake.sources.layout import z_ordered
 from quarrylake.sources.tables import PartitionedTable, Folders, VersionedTable
 from quarrylake.streaming.bronze import BronzeTable
 
@@ -51,6 +52,19 @@ class SilverTable:
             latest = latest.withColumn(self.topic.partition_by, start.cast("date"))
         self.rows.merge(latest, [self.topic.key], "_ingestion_timestamp")
 
+    def optimize(self, files: int, partitions: list | None = None) -> None:
+        """Rewrite the rows so that filters on the topic's cluster columns skip files.
+
+        Give the partitions to rewrite where the table has any; others stay.
+        """
+        columns, by = list(self.topic.cluster_by), self.topic.partition_by
+        if by:
+            self.rows.rewrite(
+                partitions or [], lambda old: z_ordered(old, columns, files, within=by), arranged=True
+            )
+        else:
+            self.rows.write(z_ordered(self.rows.read(), columns, files))
+
     def keep_rejects(self, rows: DataFrame, batches: dict[str, int]) -> None:
         """Store bronze rows silver cannot hold; the same batches overwrite their folder."""
         name = "_".join(f"{feed}-{last}" for feed, last in sorted(batches.items()))

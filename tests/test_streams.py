@@ -1,5 +1,6 @@
 import gzip
 import json
+from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from quarrylake.sources.landing import (
     unwrap_envelope,
     write_landing,
 )
-from quarrylake.streaming.bronze import BronzeTable, ingest, write_batch
+from quarrylake.streaming.bronze import BronzeTable, bulk_load, ingest, write_batch
 from quarrylake.streaming.silver import SilverTable, refresh, stream_to_silver
 
 
@@ -113,6 +114,23 @@ def test_fresh_checkpoint_does_not_overwrite(spark, landing, bronze, tmp_path):
     assert bronze.read().count() == 2 and len(bronze.complete_batches({})) == 2
 
 
+def test_bulk_load_can_be_repeated(spark, rows, landing, bronze):
+    landing.put(order("o1"), order(None))
+    for _ in range(2):
+        bulk_load(bronze, landing.path, "history")
+    assert rows(bronze.read(), "order_id", "_record_status") == [("o1", "valid"), (None, "invalid")]
+
+
+def test_interval_trigger(spark, landing, bronze, tmp_path):
+    landing.put(order("o1"))
+    query = ingest(bronze, landing.path, str(tmp_path / "cp"), every="1 second")
+    query.processAllAvailable()
+    landing.put(order("o2"), hour="02")
+    query.processAllAvailable()
+    query.stop()
+    assert bronze.read().count() == 2
+
+
 def test_failed_batch_is_logged(spark, bronze, tmp_path):
     batch = spark.range(1).select(F.raise_error(F.lit("lost")).cast("string").alias("order_id"))
     with pytest.raises(Exception, match="lost"):
@@ -142,6 +160,21 @@ def test_silver_takes_only_new_complete_batches(spark, rows, landing, bronze, tm
     assert rows(silver.read().select(F.col("order_day").cast("string")).distinct()) == [("2024-01-01",), ("2024-01-02",)]
 
 
+def test_optimize_rewrites_only_the_given_partitions(spark, rows, landing, bronze, tmp_path):
+    silver = SilverTable(spark, str(tmp_path / "silver"), ORDERS)
+    landing.put(*[order(f"o{i}", customer_id=f"c{i % 5}") for i in range(50)], order("x", order_date="2024-01-02T00:00:00Z"))
+    run(bronze, landing, tmp_path)
+    refresh(bronze, silver)
+    before, folder = rows(silver.read()), tmp_path / "silver" / "rows"
+    kept = [p.name for p in (folder / "order_day=2024-01-02").glob("*.parquet")]
+    silver.optimize(2, [date(2024, 1, 1)])
+    assert rows(silver.read()) == before
+    assert [p.name for p in (folder / "order_day=2024-01-02").glob("*.parquet")] == kept
+    first = sorted((folder / "order_day=2024-01-01").glob("*.parquet"))[0]
+    seen = [r.customer_id for r in spark.read.parquet(str(first)).select("customer_id").collect()]
+    assert seen == sorted(seen)
+
+
 def test_silver_as_stream(spark, rows, landing, bronze, tmp_path):
     silver = SilverTable(spark, str(tmp_path / "silver"), ORDERS)
     landing.put(order("o1"), order(None))

@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 MAX_HOT_KEYS = 10_000
 HOT_KEY_ROWS = 1_000_000
 
-# Cuts are kept as a two-level list: 32 x 32 slices are found with 64 comparisons.
-_FAN_OUT = 32
-_CUTS = [step / (_FAN_OUT * _FAN_OUT) for step in range(1, _FAN_OUT * _FAN_OUT)]
+# A hot key's timeline is cut in 1024 slices, found with ten comparisons.
+_STEPS = [2**power for power in reversed(range(10))]
+_SHARES = [number / 1024 for number in range(1, 1024)]
 
 
 def hot_keys(df: DataFrame, keys: list[str], min_rows: int = HOT_KEY_ROWS) -> DataFrame:
@@ -38,17 +38,13 @@ def _micros(time: str) -> Column:
 
 
 def _cuts_of_hot_keys(df: DataFrame, time: str, min_rows: int) -> DataFrame:
-    """Per hot key: 31 coarse cuts and, between them, 32 lists of 31 fine cuts."""
+    """Per hot key: the 1023 times that cut its rows into equal parts."""
     narrow = df.select("_key", _micros(time).alias("_at"))
     hot = F.broadcast(hot_keys(narrow, ["_key"], min_rows))
-    cuts = F.col("_cuts")
-    coarse = [cuts[i * _FAN_OUT - 1] for i in range(1, _FAN_OUT)]
-    fine = [F.slice(cuts, i * _FAN_OUT + 1, _FAN_OUT - 1) for i in range(_FAN_OUT)]
     return (
         narrow.join(hot, "_key", "left_semi")
         .groupBy("_key")
-        .agg(F.percentile_approx("_at", _CUTS, 10_000).alias("_cuts"))
-        .select("_key", F.array(*coarse).alias("_coarse"), F.array(*fine).alias("_fine"))
+        .agg(F.percentile_approx("_at", _SHARES, 10_000).alias("_cuts"))
     )
 
 
@@ -63,17 +59,16 @@ def slice_timeline(
     # One struct as the key: equality on it treats NULL parts as equal, so window,
     # join and shuffle all work on the same partitioning.
     keyed = df.withColumn("_key", F.struct(*keys))
-    at = _micros(time)
-
-    def passed(bounds):
-        return F.size(F.filter(bounds, lambda bound: bound <= at))
-
-    coarse = passed(F.col("_coarse"))
-    number = coarse * _FAN_OUT + passed(F.col("_fine")[coarse])
-    # rows without a time come first, as they do in the orderings below
-    number = F.when(F.col("_coarse").isNotNull(), F.when(at.isNull(), -1).otherwise(number))
     cuts = F.broadcast(_cuts_of_hot_keys(keyed, time, hot_key_rows))
-    return keyed.join(cuts, "_key", "left").withColumn("_slice", number).drop("_coarse", "_fine")
+    rows = keyed.join(cuts, "_key", "left").withColumns({"_at": _micros(time), "_slice": F.lit(0)})
+    # binary search; one step per column keeps each expression small and compiled
+    for step in _STEPS:
+        passed = F.col("_cuts")[F.col("_slice") + (step - 1)] <= F.col("_at")
+        rows = rows.withColumn("_slice", F.col("_slice") + F.when(passed, step).otherwise(0))
+    # rows without a time come first, as they do in the orderings below
+    number = F.when(F.col("_at").isNull(), -1).otherwise(F.col("_slice"))
+    number = F.when(F.col("_cuts").isNotNull(), number)
+    return rows.withColumn("_slice", number).drop("_cuts", "_at")
 
 
 def look_back(

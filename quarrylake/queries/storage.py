@@ -171,9 +171,12 @@ def backfill_by_partition(inputs: Inputs) -> DataFrame:
     spark = inputs.spark
     month = F.trunc("o_orderdate", "month").alias("order_month")
     orders = inputs.table("orders").select("o_orderkey", "o_totalprice", month)
-    table = PartitionedTable(spark, new_folder(spark, "orders_by_month"), "order_month")
+    added = "o_orderkey bigint, discount_amount double, order_month date"
+    table = PartitionedTable(
+        spark, new_folder(spark, "orders_by_month"), "order_month", f"o_totalprice double, {added}"
+    )
     table.write(orders)
-    values = PartitionedTable(spark, new_folder(spark, "discounts_by_month"), "order_month")
+    values = PartitionedTable(spark, new_folder(spark, "discounts_by_month"), "order_month", added)
     values.write(
         _discounts(inputs).join(orders.select("o_orderkey", "order_month"), "o_orderkey")
     )

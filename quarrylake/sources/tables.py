@@ -136,7 +136,8 @@ class PartitionedTable:
             .union(source.select(self.partition))
             .distinct()
         )
-        self._replace(touched, lambda old: upsert(old, source, keys, version_column))
+        values = [row[0] for row in touched.collect()]
+        self._replace(values, lambda old: upsert(old, source, keys, version_column))
 
     def rewrite(
         self, days: list, change: Callable[[DataFrame], DataFrame], arranged: bool = False
@@ -150,16 +151,12 @@ class PartitionedTable:
         """
         self._finish()
         self.folders.drop(self._staged)
-        column = F.col(self.partition)
-        touched = self.read().where(column.isin(days)).select(self.partition).distinct()
-        self._replace(touched, change, arranged)
+        known = set(self.folders.names(self.path))
+        self._replace([day for day in days if self._folder(day) in known], change, arranged)
 
     def _replace(
-        self, touched: DataFrame, change: Callable[[DataFrame], DataFrame], arranged: bool = False
+        self, values: list, change: Callable[[DataFrame], DataFrame], arranged: bool = False
     ) -> None:
-        touched.write.parquet(f"{self._staged}/touched")
-        stored = self.spark.read.parquet(f"{self._staged}/touched")
-        values = [row[0] for row in stored.collect()]
         old = self.read().where(_is_one_of(self.partition, values))
         new = change(old)
         if arranged:

@@ -120,13 +120,14 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def words_of(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words_of(text: str | bytes | None, longest: int | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each word: its number, and where it starts and ends in the text's UTF-8 bytes.
 
     A word is a run of ASCII letters, digits and any characters beyond ASCII; A-Z counts
-    as a-z. Null is the empty text.
+    as a-z. Null is the empty text. With ``longest``, longer words are cut after so many bytes.
     """
-    raw = np.frombuffer((text or "").encode("utf-8", "replace"), np.uint8)
+    raw = text if isinstance(text, bytes) else (text or "").encode("utf-8", "replace")
+    raw = np.frombuffer(raw, np.uint8)
     if not len(raw):
         return np.empty(0, np.uint64), np.empty(0, np.int64), np.empty(0, np.int64)
     inside = np.empty(len(raw) + 2, np.int8)
@@ -134,6 +135,12 @@ def words_of(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     inside[1:-1] = _LETTER[raw]
     edges = np.flatnonzero(inside[1:] != inside[:-1])
     starts, ends = edges[::2], edges[1::2]
+    if longest and len(starts) and (ends - starts).max() > longest:
+        pieces = -(-(ends - starts) // longest)
+        within = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+        stop = np.repeat(ends, pieces)
+        starts = np.repeat(starts, pieces) + within * longest
+        ends = np.minimum(starts + longest, stop)
     power, inverse = _power_tables(len(raw))
     sums = np.empty(len(raw) + 1, np.uint64)
     sums[0] = 0
@@ -155,3 +162,22 @@ def shingles_of(words: np.ndarray, size: int) -> np.ndarray:
     for place in range(size):
         total += words[place : place + count] * _PLACE[place]
     return mixed(total)
+
+
+def joined(texts: list[str | None], size: int = 1 << 20):
+    """Neighbouring texts as one byte string of about ``size`` or less: (bytes, where each starts).
+
+    A text that is longer stands alone. Texts are parted by a line feed, and the places
+    end with the length plus one.
+    """
+    held, places, length = [], [0], 0
+    for text in texts:
+        coded = (text or "").encode("utf-8", "replace")
+        if held and length + len(coded) > size:
+            yield b"\n".join(held), np.array(places)
+            held, places, length = [], [0], 0
+        held.append(coded)
+        length += len(coded) + 1
+        places.append(length)
+    if held:
+        yield b"\n".join(held), np.array(places)

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrylake.llm.common import table
+from quarrylake.llm import chat, langid, toxicity
+from quarrylake.llm.common import fold, table
+from quarrylake.llm.maxscore import integer_vectors, top_k
 from quarrylake.llm.packing import pack
 
 TOKENIZER = "word_bpe_49k.json"
@@ -28,5 +30,53 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing,)}
-ORACLE_SQL: dict[str, str] = {}
+def op2_maxscore_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best inner products of every twentieth vector with all others."""
+    vectors = integer_vectors(table(spark, sf_dir, "embeddings"))
+    return top_k(vectors.where(F.col("vec_id") % 20 == 0), vectors, 20)
+
+
+def op3_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of all conversations, read back from their formatted windows."""
+    said = "\\### Assistant: </turn> ok"
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], rows.schema)
+    return chat.digests(chat.windows(rows.unionByName(more), tokenizer_file(TOKENIZER)))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from labels of the folds other than 0 of 5."""
+    docs = table(spark, sf_dir, "documents")
+    learned = table(spark, sf_dir, "labels").where(fold("doc_id", 5) != 0)
+    found = toxicity.score(docs, toxicity.fit(docs, learned))
+    return found.select(
+        "doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from the folds other than 2 of 4."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 4) == 2
+    found = langid.predict(docs, langid.fit(docs.where(~held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f for f in (op1_packing, op2_maxscore_topk, op3_chat_windows, op6_toxicity, op8_language_id)
+}
+ORACLE_SQL: dict[str, str] = {
+    "op2_maxscore_topk": """
+WITH v AS (
+    SELECT DISTINCT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS c
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+    SELECT q.vec_id AS query_id, d.vec_id AS vec_id,
+        CAST(list_dot_product(CAST(q.c AS DOUBLE[]), CAST(d.c AS DOUBLE[])) AS BIGINT) AS score
+    FROM v q, v d WHERE q.vec_id % 20 = 0 AND d.vec_id <> q.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20
+""",
+}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrylake.llm import chat, langid, toxicity
+from quarrylake.llm import chat, langid, linededup, toxicity
 from quarrylake.llm.common import fold, table
 from quarrylake.llm.maxscore import integer_vectors, top_k
 from quarrylake.llm.packing import pack
@@ -62,8 +62,13 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of the documents that an earlier one matches, with the earliest such line."""
+    return linededup.later_matches(table(spark, sf_dir, "documents")).drop("version")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_maxscore_topk, op3_chat_windows, op6_toxicity, op8_language_id)
+    f.__name__: f for f in (op1_packing, op2_maxscore_topk, op3_chat_windows, op6_toxicity, op8_language_id, op9_line_dedup)
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_maxscore_topk": """
@@ -78,5 +83,40 @@ scored AS (
     FROM v q, v d WHERE q.vec_id % 20 = 0 AND d.vec_id <> q.vec_id)
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM scored QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 20
+""",
+    "op9_line_dedup": """
+WITH texts AS (SELECT DISTINCT doc_id, coalesce(text, '') AS text FROM documents),
+split AS (
+    SELECT doc_id, text, unnest(string_split(text, chr(10))) AS line,
+        unnest(range(len(string_split(text, chr(10))))) AS line_no FROM texts),
+sets AS (
+    SELECT doc_id, text, CAST(line_no AS INTEGER) AS line_no, list_sort(list_distinct(list_filter(string_split(
+        translate(lower(line), chr(9) || chr(13) || chr(12) || chr(11), '    '), ' '), lambda w: w <> ''))) AS words
+    FROM split),
+lines AS (SELECT *, hash(words) AS id FROM sets WHERE len(words) >= 3),
+firsts AS (
+    SELECT id, any_value(words) AS words, min({'doc_id': doc_id, 'line_no': line_no}) AS first FROM lines GROUP BY id),
+counts AS (SELECT w, count(*) AS n FROM (SELECT unnest(words) AS w FROM firsts) GROUP BY w),
+ranked AS (
+    SELECT f.id, len(f.words) AS size, u.w,
+        row_number() OVER (PARTITION BY f.id ORDER BY c.n, u.w) AS pos
+    FROM firsts f, LATERAL (SELECT unnest(f.words) AS w) u JOIN counts c ON c.w = u.w),
+prefix AS (SELECT * FROM ranked WHERE pos <= size - (size * 80 + 99) // 100 + 1),
+pairs AS (
+    SELECT DISTINCT a.id AS a, b.id AS b FROM prefix a JOIN prefix b ON a.w = b.w AND a.id <> b.id
+    WHERE least(a.size, b.size) * 100 >= greatest(a.size, b.size) * 80),
+near AS (
+    SELECT b, min({'first': x.first, 'similarity': len(list_intersect(x.words, y.words))
+            / (len(x.words) + len(y.words) - len(list_intersect(x.words, y.words)))}) AS best
+    FROM pairs JOIN firsts x ON x.id = a JOIN firsts y ON y.id = b
+    WHERE x.first < y.first AND len(list_intersect(x.words, y.words)) * 100
+        >= (len(x.words) + len(y.words) - len(list_intersect(x.words, y.words))) * 80
+    GROUP BY b)
+SELECT l.doc_id, l.line_no,
+    coalesce(n.best.first.doc_id, f.first.doc_id) AS kept_doc_id,
+    coalesce(n.best.first.line_no, f.first.line_no) AS kept_line_no,
+    coalesce(n.best.similarity, 1.0) AS similarity
+FROM lines l JOIN firsts f ON f.id = l.id LEFT JOIN near n ON n.b = l.id
+WHERE n.b IS NOT NULL OR {'doc_id': l.doc_id, 'line_no': l.line_no} > f.first
 """,
 }

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +18,17 @@ from quarrylake.workspace import new_folder
 BATCH_ROWS = 512
 
 
+def findable(spark: SparkSession) -> None:
+    """Let Python workers look for this package where the driver found it."""
+    root = str(Path(__file__).resolve().parents[2])
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", os.environ.get("PYTHONPATH", "")).split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    findable(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -44,6 +56,7 @@ def arrow_type(df: DataFrame, column: str) -> pa.DataType:
 
 def arrow_map(df: DataFrame, function, schema: str) -> DataFrame:
     """``function(batches of dict column -> list) -> rows as dict of lists``, run per partition."""
+    findable(df.sparkSession)
     names_types = _arrow_schema(df.sparkSession, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrylake.llm import chat, langid, linededup, toxicity
+from quarrylake.llm import chat, langid, linededup, neardup, toxicity
 from quarrylake.llm.common import fold, table
 from quarrylake.llm.maxscore import integer_vectors, top_k
 from quarrylake.llm.packing import pack
@@ -54,6 +54,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the least id of its class of near-duplicates."""
+    return neardup.classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "copies")
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from the folds other than 2 of 4."""
     docs = table(spark, sf_dir, "documents")
@@ -68,7 +73,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_maxscore_topk, op3_chat_windows, op6_toxicity, op8_language_id, op9_line_dedup)
+    f.__name__: f for f in (op1_packing, op2_maxscore_topk, op3_chat_windows, op6_toxicity, op7_minhash_near_dedup, op8_language_id, op9_line_dedup)
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_maxscore_topk": """

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrylake.llm import chat, langid, linededup, neardup, toxicity
+from quarrylake.llm import chat, decontam, langid, linededup, neardup, toxicity
 from quarrylake.llm.common import fold, table
 from quarrylake.llm.maxscore import integer_vectors, top_k
 from quarrylake.llm.packing import pack
@@ -72,8 +72,13 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.later_matches(table(spark, sf_dir, "documents")).drop("version")
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items in documents."""
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_maxscore_topk, op3_chat_windows, op6_toxicity, op7_minhash_near_dedup, op8_language_id, op9_line_dedup)
+    f.__name__: f for f in (op1_packing, op2_maxscore_topk, op3_chat_windows, op6_toxicity, op7_minhash_near_dedup, op8_language_id, op9_line_dedup, op10_decontamination)
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_maxscore_topk": """

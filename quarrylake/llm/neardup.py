@@ -6,11 +6,8 @@ shingles, over all documents, so the table has a fixed size. Consistent weighted
 agree with the probability of the weighted Jaccard similarity; groups of samples make bands,
 and documents that share a band are candidates.
 
-Candidates of a band bucket are not paired with each other. First every member meets the
-bucket's hub. Since 1 - similarity is a metric, two members can only be similar if their
-distances to the hub differ by no more than the allowed distance; such pairs are
-compared afterwards where one of them is not similar to the hub and components still
-differ. Every candidate pair is verified on the texts. Exact copies are merged before all this.
+Every candidate pair is verified on the texts (see ``bandjoin``). Exact copies are merged
+before all this.
 """
 
 from __future__ import annotations
@@ -19,7 +16,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarrylake.llm.common import arrow_map, connected, mixed, shingles_of, text_or_empty, words_of, written
+from quarrylake.llm.bandjoin import components
+from quarrylake.llm.common import arrow_map, mixed, shingles_of, text_or_empty, words_of, written
 
 SHINGLE, THRESHOLD = 5, 0.8
 #: At 0.8 a pair shares no band with probability (1 - 0.8^3)^13 = 0.0001.
@@ -111,25 +109,6 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
     return (out + 0.1).astype(np.float32)
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, idf) -> DataFrame:
-    """(a, b, similarity) of content pairs, from their texts."""
-    left = texts.select(F.col("content").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("content").alias("b"), F.col("text").alias("text_b"))
-
-    def run(batches):
-        last = None, None
-        for batch in batches:
-            out = []
-            for a, text_a, text_b in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3)):
-                if a != last[0]:
-                    last = a, weighted_set(text_a.as_py(), idf.value)
-                out.append(weighted_jaccard(last[1], weighted_set(text_b.as_py(), idf.value)))
-            yield {"a": batch.column(0), "b": batch.column(1), "similarity": out}
-
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-    return arrow_map(both, run, "a string, b string, similarity double")
-
-
 def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(the id, content, class_id, copies) per row: rows with one class_id are near-duplicates of each other.
 
@@ -158,47 +137,19 @@ def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     contents = signed.groupBy("content").agg(
         F.min(F.struct("doc_id")).alias("first"), F.count("*").alias("copies"), F.first("bands").alias("bands")
     )
-    keyed = contents.select("content", F.posexplode("bands").alias("band", "value"))
-    hubs = keyed.groupBy("band", "value").agg(F.min("content").alias("hub"), F.count("*").alias("n")).where("n > 1")
-    members = written(keyed.join(hubs, ["band", "value"]).where("content <> hub").select("band", "value", "hub", "content"), "members")
-    pairs = members.select(F.col("hub").alias("a"), F.col("content").alias("b")).distinct()
-    wanted = members.select("content").union(members.select("hub")).distinct()
-    # one row per content in question: its text, found by the first id that has it
-    firsts = contents.join(wanted, "content", "left_semi").select("content", F.col("first.doc_id").alias("first_id"))
-    texts = written(
-        rows.join(firsts, (rows["content"] == firsts["content"]) & rows["doc_id"].eqNullSafe(firsts["first_id"]), "left_semi")
-        .groupBy("content")
-        .agg(F.first("text").alias("text")),
-        "texts",
-    )
-    seen = written(_verified(pairs, texts, idf), "similarities")
-    links = seen.where(F.col("similarity") >= THRESHOLD).select("a", "b")
-    roots = connected(links, "near-components")
-
-    # pairs within a bucket that the hub leaves open
-    placed = (
-        members.join(seen.select(F.col("a").alias("hub"), F.col("b").alias("content"), "similarity"), ["hub", "content"])
-        .join(roots.select(F.col("node").alias("content"), "root"), "content", "left")
-        .withColumn("root", F.coalesce("root", "content"))
-    )
-    apart = placed.where(F.col("similarity") < THRESHOLD)
-    x, y = apart.alias("x"), placed.alias("y")
-    near = F.abs(F.col("x.similarity") - F.col("y.similarity")) <= 1 - THRESHOLD + 1e-9
-    rest = (
-        x.join(
-            y,
-            (F.col("x.band") == F.col("y.band"))
-            & (F.col("x.value") == F.col("y.value"))
-            & (F.col("x.root") != F.col("y.root"))
-            & near,
+
+    def texts_of(wanted: DataFrame) -> DataFrame:
+        """The text of each content, found by the first id that has it."""
+        firsts = contents.join(wanted, "content", "left_semi").select("content", F.col("first.doc_id").alias("first_id"))
+        found = rows.join(
+            firsts, (rows["content"] == firsts["content"]) & rows["doc_id"].eqNullSafe(firsts["first_id"]), "left_semi"
         )
-        .select(F.least("x.content", "y.content").alias("a"), F.greatest("x.content", "y.content").alias("b"))
-        .distinct()
+        return found.groupBy("content").agg(F.first("text").alias("text"))
+
+    roots = components(
+        contents, texts_of, lambda text: weighted_set(text, idf.value), weighted_jaccard, THRESHOLD, "near"
     )
-    more = written(_verified(rest, texts, idf).where(F.col("similarity") >= THRESHOLD).select("a", "b"), "near-links")
-    if not more.isEmpty():
-        roots = connected(links.unionByName(more), "near-components")
-    named = contents.join(roots.select(F.col("node").alias("content"), "root"), "content", "left").withColumn(
+    named = contents.join(roots, "content", "left").withColumn(
         "root", F.coalesce("root", "content")
     )
     least = named.groupBy("root").agg(F.min("first").alias("class"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrylake.llm import chat, decontam, langid, linededup, neardup, toxicity
+from quarrylake.llm import chat, decontam, langid, linededup, neardup, substring, toxicity
 from quarrylake.llm.common import fold, table
 from quarrylake.llm.maxscore import integer_vectors, top_k
 from quarrylake.llm.packing import pack
@@ -44,6 +44,11 @@ def op3_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.windows(rows.unionByName(more), tokenizer_file(TOKENIZER)))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every paragraph of the documents that repeats an earlier one."""
+    return substring.repeated(table(spark, sf_dir, "documents")).drop("version")
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from labels of the folds other than 0 of 5."""
     docs = table(spark, sf_dir, "documents")
@@ -78,7 +83,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_maxscore_topk, op3_chat_windows, op6_toxicity, op7_minhash_near_dedup, op8_language_id, op9_line_dedup, op10_decontamination)
+    f.__name__: f for f in (op1_packing, op2_maxscore_topk, op3_chat_windows, op4_substring_dedup, op6_toxicity, op7_minhash_near_dedup, op8_language_id, op9_line_dedup, op10_decontamination)
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_maxscore_topk": """

@@ -72,6 +72,23 @@ def arrow_map(df: DataFrame, function, schema: str) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
+def arrow_filter(df: DataFrame, text_column: str, keeper) -> DataFrame:
+    """Rows of ``df``, all columns as they are, where ``keeper()(texts) -> list of bool`` holds.
+
+    ``keeper`` is called once per partition.
+    """
+    findable(df.sparkSession)
+    place = df.columns.index(text_column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep = keeper()
+        for batch in batches:
+            if batch.num_rows:
+                yield batch.filter(pa.array(keep(batch.column(place).to_pylist()), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def _arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
     from pyspark.sql.types import StructType
 

@@ -15,12 +15,13 @@ similarity 0. The items are handled in blocks of bounded size, each sent to all
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarrylake.llm.common import arrow_map, mixed, shingles_of, text_or_empty, words_of
+from quarrylake.llm.common import arrow_filter, arrow_map, mixed, shingles_of, text_or_empty, words_of
 from quarrylake.llm.neardup import SHINGLE, bucket, inverse_frequencies, weighted_jaccard
 
 THRESHOLD = 0.8
@@ -146,17 +147,34 @@ def contaminated(
     Items without words, null texts and texts without words match nothing. Rows that
     repeat an id count as rows of their own; ``benchmark`` is (item_id, text). Other columns are not read.
     """
+    rows = docs.select(docs[id_column].alias("doc_id"), text_or_empty(text_column).alias("text"))
+    kinds = rows.schema["doc_id"].dataType.simpleString(), benchmark.schema["item_id"].dataType.simpleString()
+    parts = [_found(rows, held, kinds) for held in _blocks(docs, benchmark)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, text_column: str = "text") -> DataFrame:
+    """The rows, with all their columns, whose text contains no item (see ``contaminated``)."""
+    for held in _blocks(docs, benchmark):
+
+        def keeper(held=held):
+            items, idf = held.value
+            return lambda texts: [not items.matches(text, idf) for text in texts]
+
+        docs = arrow_filter(docs, text_column, keeper)
+    return docs
+
+
+def _blocks(docs: DataFrame, benchmark: DataFrame) -> list:
+    """The items with their index as broadcast blocks of about ``ITEMS_AT_ONCE`` items."""
     items = benchmark.select("item_id", text_or_empty("text").alias("text"))
     idf = inverse_frequencies(items)
     blocks = max(1, -(-items.count() // ITEMS_AT_ONCE))
-    rows = docs.select(docs[id_column].alias("doc_id"), text_or_empty(text_column).alias("text"))
-    kinds = rows.schema["doc_id"].dataType.simpleString(), items.schema["item_id"].dataType.simpleString()
-    out = None
+    out = []
     for block in range(blocks):
         chosen = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
         known = Items.of([(r["item_id"], r["text"]) for r in chosen.collect()], idf)
-        found = _found(rows, docs.sparkSession.sparkContext.broadcast((known, idf)), kinds)
-        out = found if out is None else out.unionByName(found)
+        out.append(docs.sparkSession.sparkContext.broadcast((known, idf)))
     return out
 
 

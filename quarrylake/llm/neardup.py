@@ -155,3 +155,14 @@ def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text
     least = named.groupBy("root").agg(F.min("first").alias("class"))
     known = named.select("content", "root", "copies").join(least, "root").select("content", "copies", F.col("class.doc_id").alias("class_id"))
     return signed.select("doc_id", "content").join(known, "content").select("doc_id", "content", "class_id", "copies")
+
+
+def one_of_each(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """One row of each class of near-duplicates, with all its columns: the one of least id (see ``classes``)."""
+    found = classes(docs, id_column, text_column)
+    first = found.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).groupBy("class_id").agg(F.min("content").alias("content"))
+    named = docs.withColumn("content of row", F.md5(text_or_empty(text_column).cast("binary")))
+    kept = named.join(
+        first, (named["content of row"] == first["content"]) & named[id_column].eqNullSafe(first["class_id"]), "left_semi"
+    )
+    return kept.dropDuplicates([id_column, "content of row"]).select(*[docs[c] for c in docs.columns])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrylake.llm import chat, decontam, langid, linededup, neardup, substring, toxicity
+from quarrylake.llm import chat, decontam, langid, linededup, mixing, neardup, substring, toxicity
 from quarrylake.llm.common import fold, table
 from quarrylake.llm.maxscore import integer_vectors, top_k
 from quarrylake.llm.packing import pack
@@ -49,6 +49,11 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.repeated(table(spark, sf_dir, "documents")).drop("version")
 
 
+def op5_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model scores of all documents, learned from the folds other than 1 of 5."""
+    return mixing.score(table(spark, sf_dir, "documents"), fold("doc_id", 5) == 1)
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from labels of the folds other than 0 of 5."""
     docs = table(spark, sf_dir, "documents")
@@ -83,7 +88,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_maxscore_topk, op3_chat_windows, op4_substring_dedup, op6_toxicity, op7_minhash_near_dedup, op8_language_id, op9_line_dedup, op10_decontamination)
+    f.__name__: f for f in (op1_packing, op2_maxscore_topk, op3_chat_windows, op4_substring_dedup, op5_context_mixing, op6_toxicity, op7_minhash_near_dedup, op8_language_id, op9_line_dedup, op10_decontamination)
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_maxscore_topk": """

@@ -21,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarrylake.llm.common import arrow_map, joined, text_or_empty, words_of
+from quarrylake.llm.common import arrow_filter, arrow_map, joined, text_or_empty, words_of
 
 #: Bound of the labelled rows that each label gives to the fit.
 SAMPLE_PER_LABEL = 1500
@@ -417,3 +417,14 @@ def score(docs: DataFrame, network: Network | None, id_column: str = "doc_id", t
     rows = docs.select(docs[id_column].alias("doc_id"), docs[text_column].cast("string").alias("scored text"), *keep)
     columns = [f"doc_id {kinds[id_column]}", *[f"`{k}` {kinds[k]}" for k in keep], "score double"]
     return arrow_map(rows, run, ", ".join(columns))
+
+
+def accepted(docs: DataFrame, network: Network | None, threshold: float = 0.5, text_column: str = "text") -> DataFrame:
+    """The rows whose score is below the threshold, with all their columns; all rows without a network."""
+    held = docs.sparkSession.sparkContext.broadcast(network)  # of fixed size
+
+    def keeper():
+        scorer = Scorer(held.value) if held.value else None
+        return lambda texts: (scorer.scores(texts) < threshold if scorer else np.ones(len(texts), bool)).tolist()
+
+    return arrow_filter(docs, text_column, keeper)

@@ -2,14 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Amounts are added as whole ten-thousandths: the total then does not depend on the
-# order in which tasks deliver their part, so a re-run after a lost executor agrees.
-MONEY_UNITS = 10_000
-MONEY_LIMIT = 9e13
-
 SALT_SEPARATOR = "|"
 
 
@@ -18,33 +13,13 @@ def is_blank(column: Column) -> Column:
     return F.coalesce(F.trim(column.cast("string")), F.lit("")) == ""
 
 
-def exact_sum(column: Column, window: WindowSpec | None = None) -> Column:
-    """Order-independent sum, per group or over a window; NULL without values.
-
-    A group whose values or total do not fit (NaN, beyond 9 * 10^13) falls back to
-    the plain double sum rather than failing or losing a value.
-    """
-    fits = column.between(-MONEY_LIMIT, MONEY_LIMIT)
-    units = F.when(fits, F.floor(column * MONEY_UNITS + 0.5))
-    parts = [F.count(column), F.count(units), F.try_sum(units), F.sum(column)]
-    if window is not None:
-        parts = [part.over(window) for part in parts]
-    values, fitting, total, plain = parts
-    return F.coalesce(F.when(values == fitting, total / MONEY_UNITS), plain)
-
-
-def exact_avg(column: Column) -> Column:
-    """Order-independent mean; NULL for a group without values."""
-    return F.try_divide(exact_sum(column), F.count(column))
-
-
 def salted_hash(salt: str, *columns: Column) -> Column:
     """64 hex digits over the salt and the given values, NULL counting as ''.
 
     The separator may occur inside values, so with several columns two different
     rows can share a key; a single column is safe.
     """
-    parts = [F.ifnull(column.cast("string"), F.lit("")) for column in columns]
+    parts = [F.coalesce(column.cast("string"), F.lit("")) for column in columns]
     return F.sha2(F.concat_ws(SALT_SEPARATOR, F.lit(salt), *parts), 256)
 
 

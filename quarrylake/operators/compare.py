@@ -6,14 +6,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _common_columns(left: DataFrame, right: DataFrame) -> list[str]:
+    """The columns of both sides; leaving a one-sided column out would hide its changes."""
+    lone = set(left.columns) ^ set(right.columns)
+    if lone:
+        raise ValueError(f"columns on one side only: {sorted(lone)}")
+    return left.columns
+
+
 def snapshot_diff(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
     """Change feed between two snapshots with unique, non-NULL keys.
 
     ``change_type`` is insert, update or delete; the row shown is the new one, for
     a delete the old one. Unchanged rows are left out. Values are compared
-    themselves, not by hash.
+    themselves, not by hash. A column that one side lacks is an error.
     """
-    columns = [name for name in before.columns if name in after.columns]
+    columns = _common_columns(before, after)
     old = before.select(*keys, F.struct(*columns).alias("_old"))
     new = after.select(*keys, F.struct(*columns).alias("_new"))
     kind = (
@@ -34,9 +42,11 @@ def _fingerprints(source: DataFrame, target: DataFrame, keys: list[str]) -> Data
 
     The key is one struct, so a NULL key part equals a NULL key part.
     """
-    columns = [name for name in source.columns if name in target.columns]
+    columns = _common_columns(source, target)
+    # the hash skips NULLs, so each column also says whether it is one
+    parts = [part for name in columns for part in (F.col(name), F.col(name).isNull())]
     # decimal: a sum of 64-bit hashes leaves the 64-bit range
-    checksum = F.sum(F.xxhash64(*columns).cast("decimal(20,0)"))
+    checksum = F.sum(F.xxhash64(*parts).cast("decimal(20,0)"))
     state = F.struct(F.count("*").alias("rows"), checksum.alias("sum"))
     sides = [
         df.groupBy(F.struct(*keys).alias("_key")).agg(state.alias(name))

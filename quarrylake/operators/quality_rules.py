@@ -50,6 +50,8 @@ def range_rule(name: str, low=None, high=None, *, low_open: bool = False) -> Rul
         tests.append(value <= low if low_open else value < low)
     if high is not None:
         tests.append(value > high)
+    if not tests:
+        raise ValueError(f"no limit for {name}")
     broken = tests[0] if len(tests) == 1 else tests[0] | tests[1]
     return Rule(f"out_of_range_{name}", F.coalesce(broken, F.lit(False)))
 

@@ -4,7 +4,7 @@ A window partitioned by key puts all rows of a key in one task. Here a hot key's
 timeline is first cut into slices at quantiles of its own times; windows run per
 (key, slice), and what a slice needs from the slices before it is carried over
 from a summary of one row per slice. Without hot keys the adaptive planner finds
-the broadcast list empty and drops every extra join at run time.
+the list of cuts empty and drops every extra join at run time.
 """
 
 from __future__ import annotations
@@ -12,9 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# A key outside the 10,000 most frequent holds less than 1/10,000 of all rows, so
-# the list below is complete for any size of data and is safe to broadcast.
-MAX_HOT_KEYS = 10_000
 HOT_KEY_ROWS = 1_000_000
 
 # A hot key's timeline is cut in 1024 slices, found in five steps of a four-way search.
@@ -23,14 +20,8 @@ _SHARES = [number / 1024 for number in range(1, 1024)]
 
 
 def hot_keys(df: DataFrame, keys: list[str], min_rows: int = HOT_KEY_ROWS) -> DataFrame:
-    """Keys with at least ``min_rows`` rows: at most ``MAX_HOT_KEYS`` of them."""
-    return (
-        df.groupBy(*keys)
-        .agg(F.count("*").alias("_rows"))
-        .where(F.col("_rows") >= min_rows)
-        .orderBy(F.desc("_rows"))
-        .limit(MAX_HOT_KEYS)
-    )
+    """All keys with at least ``min_rows`` rows."""
+    return df.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") >= min_rows)
 
 
 def _micros(time: str) -> Column:
@@ -40,7 +31,7 @@ def _micros(time: str) -> Column:
 def _cuts_of_hot_keys(df: DataFrame, time: str, min_rows: int) -> DataFrame:
     """Per hot key: the 1023 times that cut its rows into equal parts."""
     narrow = df.select("_key", _micros(time).alias("_at"))
-    hot = F.broadcast(hot_keys(narrow, ["_key"], min_rows))
+    hot = hot_keys(narrow, ["_key"], min_rows)
     return (
         narrow.join(hot, "_key", "left_semi")
         .groupBy("_key")
@@ -59,7 +50,7 @@ def slice_timeline(
     # One struct as the key: equality on it treats NULL parts as equal, so window,
     # join and shuffle all work on the same partitioning.
     keyed = df.withColumn("_key", F.struct(*keys))
-    cuts = F.broadcast(_cuts_of_hot_keys(keyed, time, hot_key_rows))
+    cuts = _cuts_of_hot_keys(keyed, time, hot_key_rows)
     rows = keyed.join(cuts, "_key", "left").withColumns({"_at": _micros(time), "_slice": F.lit(0)})
     # one search step per column keeps each expression small and compiled
     for step in _STEPS:

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrylake.functions.columns import exact_avg, exact_sum
-from quarrylake.operators.latest import keep_latest_delivery
+from quarrylake.operators.latest import keep_latest
 from quarrylake.operators.quality_rules import VALID
 
 
@@ -47,8 +46,8 @@ def customer_lifetime_value(dim_customers: DataFrame, fact_orders: DataFrame) ->
     """
     spend = fact_orders.groupBy("customer_id").agg(
         F.count_distinct("order_id").alias("total_orders"),
-        exact_sum(F.col("total_amount")).alias("total_spend"),
-        exact_avg(F.col("total_amount")).alias("avg_order_value"),
+        F.sum("total_amount").alias("total_spend"),
+        F.avg("total_amount").alias("avg_order_value"),
         F.min("order_date").alias("first_order_date"),
         F.max("order_date").alias("last_order_date"),
     )
@@ -95,8 +94,8 @@ def product_sales(dim_products: DataFrame, bronze_orders: DataFrame) -> DataFram
     """
     sales = order_items(bronze_orders).groupBy("product_id").agg(
         F.count_distinct("order_id").alias("times_ordered"),
-        exact_sum(F.col("line_total")).alias("total_revenue"),
-        exact_avg(F.col("line_total")).alias("avg_line_value"),
+        F.sum("line_total").alias("total_revenue"),
+        F.avg("line_total").alias("avg_line_value"),
         F.min("order_date").alias("first_sale_date"),
         F.max("order_date").alias("last_sale_date"),
     )
@@ -116,11 +115,9 @@ def product_sales(dim_products: DataFrame, bronze_orders: DataFrame) -> DataFram
 
 
 def product_sales_dedup(dim_products: DataFrame, bronze_orders: DataFrame) -> DataFrame:
-    """Product sales over the last delivery of each order only."""
+    """Product sales over one delivery of each order only: the last one, also of those in one batch."""
     valid = bronze_orders.where(F.col("_record_status") == VALID)
-    return product_sales(
-        dim_products, keep_latest_delivery(valid, ["order_id"], "_ingestion_timestamp")
-    )
+    return product_sales(dim_products, keep_latest(valid, ["order_id"], ["_ingestion_timestamp"]))
 
 
 def create_gold_views(

@@ -5,20 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quarrylake.functions.columns import exact_avg, exact_sum
-
 
 def daily_order_summary(orders: DataFrame) -> DataFrame:
     return orders.groupBy(F.to_date("order_date").alias("order_date")).agg(
         F.count("*").alias("order_count"),
-        exact_sum(F.col("total_amount")).alias("daily_revenue"),
+        F.sum("total_amount").alias("daily_revenue"),
         F.count_distinct("customer_id").alias("unique_customers"),
     )
 
 
 def daily_revenue_trend(orders: DataFrame) -> DataFrame:
     trend = orders.groupBy(F.to_date("order_date").alias("date")).agg(
-        exact_sum(F.col("total_amount")).alias("revenue"),
+        F.sum("total_amount").alias("revenue"),
         F.count_distinct("order_id").alias("orders"),
     )
     return trend.orderBy("date")
@@ -56,7 +54,7 @@ def trailing_days(usage: DataFrame, column: str, today: str, days: int) -> DataF
 
 
 def usage_by(usage: DataFrame, columns: list[str]) -> DataFrame:
-    total = exact_sum(F.col("usage_quantity")).alias("total_units")
+    total = F.sum("usage_quantity").alias("total_units")
     return usage.groupBy(*columns).agg(total)
 
 
@@ -66,8 +64,8 @@ def cost_by(usage: DataFrame, columns: list[str], rate: float = 0.07) -> DataFra
     for name in columns:
         known = known.where(F.col(name).isNotNull())
     return known.groupBy(*columns).agg(
-        exact_sum(F.col("usage_quantity")).alias("total_units"),
-        exact_sum(F.col("usage_quantity") * F.lit(rate)).alias("estimated_cost"),
+        F.sum("usage_quantity").alias("total_units"),
+        F.sum(F.col("usage_quantity") * F.lit(rate)).alias("estimated_cost"),
     )
 
 
@@ -82,14 +80,14 @@ def group_by_pattern(name: str, patterns: dict[str, str], default: str = "Other"
 
 def daily_totals(df: DataFrame, time: str, amount: str, by: list[str]) -> DataFrame:
     return df.groupBy(*by, F.to_date(time).alias("day")).agg(
-        exact_sum(F.col(amount)).alias("amount")
+        F.sum(amount).alias("amount")
     )
 
 
 def month_to_date(daily: DataFrame, by: list[str]) -> DataFrame:
     """Running total within the month; a window never holds more than 31 rows."""
     month = Window.partitionBy(*by, F.trunc("day", "month")).orderBy("day")
-    running = exact_sum(F.col("amount"), window=month)
+    running = F.sum("amount").over(month)
     return daily.select(*by, "day", "amount", running.alias("month_to_date"))
 
 
@@ -110,7 +108,7 @@ def spend_spikes(daily: DataFrame, by: list[str], days: int = 7, factor: float =
         F.col("amount").alias("_earlier"),
     )
     sums = own.unionByName(later).groupBy(*by, "day").agg(
-        exact_sum(F.col("amount")).alias("_amount"), exact_sum(F.col("_earlier")).alias("_sum")
+        F.sum("amount").alias("_amount"), F.sum("_earlier").alias("_sum")
     )
     past = F.least(F.lit(days), F.datediff("day", "_first"))
     amount = F.coalesce("_amount", F.lit(0.0))

@@ -33,7 +33,7 @@ def log_run(
     ended = ended or datetime.now(timezone.utc)
     row = (
         run_id, topic, layer, job, started, ended, status, read, written, invalid,
-        error[:500] if error else None, ended,
+        error, ended,
     )
     spark.createDataFrame([row], ddl(RUN_LOG)).coalesce(1).write.mode("append").parquet(path)
 

@@ -6,6 +6,7 @@ from collections.abc import Callable
 from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -13,8 +14,12 @@ QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
-def query(sql: str | None = None, name: str | None = None):
-    """Register ``fn(inputs) -> DataFrame`` under its own name, with its SQL if it has one."""
+def query(sql: str | None = None, name: str | None = None, rounded: tuple[str, ...] = ()):
+    """Register ``fn(inputs) -> DataFrame`` under its own name, with its SQL if it has one.
+
+    The result's ``rounded`` columns, sums and means of doubles, are rounded to four
+    decimals on both sides: their last bits depend on the order of the rows.
+    """
     from quarrylake.queries.inputs import Inputs
 
     def register(fn):
@@ -23,12 +28,16 @@ def query(sql: str | None = None, name: str | None = None):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             # text timestamps end in Z, and the SQL side has no time zones
             spark.conf.set("spark.sql.session.timeZone", "UTC")
-            return fn(Inputs(spark, sf_dir))
+            df = fn(Inputs(spark, sf_dir))
+            return df.withColumns({c: F.round(c, 4) for c in rounded}) if rounded else df
 
         run.__name__, run.__doc__ = key, fn.__doc__
         QUERIES[key] = run
         if sql:
             ORACLE_SQL[key] = sql.strip()
+            if rounded:
+                parts = ", ".join(f"round({c}, 4) AS {c}" for c in rounded)
+                ORACLE_SQL[key] = f"SELECT * REPLACE ({parts}) FROM ({sql.strip()})"
         return fn
 
     return register

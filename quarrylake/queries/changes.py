@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarrylake.functions.columns import exact_sum
 from quarrylake.operators import compare
 from quarrylake.operators.history import (
     as_of_join,
@@ -15,7 +14,7 @@ from quarrylake.operators.history import (
 )
 from quarrylake.operators.upsert import update_columns, upsert
 from quarrylake.queries import query
-from quarrylake.queries.inputs import FIRST_DELIVERY, SECOND_DELIVERY, Inputs, money_sum, stamp
+from quarrylake.queries.inputs import FIRST_DELIVERY, SECOND_DELIVERY, Inputs, stamp
 
 
 def _accounts(inputs: Inputs) -> DataFrame:
@@ -82,7 +81,7 @@ def upsert_scd1(inputs: Inputs) -> DataFrame:
 
 _DISCOUNTS = f"""
 discounts AS (
-  SELECT l_orderkey AS o_orderkey, {money_sum('l_extendedprice * l_discount')} AS discount_amount
+  SELECT l_orderkey AS o_orderkey, sum(l_extendedprice * l_discount) AS discount_amount
   FROM lineitem GROUP BY l_orderkey
 )"""
 
@@ -91,7 +90,7 @@ discounts AS (
 WITH {_DISCOUNTS}
 SELECT o.o_orderkey, o.o_totalprice, d.discount_amount
 FROM orders o LEFT JOIN discounts d ON o.o_orderkey = d.o_orderkey
-""")
+""", rounded=("discount_amount",))
 def backfill_columns(inputs: Inputs) -> DataFrame:
     """Add the discount given on each order's lines; orders without lines keep NULL."""
     orders = inputs.table("orders").select("o_orderkey", "o_totalprice")
@@ -99,7 +98,7 @@ def backfill_columns(inputs: Inputs) -> DataFrame:
 
 
 def _discounts(inputs: Inputs) -> DataFrame:
-    given = exact_sum(F.col("l_extendedprice") * F.col("l_discount")).alias("discount_amount")
+    given = F.sum(F.col("l_extendedprice") * F.col("l_discount")).alias("discount_amount")
     return inputs.table("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(given)
 
 

@@ -22,13 +22,16 @@ FIRST_DELIVERY = datetime(2002, 1, 1, 0, 0)
 SECOND_DELIVERY = datetime(2002, 1, 1, 1, 0)
 PROCESSED_AT = datetime(2002, 1, 2, 0, 0)
 SALT = "not-a-secret"
-ITEM_TYPE = "struct<product_id:string,quantity:int,unit_price:double>"
 
 
 def stamp(moment: datetime) -> Column:
     return F.lit(moment).cast("timestamp")
 
 
+def whole_text(name: str) -> Column:
+    return F.col(name).cast("int").cast("string")
+
+
 def _iso_day(moment: Column) -> Column:
     """Midnight of the day as text; the given dates are all at midnight."""
     return F.concat(F.to_date(moment).cast("string"), F.lit("T00:00:00Z"))
@@ -63,13 +66,14 @@ class Inputs:
         """Each order as it stands, delivered once, without its items."""
         return self.table("orders").select(*self._order_columns(F.col("o_orderstatus")))
 
-    def _delivered(self, orders: DataFrame, extra: list[Column]) -> DataFrame:
-        """One row per delivery: finished orders come twice, first as open."""
+    def _delivered(self, orders: DataFrame, extra: list[Column], later: Column | None = None) -> DataFrame:
+        """One row per delivery: finished orders come twice, first as open, then at ``later``."""
+        later = stamp(SECOND_DELIVERY) if later is None else later
         first = F.struct(
             F.lit("O").alias("status"), stamp(FIRST_DELIVERY).alias("at"), F.lit("first.json").alias("file")
         )
         second = F.struct(
-            F.lit("F").alias("status"), stamp(SECOND_DELIVERY).alias("at"), F.lit("second.json").alias("file")
+            F.lit("F").alias("status"), later.alias("at"), F.lit("second.json").alias("file")
         )
         only = F.struct(
             F.col("o_orderstatus").alias("status"), stamp(FIRST_DELIVERY).alias("at"),
@@ -88,26 +92,36 @@ class Inputs:
         return self._delivered(self.table("orders"), [])
 
     def order_deliveries_with_items(self) -> DataFrame:
-        """A message per order line, as a long order is sent in parts.
+        """A message of its own, with two items, per order line; orders without lines have no items.
 
-        Orders without lines come as one message without items.
+        The line's place names its message and its quantity is dealt to the two items.
+        Finished urgent orders come twice in one batch, other finished ones in two.
         """
         # an inner join can split an order with very many lines, an outer one cannot
         orders, line = self.table("orders"), self.table("lineitem")
-        line = line.select("l_orderkey", "l_partkey", "l_quantity", "l_extendedprice")
-        item = F.struct(
-            F.col("l_partkey").cast("string").alias("product_id"),
-            F.col("l_quantity").cast("int").alias("quantity"),
-            (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
-        )
+        line = line.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+
+        def item(quantity: str) -> Column:
+            return F.struct(
+                F.col("l_partkey").cast("string").alias("product_id"),
+                F.expr(quantity).cast("int").alias("quantity"),
+                (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
+            )
+
+        whole = "cast(l_quantity as int)"
+        both = F.array(item(f"{whole} div 2"), item(f"{whole} - {whole} div 2"))
+        part = F.concat_ws("-", F.lit(""), "l_linenumber", "l_partkey", "l_suppkey", whole_text("l_quantity"))
         with_lines = line.join(orders, F.col("o_orderkey") == F.col("l_orderkey"))
         sold = line.select(F.col("l_orderkey").alias("o_orderkey")).distinct()
-        without = orders.join(sold, "o_orderkey", "left_anti").withColumn("_item", F.lit(None))
-        rows = with_lines.withColumn("_item", item).select(*orders.columns, "_item").unionByName(
-            without.withColumn("_item", F.col("_item").cast(ITEM_TYPE))
+        without = orders.join(sold, "o_orderkey", "left_anti")
+        rows = with_lines.select(*orders.columns, both.alias("items"), part.alias("_part")).unionByName(
+            without, allowMissingColumns=True
         )
-        items = F.when(F.col("_item").isNotNull(), F.array("_item")).alias("items")
-        return self._delivered(rows, [items])
+        same_batch = F.col("o_orderpriority") == "1-URGENT"
+        later = F.when(same_batch, stamp(FIRST_DELIVERY)).otherwise(stamp(SECOND_DELIVERY))
+        sent = self._delivered(rows, [F.col("items"), F.coalesce("_part", F.lit("")).alias("_part")], later)
+        named = F.when(F.trim("order_id") == "", F.col("order_id")).otherwise(F.concat("order_id", "_part"))
+        return sent.withColumn("order_id", named).drop("_part")
 
     def customer_messages(self) -> DataFrame:
         nation, region = self.table("nation"), self.table("region")
@@ -262,12 +276,3 @@ dim_products AS (
     TIMESTAMP '2002-01-02 00:00:00' AS _silver_processed_at
   FROM part WHERE p_size < 50
 )"""
-
-
-def money_sum(expression: str) -> str:
-    """A sum that does not depend on the order of its rows, as SQL text."""
-    return f"CAST(sum(CAST({expression} AS DECIMAL(18,4))) AS DOUBLE)"
-
-
-def money_avg(expression: str) -> str:
-    return f"{money_sum(expression)} / count({expression})"

@@ -16,8 +16,6 @@ from quarrylake.queries.inputs import (
     SQL_FACT,
     SQL_PRODUCTS,
     Inputs,
-    money_avg,
-    money_sum,
 )
 from quarrylake.schemas import CUSTOMERS, ORDERS
 
@@ -159,7 +157,7 @@ def _value_sql(orders: str) -> str:
 WITH {SQL_FACT}, {SQL_CUSTOMERS}, chosen AS ({orders})
 SELECT c.customer_id, c.name AS customer_name, c.email_salt_key, c.city, c.state, c.country,
   c.created_at AS customer_since, count(DISTINCT o.order_id) AS total_orders,
-  {money_sum('o.total_amount')} AS total_spend, {money_avg('o.total_amount')} AS avg_order_value,
+  sum(o.total_amount) AS total_spend, avg(o.total_amount) AS avg_order_value,
   min(o.order_date) AS first_order_date, max(o.order_date) AS last_order_date,
   CAST(datediff('day', min(o.order_date), max(o.order_date)) AS INTEGER) AS customer_tenure_days
 FROM dim_customers c LEFT JOIN chosen o ON c.customer_id = o.customer_id
@@ -167,12 +165,12 @@ GROUP BY c.customer_id, c.name, c.email_salt_key, c.city, c.state, c.country, c.
 """
 
 
-@query(_value_sql("SELECT * FROM fact"))
+@query(_value_sql("SELECT * FROM fact"), rounded=("total_spend", "avg_order_value"))
 def customer_lifetime_value(inputs: Inputs) -> DataFrame:
     return gold.customer_lifetime_value(inputs.dim_customers, inputs.fact_orders)
 
 
-@query(_value_sql("SELECT * FROM fact WHERE order_date BETWEEN DATE '1998-01-01' AND DATE '1998-03-31'"))
+@query(_value_sql("SELECT * FROM fact WHERE order_date BETWEEN DATE '1998-01-01' AND DATE '1998-03-31'"), rounded=("total_spend", "avg_order_value"))
 def customer_value_in_range(inputs: Inputs) -> DataFrame:
     """Most customers have no order in the range: they stay with 0 orders."""
     chosen = gold.in_date_range(
@@ -181,12 +179,19 @@ def customer_value_in_range(inputs: Inputs) -> DataFrame:
     return gold.customer_lifetime_value(inputs.dim_customers, chosen.drop("_day"))
 
 
-_ITEMS = """items AS (
-  SELECT b.order_id, b.order_date, b._ingestion_timestamp, CAST(l_partkey AS VARCHAR) AS product_id,
-    CAST(l_quantity AS INTEGER) AS quantity, l_extendedprice / l_quantity AS unit_price,
-    CAST(l_quantity AS INTEGER) * (l_extendedprice / l_quantity) AS line_total
+_ITEMS = """messages AS (
+  SELECT b.order_id || concat_ws('-', '', l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS INTEGER)) AS order_id,
+    b.order_date, CASE WHEN b.payment_method = '1-URGENT' THEN TIMESTAMP '2002-01-01 00:00:00'
+      ELSE b._ingestion_timestamp END AS _ingestion_timestamp,
+    CAST(l_partkey AS VARCHAR) AS product_id, CAST(l_quantity AS INTEGER) AS whole,
+    l_extendedprice / l_quantity AS unit_price
   FROM bronze b JOIN lineitem ON l_orderkey = o_orderkey
   WHERE b._record_status = 'valid'
+), items AS (
+  SELECT m.*, quantity, quantity * unit_price AS line_total
+  FROM messages m, LATERAL (SELECT unnest([whole // 2, whole - whole // 2]) AS quantity)
+), last_messages AS (
+  SELECT * FROM messages QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY _ingestion_timestamp DESC) = 1
 )"""
 
 
@@ -203,28 +208,28 @@ def _sales_sql(items: str) -> str:
 WITH {SQL_DELIVERIES}, {SQL_PRODUCTS}, {_ITEMS}, chosen AS ({items})
 SELECT p.product_id, p.name AS product_name, p.category, p.brand, p.price AS current_price,
   p.name_salt_key, count(DISTINCT i.order_id) AS times_ordered,
-  coalesce({money_sum('i.line_total')}, 0) AS total_revenue,
-  {money_avg('i.line_total')} AS avg_line_value,
+  coalesce(sum(i.line_total), 0) AS total_revenue,
+  avg(i.line_total) AS avg_line_value,
   min(i.order_date) AS first_sale_date, max(i.order_date) AS last_sale_date
 FROM dim_products p LEFT JOIN chosen i ON p.product_id = i.product_id
 GROUP BY p.product_id, p.name, p.category, p.brand, p.price, p.name_salt_key
 """
 
 
-@query(_sales_sql("SELECT * FROM items"))
+@query(_sales_sql("SELECT * FROM items"), rounded=("total_revenue", "avg_line_value"))
 def product_sales(inputs: Inputs) -> DataFrame:
     return gold.product_sales(inputs.dim_products, inputs.bronze_orders_with_items)
 
 
 @query(_sales_sql("""
-  SELECT * FROM items
-  QUALIFY rank() OVER (PARTITION BY order_id ORDER BY _ingestion_timestamp DESC) = 1
-"""))
+  SELECT m.*, quantity, quantity * unit_price AS line_total
+  FROM last_messages m, LATERAL (SELECT unnest([whole // 2, whole - whole // 2]) AS quantity)
+"""), rounded=("total_revenue", "avg_line_value"))
 def product_sales_dedup(inputs: Inputs) -> DataFrame:
     return gold.product_sales_dedup(inputs.dim_products, inputs.bronze_orders_with_items)
 
 
-@query(_sales_sql("SELECT * FROM items WHERE order_date BETWEEN '2001-07-30' AND '2001-08-01T23:59:59Z'"))
+@query(_sales_sql("SELECT * FROM items WHERE order_date BETWEEN '2001-07-30' AND '2001-08-01T23:59:59Z'"), rounded=("total_revenue", "avg_line_value"))
 def product_sales_in_range(inputs: Inputs) -> DataFrame:
     """Most products have no sale in the range: they stay with 0 revenue."""
     chosen = gold.in_date_range(
@@ -235,9 +240,9 @@ def product_sales_in_range(inputs: Inputs) -> DataFrame:
 
 @query(f"""
 WITH {SQL_FACT}, {SQL_CUSTOMERS}
-SELECT c.country AS country, count(*) AS orders, {money_sum('o.total_amount')} AS amount
+SELECT c.country AS country, count(*) AS orders, sum(o.total_amount) AS amount
 FROM fact o JOIN dim_customers c ON o.customer_id = c.customer_id GROUP BY c.country
-""")
+""", rounded=("amount",))
 def gold_views_in_sql(inputs: Inputs) -> DataFrame:
     """The registered views, read with SQL text."""
     gold.create_gold_views(
@@ -246,6 +251,6 @@ def gold_views_in_sql(inputs: Inputs) -> DataFrame:
     )
     return inputs.spark.sql("""
         SELECT customer_country AS country, count(*) AS orders,
-          CAST(sum(CAST(total_amount AS DECIMAL(18,4))) AS DOUBLE) AS amount
+          sum(total_amount) AS amount
         FROM vw_order_summary WHERE customer_id IS NOT NULL GROUP BY customer_country
     """)

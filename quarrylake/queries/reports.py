@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quarrylake.operators.checks import volume_changes
 from quarrylake.plans import gold, reports
 from quarrylake.queries import query
-from quarrylake.queries.inputs import SQL_CUSTOMERS, SQL_FACT, Inputs, money_sum
+from quarrylake.queries.inputs import SQL_CUSTOMERS, SQL_FACT, Inputs
 
 LAST_DAY = "2024-01-30"
 
@@ -16,19 +16,19 @@ LAST_DAY = "2024-01-30"
 @query(f"""
 WITH {SQL_FACT}
 SELECT CAST(order_date AS DATE) AS order_date, count(*) AS order_count,
-  {money_sum('total_amount')} AS daily_revenue, count(DISTINCT customer_id) AS unique_customers
+  sum(total_amount) AS daily_revenue, count(DISTINCT customer_id) AS unique_customers
 FROM fact GROUP BY 1
-""")
+""", rounded=("daily_revenue",))
 def daily_order_summary(inputs: Inputs) -> DataFrame:
     return reports.daily_order_summary(inputs.fact_orders)
 
 
 @query(f"""
 WITH {SQL_FACT}
-SELECT CAST(order_date AS DATE) AS date, {money_sum('total_amount')} AS revenue,
+SELECT CAST(order_date AS DATE) AS date, sum(total_amount) AS revenue,
   count(DISTINCT order_id) AS orders
 FROM fact GROUP BY 1 ORDER BY 1
-""")
+""", rounded=("revenue",))
 def daily_revenue_trend(inputs: Inputs) -> DataFrame:
     return reports.daily_revenue_trend(inputs.fact_orders)
 
@@ -45,10 +45,10 @@ def partition_dates(inputs: Inputs) -> DataFrame:
 @query(f"""
 WITH {SQL_FACT}, {SQL_CUSTOMERS}
 SELECT c.customer_id, c.name AS customer_name, count(DISTINCT o.order_id) AS total_orders,
-  {money_sum('o.total_amount')} AS total_spend
+  sum(o.total_amount) AS total_spend
 FROM dim_customers c LEFT JOIN fact o ON c.customer_id = o.customer_id
 GROUP BY c.customer_id, c.name ORDER BY total_spend DESC NULLS LAST, c.customer_id LIMIT 10
-""")
+""", rounded=("total_spend",))
 def top_customers(inputs: Inputs) -> DataFrame:
     value = gold.customer_lifetime_value(inputs.dim_customers, inputs.fact_orders)
     top = reports.top_rows(value, "total_spend", "customer_id", 10)
@@ -64,11 +64,11 @@ WITH sold AS (
   WHERE o_totalprice BETWEEN 2000 AND 495000 AND NOT (o_orderstatus = 'P' AND o_orderpriority = '5-LOW')
 )
 SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_name AS product_name,
-  coalesce(CAST(sum(deliveries * CAST(line_total AS DECIMAL(18,4))) AS DOUBLE), 0) AS total_revenue
+  coalesce(sum(deliveries * line_total), 0) AS total_revenue
 FROM part LEFT JOIN sold ON product_id = CAST(p_partkey AS VARCHAR)
 WHERE p_size < 50
 GROUP BY p_partkey, p_name ORDER BY total_revenue DESC, CAST(p_partkey AS VARCHAR) LIMIT 10
-""")
+""", rounded=("total_revenue",))
 def top_products(inputs: Inputs) -> DataFrame:
     sales = gold.product_sales(inputs.dim_products, inputs.bronze_orders_with_items)
     top = reports.top_rows(sales, "total_revenue", "product_id", 10)
@@ -156,9 +156,9 @@ usage AS (
 
 @query(f"""
 WITH {_USAGE}
-SELECT usage_date, sku_name, {money_sum('usage_quantity')} AS total_units FROM usage
+SELECT usage_date, sku_name, sum(usage_quantity) AS total_units FROM usage
 WHERE usage_date >= DATE '{LAST_DAY}' - 20 GROUP BY usage_date, sku_name
-""")
+""", rounded=("total_units",))
 def usage_trailing_days(inputs: Inputs) -> DataFrame:
     recent = reports.trailing_days(_usage(inputs), "usage_date", LAST_DAY, 20)
     return reports.usage_by(recent, ["usage_date", "sku_name"])
@@ -168,10 +168,10 @@ def usage_trailing_days(inputs: Inputs) -> DataFrame:
 WITH {_USAGE}
 SELECT CASE WHEN job_name LIKE '%click%' THEN 'Bronze' WHEN job_name LIKE '%view%' THEN 'Silver'
     WHEN job_name LIKE '%purchase%' THEN 'Gold' ELSE 'Other' END AS layer,
-  {money_sum('usage_quantity')} AS total_units,
-  {money_sum('usage_quantity * CAST(0.07 AS DOUBLE)')} AS estimated_cost
+  sum(usage_quantity) AS total_units,
+  sum(usage_quantity * CAST(0.07 AS DOUBLE)) AS estimated_cost
 FROM usage GROUP BY 1
-""")
+""", rounded=("total_units", "estimated_cost"))
 def cost_by_layer(inputs: Inputs) -> DataFrame:
     patterns = {"Bronze": "%click%", "Silver": "%view%", "Gold": "%purchase%"}
     layered = _usage(inputs).withColumn("layer", reports.group_by_pattern("job_name", patterns))
@@ -180,20 +180,20 @@ def cost_by_layer(inputs: Inputs) -> DataFrame:
 
 @query(f"""
 WITH {_USAGE}
-SELECT job_id, job_name, {money_sum('usage_quantity')} AS total_units,
-  {money_sum('usage_quantity * CAST(0.07 AS DOUBLE)')} AS estimated_cost
+SELECT job_id, job_name, sum(usage_quantity) AS total_units,
+  sum(usage_quantity * CAST(0.07 AS DOUBLE)) AS estimated_cost
 FROM usage WHERE job_id IS NOT NULL GROUP BY job_id, job_name
-""")
+""", rounded=("total_units", "estimated_cost"))
 def cost_per_job(inputs: Inputs) -> DataFrame:
     return reports.cost_by(_usage(inputs), ["job_id", "job_name"])
 
 
 @query(f"""
 WITH {_USAGE}
-SELECT job_id, job_name, {money_sum('usage_quantity')} AS total_units
+SELECT job_id, job_name, sum(usage_quantity) AS total_units
 FROM usage WHERE job_id IS NOT NULL GROUP BY job_id, job_name
 ORDER BY total_units DESC, concat_ws('/', job_id, job_name) LIMIT 5
-""")
+""", rounded=("total_units",))
 def top_jobs(inputs: Inputs) -> DataFrame:
     cost = reports.cost_by(_usage(inputs), ["job_id", "job_name"])
     keyed = cost.withColumn("_key", F.concat_ws("/", "job_id", "job_name"))
@@ -202,7 +202,7 @@ def top_jobs(inputs: Inputs) -> DataFrame:
 
 _DAILY = f"""
 daily AS (
-  SELECT event_type, CAST(ts AS DATE) AS day, {money_sum('value')} AS amount
+  SELECT event_type, CAST(ts AS DATE) AS day, sum(value) AS amount
   FROM events GROUP BY 1, 2
 )"""
 
@@ -213,17 +213,17 @@ def _daily(inputs: Inputs) -> DataFrame:
 
 @query(f"""
 WITH {_DAILY}
-SELECT event_type, day, amount, CAST(sum(CAST(amount AS DECIMAL(18,4))) OVER
-    (PARTITION BY event_type, date_trunc('month', day) ORDER BY day) AS DOUBLE) AS month_to_date
+SELECT event_type, day, amount, sum(amount) OVER
+    (PARTITION BY event_type, date_trunc('month', day) ORDER BY day) AS month_to_date
 FROM daily
-""")
+""", rounded=("amount", "month_to_date"))
 def month_to_date(inputs: Inputs) -> DataFrame:
     return reports.month_to_date(_daily(inputs), ["event_type"])
 
 
 _LARGE_DAILY = f"""
 daily AS (
-  SELECT o_orderstatus, CAST(o_orderdate AS DATE) AS day, {money_sum('o_totalprice')} AS amount
+  SELECT o_orderstatus, CAST(o_orderdate AS DATE) AS day, sum(o_totalprice) AS amount
   FROM orders GROUP BY 1, 2
 ), axis AS (
   SELECT o_orderstatus, CAST(unnest(generate_series(min(day), max(day), INTERVAL 1 DAY)) AS DATE) AS day
@@ -232,7 +232,7 @@ daily AS (
   SELECT a.o_orderstatus, a.day, coalesce(d.amount, 0) AS amount
   FROM axis a LEFT JOIN daily d ON a.o_orderstatus = d.o_orderstatus AND a.day = d.day
 ), means AS (
-  SELECT *, CAST(sum(CAST(amount AS DECIMAL(18,4))) OVER w AS DOUBLE) / count(*) OVER w AS trailing_mean
+  SELECT *, sum(amount) OVER w / count(*) OVER w AS trailing_mean
   FROM filled
   WINDOW w AS (PARTITION BY o_orderstatus ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)
 )"""
@@ -242,7 +242,7 @@ daily AS (
 WITH {_LARGE_DAILY}
 SELECT o_orderstatus, day, amount, trailing_mean, coalesce(amount > trailing_mean * 2, false) AS is_spike
 FROM means
-""")
+""", rounded=("amount", "trailing_mean"))
 def spend_spikes(inputs: Inputs) -> DataFrame:
     daily = reports.daily_totals(inputs.table("orders"), "o_orderdate", "o_totalprice", ["o_orderstatus"])
     return reports.spend_spikes(daily, ["o_orderstatus"])

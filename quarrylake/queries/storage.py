@@ -13,6 +13,7 @@ from quarrylake.plans import gold
 from quarrylake.plans.silver import conform
 from quarrylake.queries import query
 from quarrylake.queries.changes import _DISCOUNTS, _discounts
+from quarrylake.queries.layers import _summary_sql
 from quarrylake.queries.inputs import (
     FIRST_DELIVERY,
     PROCESSED_AT,
@@ -88,10 +89,15 @@ _SILVER_COLUMNS = ["order_id", "customer_id", "order_date", "total_amount", "sta
 
 @query(_SILVER_ROWS)
 def silver_from_new_batches(inputs: Inputs) -> DataFrame:
-    """Landing to bronze to silver, by high-water mark."""
-    bronze, base = _ingested(inputs)
+    """Landing to bronze to silver, by high-water mark, in two rounds of arrivals."""
+    base, orders = new_folder(inputs.spark, "orders"), inputs.order_messages()
+    bronze = BronzeTable(inputs.spark, f"{base}/bronze", ORDERS)
     silver = SilverTable(inputs.spark, f"{base}/fact_orders", ORDERS_BY_MONTH)
-    refresh(bronze, silver)
+    finished = F.col("status") == "F"
+    for name, arrived in (("first", orders.where(~finished)), ("second", orders.where(finished))):
+        _land(inputs, f"{base}/{name}", arrived)
+        ingest(bronze, f"{base}/{name}", f"{base}/{name}_checkpoint").awaitTermination()
+        refresh(bronze, silver)
     return silver.read().select(*_SILVER_COLUMNS)
 
 
@@ -161,7 +167,7 @@ WITH {_DISCOUNTS}
 SELECT o.o_orderkey, o.o_totalprice, CAST(date_trunc('month', o.o_orderdate) AS DATE) AS order_month,
   d.discount_amount
 FROM orders o LEFT JOIN discounts d ON o.o_orderkey = d.o_orderkey
-""")
+""", rounded=("discount_amount",))
 def backfill_by_partition(inputs: Inputs) -> DataFrame:
     """A new column filled one year's partitions at a time.
 
@@ -191,17 +197,12 @@ def backfill_by_partition(inputs: Inputs) -> DataFrame:
     return table.read()
 
 
-@query(f"""
-WITH {SQL_FACT}, {SQL_CUSTOMERS}
-SELECT o.order_id, o.total_amount, c.customer_id, c.country AS customer_country
-FROM fact o LEFT JOIN dim_customers c ON o.customer_id = c.customer_id
-""")
+@query(_summary_sql("true"))
 def materialized_order_summary(inputs: Inputs) -> DataFrame:
     """A gold view stored as a table."""
     path = new_folder(inputs.spark, "order_summary")
     gold.materialize(gold.order_summary(inputs.fact_orders, inputs.dim_customers), path)
-    stored = inputs.spark.read.parquet(path)
-    return stored.select("order_id", "total_amount", "customer_id", "customer_country")
+    return inputs.spark.read.parquet(path)
 
 
 @query(f"WITH {SQL_CUSTOMERS} SELECT customer_id, city, state, email_salt_key FROM dim_customers")

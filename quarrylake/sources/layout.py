@@ -42,9 +42,12 @@ def z_ordered(
     With ``within``, the order is kept inside each value of that partition column.
 
     Each column is cut into 256 quantile buckets; interleaving the bucket bits
-    gives one sort key. Parquet's per-file minimum and maximum then skip files for
+    gives one sort key; rows with equal keys are dealt by a hash, so that a frequent value
+    does not end in one task. Parquet's per-file minimum and maximum then skip files for
     filters on any of the columns.
     """
+    if len(columns) * (_BITS + 1) > 63:
+        raise ValueError(f"more than {63 // (_BITS + 1)} columns do not fit the sort key")
     numbered = df.withColumns({f"_n{i}": _as_number(df, c) for i, c in enumerate(columns)})
     names = [f"_n{i}" for i in range(len(columns))]
     buckets = [f"_b{i}" for i in range(len(columns))]
@@ -61,7 +64,8 @@ def z_ordered(
     order = [within, "_z"] if within else ["_z"]
     return (
         cut.withColumn("_z", key)
-        .repartitionByRange(partitions, *order)
+        .withColumn("_tie", F.xxhash64(*df.columns))
+        .repartitionByRange(partitions, *order, "_tie")
         .sortWithinPartitions(*order)
         .select(*df.columns)
     )

@@ -18,6 +18,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarrylake.operators.latest import keep_latest
 from quarrylake.operators.upsert import upsert
 
 SUCCESS = "_SUCCESS"
@@ -77,6 +78,7 @@ class VersionedTable:
         return version
 
     def merge(self, source: DataFrame, keys: list[str], version_column: str) -> int:
+        source = keep_latest(source, keys, [version_column])
         if not self.exists():
             return self.write(source)
         return self.write(upsert(self.read(), source, keys, version_column))
@@ -122,6 +124,7 @@ class PartitionedTable:
         driver holds anyway.
         """
         self._finish()
+        source = keep_latest(source, keys, [version_column])
         if not self.exists():
             self.write(source)
             return
@@ -152,7 +155,10 @@ class PartitionedTable:
         self._finish()
         self.folders.drop(self._staged)
         known = set(self.folders.names(self.path))
-        self._replace([day for day in days if self._folder(day) in known], change, arranged)
+        unknown = [day for day in days if self._folder(day) not in known]
+        if unknown:
+            raise ValueError(f"no such partitions: {unknown}")
+        self._replace(list(days), change, arranged)
 
     def _replace(
         self, values: list, change: Callable[[DataFrame], DataFrame], arranged: bool = False
@@ -171,7 +177,10 @@ class PartitionedTable:
         self._finish()
 
     def _folder(self, value) -> str:
-        return f"{self.partition}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}"
+        """The folder's name as Spark writes it, signs like ``:`` escaped."""
+        text = None if value is None else str(value)
+        names = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+        return names.getPartitionPathString(self.partition, text)
 
     def _staged_folders(self) -> list[str]:
         names = self.folders.names(f"{self._staged}/rows")

@@ -21,6 +21,9 @@ from quarrylake.sources.landing import CORRUPT_COLUMN, read_landing, stream_land
 from quarrylake.sources.tables import SUCCESS, Folders
 
 
+CORRUPT_RULE = "corrupt_record"
+
+
 @dataclass(frozen=True)
 class BronzeTable:
     """Where a topic's bronze rows lie.
@@ -75,6 +78,20 @@ def _values(names: list[str], column: str) -> list[str]:
     return [name.split("=", 1)[1] for name in names if name.startswith(f"{column}=")]
 
 
+def _half_read_as_invalid(checked: DataFrame) -> DataFrame:
+    """A line that was read in part, with a value that does not fit its type, is invalid."""
+    if CORRUPT_COLUMN not in checked.columns:
+        return checked
+    half = F.col(CORRUPT_COLUMN).isNotNull()
+    found = F.concat_ws(",", F.nullif("_validation_errors", F.lit("")), F.lit(CORRUPT_RULE))
+    return checked.withColumns(
+        {
+            "_validation_errors": F.when(half, found).otherwise(F.col("_validation_errors")),
+            "_record_status": F.when(half, INVALID).otherwise(F.col("_record_status")),
+        }
+    )
+
+
 def write_batch(
     batch: DataFrame, batch_id: int, feed: str, table: BronzeTable, run_log: str | None = None
 ) -> None:
@@ -89,6 +106,7 @@ def write_batch(
         started=started,
     )
     checked = validate_required_fields(add_audit_columns(batch, started), table.topic.required)
+    checked = _half_read_as_invalid(checked)
     try:
         (
             checked.hint("rebalance", F.col("_record_status"))

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import hashlib
 from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from quarrylake.operators.quality_rules import VALID
 from quarrylake.plans.run_log import log_run
 from quarrylake.plans.silver import conform, rejects
 from quarrylake.schemas import Topic, ddl
@@ -55,21 +55,26 @@ class SilverTable:
     def optimize(self, files: int, partitions: list | None = None) -> None:
         """Rewrite the rows so that filters on the topic's cluster columns skip files.
 
-        Give the partitions to rewrite where the table has any; others stay.
+        A partitioned table rewrites the given partitions, or all of them.
         """
         columns, by = list(self.topic.cluster_by), self.topic.partition_by
         if by:
+            if partitions is None:
+                partitions = [row[0] for row in self.rows.partitions().collect()]
             self.rows.rewrite(
-                partitions or [], lambda old: z_ordered(old, columns, files, within=by), arranged=True
+                partitions, lambda old: z_ordered(old, columns, files, within=by), arranged=True
             )
         else:
             self.rows.write(z_ordered(self.rows.read(), columns, files))
 
-    def keep_rejects(self, rows: DataFrame, batches: dict[str, int]) -> None:
-        """Store bronze rows silver cannot hold; the same batches overwrite their folder."""
-        name = "_".join(f"{feed}-{last}" for feed, last in sorted(batches.items()))
-        folder = hashlib.sha256(name.encode()).hexdigest()[:16]
-        rows.write.mode("overwrite").parquet(f"{self.path}/rejects/batches={folder}")
+    def keep_rejects(self, rows: DataFrame) -> None:
+        """Store bronze rows silver cannot hold, by feed and batch; a batch overwrites its own folder."""
+        (
+            rows.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("feed", "batch_id")
+            .parquet(f"{self.path}/rejects")
+        )
 
     def rejects(self, bronze: BronzeTable) -> DataFrame:
         return self.spark.read.schema(bronze.schema).parquet(f"{self.path}/rejects")
@@ -105,26 +110,52 @@ def refresh(
     if not batches:
         return {}
     new = bronze.valid().where(_between(marks, batches))
-    silver.keep_rejects(rejects(new, silver.topic), batches)
-    silver.merge(conform(new, silver.topic, started, salt))
+    _merge(new, silver, started, salt, run_log, "refresh")
     silver.add_marks(batches)
+    return batches
+
+
+def _merge(
+    new: DataFrame, silver: SilverTable, started: datetime, salt: str | None, run_log: str | None, job: str
+) -> None:
+    """Store what silver cannot hold, merge the rest, and log the run either way.
+
+    Of the rows read, those written went into the merge, the invalid ones to the rejects.
+    """
+    about = dict(
+        run_id=f"silver/{silver.topic.name}/{started.isoformat()}", topic=silver.topic.name, layer="silver",
+        job=job, started=started,
+    )
+    try:
+        unfit = rejects(new, silver.topic)
+        silver.keep_rejects(unfit)
+        silver.merge(conform(new, silver.topic, started, salt))
+    except Exception as failure:
+        if run_log:
+            log_run(silver.spark, run_log, status="failed", error=str(failure), **about)
+        raise
     if run_log:
+        read, invalid = new.count(), unfit.count()
         log_run(
-            bronze.spark, run_log, run_id=f"silver/{silver.topic.name}/{started.isoformat()}",
-            topic=silver.topic.name, layer="silver", job="refresh", started=started, status="success",
+            silver.spark, run_log, status="success", read=read, written=read - invalid, invalid=invalid, **about
         )
-    return batches
 
 
 def stream_to_silver(
-    bronze: BronzeTable, silver: SilverTable, checkpoint: str, salt: str | None = None
+    bronze: BronzeTable, silver: SilverTable, checkpoint: str, salt: str | None = None,
+    run_log: str | None = None, max_files: int = 1000,
 ) -> StreamingQuery:
     """The same as a stream over the bronze files, one merge per batch."""
     spark = bronze.spark
-    rows = spark.readStream.schema(bronze.schema).parquet(bronze.path)
+    rows = (
+        spark.readStream.schema(bronze.schema)
+        .option("maxFilesPerTrigger", max_files)
+        .parquet(bronze.path)
+        .where(F.col("_record_status") == VALID)
+    )
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        silver.merge(conform(batch, silver.topic, datetime.now(timezone.utc), salt))
+        _merge(batch, silver, datetime.now(timezone.utc), salt, run_log, "stream")
 
     return (
         rows.writeStream.foreachBatch(on_batch)

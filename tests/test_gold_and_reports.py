@@ -31,12 +31,12 @@ def test_order_summary_keeps_orders(spark, rows):
 
 def test_lifetime_value(spark, rows):
     fact = facts(
-        spark, ("o1", "c1", D, 1.1), ("o1", "c1", D, 2.2), ("o2", "c1", datetime(2024, 1, 11), None), ("o3", None, D, 9.0)
+        spark, ("o1", "c1", D, 1.25), ("o1", "c1", D, 2.25), ("o2", "c1", datetime(2024, 1, 11), None), ("o3", None, D, 9.0)
     )
     got = gold.customer_lifetime_value(customers(spark), fact)
     assert len(got.columns) == 13
     assert rows(got, "customer_id", "total_orders", "total_spend", "avg_order_value", "customer_tenure_days") == [
-        ("c1", 2, 3.3, 1.65, 10),
+        ("c1", 2, 3.5, 1.75, 10),
         ("c2", 0, None, None, None),
     ]
 
@@ -70,6 +70,24 @@ def test_product_sales_with_redelivery(spark, rows):
     ]
 
 
+def test_redelivery_in_one_batch_counts_once(spark, rows):
+    order = ("o1", "c", "2024-01-02", 1.0, [("p1", 2, 1.0), ("p1", 1, 1.0)], D)
+    products = spark.createDataFrame(
+        [("p1", "A", "x", "b", 1.0, "k")],
+        "product_id string, name string, category string, brand string, price double, name_salt_key string",
+    )
+    got = gold.product_sales_dedup(products, bronze_orders(spark, order, order))
+    assert rows(got, "times_ordered", "total_revenue") == [(1, 3.0)]
+
+
+def test_small_amounts_add_up(spark):
+    many = spark.range(1_000_000).selectExpr(
+        "'o' AS order_id", "'c1' AS customer_id", "timestamp'2024-01-01' AS order_date", "0.00004D AS total_amount"
+    )
+    got = gold.customer_lifetime_value(customers(spark), many).where("customer_id = 'c1'").first()
+    assert abs(got.total_spend - 40) < 1e-6 and abs(got.avg_order_value - 0.00004) < 1e-12
+
+
 def test_views_shuffle_one_row_per_key_into_the_join(spark):
     fact = facts(spark, ("o1", "c1", D, 1.0))
     plan = gold.customer_lifetime_value(customers(spark), fact)._jdf.queryExecution().executedPlan().toString()

@@ -67,6 +67,7 @@ def test_broken_and_odd_lines(spark, rows, landing, bronze, tmp_path):
         order("extra", new_field=1),
         order("no items", items=None),
         order("bad amount", total_amount="abc"),
+        order("bad quantity", items=[{"product_id": "p1", "quantity": "two", "unit_price": 1.0}]),
         order("   "),
         '{"order_id": "cut", "cust',
         {"order_id": "absent"},
@@ -77,8 +78,9 @@ def test_broken_and_odd_lines(spark, rows, landing, bronze, tmp_path):
     assert got == [
         ("   ", "missing_order_id", False),
         ("absent", "missing_customer_id,missing_order_date,missing_total_amount", False),
-        ("bad amount", "missing_total_amount", True),
-        (None, "missing_order_id,missing_customer_id,missing_order_date,missing_total_amount", True),
+        ("bad amount", "missing_total_amount,corrupt_record", True),
+        ("bad quantity", "corrupt_record", True),
+        (None, "missing_order_id,missing_customer_id,missing_order_date,missing_total_amount,corrupt_record", True),
     ]
     assert bronze.read().select("_ingestion_timestamp").distinct().count() == 1
     assert "landing/year=2024" in bronze.read().first()._source_file
@@ -229,3 +231,31 @@ def test_topics_are_complete():
     for topic in TOPICS.values():
         assert set(topic.required) <= set(topic.raw) and set(topic.silver) <= set(topic.raw)
         assert topic.key in topic.not_null
+
+
+def test_stream_to_silver_keeps_rejects_and_logs_counts(spark, rows, landing, bronze, tmp_path):
+    silver, log = SilverTable(spark, str(tmp_path / "silver"), ORDERS), str(tmp_path / "silver_log")
+    landing.put(order("o1"), order("o2", order_date="01/02/2024"))
+    run(bronze, landing, tmp_path)
+    stream_to_silver(bronze, silver, str(tmp_path / "silver_cp"), run_log=log).awaitTermination(120)
+    assert rows(silver.read(), "order_id") == [("o1",)]
+    assert rows(silver.rejects(bronze), "order_id") == [("o2",)]
+    assert rows(read_runs(spark, log), "status", "records_read", "records_written", "records_invalid") == [("success", 2, 1, 1)]
+
+
+def test_rejects_are_kept_once_after_a_failed_run(spark, rows, landing, bronze, tmp_path, monkeypatch):
+    silver, log = SilverTable(spark, str(tmp_path / "silver"), ORDERS), str(tmp_path / "silver_log")
+    landing.put(order("o1", order_date="01/02/2024"), order("o2"))
+    run(bronze, landing, tmp_path)
+    with monkeypatch.context() as patch:
+        patch.setattr(SilverTable, "merge", lambda self, latest: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            refresh(bronze, silver, run_log=log)
+    landing.put(order("o3"))
+    run(bronze, landing, tmp_path)
+    refresh(bronze, silver, run_log=log)
+    assert rows(silver.rejects(bronze), "order_id") == [("o1",)]
+    assert rows(silver.read(), "order_id") == [("o2",), ("o3",)]
+    assert sorted(r.status for r in read_runs(spark, log).collect()) == ["failed", "success"]
+    silver.optimize(files=1)
+    assert rows(silver.read(), "order_id") == [("o2",), ("o3",)]

@@ -152,3 +152,24 @@ def test_wide_tables(spark):
 def test_workspace_follows_the_session(spark):
     assert new_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert shared_root(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_partition_names_with_signs_and_repeated_source_rows(spark, rows, tmp_path):
+    schema = "k int, v string, at int, slot string"
+    table = PartitionedTable(spark, str(tmp_path / "slots"), "slot")
+    old = [(1, "old", 1, "2024-01-01 10:00"), (2, "stays", 1, "2024-01-01 10:00"), (3, "null", 1, None)]
+    table.merge(spark.createDataFrame(old, schema), ["k"], "at")
+    new = [(1, "new", 3, "2024-01-01 11:00"), (1, "between", 2, "2024-01-01 12:00"), (4, "a", 1, "x=y/z"), (4, "b", 2, "x=y/z")]
+    table.merge(spark.createDataFrame(new, schema), ["k"], "at")
+    assert rows(table.read(), "k", "v") == [(1, "new"), (2, "stays"), (3, "null"), (4, "b")]
+    table.rewrite(["2024-01-01 10:00"], lambda part: part.withColumn("v", F.upper("v")))
+    assert rows(table.read(), "k", "v") == [(1, "new"), (2, "STAYS"), (3, "null"), (4, "b")]
+    with pytest.raises(ValueError, match="no such partitions"):
+        table.rewrite(["2024-01-01 13:00"], lambda part: part)
+
+
+def test_versioned_merge_takes_the_newest_of_repeated_source_rows(spark, rows, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "dim"))
+    for batch in ([(1, "a", 1), (1, "b", 2)], [(1, "c", 3), (1, "d", 4)]):
+        table.merge(spark.createDataFrame(batch, "k int, v string, at int"), ["k"], "at")
+    assert rows(table.read()) == [(1, "d", 4)]

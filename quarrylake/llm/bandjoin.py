@@ -1,10 +1,11 @@
 """Links between texts that share a band of their sketches, and the components of the links.
 
 Members of a bucket (texts with one band value) are not paired with each other. First
-every member meets the bucket's hub. Since 1 - Jaccard similarity is a metric, two members
-can only be similar if their distances to the hub differ by no more than the allowed
-distance. Where a member is not similar to the hub and not linked to another member by
-other ways, such pairs are compared next. Every pair is verified on the texts, so the
+every member meets the bucket's hub. Where that leaves members unlinked, the bucket is cut into blocks of
+bounded size, and each task compares two blocks: pairs that are not linked yet, that
+share no earlier band, and whose distances to the hub differ by no more than the
+allowed distance (1 - Jaccard similarity is a metric). Rows grow with the number of
+blocks, only links come out. Every pair is verified on the texts, so the
 components are those of all similar pairs that share a band.
 """
 
@@ -12,12 +13,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarrylake.llm.common import arrow_map, connected, written
 
 
+#: Members of a block, about.
+BLOCK = 256
+
+
 def verified(pairs: DataFrame, texts: DataFrame, feature: Callable, similarity: Callable) -> DataFrame:
     """(a, b, similarity) of pairs of contents, by ``similarity(feature(text), feature(text))``."""
     kind = texts.schema["content"].dataType.simpleString()
@@ -64,25 +71,85 @@ def components(
     links = seen.where(F.col("similarity") >= threshold).select("a", "b")
     roots = connected(links, f"{purpose}-components")
 
-    # pairs within a bucket that the hub leaves open
+    more = written(_open_links(members, contents, texts, seen, roots, feature, similarity, threshold), f"{purpose}-links")
+    if not more.isEmpty():
+        roots = connected(links.unionByName(more), f"{purpose}-components")
+    return roots.select(F.col("node").alias("content"), "root")
+
+
+def _open_links(
+    members: DataFrame,
+    contents: DataFrame,
+    texts: DataFrame,
+    seen: DataFrame,
+    roots: DataFrame,
+    feature: Callable,
+    similarity: Callable,
+    threshold: float,
+) -> DataFrame:
+    """Links (a, b) between members of a bucket that the hub has left in different components."""
     placed = (
         members.join(seen.select(F.col("a").alias("hub"), F.col("b").alias("content"), "similarity"), ["hub", "content"])
         .join(roots.select(F.col("node").alias("content"), "root"), "content", "left")
         .withColumn("root", F.coalesce("root", "content"))
+        .select("band", "content", "root", "similarity")
     )
-    x, y = placed.where(F.col("similarity") < threshold).alias("x"), placed.alias("y")
-    rest = (
-        x.join(
-            y,
-            (F.col("x.band") == F.col("y.band"))
-            & (F.col("x.root") != F.col("y.root"))
-            & (F.abs(F.col("x.similarity") - F.col("y.similarity")) <= 1 - threshold + 1e-9),
-        )
-        .select(F.least("x.content", "y.content").alias("a"), F.greatest("x.content", "y.content").alias("b"))
-        .distinct()
+    still_open = (
+        placed.groupBy("band")
+        .agg(F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("most"))
+        .where("least <> most")
+        .select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     )
-    more = verified(rest, texts, feature, similarity).where(F.col("similarity") >= threshold)
-    more = written(more.select("a", "b"), f"{purpose}-links")
-    if not more.isEmpty():
-        roots = connected(links.unionByName(more), f"{purpose}-components")
-    return roots.select(F.col("node").alias("content"), "root")
+    row = placed.join(still_open, "band").withColumn("block", F.pmod(F.xxhash64("content"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = (
+        row.withColumn("other", other)
+        .withColumns({"p": F.least("block", "other"), "q": F.greatest("block", "other")})
+        .select("band", "p", "q", "block", "content", "root", "similarity")
+        .join(contents.select("content", "bands"), "content")
+        .join(texts.select("content", "text"), "content")
+    )
+    allowed = 1 - threshold + 1e-9
+
+    def compare(rows: pd.DataFrame) -> pd.DataFrame:
+        first, second = int(rows["p"].iloc[0]), int(rows["q"].iloc[0])
+        left = rows[rows["block"] == first].reset_index(drop=True)
+        right = left if first == second else rows[rows["block"] == second].reset_index(drop=True)
+        band = int(rows["band"].iloc[0])
+        if not len(left) or not len(right):
+            return pd.DataFrame({"a": rows["content"].iloc[:0], "b": rows["content"].iloc[:0]})
+        near = np.abs(left["similarity"].to_numpy()[:, None] - right["similarity"].to_numpy()) <= allowed
+        numbers = {root: at for at, root in enumerate(pd.unique(rows["root"]))}
+        at_left, at_right = (np.array([numbers[r] for r in side["root"]]) for side in (left, right))
+        near &= at_left[:, None] != at_right
+        if first == second:
+            near &= np.triu(np.ones_like(near), 1)
+        bands = [np.stack(side["bands"].to_numpy()) for side in (left, right)]
+        done = np.zeros_like(near)
+        for k in range(bands[0].shape[1]):  # a pair counts in its first common band
+            same = bands[0][:, k][:, None] == bands[1][:, k]
+            near &= ~(done & (bands[0][:, k] == band)[:, None] & same)
+            done |= same
+        known: dict[int, int] = {}
+
+        def top(x: int) -> int:
+            while known.get(x, x) != x:
+                x = known[x]
+            return x
+
+        features: tuple[dict, dict] = ({}, {})
+        found = []
+        for i, j in np.argwhere(near).tolist():
+            x, y = top(at_left[i]), top(at_right[j])
+            if x == y:
+                continue
+            for cache, side, k in ((features[0], left, i), (features[1], right, j)):
+                if k not in cache:
+                    cache[k] = feature(side["text"].iloc[k])
+            if similarity(features[0][i], features[1][j]) >= threshold:
+                known[x] = y
+                found.append((left["content"].iloc[i], right["content"].iloc[j]))
+        return pd.DataFrame(found, columns=["a", "b"]).astype({"a": rows["content"].dtype, "b": rows["content"].dtype})
+
+    kind = texts.schema["content"].dataType.simpleString()
+    return dealt.groupBy("band", "p", "q").applyInPandas(compare, f"a {kind}, b {kind}")

@@ -48,7 +48,6 @@ class CachedTokenizer:
         from tokenizers import Tokenizer
 
         self._tokenizer, self._size = Tokenizer.from_file(path), size
-        self._tokenizer.encode_special_tokens = True
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
 
@@ -69,7 +68,8 @@ class CachedTokenizer:
         for part in parts:
             ids = self._old.get(part)
             if ids is None:
-                low = part.lower() if part.isascii() else part
+                # a special token's string is told from ordinary text before case is folded
+                low = part.lower() if part.isascii() and "<|" not in part else part
                 cut = len(low) - 1 if low[-1:] in (",", ".") and low[:-1].isalpha() else len(low)
                 bare[part] = low[:cut], low[cut:]
             else:

@@ -78,8 +78,8 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every line of the documents that an earlier one matches, with the earliest such line."""
-    return linededup.later_matches(table(spark, sf_dir, "documents")).drop("version")
+    """Every line of the documents that an earlier one matches; exact: in the same words."""
+    return linededup.later_matches(table(spark, sf_dir, "documents")).select("doc_id", "line_no", "exact")
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -126,16 +126,11 @@ pairs AS (
     SELECT DISTINCT a.id AS a, b.id AS b FROM prefix a JOIN prefix b ON a.w = b.w AND a.id <> b.id
     WHERE least(a.size, b.size) * 100 >= greatest(a.size, b.size) * 80),
 near AS (
-    SELECT b, min({'first': x.first, 'similarity': len(list_intersect(x.words, y.words))
-            / (len(x.words) + len(y.words) - len(list_intersect(x.words, y.words)))}) AS best
+    SELECT DISTINCT b
     FROM pairs JOIN firsts x ON x.id = a JOIN firsts y ON y.id = b
     WHERE x.first < y.first AND len(list_intersect(x.words, y.words)) * 100
-        >= (len(x.words) + len(y.words) - len(list_intersect(x.words, y.words))) * 80
-    GROUP BY b)
-SELECT l.doc_id, l.line_no,
-    coalesce(n.best.first.doc_id, f.first.doc_id) AS kept_doc_id,
-    coalesce(n.best.first.line_no, f.first.line_no) AS kept_line_no,
-    coalesce(n.best.similarity, 1.0) AS similarity
+        >= (len(x.words) + len(y.words) - len(list_intersect(x.words, y.words))) * 80)
+SELECT l.doc_id, l.line_no, {'doc_id': l.doc_id, 'line_no': l.line_no} > f.first AS exact
 FROM lines l JOIN firsts f ON f.id = l.id LEFT JOIN near n ON n.b = l.id
 WHERE n.b IS NOT NULL OR {'doc_id': l.doc_id, 'line_no': l.line_no} > f.first
 """,

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+SHIFT = 0.0000013
+
 QUERIES: dict[str, Query] = {}
 ORACLE_SQL: dict[str, str] = {}
 
@@ -18,7 +20,8 @@ def query(sql: str | None = None, name: str | None = None, rounded: tuple[str, .
     """Register ``fn(inputs) -> DataFrame`` under its own name, with its SQL if it has one.
 
     The result's ``rounded`` columns, sums and means of doubles, are rounded to four
-    decimals on both sides: their last bits depend on the order of the rows.
+    decimals on both sides: their last bits depend on the order of the rows. They are
+    shifted a little first, as means of amounts often lie exactly between two roundings.
     """
     from quarrylake.queries.inputs import Inputs
 
@@ -29,14 +32,14 @@ def query(sql: str | None = None, name: str | None = None, rounded: tuple[str, .
             # text timestamps end in Z, and the SQL side has no time zones
             spark.conf.set("spark.sql.session.timeZone", "UTC")
             df = fn(Inputs(spark, sf_dir))
-            return df.withColumns({c: F.round(c, 4) for c in rounded}) if rounded else df
+            return df.withColumns({c: F.round(F.col(c) + SHIFT, 4) for c in rounded}) if rounded else df
 
         run.__name__, run.__doc__ = key, fn.__doc__
         QUERIES[key] = run
         if sql:
             ORACLE_SQL[key] = sql.strip()
             if rounded:
-                parts = ", ".join(f"round({c}, 4) AS {c}" for c in rounded)
+                parts = ", ".join(f"round({c} + {SHIFT:.7f}, 4) AS {c}" for c in rounded)
                 ORACLE_SQL[key] = f"SELECT * REPLACE ({parts}) FROM ({sql.strip()})"
         return fn
 

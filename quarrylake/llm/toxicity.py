@@ -27,11 +27,19 @@ from quarrylake.llm.common import arrow_filter, arrow_map, joined, text_or_empty
 SAMPLE_PER_LABEL = 1500
 WINDOW, STRIDE = 32, 16
 HIDDEN, ATTENTION = 8, 8
-WORD_BITS, WORD_SIZE = 15, 8
+WORD_BITS, WORD_SIZE = 17, 8
+#: A word has a vector of its own if so many texts of the sample hold it; others are read by their characters.
+WORD_TEXTS = 3
+#: Every fifth text of the sample is kept back for the calibration.
+KEPT_BACK = 5
 CHAR_BITS, CHAR_SIZE = 15, 12
 CHAR_ORDERS = (3, 4, 5, 6)
 LONGEST_WORD = 24
 ROUNDS, EPOCHS, BATCH, RATE = 5, 3, 256, 0.01
+#: Clean windows of a round besides the worst ones, at least (all, if there are fewer).
+OTHERS = 1000
+#: Share of a word's inputs that are left out at random while training.
+DROPOUT = 0.3
 
 
 @dataclass
@@ -154,6 +162,7 @@ class Words:
     real: np.ndarray
     windows: np.ndarray  # rows x WINDOW, -1 beyond the end
     text: np.ndarray  # of each window
+    texts: np.ndarray  # with each distinct word
 
 
 def prepared(texts: list[str]) -> Words:
@@ -184,7 +193,9 @@ def prepared(texts: list[str]) -> Words:
         begins = window_starts(len(found))
         rows.append(places[begins[:, None] + np.arange(WINDOW)])
         text.append(np.full(len(begins), at))
-    return Words(distinct if len(distinct) else np.zeros(1, np.uint64), matrix, real, np.concatenate(rows), np.concatenate(text))
+    holders = np.bincount(np.searchsorted(distinct, np.concatenate(numbers)), minlength=len(distinct)) if numbers else np.zeros(1)
+    numbers = distinct if len(distinct) else np.zeros(1, np.uint64)
+    return Words(numbers, matrix, real, np.concatenate(rows), np.concatenate(text), holders)
 
 
 def _projected(p: dict, words: Words, windows: np.ndarray):
@@ -206,9 +217,13 @@ def logits_of(p: dict, words: Words) -> np.ndarray:
     return np.concatenate(out)
 
 
-def gradients(p: dict, words: Words, windows: np.ndarray, labels: np.ndarray, weight: np.ndarray) -> dict:
-    """Gradients of the weighted logistic loss of the windows."""
+def gradients(
+    p: dict, words: Words, windows: np.ndarray, labels: np.ndarray, weight: np.ndarray, r: np.random.Generator | None = None
+) -> dict:
+    """Gradients of the weighted logistic loss of the windows; with ``r``, inputs are dropped at random."""
     used, places, x = _projected(p, words, windows)
+    share = np.ones_like(x) if r is None else ((r.random(x.shape) >= DROPOUT) / (1 - DROPOUT)).astype(np.float32)
+    x = x * share
     turned, mask = places.T, windows.T >= 0
     kept: tuple[list, list] = ([], [])
     xf, xb = (x @ p["wf"] + p["cf"])[turned], (x @ p["wb"] + p["cb"])[turned][::-1]
@@ -233,14 +248,15 @@ def gradients(p: dict, words: Words, windows: np.ndarray, labels: np.ndarray, we
         d[bias] = into.sum(axis=0)
         d[name] = x.T @ into
         dx += into @ p[name].T
+    dx *= share
     real = used >= 0
     lone = used[real]
     d["word"], d["char"] = np.zeros_like(p["word"]), np.zeros_like(p["char"])
     np.add.at(d["word"], words.numbers[lone] >> np.uint64(64 - WORD_BITS), dx[real, :WORD_SIZE])
     grams, present = words.grams[lone], words.real[lone]
-    share = dx[real, WORD_SIZE:] / np.sqrt(np.maximum(present.sum(axis=1), 1))[:, None]
+    of_gram = dx[real, WORD_SIZE:] / np.sqrt(np.maximum(present.sum(axis=1), 1))[:, None]
     row, column = np.nonzero(present)
-    np.add.at(d["char"], grams[row, column], share[row])
+    np.add.at(d["char"], grams[row, column], of_gram[row])
     return d
 
 
@@ -270,24 +286,31 @@ def train(texts: list[str], labels: list[int], clean_share: float = 0.5, seed: i
     p, y = network.p, np.array(labels, np.float32)
     words = prepared(texts)
     count = np.bincount(words.text, minlength=len(texts))
+    named = np.zeros(1 << WORD_BITS, bool)
+    named[words.numbers[words.texts >= WORD_TEXTS] >> np.uint64(64 - WORD_BITS)] = True
+    p["word"][~named] = 0
+    kept = np.arange(len(texts)) % KEPT_BACK == 0
+    if min((y[kept] == label).sum() for label in (0, 1)) < 10:
+        kept[:] = False
+    learned = ~kept[words.text]
     momentum = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in p.items()}
     step = 0
     for turn in range(ROUNDS):
         if turn == 0:
             near = count[words.text] <= max(4, np.quantile(count, 0.3))
-            positive = np.flatnonzero(near & (y[words.text] == 1))
-            negative = np.flatnonzero(near & (y[words.text] == 0))
+            positive = np.flatnonzero(learned & near & (y[words.text] == 1))
+            negative = np.flatnonzero(learned & near & (y[words.text] == 0))
         else:
             logits = logits_of(p, words)
             order = np.lexsort((-logits, words.text))
             first = np.concatenate([[0], np.cumsum(count)[:-1]])
             rank = np.empty(len(order), np.int64)
             rank[order] = np.arange(len(order)) - np.repeat(first, count)
-            positive = np.flatnonzero((y[words.text] == 1) & (rank < 2))
-            clean = y[words.text] == 0
+            positive = np.flatnonzero(learned & (y[words.text] == 1) & (rank < 2))
+            clean = learned & (y[words.text] == 0)
             negative = np.flatnonzero(clean & (rank < 2))
             others = np.flatnonzero(clean & (rank >= 2))
-            negative = np.concatenate([negative, r.permutation(others)[: len(negative)]])
+            negative = np.concatenate([negative, r.permutation(others)[: max(len(negative), OTHERS)]])
         if not len(positive) or not len(negative):
             break
         chosen = np.concatenate([positive, negative])
@@ -297,7 +320,8 @@ def train(texts: list[str], labels: list[int], clean_share: float = 0.5, seed: i
             for at in range(0, len(chosen), BATCH):
                 part = mixed_order[at : at + BATCH]
                 rows = chosen[part]
-                d = gradients(p, words, words.windows[rows], y[words.text[rows]], weight[part])
+                d = gradients(p, words, words.windows[rows], y[words.text[rows]], weight[part], r)
+                d["word"][~named] = 0
                 step += 1
                 for k, g in d.items():
                     m, v = momentum[k]
@@ -306,8 +330,10 @@ def train(texts: list[str], labels: list[int], clean_share: float = 0.5, seed: i
                     p[k] -= RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
     most, windows = _highest(logits_of(p, words), words.text, len(texts))
     if len(set(labels)) == 2:
-        toxic = max(float(y.mean()), 1e-9)
-        weight = np.where(y == 1, (1 - clean_share) / toxic, clean_share / max(1 - toxic, 1e-9))
+        own = kept if kept.any() else ~kept
+        most, windows, y = most[own], windows[own], y[own]
+        toxic = float(y.mean())
+        weight = np.where(y == 1, (1 - clean_share) / toxic, clean_share / (1 - toxic))
         network.slope = _logistic(np.column_stack([most, np.log(windows), np.ones(len(most))]), y, weight)
     else:
         network.slope = np.array([0.0, 0.0, 6.0 if labels and labels[0] == 1 else -6.0])

@@ -1,6 +1,6 @@
 """Near-duplicate documents by improved consistent weighted sampling.
 
-A document is the weighted set of its five-word shingles: occurrences times the log
+A document is the weighted set of its five-word shingles: occurrences times a damped
 inverse document frequency. Document frequencies are counted for hash buckets of the
 shingles, over all documents, so the table has a fixed size. Consistent weighted samples
 agree with the probability of the weighted Jaccard similarity; groups of samples make bands,
@@ -23,6 +23,7 @@ SHINGLE, THRESHOLD = 5, 0.8
 #: At 0.8 a pair shares no band with probability (1 - 0.8^3)^13 = 0.0001.
 BANDS, ROWS = 13, 3
 FREQUENCY_BITS = 18
+DAMPING = 0.2
 _SEEDS = np.random.default_rng(21).integers(1, 2**63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _CELLS = 1 << 16
 
@@ -87,7 +88,11 @@ def bands(keys: np.ndarray, weights: np.ndarray) -> np.ndarray:
 
 
 def inverse_frequencies(docs: DataFrame) -> np.ndarray:
-    """log((1 + documents) / (1 + documents with a shingle of the bucket)) plus 0.1, per bucket."""
+    """Damped inverse document frequency per bucket: 1 - DAMPING * log(1 + n) / log(1 + documents).
+
+    ``n`` is the number of documents with a shingle of the bucket. The plain logarithm would weigh down the
+    shingles of a text that is copied over a large share of the corpus, and hide its near copies.
+    """
 
     def run(batches):
         total, count = np.zeros(1 << FREQUENCY_BITS, np.int64), 0
@@ -105,8 +110,8 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
     if len(found):
         rows = found[found["bucket"] >= 0]
         out[rows["bucket"].to_numpy()] = rows["n"]
-        out = np.log((1 + found.loc[found["bucket"] < 0, "n"].iloc[0]) / (1 + out))
-    return (out + 0.1).astype(np.float32)
+        out = np.log1p(out) / np.log1p(found.loc[found["bucket"] < 0, "n"].iloc[0])
+    return (1 - DAMPING * out).astype(np.float32)
 
 
 def classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

@@ -74,12 +74,12 @@ def test_conversations_read_back(spark, text):
         6: [("user", "q"), ("assistant", text(2, 3000)), ("user", "thanks"), ("assistant", "\U0001f600 é")],
         None: [("user", "without an id"), ("assistant", "yes")],
     }
-    formatted = check(spark, conversations, budget=400, history=60)
+    formatted = check(spark, conversations, budget=1500, history=400)
     rows = formatted.where("conv_id = 5").orderBy("window").collect()
-    assert len(rows) > 10 and max(r.tokens for r in rows) <= 400
+    assert len(rows) > 10 and max(r.tokens for r in rows) <= 1500
     assert all(chat.read_back(r.formatted)[0] == conversations[5][0] for r in rows)
     assert sum(r.repeated > 1 for r in rows) > len(rows) // 2
-    giant = [r for r in formatted.where("conv_id = 6").collect() if r.tokens > 400]
+    giant = [r for r in formatted.where("conv_id = 6").collect() if r.tokens > 1500]
     assert len(giant) == 1 and giant[0].repeated == 0
 
 

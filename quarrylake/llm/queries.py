@@ -45,8 +45,9 @@ def op3_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every paragraph of the documents that repeats an earlier one."""
-    return substring.repeated(table(spark, sf_dir, "documents")).drop("version")
+    """Every paragraph of the documents that is similar to an earlier one (no start), and every run of words that an earlier place has."""
+    docs = table(spark, sf_dir, "documents")
+    return substring.repeated(docs).unionByName(substring.spans(docs), allowMissingColumns=True).drop("version")
 
 
 def op5_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,10 +1,16 @@
-"""Removal of passages that repeat across documents, by MinHash banding of paragraphs.
+"""Removal of passages that repeat across documents: similar paragraphs, and equal runs of words anywhere.
 
 A paragraph is a line of at least ``MIN_WORDS`` words, sketched by MinHash over its five-word
 shingles. The bands are tuned to find a pair at the threshold with high probability.
 Paragraphs that share a band are joined, the exact Jaccard similarity of their shingles is
 verified, and each component of the links keeps its first paragraph. Paragraphs with the
 same words in the same order are merged before all this.
+
+Equal passages are found whatever the lines (``spans``). Of the windows of ``WINDOW`` words of a whole text those are
+taken whose first shingle has the least hash among ``REACH`` neighbours. The choice depends on
+the words alone, so a run of ``WINDOW + REACH - 1`` words that two texts share gives both the
+same window. Each window that an earlier place has too is extended to both sides as far as the words are
+equal.
 """
 
 from __future__ import annotations
@@ -20,6 +26,8 @@ from quarrylake.llm.common import arrow_map, mixed, shingles_of, text_or_empty,
 
 SHINGLE, THRESHOLD = 5, 0.8
 MIN_WORDS = 25
+#: Words of a window, and neighbouring windows of which one is taken: runs of 37 equal words and more are always found.
+WINDOW, REACH = 25, 13
 #: Share of pairs at the threshold that share a band, at least, and of pairs at 0.3, at most.
 RECALL, CHANCE = 0.9995, 0.3
 
@@ -140,3 +148,135 @@ def repeated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
         )
         .distinct()
     )
+
+
+def window_starts(words: np.ndarray) -> np.ndarray:
+    """First words of the windows that are taken from a text."""
+    count = len(words) - WINDOW + 1
+    if count < 1:
+        return np.empty(0, np.int64)
+    hashes = shingles_of(words, SHINGLE)[:count]
+    if count <= REACH:
+        return np.array([hashes.argmin()])
+    least = np.lib.stride_tricks.sliding_window_view(hashes, REACH).argmin(axis=1)
+    return np.unique(least + np.arange(len(least)))
+
+
+def window_contents(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """A number for the words of each window."""
+    total = np.zeros(len(starts), np.uint64)
+    for place in range(WINDOW):
+        total += mixed(words[starts + place] + np.uint64(place * 0x9E3779B97F4A7C15 % 2**64))
+    return mixed(total).view(np.int64)
+
+
+def extended(own: np.ndarray, other: np.ndarray, seeds: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """(start, end, start in ``other``) of the longest equal runs around pairs of places (own, other) of one window."""
+    out: list[tuple[int, int, int]] = []
+    for at, there in sorted(seeds, key=lambda s: (s[0] - s[1], s[0])):
+        if out and out[-1][0] - out[-1][2] == at - there and at < out[-1][1]:
+            continue
+        back = min(at, there)
+        differ = np.flatnonzero(own[at - back : at] != other[there - back : there])
+        left = back - differ[-1] - 1 if len(differ) else back
+        ahead = min(len(own) - at, len(other) - there)
+        differ = np.flatnonzero(own[at : at + ahead] != other[there : there + ahead])
+        right = differ[0] if len(differ) else ahead
+        if right >= WINDOW:  # else two windows with one number
+            out.append((int(at - left), int(at + right), int(there - left)))
+    return out
+
+
+def spans(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(doc_id, version, line_no, start, end, kept_doc_id, kept_line_no, kept_start, class_id, words) of each run of
+    at least ``WINDOW`` words that an earlier place has too.
+
+    ``start`` and ``end`` are code points of the text; line numbers are those where the run starts. Runs
+    go over line ends. The kept place is the first one, by document id (null first), version (the hash of
+    the text) and word, that has the window around which the run was found; ``class_id`` numbers the window. A
+    run can be listed in parts if its windows have different first places, and parts may overlap. A window that
+    overlaps its own first place is not listed. Rows that repeat id and text are one document. Other columns are not read.
+    """
+    texts = docs.select(docs[id_column].alias("doc_id"), text_or_empty(text_column).alias("text"))
+    texts = texts.withColumn("version", F.xxhash64("text"))
+    kind = texts.schema["doc_id"].dataType.simpleString()
+
+    def run(batches):
+        for batch in batches:
+            rows, places, contents = [], [], []
+            for row, text in enumerate(batch.column(2)):
+                words = words_of(text.as_py())[0]
+                starts = window_starts(words)
+                rows.append(np.full(len(starts), row))
+                places.append(starts)
+                contents.append(window_contents(words, starts))
+            rows = np.concatenate(rows)
+            if len(rows):
+                yield {
+                    "doc_id": batch.column(0).take(rows),
+                    "version": batch.column(1).take(rows),
+                    "at": np.concatenate(places).astype(np.int32),
+                    "content": np.concatenate(contents),
+                }
+
+    windows = written(
+        arrow_map(texts.select("doc_id", "version", "text"), run, f"doc_id {kind}, version long, at int, content long"), "windows"
+    )
+    place = F.struct("doc_id", "version", "at")
+    firsts = windows.groupBy("content").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
+    overlaps = (
+        F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
+        & (F.col("version") == F.col("first.version"))
+        & (F.col("at") < F.col("first.at") + WINDOW)
+    )
+    later = windows.join(firsts.select("content", "first"), "content").where((place > F.col("first")) & ~overlaps)
+    pairs = written(
+        later.groupBy(
+            "doc_id", "version", F.col("first.doc_id").alias("kept_doc_id"), F.col("first.version").alias("kept_version")
+        ).agg(F.collect_set(F.struct("at", F.col("first.at").alias("there"), "content")).alias("seeds")),
+        "window-pairs",
+    )
+    asked = pairs.select("doc_id", "version").union(pairs.select("kept_doc_id", "kept_version")).distinct()
+    asked = asked.select(F.col("doc_id").alias("id"), F.col("version").alias("of"))
+    found = written(
+        texts.join(asked, texts["doc_id"].eqNullSafe(asked["id"]) & (texts["version"] == asked["of"]), "left_semi").dropDuplicates(["doc_id", "version"]),
+        "window-texts",
+    )
+    own = found.select(F.col("doc_id").alias("own_id"), F.col("version").alias("own_version"), F.col("text").alias("own_text"))
+    other = found.select(F.col("doc_id").alias("other_id"), F.col("version").alias("other_version"), F.col("text").alias("other_text"))
+    both = (
+        pairs.join(own, pairs["doc_id"].eqNullSafe(own["own_id"]) & (pairs["version"] == own["own_version"]))
+        .join(other, pairs["kept_doc_id"].eqNullSafe(other["other_id"]) & (pairs["kept_version"] == other["other_version"]))
+        .select("doc_id", "version", "kept_doc_id", "seeds", "own_text", "other_text")
+    )
+
+    def places_of(text: str):
+        raw = text.encode("utf-8", "replace")
+        words, starts, ends = words_of(raw)
+        data = np.frombuffer(raw, np.uint8)
+        points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+        return words, points[starts], points[ends], np.searchsorted(np.flatnonzero(data == 10), starts)
+
+    names = ("doc_id", "version", "line_no", "start", "end", "kept_doc_id", "kept_line_no", "kept_start", "class_id", "words")
+
+    def extend(batches):
+        for batch in batches:
+            out = []
+            for row in range(batch.num_rows):
+                doc_id, version, kept, seeds, text, other_text = (batch.column(k)[row].as_py() for k in range(6))
+                words, starts, ends, lines = places_of(text)
+                others, other_starts, _, other_lines = places_of(other_text)
+                contents = {(s["at"], s["there"]): s["content"] for s in seeds}
+                for begin, end, there in extended(words, others, list(contents)):
+                    inside = min(s for s in contents if s[0] - s[1] == begin - there and begin <= s[0] < end)
+                    out.append(
+                        (doc_id, version, lines[begin], starts[begin], ends[end - 1], kept, other_lines[there], other_starts[there], contents[inside], end - begin)
+                    )
+            if out:
+                yield dict(zip(names, map(list, zip(*out))))
+
+    return arrow_map(
+        both,
+        extend,
+        f"doc_id {kind}, version long, line_no int, start int, end int, kept_doc_id {kind}, kept_line_no int, kept_start int, class_id long, words int",
+    )

@@ -126,6 +126,28 @@ def test_passages_equal_brute_force(spark, documents, odd, text):
     assert substring.repeated(documents()).count() == 0
 
 
+def test_equal_runs_are_found_whatever_the_lines(spark, documents, odd, text):
+    runs = [text(400 + i, 37 + i) for i in range(20)]
+    docs = [(100 + i, f"{text(4000 + i, 150)} {run}, {text(4100 + i, 150)}") for i, run in enumerate(runs)]
+    docs += [(200 + i, f"{text(4200 + i, 9 * i)} {run} {text(4300 + i, 80)}") for i, run in enumerate(runs)]
+    broken = ["\n".join(" ".join(run.split()[k : k + 8]) for k in range(0, 99, 8)) for run in runs]
+    docs += [(300 + i, f"É\n{text(4400 + i, 7)}\n{run}\n{text(4500 + i, 9)}") for i, run in enumerate(broken)]
+    docs += [(400, f"{runs[0]} . {text(4600, 30)} {runs[0]}"), *((i, t) for i, t in odd if i != 3)]
+    texts = dict(docs)
+    got = {}
+    for r in substring.spans(documents(*docs)).collect():
+        own = words_of(texts[r.doc_id][r.start : r.end])[0]
+        assert r.words == len(own) >= substring.WINDOW and texts[r.doc_id][: r.start].count("\n") == r.line_no
+        kept = texts[r.kept_doc_id][r.kept_start :]
+        assert (own == words_of(kept)[0][: len(own)]).all() and texts[r.kept_doc_id][: r.kept_start].count("\n") == r.kept_line_no
+        got.setdefault(r.doc_id, []).append((r.kept_doc_id, texts[r.doc_id][r.start : r.end].split()))
+    assert got.keys() == {400} | {n + i for n in (200, 300) for i in range(20)} and len(got[400]) == 2
+    for i, run in enumerate(runs):  # a chance neighbour can make one more window, held by 200 + i
+        assert (100 + i, run.split()) in got[200 + i] and (100 + i, run.split()) in got[300 + i]
+        assert {k for k, _ in got[200 + i]} == {100 + i} and {k for k, _ in got[300 + i]} <= {100 + i, 200 + i}
+    assert substring.spans(documents()).count() == 0
+
+
 def test_tuned_bands_reach_the_recall():
     bands, rows = substring.tune()
     assert 1 - (1 - 0.8**rows) ** bands >= substring.RECALL

@@ -105,6 +105,20 @@ def test_documents_without_repeated_lines(spark, documents):
     assert linededup.clean(docs).columns == docs.columns and linededup.clean(documents()).count() == 0
 
 
+def test_documents_keep_short_lines_of_their_own(spark, documents):
+    one = "alpha beta gamma delta"
+    docs = documents((1, f"{one}\nIs."), (2, f"{one}\nAre so"), (3, f"{one}\n is."), (4, f"{one}\n \n"), (5, f"{one}\nare so\nis."), (None, "Null"), (6, f"{one}\nnull"))
+    got = {r.doc_id: r.text for r in linededup.clean(docs).collect()}
+    assert got == {1: f"{one}\nIs.", 2: "Are so", None: "Null"}
+
+
+def test_lines_without_spaces(spark, documents):
+    shared, others = "版权所有请勿转载本站内容归作者", ["今天天气很好我们去公园散步吧", "ฉันชอบกินข้าวผัดทุกวันตอนเย็น", "これは日本語の文章ですよろしく"]
+    docs = documents(*[(i, f"{shared}{'們' * (i == 2)}\n{own}") for i, own in enumerate(others)], (9, "版权 所有 请勿\n今天"), (10, "版权 所有 请勿\n好的"))
+    got = {r.doc_id: r.text for r in linededup.clean(docs).collect()}
+    assert got == {0: f"{shared}\n{others[0]}", 1: others[1], 2: others[2], 9: "版权 所有 请勿\n今天", 10: "好的"}
+
+
 def test_passages_equal_brute_force(spark, documents, odd, text):
     base = [text(300 + i, 60) for i in range(12)]
     variants = base + [edited(b, [5, 50]) for b in base[:6]] + [edited(b, range(0, 60, 5)) for b in base[6:]]

@@ -105,6 +105,13 @@ def test_documents_without_repeated_lines(spark, documents):
     assert linededup.clean(docs).columns == docs.columns and linededup.clean(documents()).count() == 0
 
 
+def test_hubs_of_words_need_no_window(spark):
+    rows = spark.createDataFrame([(w, s, s, 5, 0, 0, 1) for w in (1, 2) for s in range(9, w, -1)], "word int, set long, first long, n int, parity0 long, parity1 long, at int")
+    got = linededup._with_hubs(rows)
+    assert "Window" not in got._jdf.queryExecution().toString()
+    assert {(r.word, r.hub.set) for r in got.collect()} == {(1, 2), (2, 3)} and got.count() == rows.count()
+
+
 def test_documents_keep_short_lines_of_their_own(spark, documents):
     one = "alpha beta gamma delta"
     docs = documents((1, f"{one}\nIs."), (2, f"{one}\nAre so"), (3, f"{one}\n is."), (4, f"{one}\n \n"), (5, f"{one}\nare so\nis."), (None, "Null"), (6, f"{one}\nnull"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrylake.llm import chat, decontam, langid, linededup, mixing, neardup, substring, toxicity
+from quarrylake.llm import chat, decontam, divergence, langid, linededup, manifest, mixing, mixture, neardup, substring, toxicity
 from quarrylake.llm.common import fold, table
 from quarrylake.llm.maxscore import integer_vectors, top_k
 from quarrylake.llm.packing import pack
@@ -88,8 +88,28 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document, folded from a copy in which half of the documents lost their line feeds."""
+    stripped = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, F.replace("text", F.lit("\n"), F.lit("")))
+    proved = manifest.manifest(table(spark, sf_dir, "documents"), seen={"text": F.coalesce(stripped, "text")})
+    return proved.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2("proof", 256).alias("proof_sha256"), "folded_root", "verified"
+    )
+
+
+def op12_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words that the mix of the documents takes of each, copies counted."""
+    mixed = mixture.mix(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far each source of a language lies from the others, and its ten most telling terms."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_packing, op2_maxscore_topk, op3_chat_windows, op4_substring_dedup, op5_context_mixing, op6_toxicity, op7_minhash_near_dedup, op8_language_id, op9_line_dedup, op10_decontamination)
+    f.__name__: f for f in (op1_packing, op2_maxscore_topk, op3_chat_windows, op4_substring_dedup, op5_context_mixing, op6_toxicity, op7_minhash_near_dedup, op8_language_id, op9_line_dedup, op10_decontamination, op11_merkle_manifest, op12_source_mixture, op13_source_divergence)
 }
 ORACLE_SQL: dict[str, str] = {
     "op2_maxscore_topk": """

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quarrylake.llm import chat, decontam, divergence, langid, linededup, manifest, mixing, mixture, neardup, substring, toxicity
 from quarrylake.llm.common import fold, table
 from quarrylake.llm.maxscore import integer_vectors, top_k
+from quarrylake.llm.oracle import DIVERGENCE, MANIFEST, MIXTURE
 from quarrylake.llm.packing import pack
 
 TOKENIZER = "word_bpe_49k.json"
@@ -155,4 +156,7 @@ SELECT l.doc_id, l.line_no, {'doc_id': l.doc_id, 'line_no': l.line_no} > f.first
 FROM lines l JOIN firsts f ON f.id = l.id LEFT JOIN near n ON n.b = l.id
 WHERE n.b IS NOT NULL OR {'doc_id': l.doc_id, 'line_no': l.line_no} > f.first
 """,
+    "op11_merkle_manifest": MANIFEST,
+    "op12_source_mixture": MIXTURE,
+    "op13_source_divergence": DIVERGENCE,
 }

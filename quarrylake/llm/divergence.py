@@ -1,6 +1,6 @@
 """Audit of how far the sources of a language diverge, from stripes folded in the mappers.
 
-Each partition folds whole documents into hash stripes, term -> source -> (documents, occurrences),
+Each partition folds whole documents into hash stripes, term -> (documents, occurrences by source),
 and spills them as rows when they hold many entries. Spilled stripes are merged by key: entries are
 summed per (lang, term, source), with partial sums before the shuffle, so a frequent term costs no
 task more than one entry per source and partition; then a term's entries become its merged stripe.
@@ -35,7 +35,7 @@ LETTERS = bytes(
     code + 32 if 0x41 <= code <= 0x5A else code if 0x61 <= code <= 0x7A or code >= 0x80 else 0x20 for code in range(256)
 )
 #: Entries (term and source) that a mapper holds before it spills.
-HELD = 300_000
+HELD = 500_000
 #: Kept terms in a block, on average.
 TERMS = 4096
 #: Cells of the matrix (terms by sources) that a block works on at once.
@@ -44,54 +44,54 @@ SCALE = 1_000_000_000
 
 
 def _stripes(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    held: dict[str, dict[bytes, dict[str, list[int]]]] = {}
+    counts: dict[str, dict[str, Counter]] = {}
+    docs: dict[str, Counter] = {}
     entries = 0
     for batch in batches:
         for lang, source, text in zip(*(batch.column(name).to_pylist() for name in ("lang", "source", "text"))):
-            terms = held.setdefault(lang, {})
-            for term, count in Counter(text.encode("utf-8", "replace").translate(LETTERS).split()).items():
-                stripe = terms.get(term)
-                if stripe is None:
-                    stripe = terms[term] = {}
-                entry = stripe.get(source)
-                if entry is None:
-                    stripe[source] = [1, count]
-                    entries += 1
-                else:
-                    entry[0] += 1
-                    entry[1] += count
+            terms = text.encode("utf-8", "replace").translate(LETTERS).split()
+            count = counts.setdefault(lang, {}).setdefault(source, Counter())
+            known = len(count)
+            count.update(terms)
+            docs.setdefault(lang, Counter()).update(set(terms))
+            entries += len(count) - known
             if entries >= HELD:
-                yield from _spilled(held)
-                held, entries = {}, 0
-    yield from _spilled(held)
-
-
-def _spilled(held: dict) -> Iterator[dict]:
-    """The stripes as rows of (lang, term, sources, docs, counts), a bounded number at a time."""
-    for lang, terms in held.items():
-        rows = list(terms.items())
+                yield from _spilled(docs, counts)
+                counts, docs, entries = {}, {}, 0
+    yield from _spilled(docs, counts)
+
+
+def _spilled(docs: dict[str, Counter], counts: dict[str, dict[str, Counter]]) -> Iterator[dict]:
+    """The stripes as rows of (lang, term, docs, sources, counts), a bounded number at a time."""
+    for lang, by_term in docs.items():
+        stripes: dict[bytes, tuple[list, list]] = {term: ([], []) for term in by_term}
+        for source, count in counts[lang].items():
+            for term, n in count.items():
+                sources, occurrences = stripes[term]
+                sources.append(source)
+                occurrences.append(n)
+            count.clear()
+        rows = list(stripes.items())
         for start in range(0, len(rows), 20_000):
             part = rows[start : start + 20_000]
             yield {
                 "lang": [lang] * len(part),
                 "term": [term.decode("utf-8", "replace") for term, _ in part],
-                "sources": [list(stripe) for _, stripe in part],
-                "docs": [[entry[0] for entry in stripe.values()] for _, stripe in part],
-                "counts": [[entry[1] for entry in stripe.values()] for _, stripe in part],
+                "docs": [by_term[term] for term, _ in part],
+                "sources": [stripe[0] for _, stripe in part],
+                "counts": [stripe[1] for _, stripe in part],
             }
 
 
 def stripes(docs: DataFrame, least_docs: int) -> DataFrame:
     """(lang, term, df, stripe): merged stripes (source, count) of the terms in at least so many documents."""
     texts = docs.select(*(text_or_empty(name).alias(name) for name in ("lang", "source", "text")))
-    spilled = arrow_map(
-        texts, _stripes, "lang string, term string, sources array<string>, docs array<bigint>, counts array<bigint>"
-    )
-    entry = F.explode(F.arrays_zip("sources", "docs", "counts")).alias("entry")
+    spilled = arrow_map(texts, _stripes, "lang string, term string, docs bigint, sources array<string>, counts array<bigint>")
+    entry = F.posexplode(F.arrays_zip("sources", "counts")).alias("place", "entry")
     summed = (
-        spilled.select("lang", "term", entry)
+        spilled.select("lang", "term", "docs", entry)
         .groupBy("lang", "term", F.col("entry.sources").alias("source"))
-        .agg(F.sum("entry.docs").alias("docs"), F.sum("entry.counts").alias("count"))
+        .agg(F.sum(F.when(F.col("place") == 0, F.col("docs")).otherwise(0)).alias("docs"), F.sum("entry.counts").alias("count"))
     )
     merged = summed.groupBy("lang", "term").agg(
         F.sum("docs").alias("df"), F.collect_list(F.struct("source", "count")).alias("stripe")

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
@@ -43,7 +44,7 @@ CELLS = 1 << 18
 SCALE = 1_000_000_000
 
 
-def _stripes(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+def _stripes(most: int, batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     counts: dict[str, dict[str, Counter]] = {}
     docs: dict[str, Counter] = {}
     entries = 0
@@ -55,7 +56,7 @@ def _stripes(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             count.update(terms)
             docs.setdefault(lang, Counter()).update(set(terms))
             entries += len(count) - known
-            if entries >= HELD:
+            if entries >= most:
                 yield from _spilled(docs, counts)
                 counts, docs, entries = {}, {}, 0
     yield from _spilled(docs, counts)
@@ -83,10 +84,10 @@ def _spilled(docs: dict[str, Counter], counts: dict[str, dict[str, Counter]]) ->
             }
 
 
-def stripes(docs: DataFrame, least_docs: int) -> DataFrame:
+def stripes(docs: DataFrame, least_docs: int, held: int = HELD) -> DataFrame:
     """(lang, term, df, stripe): merged stripes (source, count) of the terms in at least so many documents."""
     texts = docs.select(*(text_or_empty(name).alias(name) for name in ("lang", "source", "text")))
-    spilled = arrow_map(texts, _stripes, "lang string, term string, docs bigint, sources array<string>, counts array<bigint>")
+    spilled = arrow_map(texts, partial(_stripes, held), "lang string, term string, docs bigint, sources array<string>, counts array<bigint>")
     entry = F.posexplode(F.arrays_zip("sources", "counts")).alias("place", "entry")
     summed = (
         spilled.select("lang", "term", "docs", entry)
@@ -109,7 +110,7 @@ def _share(counts: np.ndarray, total: np.ndarray) -> np.ndarray:
     return whole + 1
 
 
-def _block(terms: pd.DataFrame, groups: pd.DataFrame, top: int) -> pd.DataFrame:
+def _block(terms: pd.DataFrame, groups: pd.DataFrame, top: int, cells: int) -> pd.DataFrame:
     """A block's sum for every pair of sources and its best terms of every source."""
     groups = groups.sort_values("source")
     sources = list(groups["source"])
@@ -119,7 +120,7 @@ def _block(terms: pd.DataFrame, groups: pd.DataFrame, top: int) -> pd.DataFrame:
     sums = np.zeros((len(sources), len(sources)), np.int64)
     best: list[tuple] = []
     names = list(terms["term"])
-    step = max(1, CELLS // len(sources))
+    step = max(1, cells // len(sources))
     for start in range(0, len(names), step):
         part = names[start : start + step]
         counts = np.zeros((len(part), len(sources)), np.int64)
@@ -140,10 +141,12 @@ def _block(terms: pd.DataFrame, groups: pd.DataFrame, top: int) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["lang", "source", "part", "item", "value"])
 
 
-def audit(docs: DataFrame, least_docs: int = 10, top: int = 10) -> DataFrame:
+def audit(
+    docs: DataFrame, least_docs: int = 10, top: int = 10, held: int = HELD, terms_per_block: int = TERMS, cells: int = CELLS
+) -> DataFrame:
     """(lang, source, part, item, value, rank): divergence from every other source, and the terms that set a source apart."""
     findable(docs.sparkSession)
-    merged = written(stripes(docs, least_docs), "divergence-stripes")
+    merged = written(stripes(docs, least_docs, held), "divergence-stripes")
     occurring = docs.select(text_or_empty("lang").alias("lang"), text_or_empty("source").alias("source")).distinct()
     counted = (
         merged.select("lang", F.explode("stripe").alias("entry"))
@@ -159,7 +162,7 @@ def audit(docs: DataFrame, least_docs: int = 10, top: int = 10) -> DataFrame:
             F.coalesce("occurs", F.lit(0)).alias("occurs"),
             F.coalesce("kept", F.lit(0)).alias("kept"),
         )
-        .withColumn("blocks", F.greatest(F.lit(1), F.ceil(F.col("kept") / TERMS)).cast("long"))
+        .withColumn("blocks", F.greatest(F.lit(1), F.ceil(F.col("kept") / terms_per_block)).cast("long"))
     )
     groups = written(groups, "divergence-groups")
     block = F.pmod(F.xxhash64("term"), F.col("blocks")).alias("block")
@@ -170,7 +173,7 @@ def audit(docs: DataFrame, least_docs: int = 10, top: int = 10) -> DataFrame:
         left.groupBy("lang", "block")
         .cogroup(right.groupBy("lang", "block"))
         .applyInPandas(
-            lambda terms, totals: _block(terms, totals, top),
+            lambda terms, totals: _block(terms, totals, top, cells),
             "lang string, source string, part string, item string, value long",
         )
     )

@@ -30,9 +30,8 @@ from quarrylake.llm.common import findable, written
 from quarrylake.llm.ordered import ranked
 
 ARITY = 3
-#: Heights within a superblock, and the nodes it has at most.
+#: Heights within a superblock, which thus has at most 2187 nodes.
 HEIGHTS = 7
-SPAN = ARITY**HEIGHTS
 #: Characters of a digest.
 DIGEST = 64
 
@@ -53,10 +52,10 @@ def leaf(values: dict[str, Column]) -> Column:
     return F.sha2(F.concat(*parts), 256)
 
 
-def _heights(members: int) -> int:
+def _heights(members: int, most: int) -> int:
     """How often a superblock of a tree with so many nodes in this layer is reduced."""
     heights = 0
-    while heights < HEIGHTS and members > ARITY**heights:
+    while heights < most and members > ARITY**heights:
         heights += 1
     return heights
 
@@ -88,30 +87,30 @@ def fold(node: str, path: list[tuple[int, str]]) -> str:
     return node
 
 
-def _by_superblock(nodes: DataFrame) -> DataFrame:
-    return nodes.withColumn("block", F.floor(F.col("rank") / SPAN).cast("long"))
+def _by_superblock(nodes: DataFrame, most: int) -> DataFrame:
+    return nodes.withColumn("block", F.floor(F.col("rank") / ARITY**most).cast("long"))
 
 
-def _reduced(group: pd.DataFrame) -> pd.DataFrame:
+def _reduced(most: int, group: pd.DataFrame) -> pd.DataFrame:
     group = group.sort_values("rank")
     members = int(group["members"].iloc[0])
-    top = _levels(list(group["node"]), _heights(members))[-1]
+    top = _levels(list(group["node"]), _heights(members, most))[-1]
     return pd.DataFrame(
         {
             "tree": [group["tree"].iloc[0]],
             "rank": [int(group["block"].iloc[0])],
-            "members": [-(-members // SPAN)],
+            "members": [-(-members // ARITY**most)],
             "node": top,
         }
     )
 
 
-def _climb(nodes: DataFrame, purpose: str) -> tuple[list[DataFrame], DataFrame]:
+def _climb(nodes: DataFrame, most: int, purpose: str) -> tuple[list[DataFrame], DataFrame]:
     """The layers (tree, rank, members, node) of all trees, and each tree's last node with its layer."""
     layers, ends = [nodes], []
     while True:
-        above = _by_superblock(layers[-1].select("tree", "rank", "members", "node"))
-        above = written(above.groupBy("tree", "block").applyInPandas(_reduced, "tree string, rank long, members long, node string"), purpose)
+        above = _by_superblock(layers[-1].select("tree", "rank", "members", "node"), most).groupBy("tree", "block")
+        above = written(above.applyInPandas(lambda group: _reduced(most, group), "tree string, rank long, members long, node string"), purpose)
         ends.append(above.where("members = 1").select("tree", "node", F.lit(len(layers) - 1).alias("layer")))
         rest = above.where("members > 1")
         if rest.isEmpty():
@@ -132,13 +131,13 @@ def _outer_path(outer: pd.DataFrame) -> list[tuple[int, str, bool]]:
     return list(zip(map(int, outer["place"]), outer["others"], map(bool, outer["in_top"])))
 
 
-def _descended(nodes: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
+def _descended(most: int, nodes: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
     """The outer nodes of the superblock that lies below each node."""
     rows = []
     if len(nodes):
         nodes = nodes.sort_values("rank")
         above = _outer_path(outer)
-        inside = _paths(_levels(list(nodes["node"]), _heights(int(nodes["members"].iloc[0]))))
+        inside = _paths(_levels(list(nodes["node"]), _heights(int(nodes["members"].iloc[0]), most)))
         in_top = bool(nodes["in_top"].iloc[0])
         for layer, tree, block, path in zip(nodes["below_layer"], nodes["below"], nodes["below_block"], inside):
             whole = [(place, others, in_top) for place, others in path] + above
@@ -146,10 +145,10 @@ def _descended(nodes: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["layer", "tree", "block", "height", "place", "others", "in_top"])
 
 
-def _descend(layer: int, nodes: DataFrame, outer: DataFrame, purpose: str) -> DataFrame:
+def _descend(layer: int, nodes: DataFrame, outer: DataFrame, most: int) -> DataFrame:
     outer = outer.where(F.col("layer") == layer)
-    met = _by_superblock(nodes).groupBy("tree", "block").cogroup(outer.groupBy("tree", "block"))
-    return written(met.applyInPandas(_descended, OUTER), purpose)
+    met = _by_superblock(nodes, most).groupBy("tree", "block").cogroup(outer.groupBy("tree", "block"))
+    return written(met.applyInPandas(lambda inner, above: _descended(most, inner, above), OUTER), "manifest-outer")
 
 
 PROVED = (
@@ -158,12 +157,12 @@ PROVED = (
 )
 
 
-def _proved(rows: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
+def _proved(most: int, rows: pd.DataFrame, outer: pd.DataFrame) -> pd.DataFrame:
     columns = [field.split()[0] for field in PROVED.split(", ")]
     if not len(rows):
         return pd.DataFrame(columns=columns)
     rows = rows.sort_values("rank")
-    levels = _levels(list(rows["node"]), _heights(int(rows["members"].iloc[0])))
+    levels = _levels(list(rows["node"]), _heights(int(rows["members"].iloc[0]), most))
     above = _outer_path(outer)
     subroot = fold(levels[-1][0], [(place, others) for place, others, top in above if not top])
     root = fold(subroot, [(place, others) for place, others, top in above if top])
@@ -186,13 +185,14 @@ def manifest(
     id_field: str = "doc_id",
     group_field: str = "source",
     seen: dict[str, Column] | None = None,
+    heights: int = HEIGHTS,
 ) -> DataFrame:
     """Every row's id, group, rank, leaf, subroot, root and proof, and whether what was seen of it folds to the root.
 
     ``proof`` is the siblings' digests from the leaf to the root, ``path`` has for each height
     the row's place in its run and the run's length, one digit each. ``seen`` names fields that
     are read otherwise than they were (in an exchange, from a copy): ``folded_root`` starts at
-    the leaf of the fields as seen.
+    the leaf of the fields as seen. Superblocks have ``heights`` levels above their nodes.
     """
     findable(docs.sparkSession)
     kept = {name: F.col(name) for name in fields}
@@ -210,33 +210,33 @@ def manifest(
     leaves = ranked(written(leaves, "manifest-leaves"), "tree", ["sorted_id", "node"], "manifest-ranked")
     leaves = written(leaves, "manifest-placed")
 
-    layers, ends = _climb(leaves, "manifest-layer")
+    layers, ends = _climb(leaves, heights, "manifest-layer")
     groups = ranked(
         ends.select(F.lit("").alias("tree"), F.col("tree").alias("below"), "node", F.col("layer").alias("below_layer")),
         "tree", ["below"], "manifest-groups",
     )
     groups = written(groups, "manifest-groups")
-    tops, _ = _climb(groups, "manifest-top")
+    tops, _ = _climb(groups, heights, "manifest-top")
 
     spark = docs.sparkSession
     outer = spark.createDataFrame([], OUTER)
     for layer in range(len(tops) - 1, 0, -1):
-        outer = _descend(layer, _own(tops[layer], layer - 1, True), outer, "manifest-outer")
+        outer = _descend(layer, _own(tops[layer], layer - 1, True), outer, heights)
     from_top = groups.withColumns({"below_block": F.lit(0).cast("long"), "in_top": F.lit(True)})
-    from_top = _descend(0, from_top, outer, "manifest-outer")
+    from_top = _descend(0, from_top, outer, heights)
 
     outer = from_top
     for layer in range(len(layers) - 1, 0, -1):
-        inner = _descend(layer, _own(layers[layer], layer - 1, False), outer, "manifest-outer")
+        inner = _descend(layer, _own(layers[layer], layer - 1, False), outer, heights)
         outer = inner.unionByName(from_top.where(F.col("layer") == layer - 1))
 
-    rows = _by_superblock(leaves).select(
+    rows = _by_superblock(leaves, heights).select(
         "tree", "block", "rank", "members", "node", "seen",
         F.col("sorted_id").cast("string").alias("id"),
         F.when(F.col("tree") != "", F.substring("tree", 2, 2**31 - 1)).alias("grouped"),
     )
     met = rows.groupBy("tree", "block").cogroup(outer.where("layer = 0").groupBy("tree", "block"))
-    proved = met.applyInPandas(_proved, PROVED)
+    proved = met.applyInPandas(lambda own, above: _proved(heights, own, above), PROVED)
     return proved.select(
         F.col("id").cast(docs.schema[id_field].dataType).alias(id_field),
         F.col("grouped").alias(group_field),

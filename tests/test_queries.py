@@ -1,5 +1,6 @@
 """Every registered query against its SQL, on the smallest tables."""
 
+import re
 import sys
 from pathlib import Path
 
@@ -18,7 +19,11 @@ def sql():
     return connect(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+#: The text queries have tests of their own, some of them without SQL.
+NAMES = [name for name in entry.oracle_sql() if not re.match(r"op\d+_|pipeline$", name)]
+
+
+@pytest.mark.parametrize("name", NAMES)
 def test_query_matches_sql(spark, sql, name):
     df = entry.queries()[name](spark, FOLDER)
     assert difference(df, sql, entry.oracle_sql()[name]) is None

@@ -18,7 +18,7 @@ def _typed(bronze: DataFrame, topic: Topic) -> list[Column]:
     return [F.col(name).try_cast(kind).alias(name) for name, kind in topic.silver.items()]
 
 
-def _unfit(topic: Topic) -> Column:
+def is_unfit(topic: Topic) -> Column:
     """True where a value is lost by its cast or a mandatory column is empty."""
     unfit = F.lit(False)
     for name, kind in topic.silver.items():
@@ -32,7 +32,7 @@ def _unfit(topic: Topic) -> Column:
 
 def rejects(bronze: DataFrame, topic: Topic) -> DataFrame:
     """Valid bronze rows that silver cannot hold, in their bronze shape."""
-    return bronze.where((F.col("_record_status") == VALID) & _unfit(topic))
+    return bronze.where((F.col("_record_status") == VALID) & is_unfit(topic))
 
 
 def conform(
@@ -44,7 +44,7 @@ def conform(
     The hashes are computed after the reduction, once per key.
     """
     extras = [name for name in ("_source_file",) if name in bronze.columns]
-    typed = bronze.where((F.col("_record_status") == VALID) & ~_unfit(topic)).select(
+    typed = bronze.where((F.col("_record_status") == VALID) & ~is_unfit(topic)).select(
         *_typed(bronze, topic), "_ingestion_timestamp", *extras
     )
     latest = keep_latest(

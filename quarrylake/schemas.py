@@ -24,6 +24,7 @@ class Topic:
     salted: tuple[str, ...] = ()
     partition_by: str | None = None
     partition_unit: str = "day"
+    buckets: int = 16
     cluster_by: tuple[str, ...] = field(default=())
 
     @property

@@ -4,20 +4,24 @@
 once Spark's own ``_SUCCESS`` marker is there, so readers see the old state or the
 new one, and a failed write is simply written again.
 
-``PartitionedTable`` replaces only the partitions a merge touches. The new partitions
-are written aside first and then moved in, folder by folder; a merge that was cut
-off while moving is finished by the next one.
+``PartitionedTable`` replaces only the partitions a merge touches, ``BucketedTable`` only the
+buckets of its keys: what changes is written aside first and then taken in by Spark's dynamic
+partition overwrite; a change that was cut off is finished by the next one.
 
-Both allow one writer at a time.
+All allow one writer at a time.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from quarrylake.operators.key_filter import FILTER_COLUMNS, key_filters, meeting
 from quarrylake.operators.latest import keep_latest
 from quarrylake.operators.upsert import upsert
 
@@ -42,10 +46,6 @@ class Folders:
     def drop(self, path: str) -> None:
         self._fs.delete(self._path(path), True)
 
-    def move(self, path: str, to: str) -> None:
-        if not self._fs.rename(self._path(path), self._path(to)):
-            raise OSError(f"cannot move {path} to {to}")
-
 
 class VersionedTable:
     def __init__(self, spark: SparkSession, path: str):
@@ -90,16 +90,29 @@ class VersionedTable:
 
 
 class PartitionedTable:
+    """Rows under one folder per value of a partition column.
+
+    A change writes the new rows of the touched partitions aside, then Spark's dynamic
+    partition overwrite takes them into the table. What is completely written aside counts:
+    a change that was cut off while it was taken over is taken over again by the next one.
+
+    Next to the rows lies a key filter of every partition (see ``key_filters``), so a merge
+    knows which partitions can hold its keys without reading the table's keys.
+    """
+
     def __init__(self, spark: SparkSession, path: str, partition: str, schema: str | None = None):
         self.spark, self.path, self.partition = spark, path.rstrip("/"), partition
         self._schema = schema
         self.folders = Folders(spark, self.path)
-        self._staged = f"{self.path}/_staged"
+        self._staged, self._filters = f"{self.path}/_staged", f"{self.path}/_keys"
 
     def exists(self) -> bool:
         return any(name.startswith(f"{self.partition}=") for name in self.folders.names(self.path))
 
     def read(self) -> DataFrame:
+        return self._rows()
+
+    def _rows(self) -> DataFrame:
         """The rows; columns that older files lack are NULL.
 
         With a given schema no file is opened to plan the read; without one every
@@ -110,18 +123,20 @@ class PartitionedTable:
         return self.spark.read.option("mergeSchema", "true").parquet(self.path)
 
     def partitions(self) -> DataFrame:
-        return self.read().select(self.partition).distinct().orderBy(self.partition)
+        return self._rows().select(self.partition).distinct().orderBy(self.partition)
 
     def write(self, df: DataFrame) -> None:
-        """Replace the whole table."""
-        _by_partition(df, self.partition).mode("overwrite").parquet(self.path)
+        """Replace the whole table, its key filters included."""
+        writer = _by_partition(df, self.partition).option("partitionOverwriteMode", "static")
+        writer.mode("overwrite").parquet(self.path)
 
     def merge(self, source: DataFrame, keys: list[str], version_column: str) -> None:
         """Upsert; only partitions that hold a changed key, old or new, are rewritten.
 
-        Finding them reads only keys and the partition column of the target. The
-        list of partitions is as small as the table's folder list, which the
-        driver holds anyway.
+        The source is written aside once. Key filters name the partitions that may hold one of
+        its keys; of those alone the keys are read, and those with a real match are rewritten,
+        together with the partitions of the source's rows. The list of partitions is as small as
+        the table's folder list, which the driver holds anyway.
         """
         self._finish()
         source = keep_latest(source, keys, [version_column])
@@ -131,16 +146,46 @@ class PartitionedTable:
         self.folders.drop(self._staged)
         incoming = f"{self._staged}/source"
         source.write.parquet(incoming)
-        source = self.spark.read.parquet(incoming)
-        touched = (
-            self.read().select(*keys, self.partition)
-            .join(source.select(*keys), keys, "left_semi")
-            .select(self.partition)
-            .union(source.select(self.partition))
-            .distinct()
+        source = self.spark.read.schema(source.schema).parquet(incoming)
+        own = [row[0] for row in source.select(self.partition).distinct().collect()]
+        held = self.holding(source, keys)
+        touched = list({*own, *(row[0] for row in held.collect())})
+        if touched:
+            self._replace(touched, lambda old: upsert(old, source, keys, version_column), keys)
+        else:
+            self.folders.drop(self._staged)
+
+    def holding(self, source: DataFrame, keys: list[str]) -> DataFrame:
+        """The partitions that hold a key of ``source``; reads keys where the filters cannot exclude one."""
+        maybe = _is_one_of(self.partition, self._candidates(source, keys))
+        known = self._rows().where(maybe).select(*keys, self.partition)
+        return known.join(source.select(*keys), keys, "left_semi").select(self.partition).distinct()
+
+    def _candidates(self, source: DataFrame, keys: list[str]) -> list:
+        if self._filtered_keys() != list(keys):
+            self.folders.drop(self._filters)
+            self._write_filters(self._rows(), keys)
+            complete = self.spark.createDataFrame([(",".join(keys),)], "keys string")
+            complete.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/_keys_of")
+        kind = self._rows().schema[self.partition].dataType.simpleString()
+        filters = self.spark.read.schema(f"`{self.partition}` {kind}, {FILTER_COLUMNS}").parquet(self._filters)
+        return [row[0] for row in meeting(filters, source, keys, self.partition).collect()]
+
+    def _filtered_keys(self) -> list[str]:
+        """The key columns of the stored filters; none if they are not complete."""
+        if not self.folders.exists(f"{self.path}/_keys_of/{SUCCESS}"):
+            return []
+        return self.spark.read.schema("keys string").parquet(f"{self.path}/_keys_of").first()["keys"].split(",")
+
+    def _write_filters(self, rows: DataFrame, keys: list[str]) -> None:
+        (
+            key_filters(rows, keys, self.partition)
+            .hint("rebalance", F.col(self.partition))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(self.partition)
+            .parquet(self._filters)
         )
-        values = [row[0] for row in touched.collect()]
-        self._replace(values, lambda old: upsert(old, source, keys, version_column))
 
     def rewrite(
         self, days: list, change: Callable[[DataFrame], DataFrame], arranged: bool = False
@@ -148,55 +193,122 @@ class PartitionedTable:
         """Replace the given partitions by ``change`` of their rows.
 
         For backfills: give a chunk of partitions at a time and repeat a chunk that
-        failed. ``change`` must leave the partition column as it is. ``arranged``
-        says that it sorted the rows by the partition column first, and as they
+        failed. ``change`` must leave the partition column and the keys as they are.
+        ``arranged`` says that it sorted the rows by the partition column first, and as they
         shall lie in the files.
         """
         self._finish()
         self.folders.drop(self._staged)
-        known = set(self.folders.names(self.path))
-        unknown = [day for day in days if self._folder(day) not in known]
-        if unknown:
-            raise ValueError(f"no such partitions: {unknown}")
-        self._replace(list(days), change, arranged)
+        if days:
+            self._check_known([day for day in days if day is not None])
+            self._replace(list(days), change, None, arranged)
+
+    def _check_known(self, values: list) -> None:
+        if values:
+            known = self._rows().where(F.col(self.partition).isin(values)).select(self.partition).distinct()
+            asked = self.spark.createDataFrame([(value,) for value in values], ["value"])
+            unknown = asked.join(known, asked["value"] == known[self.partition], "left_anti").collect()
+            if unknown:
+                raise ValueError(f"no such partitions: {[row['value'] for row in unknown]}")
 
     def _replace(
-        self, values: list, change: Callable[[DataFrame], DataFrame], arranged: bool = False
+        self, values: list, change: Callable[[DataFrame], DataFrame], keys: list[str] | None, arranged: bool = False
     ) -> None:
-        old = self.read().where(_is_one_of(self.partition, values))
-        new = change(old)
-        if arranged:
-            writer = new.write.partitionBy(self.partition)
-        else:
-            writer = _by_partition(new, self.partition)
-        writer.parquet(f"{self._staged}/rows")
-        # partitions whose rows all went elsewhere; from here on the change counts
-        emptied = {self._folder(value) for value in values} - set(self._staged_folders())
-        names = self.spark.createDataFrame([(name,) for name in emptied], "folder string")
-        names.coalesce(1).write.parquet(f"{self._staged}/emptied")
-        self._finish()
+        """Write the changed rows of the partitions aside and take them in.
+
+        A change that only arranges the rows is made while they are taken in.
+        """
+        old = self._rows().where(_is_one_of(self.partition, values))
+        new = old if arranged else change(old)
+        folder = F.regexp_extract("_metadata.file_path", "([^/]+)/[^/]+$", 1)
+        old.select(folder.alias("folder")).distinct().coalesce(1).write.parquet(f"{self._staged}/before")
+        self._save(new, f"{self._staged}/rows")
+        about = self.spark.createDataFrame([(new.schema.json(), ",".join(keys or []))], _ABOUT)
+        about.coalesce(1).write.parquet(f"{self._staged}/about")  # from here on the change counts
+        self._finish(change if arranged else None)
+
+    def _save(self, rows: DataFrame, path: str, arranged: bool = False) -> None:
+        writer = rows.write.partitionBy(self.partition) if arranged else _by_partition(rows, self.partition)
+        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+
+    def _finish(self, arrange: Callable[[DataFrame], DataFrame] | None = None) -> None:
+        """Take what is completely staged into the table; may be cut off and repeated.
+
+        The filters go first: one that knows a key too many only costs a look at its partition.
+        Partitions whose rows all went elsewhere have nothing to be overwritten with and are removed.
+        """
+        if not self.folders.exists(f"{self._staged}/about/{SUCCESS}"):
+            return
+        [about] = self.spark.read.schema(_ABOUT).parquet(f"{self._staged}/about").collect()
+        before = self.spark.read.schema("folder string").parquet(f"{self._staged}/before").collect()
+        staged = set(self.folders.names(f"{self._staged}/rows"))
+        if any(name.startswith(f"{self.partition}=") for name in staged):
+            rows = self.spark.read.schema(StructType.fromJson(json.loads(about.columns))).parquet(f"{self._staged}/rows")
+            if about["keys"]:
+                self._write_filters(rows, about["keys"].split(","))
+            self._save(arrange(rows) if arrange else rows, self.path, arrange is not None)
+        for folder in {unquote(row.folder) for row in before} - staged:
+            self.folders.drop(f"{self.path}/{folder}")
+            self.folders.drop(f"{self._filters}/{folder}")
+        self.folders.drop(self._staged)
+
+
+class BucketedTable(PartitionedTable):
+    """A keyed table dealt to a fixed number of buckets by hash of its key.
 
-    def _folder(self, value) -> str:
-        """The folder's name as Spark writes it, signs like ``:`` escaped."""
-        text = None if value is None else str(value)
-        names = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
-        return names.getPartitionPathString(self.partition, text)
+    A key never leaves its bucket, so a merge knows the buckets it touches by its own rows and
+    rewrites those alone. Rows without a key are dealt by their content.
+    """
 
-    def _staged_folders(self) -> list[str]:
-        names = self.folders.names(f"{self._staged}/rows")
-        return [name for name in names if name.startswith(f"{self.partition}=")]
+    BUCKET = "_bucket"
 
-    def _finish(self) -> None:
-        """Move what is completely staged into the table; may be cut off and repeated."""
-        emptied = f"{self._staged}/emptied"
-        if not self.folders.exists(f"{emptied}/{SUCCESS}"):
+    def __init__(self, spark: SparkSession, path: str, keys: list[str], buckets: int = 16, schema: str | None = None):
+        super().__init__(spark, path, self.BUCKET, schema and f"{schema}, `{self.BUCKET}` int")
+        self.keys, self.buckets = list(keys), buckets
+
+    def read(self) -> DataFrame:
+        return self._rows().drop(self.BUCKET)
+
+    def _dealt(self, rows: DataFrame) -> DataFrame:
+        keyless = F.lit(False)
+        for name in self.keys:
+            keyless = keyless | F.col(name).isNull()
+        # numbers of any width and texts alike hash by their text
+        by_key = F.xxhash64(*[F.col(name).cast("string") for name in self.keys])
+        by_row = F.xxhash64(*[name for name in rows.columns if name != self.BUCKET])
+        bucket = F.pmod(F.when(keyless, by_row).otherwise(by_key), F.lit(self.buckets))
+        return rows.withColumn(self.BUCKET, bucket.cast("int"))
+
+    def write(self, df: DataFrame) -> None:
+        super().write(self._dealt(df))
+
+    def merge(self, source: DataFrame, keys: list[str], version_column: str) -> None:
+        if list(keys) != self.keys:
+            raise ValueError(f"the table is dealt by {self.keys}, not by {keys}")
+        self._finish()
+        source = keep_latest(source, keys, [version_column])
+        if not self.exists():
+            self.write(source)
+            return
+        self.folders.drop(self._staged)
+        self._dealt(source).write.parquet(f"{self._staged}/source")
+        source = self.spark.read.parquet(f"{self._staged}/source")
+        touched = [row[0] for row in source.select(self.BUCKET).distinct().collect()]
+        if not touched:
+            self.folders.drop(self._staged)
             return
-        for row in self.spark.read.schema("folder string").parquet(emptied).collect():
-            self.folders.drop(f"{self.path}/{row.folder}")
-        for name in self._staged_folders():
-            self.folders.drop(f"{self.path}/{name}")
-            self.folders.move(f"{self._staged}/rows/{name}", f"{self.path}/{name}")
+        self._replace(touched, lambda old: upsert(old, source, keys, version_column), None)
+
+    def arrange(self, change: Callable[[DataFrame], DataFrame]) -> None:
+        """Rewrite all buckets in the order that ``change`` gives their rows."""
+        self._finish()
         self.folders.drop(self._staged)
+        if self.exists():
+            buckets = [row[0] for row in self._rows().select(self.BUCKET).distinct().collect()]
+            self._replace(buckets, change, None, arranged=True)
+
+
+_ABOUT = "columns string, keys string"
 
 
 def _is_one_of(name: str, values: list):

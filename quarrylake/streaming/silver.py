@@ -4,18 +4,20 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from quarrylake.operators.quality_rules import VALID
 from quarrylake.plans.run_log import log_run
-from quarrylake.plans.silver import conform, rejects
+from quarrylake.plans.silver import conform, is_unfit
 from quarrylake.schemas import Topic, ddl
 from quarrylake.sources.layout import z_ordered
-from quarrylake.sources.tables import PartitionedTable, Folders, VersionedTable
+from quarrylake.sources.tables import BucketedTable, Folders, PartitionedTable
 from quarrylake.streaming.bronze import BronzeTable
 
+#: The bronze file that a row was read from.
+BRONZE_FILE = "_bronze_file"
 _MARKS = "feed string, batch_id int"
 _ADDED = {"_ingestion_timestamp": "timestamp", "_silver_processed_at": "timestamp"}
 
@@ -28,9 +30,9 @@ def since(df: DataFrame, column: str, mark: datetime | None) -> DataFrame:
 class SilverTable:
     """A topic's silver table and the marks of the bronze batches it holds.
 
-    Facts with a partition column replace the days a merge touches, dimensions get
-    a new version. The marks are stored after the merge: a run that fails in between
-    merges the same batches again, which changes nothing.
+    Facts with a partition column replace the days a merge touches, dimensions the hash
+    buckets of the keys it touches. The marks are stored after the merge: a run that fails in
+    between merges the same batches again, which changes nothing.
     """
 
     def __init__(self, spark: SparkSession, path: str, topic: Topic):
@@ -40,7 +42,7 @@ class SilverTable:
             columns = {**topic.silver, **_ADDED, by: "date"}
             self.rows = PartitionedTable(spark, f"{path}/rows", by, ddl(columns))
         else:
-            self.rows = VersionedTable(spark, f"{path}/rows")
+            self.rows = BucketedTable(spark, f"{path}/rows", [topic.key], topic.buckets)
         self._marks = f"{path}/marks"
 
     def read(self) -> DataFrame:
@@ -65,15 +67,31 @@ class SilverTable:
                 partitions, lambda old: z_ordered(old, columns, files, within=by), arranged=True
             )
         else:
-            self.rows.write(z_ordered(self.rows.read(), columns, files))
+            self.rows.arrange(lambda old: z_ordered(old, columns, files, within=BucketedTable.BUCKET))
 
     def keep_rejects(self, rows: DataFrame) -> None:
-        """Store bronze rows silver cannot hold, by feed and batch; a batch overwrites its own folder."""
+        """Store bronze rows silver cannot hold, by the bronze file they lie in (``BRONZE_FILE``).
+
+        A bronze batch may come in several runs, each with other files of it: rows of a file replace
+        what was stored of that file, and rows of the batch's other files stay. Only the batches of
+        ``rows`` are rewritten, by Spark's dynamic partition overwrite.
+        """
+        stored = f"{self.path}/rejects"
+        if Folders(self.spark, self.path).exists(stored):
+            batches = rows.select("feed", "batch_id").distinct()
+            files = rows.select(BRONZE_FILE).distinct()
+            others = (
+                self.spark.read.schema(rows.schema).parquet(stored)
+                .join(batches, ["feed", "batch_id"], "left_semi")
+                .join(files, BRONZE_FILE, "left_anti")
+            )
+            rows = rows.unionByName(others)
         (
-            rows.write.mode("overwrite")
+            rows.hint("rebalance", F.col("feed"), F.col("batch_id"))
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("feed", "batch_id")
-            .parquet(f"{self.path}/rejects")
+            .parquet(stored)
         )
 
     def rejects(self, bronze: BronzeTable) -> DataFrame:
@@ -109,33 +127,47 @@ def refresh(
     batches = bronze.complete_batches(after=marks)
     if not batches:
         return {}
-    new = bronze.valid().where(_between(marks, batches))
+    new = _with_file(bronze.valid().where(_between(marks, batches)))
     _merge(new, silver, started, salt, run_log, "refresh")
     silver.add_marks(batches)
     return batches
 
 
+def _with_file(bronze_rows: DataFrame) -> DataFrame:
+    return bronze_rows.select("*", F.col("_metadata.file_path").alias(BRONZE_FILE))
+
+
 def _merge(
     new: DataFrame, silver: SilverTable, started: datetime, salt: str | None, run_log: str | None, job: str
 ) -> None:
     """Store what silver cannot hold, merge the rest, and log the run either way.
 
-    Of the rows read, those written went into the merge, the invalid ones to the rejects.
+    The input runs once: it is written aside, split into rows that fit and rows that do not, and
+    counted by that write. Of the rows read, those written went into the merge, the invalid ones
+    to the rejects. Without rows neither table is touched.
     """
     about = dict(
         run_id=f"silver/{silver.topic.name}/{started.isoformat()}", topic=silver.topic.name, layer="silver",
         job=job, started=started,
     )
     try:
-        unfit = rejects(new, silver.topic)
-        silver.keep_rejects(unfit)
-        silver.merge(conform(new, silver.topic, started, salt))
+        aside, counts = f"{silver.path}/incoming", Observation()
+        split = new.withColumn("_fits", ~is_unfit(silver.topic)).observe(
+            counts, F.count("*").alias("read"), F.count_if(~F.col("_fits")).alias("unfit")
+        )
+        split.write.mode("overwrite").partitionBy("_fits").parquet(aside)
+        read, invalid = counts.get["read"], counts.get["unfit"]
+        rows = silver.spark.read.schema(split.schema).parquet(aside)
+        if invalid:
+            silver.keep_rejects(rows.where(~F.col("_fits")).drop("_fits"))
+        if read > invalid:
+            fitting = rows.where("_fits").drop("_fits", BRONZE_FILE)
+            silver.merge(conform(fitting, silver.topic, started, salt))
     except Exception as failure:
         if run_log:
             log_run(silver.spark, run_log, status="failed", error=str(failure), **about)
         raise
     if run_log:
-        read, invalid = new.count(), unfit.count()
         log_run(
             silver.spark, run_log, status="success", read=read, written=read - invalid, invalid=invalid, **about
         )
@@ -151,8 +183,8 @@ def stream_to_silver(
         spark.readStream.schema(bronze.schema)
         .option("maxFilesPerTrigger", max_files)
         .parquet(bronze.path)
-        .where(F.col("_record_status") == VALID)
     )
+    rows = _with_file(rows).where(F.col("_record_status") == VALID)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         _merge(batch, silver, datetime.now(timezone.utc), salt, run_log, "stream")

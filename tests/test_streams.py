@@ -259,3 +259,61 @@ def test_rejects_are_kept_once_after_a_failed_run(spark, rows, landing, bronze,
     assert sorted(r.status for r in read_runs(spark, log).collect()) == ["failed", "success"]
     silver.optimize(files=1)
     assert rows(silver.read(), "order_id") == [("o2",), ("o3",)]
+
+
+def test_rejects_of_one_batch_read_in_parts(spark, rows, landing, bronze, tmp_path):
+    silver, log = SilverTable(spark, str(tmp_path / "silver"), ORDERS), str(tmp_path / "silver_log")
+    landing.put(order("a1", order_date="31/12/2023"), order("a2"))
+    landing.put(order("b1", order_date="31/12/2023"), order("b2"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1")
+    try:
+        run(bronze, landing, tmp_path)  # one batch of several files
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    more = order("c1", order_date="31/12/2023")
+    bronze.valid().limit(1).drop("feed", "batch_id", "_record_status").withColumns(
+        {"order_id": F.lit(more["order_id"]), "order_date": F.lit(more["order_date"])}
+    ).write.mode("append").parquet(
+        f"{bronze.path}/feed={bronze.read().first().feed}/batch_id=0/_record_status=valid"
+    )
+    for attempt in range(2):  # the second one is a fresh stream that reads all of it again
+        query = stream_to_silver(bronze, silver, str(tmp_path / f"silver_cp{attempt}"), run_log=log, max_files=1)
+        assert query.awaitTermination(120) and query.exception() is None
+        assert rows(silver.rejects(bronze), "order_id") == [("a1",), ("b1",), ("c1",)]
+        assert rows(silver.read(), "order_id") == [("a2",), ("b2",)]
+    logged = read_runs(spark, log).agg(F.sum("records_read"), F.sum("records_written"), F.sum("records_invalid")).first()
+    assert tuple(logged) == (10, 4, 6)
+
+
+def test_empty_batches_touch_nothing(spark, rows, landing, bronze, tmp_path):
+    silver, log = SilverTable(spark, str(tmp_path / "silver"), ORDERS), str(tmp_path / "silver_log")
+    landing.put(order(None))
+    run(bronze, landing, tmp_path)
+    assert len(refresh(bronze, silver, run_log=log)) == 1  # nothing valid, but the batch is done
+    assert refresh(bronze, silver, run_log=log) == {}
+    assert not silver.rows.exists() and not (tmp_path / "silver" / "rejects").exists()
+    assert rows(read_runs(spark, log), "records_read", "records_written", "records_invalid") == [(0, 0, 0)]
+
+
+def test_silver_runs_its_input_once(spark, rows, bronze, tmp_path):
+    from datetime import datetime
+
+    from quarrylake.streaming.silver import BRONZE_FILE, _merge
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(value):
+        seen.add(1)
+        return value
+
+    data = [(f"o{i}", "c", "2024-01-01" if i % 4 else "never", 1.0, "valid", "f", 0) for i in range(20)]
+    batch = spark.createDataFrame(data, "order_id string, customer_id string, order_date string, total_amount double, _record_status string, feed string, batch_id int")
+    for name in ("status", "payment_method", "shipping_address_id", "_source_file"):
+        batch = batch.withColumn(name, F.lit(None).cast("string"))
+    batch = batch.withColumns({"_ingestion_timestamp": F.lit(datetime(2024, 1, 1)), BRONZE_FILE: F.lit("file")})
+    silver = SilverTable(spark, str(tmp_path / "silver"), ORDERS)
+    log = str(tmp_path / "log")
+    _merge(batch.withColumn("order_id", counted("order_id")), silver, datetime(2024, 1, 2), None, log, "test")
+    assert seen.value == 20 and silver.read().count() == 15
+    assert rows(read_runs(spark, log), "records_read", "records_written", "records_invalid") == [(20, 15, 5)]

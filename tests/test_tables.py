@@ -1,11 +1,13 @@
+import re
 from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from quarrylake.operators.key_filter import key_filters, meeting
 from quarrylake.operators.reshape import group_columns, split_columns
 from quarrylake.sources import layout
-from quarrylake.sources.tables import Folders, PartitionedTable, VersionedTable, table_files
+from quarrylake.sources.tables import BucketedTable, Folders, PartitionedTable, VersionedTable, table_files
 from quarrylake.workspace import new_folder, shared_root
 
 T1, T2, T3 = datetime(2024, 1, 1), datetime(2024, 1, 2), datetime(2024, 1, 3)
@@ -67,28 +69,79 @@ def test_untouched_partitions_are_not_rewritten(spark, tmp_path):
     assert {p.name for p in (tmp_path / "fact" / "day=2024-01-02").glob("*.parquet")} == files
 
 
-@pytest.mark.parametrize("moves", [0, 1])
-def test_merge_cut_off_while_moving_is_finished_later(spark, rows, tmp_path, monkeypatch, moves):
+@pytest.mark.parametrize("step", ["filters", "rows", "emptied"])
+def test_merge_cut_off_while_taken_over_is_finished_later(spark, rows, tmp_path, monkeypatch, step):
     path = str(tmp_path / "fact")
     table = PartitionedTable(spark, path, "day")
     table.merge(first_rows(spark), ["k"], "ts")
-    done, real = [], Folders.move
-
-    def cut_off(self, source, to):
-        if len(done) == moves:
-            raise OSError("driver lost")
-        done.append(to)
-        real(self, source, to)
-
-    monkeypatch.setattr(Folders, "move", cut_off)
-    with pytest.raises(OSError):
-        table.merge(later_rows(spark), ["k"], "ts")
-    monkeypatch.setattr(Folders, "move", real)
+    table._candidates(first_rows(spark), ["k"])  # the filters exist
+
+    def lost(*_):
+        raise OSError("driver lost")
+
+    with monkeypatch.context() as patch:
+        if step == "filters":
+            patch.setattr(PartitionedTable, "_write_filters", lost)
+        elif step == "rows":
+            save = PartitionedTable._save
+            patch.setattr(PartitionedTable, "_save", lambda self, df, to, *more: lost() if to == path else save(self, df, to, *more))
+        else:
+            drop = Folders.drop
+            patch.setattr(Folders, "drop", lambda self, to: lost() if "day=2024-01-03" in to else drop(self, to))
+        with pytest.raises(OSError):
+            table.merge(later_rows(spark), ["k"], "ts")
     again = PartitionedTable(spark, path, "day")
     again.merge(spark.createDataFrame([("z", "3", T3, D3)], SCHEMA), ["k"], "ts")
     assert rows(again.read(), "k", "v", "day") == sorted([*MERGED, ("z", "3", D3)], key=str)
 
 
+def test_merge_reads_keys_of_partitions_that_can_hold_them_only(spark, rows, tmp_path):
+    table = PartitionedTable(spark, str(tmp_path / "fact"), "day", SCHEMA)
+    days = [(f"k{i}", "1", T1, date(2024, 1, 1 + i % 28)) for i in range(2800)]
+    table.merge(spark.createDataFrame(days, SCHEMA), ["k"], "ts")
+    source = spark.createDataFrame([("k3", "2", T2, D1), ("new", "2", T2, D2), (None, "2", T2, D2)], SCHEMA)
+    held = table.holding(source, ["k"])
+    plan = held._jdf.queryExecution().executedPlan().toString()
+    [filters] = re.findall(r"PartitionFilters: \[([^\]]*)", plan)
+    assert "day" in filters and re.findall(r"20\d\d-\d\d-\d\d|\b\d{5}\b", filters) in (["2024-01-04"], ["19726"])
+    assert rows(held) == [(date(2024, 1, 4),)]
+    table.merge(source, ["k"], "ts")
+    assert rows(table.read().where("k = 'k3'"), "v", "day") == [("2", D1)]
+    assert table.read().count() == 2802
+    # the filters follow the moved key
+    assert rows(table.holding(source.where("k = 'k3'"), ["k"])) == [(D1,)]
+
+
+def test_key_filters_miss_no_key_and_name_few_others(spark):
+    known = spark.range(20_000).select("id", (F.col("id") % 10).alias("part"))
+    filters = key_filters(known, ["id"], "part")
+    assert meeting(filters, spark.range(3, 4).toDF("id"), ["id"], "part").collect() == [(3,)]
+    assert meeting(filters, known, ["id"], "part").count() == 10
+    assert meeting(filters, spark.range(50_000, 52_000).toDF("id"), ["id"], "part").count() <= 1
+    assert meeting(filters.where("false"), known, ["id"], "part").count() == 0
+    nulls = known.select(F.lit(None).cast("bigint").alias("id"), "part")
+    assert meeting(key_filters(nulls, ["id"], "part"), nulls, ["id"], "part").count() == 0
+
+
+def test_bucketed_merge_rewrites_one_bucket(spark, rows, tmp_path):
+    path = tmp_path / "dim"
+    table = BucketedTable(spark, str(path), ["k"], buckets=8)
+    assert not table.exists()
+    schema = "k string, v string, at int"
+    table.merge(spark.createDataFrame([(f"k{i}", "old", 1) for i in range(100)] + [(None, "x", 1)], schema), ["k"], "at")
+    files = set(path.rglob("*.parquet"))
+    table.merge(spark.createDataFrame([("k7", "new", 2), ("k7", "older", 1)], schema), ["k"], "at")
+    gone = files - set(path.rglob("*.parquet"))
+    assert len({file.parent for file in gone}) == 1
+    assert table.read().columns == ["k", "v", "at"]
+    assert rows(table.read().where("v <> 'old'")) == sorted([("k7", "new", 2), (None, "x", 1)], key=str)
+    assert table.read().count() == 101
+    table.merge(spark.createDataFrame([("k8", "grown", 3, 5)], schema + ", more int"), ["k"], "at")
+    assert rows(table.read().where("more is not null or k = 'k9'")) == [("k8", "grown", 3, 5), ("k9", "old", 1, None)]
+    with pytest.raises(ValueError, match="dealt by"):
+        table.merge(spark.createDataFrame([("a", "b", 1)], schema), ["v"], "at")
+
+
 def test_failed_change_leaves_the_table(spark, rows, tmp_path):
     table = PartitionedTable(spark, str(tmp_path / "fact"), "day")
     table.write(first_rows(spark))

@@ -10,7 +10,11 @@ from quarrylake.operators.quality_rules import VALID
 
 
 def order_summary(fact_orders: DataFrame, dim_customers: DataFrame) -> DataFrame:
-    """One row per order with its customer; ``customer_id`` is the customer side's."""
+    """One row per order with its customer; ``customer_id`` is the customer side's.
+
+    Facts that are stored by day keep their day, so that a date range reads its days only.
+    """
+    day = [name for name in ("order_day",) if name in fact_orders.columns]
     customer = dim_customers.select(
         F.col("customer_id").alias("_ref"),
         "customer_id",
@@ -34,6 +38,7 @@ def order_summary(fact_orders: DataFrame, dim_customers: DataFrame) -> DataFrame
         "customer_state",
         "customer_country",
         "_silver_processed_at",
+        *day,
     )
 
 
@@ -143,6 +148,16 @@ def materialize(view: DataFrame, path: str) -> None:
     view.write.mode("overwrite").parquet(path)
 
 
-def in_date_range(df: DataFrame, column: str, first: str, last: str) -> DataFrame:
-    """Rows with ``first <= column <= last``; prunes partitions of a day column."""
-    return df.where(F.col(column).between(F.lit(first), F.lit(last)))
+def in_date_range(df: DataFrame, column: str, first: str, last: str, day: str | None = None) -> DataFrame:
+    """Rows with ``first <= column <= last``.
+
+    A range on a time says nothing to Spark about the folders of the days the rows are stored by.
+    With ``day``, the column that holds the date of ``column``, the range of days that follows from
+    it is asked for too and prunes the folders. Rows without a time are in no range.
+    """
+    low, high = F.lit(first), F.lit(last)
+    inside = F.col(column).between(low, high)
+    if day:
+        days = [bound.cast("timestamp").cast("date") for bound in (low, high)]
+        inside = inside & F.col(day).between(*days)
+    return df.where(inside)

@@ -66,6 +66,17 @@ class Inputs:
         """Each order as it stands, delivered once, without its items."""
         return self.table("orders").select(*self._order_columns(F.col("o_orderstatus")))
 
+    def order_messages_with_items(self) -> DataFrame:
+        """The same messages, each with one item per line of its order."""
+        item = F.struct(
+            F.col("l_partkey").cast("string").alias("product_id"),
+            F.col("l_quantity").cast("int").alias("quantity"),
+            (F.col("l_extendedprice") / F.col("l_quantity")).alias("unit_price"),
+        )
+        items = self.table("lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_list(item).alias("items"))
+        orders = self.table("orders").join(items, "o_orderkey", "left")
+        return orders.select(*self._order_columns(F.col("o_orderstatus")), "items")
+
     def _delivered(self, orders: DataFrame, extra: list[Column], later: Column | None = None) -> DataFrame:
         """One row per delivery: finished orders come twice, first as open, then at ``later``."""
         later = stamp(SECOND_DELIVERY) if later is None else later

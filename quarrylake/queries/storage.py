@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarrylake.operators.reshape import group_columns, split_columns
 from quarrylake.operators.upsert import update_columns
 from quarrylake.plans import gold
+from quarrylake.plans.run_log import read_runs
 from quarrylake.plans.silver import conform
 from quarrylake.queries import query
 from quarrylake.queries.changes import _DISCOUNTS, _discounts
@@ -21,10 +20,11 @@ from quarrylake.queries.inputs import (
     SQL_CUSTOMERS,
     SQL_FACT,
     SQL_MESSAGES,
+    SQL_PRODUCTS,
     Inputs,
     stamp,
 )
-from quarrylake.schemas import CUSTOMERS, ORDERS
+from quarrylake.schemas import CUSTOMERS, ORDERS, PRODUCTS, ddl
 from quarrylake.sources import layout
 from quarrylake.sources.landing import read_landing_hours, write_landing
 from quarrylake.sources.tables import PartitionedTable, VersionedTable, table_files
@@ -33,27 +33,29 @@ from quarrylake.streaming.silver import SilverTable, refresh, since, stream_to_s
 from quarrylake.workspace import new_folder
 
 
-# The given orders are few per day: folders by month keep the files from being tiny.
-ORDERS_BY_MONTH = replace(ORDERS, partition_by="order_month", partition_unit="month")
-_MONTH = "CAST(date_trunc('month', {}) AS DATE) AS order_month"
+_DAY = "CAST({} AS DATE) AS order_day"
+#: The stream below reads bronze files one by one, so a batch comes in several parts.
+_ROWS_PER_FILE = 2000
 
 
-def _land(inputs: Inputs, folder: str, orders: DataFrame) -> None:
-    """Orders arrive with the first hour of their month; unreadable dates at once."""
-    month = F.date_trunc("month", F.col("order_date").try_cast("timestamp"))
-    write_landing(orders, folder, F.coalesce(month, stamp(FIRST_DELIVERY)))
+def _land(folder: str, rows: DataFrame, key: str) -> None:
+    """Messages arrive hour by hour over two days, dealt by key; those without a readable key first."""
+    hour = F.coalesce(F.col(key).try_cast("bigint") % 48, F.lit(0))
+    write_landing(rows, folder, stamp(FIRST_DELIVERY) + F.make_dt_interval(hours=hour.cast("int")))
 
 
-def _ingested(inputs: Inputs) -> tuple[BronzeTable, str]:
-    base = new_folder(inputs.spark, "orders")
-    _land(inputs, f"{base}/landing", inputs.order_messages())
-    bronze = BronzeTable(inputs.spark, f"{base}/bronze", ORDERS)
-    ingest(bronze, f"{base}/landing", f"{base}/bronze_checkpoint").awaitTermination()
+def _ingested(inputs: Inputs, topic=ORDERS, messages: DataFrame | None = None, run_log: str | None = None) -> tuple[BronzeTable, str]:
+    base = new_folder(inputs.spark, topic.name)
+    messages = inputs.order_messages_with_items() if messages is None else messages
+    _land(f"{base}/landing", messages, topic.key)
+    bronze = BronzeTable(inputs.spark, f"{base}/bronze", topic, _ROWS_PER_FILE)
+    ingest(bronze, f"{base}/landing", f"{base}/bronze_checkpoint", run_log=run_log).awaitTermination()
     return bronze, base
 
 
 _STATUS = """CASE WHEN trim(order_id) = '' OR customer_id IS NULL OR total_amount IS NULL
   THEN 'invalid' ELSE 'valid' END"""
+_READABLE = "TRY_CAST(order_date AS TIMESTAMP) IS NOT NULL"
 
 
 @query(f"""
@@ -65,6 +67,20 @@ def bronze_stream_counts(inputs: Inputs) -> DataFrame:
     return bronze.read().groupBy("_record_status").agg(F.count("*").alias("records"))
 
 
+@query(f"""
+SELECT CAST(l_partkey AS VARCHAR) AS product_id, count(*) AS lines, CAST(sum(l_quantity) AS BIGINT) AS quantity
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+WHERE o_totalprice >= 2000 AND o_totalprice <= 495000
+  AND NOT (o_orderstatus = 'P' AND o_orderpriority = '5-LOW')
+GROUP BY l_partkey
+""")
+def bronze_items_from_stream(inputs: Inputs) -> DataFrame:
+    """Items of the valid orders after landing and stream."""
+    bronze, _ = _ingested(inputs)
+    items = gold.order_items(bronze.read())
+    return items.groupBy("product_id").agg(F.count("*").alias("lines"), F.sum("quantity").alias("quantity"))
+
+
 @query(f"""
 WITH {SQL_MESSAGES}
 SELECT order_id, {_STATUS} AS _record_status FROM messages
@@ -72,7 +88,7 @@ SELECT order_id, {_STATUS} AS _record_status FROM messages
 def bulk_loaded_orders(inputs: Inputs) -> DataFrame:
     """The same files as one batch job."""
     base = new_folder(inputs.spark, "history")
-    _land(inputs, f"{base}/landing", inputs.order_messages())
+    _land(f"{base}/landing", inputs.order_messages_with_items(), "order_id")
     bronze = BronzeTable(inputs.spark, f"{base}/bronze", ORDERS)
     bulk_load(bronze, f"{base}/landing", "history-1")
     return bronze.read().select("order_id", "_record_status")
@@ -81,62 +97,178 @@ def bulk_loaded_orders(inputs: Inputs) -> DataFrame:
 _SILVER_ROWS = f"""
 WITH {SQL_MESSAGES}
 SELECT order_id, customer_id, TRY_CAST(order_date AS TIMESTAMP) AS order_date, total_amount, status,
-  {_MONTH.format("TRY_CAST(order_date AS TIMESTAMP)")}
-FROM messages WHERE {_STATUS} = 'valid' AND TRY_CAST(order_date AS TIMESTAMP) IS NOT NULL
+  {_DAY.format("TRY_CAST(order_date AS TIMESTAMP)")}
+FROM messages WHERE {_STATUS} = 'valid' AND {_READABLE}
 """
-_SILVER_COLUMNS = ["order_id", "customer_id", "order_date", "total_amount", "status", "order_month"]
+_SILVER_COLUMNS = ["order_id", "customer_id", "order_date", "total_amount", "status", "order_day"]
 
 
 @query(_SILVER_ROWS)
 def silver_from_new_batches(inputs: Inputs) -> DataFrame:
     """Landing to bronze to silver, by high-water mark, in two rounds of arrivals."""
-    base, orders = new_folder(inputs.spark, "orders"), inputs.order_messages()
+    base, orders = new_folder(inputs.spark, "orders"), inputs.order_messages_with_items()
     bronze = BronzeTable(inputs.spark, f"{base}/bronze", ORDERS)
-    silver = SilverTable(inputs.spark, f"{base}/fact_orders", ORDERS_BY_MONTH)
+    silver = SilverTable(inputs.spark, f"{base}/fact_orders", ORDERS)
     finished = F.col("status") == "F"
     for name, arrived in (("first", orders.where(~finished)), ("second", orders.where(finished))):
-        _land(inputs, f"{base}/{name}", arrived)
+        _land(f"{base}/{name}", arrived, "order_id")
         ingest(bronze, f"{base}/{name}", f"{base}/{name}_checkpoint").awaitTermination()
         refresh(bronze, silver)
     return silver.read().select(*_SILVER_COLUMNS)
 
 
+def _streamed(inputs: Inputs, run_log: str | None = None) -> tuple[SilverTable, BronzeTable]:
+    bronze, base = _ingested(inputs, run_log=run_log)
+    silver = SilverTable(inputs.spark, f"{base}/fact_orders", ORDERS)
+    stream_to_silver(bronze, silver, f"{base}/silver_checkpoint", run_log=run_log, max_files=2).awaitTermination()
+    return silver, bronze
+
+
 @query(_SILVER_ROWS)
 def silver_from_stream(inputs: Inputs) -> DataFrame:
-    """Landing to bronze to silver, both as streams."""
-    bronze, base = _ingested(inputs)
-    silver = SilverTable(inputs.spark, f"{base}/fact_orders", ORDERS_BY_MONTH)
-    stream_to_silver(bronze, silver, f"{base}/silver_checkpoint").awaitTermination()
-    return silver.read().select(*_SILVER_COLUMNS)
+    """Landing to bronze to silver, both as streams; a bronze batch comes in several parts."""
+    return _streamed(inputs)[0].read().select(*_SILVER_COLUMNS)
+
+
+@query(f"""
+WITH {SQL_MESSAGES}
+SELECT order_id, order_date, CASE WHEN {_READABLE} THEN 'silver' ELSE 'rejects' END AS kept_in
+FROM messages WHERE {_STATUS} = 'valid'
+""")
+def silver_rejects_from_stream(inputs: Inputs) -> DataFrame:
+    """Every valid bronze row is in silver or in the rejects, also if its batch came in several parts."""
+    silver, bronze = _streamed(inputs)
+    text = F.date_format("order_date", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("order_date")
+    kept = silver.read().select("order_id", text, F.lit("silver").alias("kept_in"))
+    return kept.unionByName(silver.rejects(bronze).select("order_id", "order_date", F.lit("rejects").alias("kept_in")))
+
+
+@query(f"""
+WITH {SQL_MESSAGES}, counted AS (
+  SELECT count(*) AS arrived, count(*) FILTER ({_STATUS} = 'valid') AS valid,
+    count(*) FILTER ({_STATUS} = 'valid' AND {_READABLE}) AS typed FROM messages)
+SELECT 'orders' AS topic_name, 'bronze' AS layer, 'ingest' AS job_name, 'success' AS status,
+  arrived AS records_read, valid AS records_written, arrived - valid AS records_invalid FROM counted
+UNION ALL SELECT 'orders', 'silver', 'stream', 'success', valid, typed, valid - typed FROM counted
+UNION ALL SELECT 'orders', 'silver', 'refresh', 'success', valid, typed, valid - typed FROM counted
+UNION ALL
+SELECT 'customers', 'bronze', 'ingest', 'success', count(*), count(*) FILTER (c_acctbal >= 0), count(*) FILTER (c_acctbal < 0)
+FROM customer
+UNION ALL SELECT 'customers', 'silver', 'refresh', 'failed', 0, 0, 0
+""")
+def silver_run_log(inputs: Inputs) -> DataFrame:
+    """What the runs of two topics logged; the customers lack a salt, so their run fails."""
+    log = new_folder(inputs.spark, "runs")
+    _, bronze = _streamed(inputs, log)
+    again = SilverTable(inputs.spark, new_folder(inputs.spark, "fact_orders"), ORDERS)
+    for _ in range(2):  # the second time there is nothing new, and nothing is logged
+        refresh(bronze, again, run_log=log)
+    customers, base = _ingested(inputs, CUSTOMERS, inputs.customer_messages(), log)
+    try:
+        refresh(customers, SilverTable(inputs.spark, f"{base}/dim_customers", CUSTOMERS), run_log=log)
+    except ValueError:
+        pass  # it is in the log
+    counts = [F.sum(name).alias(name) for name in ("records_read", "records_written", "records_invalid")]
+    return read_runs(inputs.spark, log).groupBy("topic_name", "layer", "job_name", "status").agg(*counts)
+
+
+_NO_TIMES = "* EXCLUDE (_ingestion_timestamp, _silver_processed_at)"
+
+
+def _dimension(inputs: Inputs, topic, messages: DataFrame) -> DataFrame:
+    """Landing to bronze to silver, in two rounds of arrivals."""
+    base = new_folder(inputs.spark, topic.name)
+    bronze = BronzeTable(inputs.spark, f"{base}/bronze", topic)
+    silver = SilverTable(inputs.spark, f"{base}/silver", topic)
+    odd = F.col(topic.key).cast("bigint") % 2 == 1
+    for name, arrived in (("first", messages.withColumn("name", F.lit("old"))), ("second", messages.where(odd)), ("third", messages.where(~odd))):
+        _land(f"{base}/{name}", arrived, topic.key)
+        ingest(bronze, f"{base}/{name}", f"{base}/{name}_checkpoint").awaitTermination()
+        refresh(bronze, silver, SALT)
+    return silver.read().drop("_ingestion_timestamp", "_silver_processed_at")
+
+
+@query(f"WITH {SQL_CUSTOMERS} SELECT {_NO_TIMES} FROM dim_customers")
+def dim_customers_from_stream(inputs: Inputs) -> DataFrame:
+    return _dimension(inputs, CUSTOMERS, inputs.customer_messages())
+
+
+@query(f"WITH {SQL_PRODUCTS} SELECT {_NO_TIMES} FROM dim_products")
+def dim_products_from_stream(inputs: Inputs) -> DataFrame:
+    return _dimension(inputs, PRODUCTS, inputs.product_messages())
 
 
 @query(f"""
 WITH {SQL_MESSAGES}
-SELECT CAST(year(arrival) AS INTEGER) AS year, CAST(month(arrival) AS INTEGER) AS month, count(*) AS records
-FROM (
-  SELECT coalesce(date_trunc('month', TRY_CAST(order_date AS TIMESTAMP)), TIMESTAMP '2002-01-01') AS arrival
-  FROM messages
-) GROUP BY 1, 2
+SELECT CAST(year(arrival) AS INTEGER) AS year, CAST(month(arrival) AS INTEGER) AS month,
+  CAST(day(arrival) AS INTEGER) AS day, CAST(hour(arrival) AS INTEGER) AS hour, count(*) AS records
+FROM (SELECT TIMESTAMP '2002-01-01' + to_hours(CAST(coalesce(TRY_CAST(order_id AS BIGINT) % 48, 0) AS INTEGER)) AS arrival
+  FROM messages)
+GROUP BY ALL
 """)
 def landing_hours(inputs: Inputs) -> DataFrame:
     base = new_folder(inputs.spark, "landing")
-    _land(inputs, base, inputs.order_messages())
+    _land(base, inputs.order_messages_with_items(), "order_id")
     hours = read_landing_hours(inputs.spark, ORDERS, base)
-    return hours.groupBy("year", "month").agg(F.count("*").alias("records"))
+    return hours.groupBy("year", "month", "day", "hour").agg(F.count("*").alias("records"))
 
 
-@query(f"WITH {SQL_FACT} SELECT *, {_MONTH.format('order_date')} FROM fact")
-def fact_orders_merged(inputs: Inputs) -> DataFrame:
-    """The first deliveries written by month, then the later ones merged in."""
+def _fact_table(inputs: Inputs) -> PartitionedTable:
+    """The first deliveries written by day, then the later ones merged in."""
     bronze = inputs.bronze_orders
     later = since(bronze, "_ingestion_timestamp", FIRST_DELIVERY)
     first = bronze.where(F.col("_ingestion_timestamp") <= stamp(FIRST_DELIVERY))
-    table = PartitionedTable(inputs.spark, new_folder(inputs.spark, "fact_orders"), "order_month")
+    schema = ddl({**ORDERS.silver, "_ingestion_timestamp": "timestamp", "_silver_processed_at": "timestamp", "order_day": "date"})
+    table = PartitionedTable(inputs.spark, new_folder(inputs.spark, "fact_orders"), "order_day", schema)
     for part in (first, later):
-        rows = conform(part, ORDERS, PROCESSED_AT)
-        rows = rows.withColumn("order_month", F.trunc("order_date", "month"))
+        rows = conform(part, ORDERS, PROCESSED_AT).withColumn("order_day", F.to_date("order_date"))
         table.merge(rows, ["order_id"], "_ingestion_timestamp")
-    return table.read()
+    return table
+
+
+@query(f"WITH {SQL_FACT} SELECT *, {_DAY.format('order_date')} FROM fact")
+def fact_orders_merged(inputs: Inputs) -> DataFrame:
+    return _fact_table(inputs).read()
+
+
+@query(f"""
+WITH {SQL_FACT}, moved AS (
+  SELECT * REPLACE (CASE WHEN status = 'P' THEN order_date + INTERVAL 40 DAY ELSE order_date END AS order_date,
+    CASE WHEN status = 'P' THEN TIMESTAMP '2002-01-03' ELSE _ingestion_timestamp END AS _ingestion_timestamp)
+  FROM fact)
+SELECT order_id, order_date, status, _ingestion_timestamp, {_DAY.format('order_date')} FROM moved
+""")
+def fact_orders_moved(inputs: Inputs) -> DataFrame:
+    """Open parts of orders move to a day 40 days later: no order is in two days."""
+    table = _fact_table(inputs)
+    late = F.col("order_date") + F.expr("INTERVAL 40 DAYS")
+    moved = table.read().where("status = 'P'").withColumns(
+        {"order_date": late, "order_day": late.cast("date"), "_ingestion_timestamp": F.lit("2002-01-03").cast("timestamp")}
+    )
+    table.merge(moved, ["order_id"], "_ingestion_timestamp")
+    return table.read().select("order_id", "order_date", "status", "_ingestion_timestamp", "order_day")
+
+
+@query(f"""
+WITH {SQL_FACT}, {SQL_CUSTOMERS}
+SELECT f.order_id, f.order_date, f.total_amount, c.customer_id, c.name AS customer_name, {_DAY.format("f.order_date")}
+FROM fact f LEFT JOIN dim_customers c ON f.customer_id = c.customer_id
+WHERE f.order_date BETWEEN TIMESTAMP '1997-02-01' AND TIMESTAMP '1997-03-15'
+""")
+def stored_orders_in_range(inputs: Inputs) -> DataFrame:
+    """A range of the order summary over stored facts reads the folders of its days only."""
+    summary = gold.order_summary(_fact_table(inputs).read(), inputs.dim_customers)
+    chosen = gold.in_date_range(summary, "order_date", "1997-02-01", "1997-03-15", day="order_day")
+    return chosen.select("order_id", "order_date", "total_amount", "customer_id", "customer_name", "order_day")
+
+
+@query(f"WITH {SQL_FACT} SELECT *, {_DAY.format('order_date')} FROM fact")
+def clustered_fact_orders(inputs: Inputs) -> DataFrame:
+    """The facts after each day's files were rewritten in cluster order."""
+    silver = SilverTable(inputs.spark, new_folder(inputs.spark, "fact_orders"), ORDERS)
+    silver.merge(inputs.fact_orders)
+    silver.optimize(files=8)
+    return silver.read()
 
 
 @query(f"""
@@ -164,32 +296,31 @@ def dim_customers_versioned(inputs: Inputs) -> DataFrame:
 
 @query(f"""
 WITH {_DISCOUNTS}
-SELECT o.o_orderkey, o.o_totalprice, CAST(date_trunc('month', o.o_orderdate) AS DATE) AS order_month,
+SELECT o.o_orderkey, o.o_totalprice, CAST(o.o_orderdate AS DATE) AS order_day,
   d.discount_amount
 FROM orders o LEFT JOIN discounts d ON o.o_orderkey = d.o_orderkey
 """, rounded=("discount_amount",))
 def backfill_by_partition(inputs: Inputs) -> DataFrame:
-    """A new column filled one year's partitions at a time.
+    """A new column filled one year's days at a time.
 
-    The values are computed once and laid out by the same months, so that each
+    The values are computed once and laid out by the same days, so that each
     step reads no more than its own part of them.
     """
     spark = inputs.spark
-    month = F.trunc("o_orderdate", "month").alias("order_month")
-    orders = inputs.table("orders").select("o_orderkey", "o_totalprice", month)
-    added = "o_orderkey bigint, discount_amount double, order_month date"
+    orders = inputs.table("orders").select("o_orderkey", "o_totalprice", F.to_date("o_orderdate").alias("order_day"))
+    added = "o_orderkey bigint, discount_amount double, order_day date"
     table = PartitionedTable(
-        spark, new_folder(spark, "orders_by_month"), "order_month", f"o_totalprice double, {added}"
+        spark, new_folder(spark, "orders_by_day"), "order_day", f"o_totalprice double, {added}"
     )
     table.write(orders)
-    values = PartitionedTable(spark, new_folder(spark, "discounts_by_month"), "order_month", added)
+    values = PartitionedTable(spark, new_folder(spark, "discounts_by_day"), "order_day", added)
     values.write(
-        _discounts(inputs).join(orders.select("o_orderkey", "order_month"), "o_orderkey")
+        _discounts(inputs).join(orders.select("o_orderkey", "order_day"), "o_orderkey")
     )
-    months = [row[0] for row in table.partitions().collect()]
-    for year in sorted({m.year for m in months}):
-        chunk = [m for m in months if m.year == year]
-        patch = values.read().where(F.col("order_month").isin(chunk)).drop("order_month")
+    days = [row[0] for row in table.partitions().collect()]
+    for year in sorted({d.year for d in days}):
+        chunk = [d for d in days if d.year == year]
+        patch = values.read().where(F.col("order_day").between(chunk[0], chunk[-1])).drop("order_day")
         table.rewrite(
             chunk,
             lambda old, patch=patch: update_columns(old, patch, ["o_orderkey"], ["discount_amount"]),

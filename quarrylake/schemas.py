@@ -23,7 +23,6 @@ class Topic:
     not_null: tuple[str, ...]
     salted: tuple[str, ...] = ()
     partition_by: str | None = None
-    partition_unit: str = "day"
     buckets: int = 16
     cluster_by: tuple[str, ...] = field(default=())
 

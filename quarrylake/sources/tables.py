@@ -43,6 +43,9 @@ class Folders:
             return []
         return [status.getPath().getName() for status in self._fs.listStatus(self._path(path))]
 
+    def bytes(self, path: str) -> int:
+        return self._fs.getContentSummary(self._path(path)).getLength()
+
     def drop(self, path: str) -> None:
         self._fs.delete(self._path(path), True)
 
@@ -127,8 +130,13 @@ class PartitionedTable:
 
     def write(self, df: DataFrame) -> None:
         """Replace the whole table, its key filters included."""
-        writer = _by_partition(df, self.partition).option("partitionOverwriteMode", "static")
-        writer.mode("overwrite").parquet(self.path)
+        self.folders.drop(self._staged)
+        df.write.parquet(f"{self._staged}/rows")
+        for name in self.folders.names(self.path):
+            if name.startswith(f"{self.partition}=") or name.startswith("_keys"):
+                self.folders.drop(f"{self.path}/{name}")
+        self._save(self.spark.read.schema(df.schema).parquet(f"{self._staged}/rows"))
+        self.folders.drop(self._staged)
 
     def merge(self, source: DataFrame, keys: list[str], version_column: str) -> None:
         """Upsert; only partitions that hold a changed key, old or new, are rewritten.
@@ -165,11 +173,11 @@ class PartitionedTable:
         if self._filtered_keys() != list(keys):
             self.folders.drop(self._filters)
             self._write_filters(self._rows(), keys)
-            complete = self.spark.createDataFrame([(",".join(keys),)], "keys string")
-            complete.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/_keys_of")
+        return [row[0] for row in meeting(self._stored_filters(), source, keys, self.partition).collect()]
+
+    def _stored_filters(self) -> DataFrame:
         kind = self._rows().schema[self.partition].dataType.simpleString()
-        filters = self.spark.read.schema(f"`{self.partition}` {kind}, {FILTER_COLUMNS}").parquet(self._filters)
-        return [row[0] for row in meeting(filters, source, keys, self.partition).collect()]
+        return self.spark.read.schema(f"`{self.partition}` {kind}, {FILTER_COLUMNS}, part int").parquet(self._filters)
 
     def _filtered_keys(self) -> list[str]:
         """The key columns of the stored filters; none if they are not complete."""
@@ -178,14 +186,29 @@ class PartitionedTable:
         return self.spark.read.schema("keys string").parquet(f"{self.path}/_keys_of").first()["keys"].split(",")
 
     def _write_filters(self, rows: DataFrame, keys: list[str]) -> None:
+        """Replace the filters of the partitions in ``rows``.
+
+        Filters lie in a few folders by hash of their partition. They are not complete while some
+        are written: cut off, they are built anew by the next merge.
+        """
+        self.folders.drop(f"{self.path}/_keys_of")
+        part = F.pmod(F.xxhash64(F.col(self.partition).cast("string")), F.lit(_FILTER_PARTS)).cast("int")
+        filters = key_filters(rows, keys, self.partition).withColumn("part", part)
+        if self.folders.exists(self._filters):
+            new = rows.select(self.partition).distinct()
+            parts = filters.select("part").distinct()
+            stored = self._stored_filters().join(parts, "part", "left_semi")
+            same = stored[self.partition].eqNullSafe(new[self.partition])
+            filters = filters.unionByName(stored.join(new, same, "left_anti"))
         (
-            key_filters(rows, keys, self.partition)
-            .hint("rebalance", F.col(self.partition))
+            filters.hint("rebalance", F.col("part"))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(self.partition)
+            .partitionBy("part")
             .parquet(self._filters)
         )
+        complete = self.spark.createDataFrame([(",".join(keys),)], "keys string")
+        complete.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/_keys_of")
 
     def rewrite(
         self, days: list, change: Callable[[DataFrame], DataFrame], arranged: bool = False
@@ -220,16 +243,30 @@ class PartitionedTable:
         """
         old = self._rows().where(_is_one_of(self.partition, values))
         new = old if arranged else change(old)
+        new.write.parquet(f"{self._staged}/rows")
         folder = F.regexp_extract("_metadata.file_path", "([^/]+)/[^/]+$", 1)
-        old.select(folder.alias("folder")).distinct().coalesce(1).write.parquet(f"{self._staged}/before")
-        self._save(new, f"{self._staged}/rows")
+        before = old.select(folder.alias("folder"), F.col(self.partition).alias("value")).distinct()
+        left = self.spark.read.schema(new.schema).parquet(f"{self._staged}/rows").select(self.partition).distinct()
+        emptied = before.join(left, before["value"].eqNullSafe(left[self.partition]), "left_anti").select("folder")
+        emptied.coalesce(1).write.parquet(f"{self._staged}/emptied")
         about = self.spark.createDataFrame([(new.schema.json(), ",".join(keys or []))], _ABOUT)
         about.coalesce(1).write.parquet(f"{self._staged}/about")  # from here on the change counts
         self._finish(change if arranged else None)
 
-    def _save(self, rows: DataFrame, path: str, arranged: bool = False) -> None:
-        writer = rows.write.partitionBy(self.partition) if arranged else _by_partition(rows, self.partition)
-        writer.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+    def _save(self, rows: DataFrame, arranged: bool = False) -> None:
+        """Overwrite the partitions of staged ``rows``.
+
+        Each partition's rows come into few files. A large partition is split at run time; few
+        rows for many partitions are dealt to several tasks, as they have many files to open.
+        """
+        if arranged:
+            pass
+        elif self.folders.bytes(f"{self._staged}/rows") < _FEW_BYTES:
+            rows = rows.repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")), self.partition)
+        else:
+            rows = rows.hint("rebalance", F.col(self.partition))
+        writer = rows.write.partitionBy(self.partition).mode("overwrite")
+        writer.option("partitionOverwriteMode", "dynamic").parquet(self.path)
 
     def _finish(self, arrange: Callable[[DataFrame], DataFrame] | None = None) -> None:
         """Take what is completely staged into the table; may be cut off and repeated.
@@ -240,16 +277,12 @@ class PartitionedTable:
         if not self.folders.exists(f"{self._staged}/about/{SUCCESS}"):
             return
         [about] = self.spark.read.schema(_ABOUT).parquet(f"{self._staged}/about").collect()
-        before = self.spark.read.schema("folder string").parquet(f"{self._staged}/before").collect()
-        staged = set(self.folders.names(f"{self._staged}/rows"))
-        if any(name.startswith(f"{self.partition}=") for name in staged):
-            rows = self.spark.read.schema(StructType.fromJson(json.loads(about.columns))).parquet(f"{self._staged}/rows")
-            if about["keys"]:
-                self._write_filters(rows, about["keys"].split(","))
-            self._save(arrange(rows) if arrange else rows, self.path, arrange is not None)
-        for folder in {unquote(row.folder) for row in before} - staged:
-            self.folders.drop(f"{self.path}/{folder}")
-            self.folders.drop(f"{self._filters}/{folder}")
+        rows = self.spark.read.schema(StructType.fromJson(json.loads(about.columns))).parquet(f"{self._staged}/rows")
+        if about["keys"]:
+            self._write_filters(rows, about["keys"].split(","))
+        self._save(arrange(rows) if arrange else rows, arrange is not None)
+        for row in self.spark.read.schema("folder string").parquet(f"{self._staged}/emptied").collect():
+            self.folders.drop(f"{self.path}/{unquote(row.folder)}")
         self.folders.drop(self._staged)
 
 
@@ -309,6 +342,9 @@ class BucketedTable(PartitionedTable):
 
 
 _ABOUT = "columns string, keys string"
+_FILTER_PARTS = 16
+#: Less than a task's usual share in all.
+_FEW_BYTES = 64 << 20
 
 
 def _is_one_of(name: str, values: list):
@@ -316,11 +352,6 @@ def _is_one_of(name: str, values: list):
     return known | F.col(name).isNull() if None in values else known
 
 
-def _by_partition(df: DataFrame, partition: str):
-    """Gather each partition's rows into few files; a large one is split at run time."""
-    return df.hint("rebalance", F.col(partition)).write.partitionBy(partition)
-
-
 def table_files(df: DataFrame, table_name: str) -> DataFrame:
     """One row: number of files and bytes behind a file-based frame."""
     files = df.select("_metadata.file_path", "_metadata.file_size").groupBy("file_path").agg(

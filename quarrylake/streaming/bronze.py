@@ -31,12 +31,14 @@ class BronzeTable:
     Folders are ``feed=<stream>/batch_id=<n>/_record_status=<valid|invalid>``. A batch
     that is run again overwrites its own folder, so a retry never doubles rows. The
     feed is the stream's own id: a fresh checkpoint starts a new feed instead of
-    overwriting batch 0 of the old one.
+    overwriting batch 0 of the old one. With ``max_rows_per_file`` a batch that is much
+    larger than the others does not end in a few large files.
     """
 
     spark: SparkSession
     path: str
     topic: Topic
+    max_rows_per_file: int = 0
 
     def batch_folder(self, feed: str, batch_id: int) -> str:
         return f"{self.path}/feed={feed}/batch_id={batch_id}"
@@ -111,6 +113,7 @@ def write_batch(
         (
             checked.hint("rebalance", F.col("_record_status"))
             .write.mode("overwrite")
+            .option("maxRecordsPerFile", table.max_rows_per_file)
             .partitionBy("_record_status")
             .parquet(folder)
         )

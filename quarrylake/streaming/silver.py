@@ -50,8 +50,7 @@ class SilverTable:
 
     def merge(self, latest: DataFrame) -> None:
         if self.topic.partition_by:
-            start = F.date_trunc(self.topic.partition_unit, self.topic.event_time)
-            latest = latest.withColumn(self.topic.partition_by, start.cast("date"))
+            latest = latest.withColumn(self.topic.partition_by, F.to_date(self.topic.event_time))
         self.rows.merge(latest, [self.topic.key], "_ingestion_timestamp")
 
     def optimize(self, files: int, partitions: list | None = None) -> None:

@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarrylake.operators.timeline import HOT_KEY_ROWS, look_back, slice_timeline, value_before
+from quarrylake.operators.latest import keep_latest
+from quarrylake.operators.timeline import PLACES, lay_out, look_back, value_before
 
 
 def _columns(names) -> list:
     return [F.col(name) for name in names]
 
 
-def _changes(sliced: DataFrame, time: str, tracked: list[str], then_by) -> DataFrame:
+def _changes(laid_out: DataFrame, tracked: list[str]) -> DataFrame:
     state = F.struct(*tracked)
-    marked = look_back(sliced, time, state, "_before", then_by=_columns(then_by))
+    marked = look_back(laid_out, state, "_before")
     return marked.where(~F.col("_before").eqNullSafe(state)).drop("_before")
 
 
@@ -24,11 +25,10 @@ def drop_unchanged(
     time: str,
     tracked: list[str],
     then_by: list[str] = (),
-    hot_key_rows: int = HOT_KEY_ROWS,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Keep only versions that differ from the version before in ``tracked``."""
-    sliced = slice_timeline(versions, keys, time, hot_key_rows)
-    return _changes(sliced, time, tracked, then_by).drop("_key", "_slice")
+    return _changes(lay_out(versions, keys, time, _columns(then_by), ranges), tracked).drop(*PLACES)
 
 
 def scd2_history(
@@ -37,25 +37,23 @@ def scd2_history(
     time: str,
     then_by: list[str] = (),
     tracked: list[str] | None = None,
-    hot_key_rows: int = HOT_KEY_ROWS,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Full history: each version is valid until the next one of its key starts.
 
     With ``tracked`` columns, versions that change none of them are left out.
     """
-    rows = slice_timeline(versions, keys, time, hot_key_rows)
+    rows = lay_out(versions, keys, time, _columns(then_by), ranges)
     if tracked:
-        rows = _changes(rows, time, tracked, then_by)
-    closed = look_back(
-        rows, time, F.struct(time), "_next", then_by=_columns(then_by), latest_first=True
-    )
+        rows = _changes(rows, tracked)
+    closed = look_back(rows, F.struct(time), "_next", latest_first=True)
     return closed.withColumns(
         {
             "valid_from": F.col(time),
             "valid_to": F.col(f"_next.{time}"),
             "is_current": F.col("_next").isNull(),
         }
-    ).drop("_next", "_key", "_slice", *([] if time == "valid_from" else [time]))
+    ).drop("_next", *PLACES, *([] if time == "valid_from" else [time]))
 
 
 def scd2_apply(
@@ -108,24 +106,53 @@ def scd2_apply(
     return closed.unionByName(current)
 
 
+def scd2_merge(
+    history: DataFrame,
+    changes: DataFrame,
+    keys: list[str],
+    time: str,
+    then_by: list[str] = (),
+    tracked: list[str] | None = None,
+    ranges: int | None = None,
+) -> DataFrame:
+    """Work any changes into a history: late, several per key, repeated.
+
+    A change that falls inside a version, open or closed, cuts it in two: the version ends at the
+    change, and the change is valid until the version's end or the next change. One before the
+    first version is valid until that one. Of rows with equal key, ``time`` and ``then_by`` the
+    history's stays, so repeated changes add nothing; several equal ones count once. Only the keys
+    that changed are laid out anew; the others' versions pass as they are. The result is that of
+    ``scd2_history`` over all versions, if the history holds every version. NULL is a key like others.
+    """
+    changed = changes.select(*[F.col(name).alias(f"_c_{name}") for name in keys]).distinct()
+    same_key = F.lit(True)
+    for name in keys:
+        same_key = same_key & history[name].eqNullSafe(changed[f"_c_{name}"])
+    untouched = history.join(changed, same_key, "left_anti")
+    touched = history.join(changed, same_key, "left_semi")
+    attributes = [name for name in history.columns if name not in ("valid_from", "valid_to", "is_current")]
+    points = touched.select(*attributes, F.col("valid_from").alias(time), F.lit(1).alias("_stored")).unionByName(
+        changes.select(*attributes, time, F.lit(0).alias("_stored"))
+    )
+    points = keep_latest(points, [*keys, time, *then_by], ["_stored"]).drop("_stored")
+    rebuilt = scd2_history(points, keys, time, then_by, tracked, ranges)
+    return untouched.unionByName(rebuilt.select(history.columns))
+
+
 def scd3_previous(
     versions: DataFrame,
     keys: list[str],
     time: str,
     tracked: list[str],
     then_by: list[str] = (),
-    hot_key_rows: int = HOT_KEY_ROWS,
+    ranges: int | None = None,
 ) -> DataFrame:
     """One row per key: ``current_<c>`` and ``previous_<c>`` of the tracked columns.
 
     Previous means the value before the last change.
     """
-    changes = _changes(
-        slice_timeline(versions, keys, time, hot_key_rows), time, tracked, then_by
-    )
-    with_previous = look_back(
-        changes, time, F.struct(*tracked), "_previous", then_by=_columns(then_by)
-    )
+    changes = _changes(lay_out(versions, keys, time, _columns(then_by), ranges), tracked)
+    with_previous = look_back(changes, F.struct(*tracked), "_previous")
     order = F.struct(time, *then_by)
     state = F.struct(
         F.col(time).alias("current_since"),
@@ -142,7 +169,7 @@ def as_of_join(
     keys: list[str],
     fact_time: str,
     columns: list[str],
-    hot_key_rows: int = HOT_KEY_ROWS,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Add the ``columns`` of the version valid at each fact's time (left join).
 
@@ -171,7 +198,7 @@ def as_of_join(
     found = value_before(
         points, [*keys, "_lone"], "_time", F.col("_version"), "_at",
         then_by=[F.col("_kind"), still_open, F.col("_version.valid_to")],
-        hot_key_rows=hot_key_rows,
+        ranges=ranges,
     ).where(F.col("_kind") == 1)
     valid = F.col("_at.valid_to").isNull() | (F.col("_time") < F.col("_at.valid_to"))
     return found.select("_fact.*", *[F.when(valid, F.col(f"_at.{c}")).alias(c) for c in columns])

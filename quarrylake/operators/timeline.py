@@ -1,10 +1,10 @@
-"""Look back along each key's rows in time order, also when one key is huge.
+"""Look back along each key's rows in time order, whatever the size of a key.
 
-A window partitioned by key puts all rows of a key in one task. Here a hot key's
-timeline is first cut into slices at quantiles of its own times; windows run per
-(key, slice), and what a slice needs from the slices before it is carried over
-from a summary of one row per slice. Without hot keys the adaptive planner finds
-the list of cuts empty and drops every extra join at run time.
+A window partitioned by key puts all rows of a key in one task. Here all rows are dealt by ranges
+of (key, time, further order) and written once in that order, so a large key fills several ranges,
+also if all its rows have one time. A look-back is a scan inside the ranges and one carried row per
+range: what a range's first key had last in the ranges before it. Nothing depends on how large a
+key is, and there is no list of large keys.
 """
 
 from __future__ import annotations
@@ -12,94 +12,84 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOT_KEY_ROWS = 1_000_000
+from quarrylake.workspace import new_folder
 
-# A hot key's timeline is cut in 1024 slices, found in five steps of a four-way search.
-_STEPS = [256, 64, 16, 4, 1]
-_SHARES = [number / 1024 for number in range(1, 1024)]
+#: Added by ``lay_out``: the key as one value, the range, and the place in the whole order.
+PLACES = ["_key", "_range", "_place"]
 
 
-def hot_keys(df: DataFrame, keys: list[str], min_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def hot_keys(df: DataFrame, keys: list[str], min_rows: int) -> DataFrame:
     """All keys with at least ``min_rows`` rows."""
     return df.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") >= min_rows)
 
 
-def _micros(time: str) -> Column:
-    return F.unix_micros(F.col(time).cast("timestamp"))
-
+def lay_out(
+    df: DataFrame, keys: list[str], time: str, then_by: list[Column] = (), ranges: int | None = None
+) -> DataFrame:
+    """The rows in order of key, ``time`` and ``then_by``, NULLs first, as a table in the shared folder.
 
-def _cuts_of_hot_keys(df: DataFrame, time: str, min_rows: int) -> DataFrame:
-    """Per hot key: the 1023 times that cut its rows into equal parts."""
-    narrow = df.select("_key", _micros(time).alias("_at"))
-    hot = hot_keys(narrow, ["_key"], min_rows)
-    return (
-        narrow.join(hot, "_key", "left_semi")
-        .groupBy("_key")
-        .agg(F.percentile_approx("_at", _SHARES, 10_000).alias("_cuts"))
+    The order stays right when rows are dropped later, so a chain of look-backs needs it once.
+    Rows equal in all of these come in any order. ``ranges`` is the number of tasks that write,
+    ``spark.sql.shuffle.partitions`` if not given.
+    """
+    spark = df.sparkSession
+    ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = {"_key": F.struct(*keys), "_at": F.col(time)}
+    order |= {f"_by{i}": column for i, column in enumerate(then_by)}
+    # one struct as the key: equality on it treats NULL parts as equal; the last part of the order
+    # lets rows that are equal in all others lie in several ranges
+    rows = df.withColumns(order | {"_tie": F.monotonically_increasing_id()})
+    rows = (
+        rows.repartitionByRange(ranges, *order, "_tie")
+        .sortWithinPartitions(*order, "_tie")
+        .drop("_tie", *[name for name in order if name != "_key"])
+        .withColumn("_place", F.monotonically_increasing_id())
+        .withColumn("_range", F.shiftrightunsigned("_place", 33).cast("int"))
     )
+    folder = new_folder(spark, "timeline")
+    rows.write.parquet(folder)
+    return spark.read.schema(rows.schema).parquet(folder)
 
 
-def slice_timeline(
-    df: DataFrame, keys: list[str], time: str, hot_key_rows: int = HOT_KEY_ROWS
-) -> DataFrame:
-    """Add ``_key`` and ``_slice``: NULL for a normal key, a slice number for a hot one.
+def look_back(rows: DataFrame, value: Column, output: str, *, latest_first: bool = False) -> DataFrame:
+    """Add the last non-NULL ``value`` before each row of its key, on rows that went through ``lay_out``.
 
-    The slices stay right when rows are dropped later, so a chain of look-backs
-    needs them only once, and all its windows share one shuffle.
+    With ``latest_first`` the walk is reversed, so the result is the next value.
     """
-    # One struct as the key: equality on it treats NULL parts as equal, so window,
-    # join and shuffle all work on the same partitioning.
-    keyed = df.withColumn("_key", F.struct(*keys))
-    cuts = _cuts_of_hot_keys(keyed, time, hot_key_rows)
-    rows = keyed.join(cuts, "_key", "left").withColumns({"_at": _micros(time), "_slice": F.lit(0)})
-    # one search step per column keeps each expression small and compiled
-    for step in _STEPS:
-        at_or_after = [F.col("_cuts")[F.col("_slice") + (n * step - 1)] <= F.col("_at") for n in (1, 2, 3)]
-        upper = F.when(at_or_after[2], 3 * step).otherwise(2 * step)
-        lower = F.when(at_or_after[0], step).otherwise(0)
-        rows = rows.withColumn(
-            "_slice", F.col("_slice") + F.when(at_or_after[1], upper).otherwise(lower)
-        )
-    # rows without a time come first, as they do in the orderings below
-    number = F.when(F.col("_at").isNull(), -1).otherwise(F.col("_slice"))
-    number = F.when(F.col("_cuts").isNotNull(), number)
-    return rows.withColumn("_slice", number).drop("_cuts", "_at")
-
-
-def look_back(
-    rows: DataFrame,
-    time: str,
-    value: Column,
-    output: str,
-    *,
-    then_by: list[Column] = (),
-    latest_first: bool = False,
-) -> DataFrame:
-    """``value_before`` on rows that went through ``slice_timeline``; keeps the slices."""
 
-    def sort(column):
-        return column.desc_nulls_last() if latest_first else column.asc_nulls_first()
+    def walk(column: str) -> Column:
+        return F.col(column).desc() if latest_first else F.col(column).asc()
 
-    order = [sort(F.col(time)), *[sort(column) for column in then_by]]
     earlier = Window.unboundedPreceding, -1
-    in_slice = Window.partitionBy("_key", "_slice").orderBy(*order).rowsBetween(*earlier)
+    in_range = Window.partitionBy("_range", "_key").orderBy(walk("_place")).rowsBetween(*earlier)
     valued = rows.withColumn("_value", value)
-    seen = valued.withColumn("_seen", F.last("_value", ignorenulls=True).over(in_slice))
-
-    # Hot keys only: the last value of each slice, carried into the slices after it.
-    pick = F.min_by if latest_first else F.max_by
-    has_value = F.col("_value").isNotNull()
-    place = F.when(has_value, F.struct(F.col(time), *then_by))
-    ends = (
-        valued.where(F.col("_slice").isNotNull())
-        .groupBy("_key", "_slice")
-        .agg(pick(F.when(has_value, F.col("_value")), place).alias("_end"))
+    seen = valued.withColumn("_seen", F.last("_value", ignorenulls=True).over(in_range))
+
+    # of each range the key that is walked first, the one walked last, and the last value met
+    begin, end = (F.max_by, F.min_by) if latest_first else (F.min_by, F.max_by)
+    met = F.when(F.col("_value").isNotNull(), F.col("_place"))
+    edges = valued.groupBy("_range").agg(
+        begin("_key", "_place").alias("_enters"),
+        end("_key", "_place").alias("_leaves"),
+        end(F.struct("_key", "_value"), met).alias("_last"),
     )
-    over_slices = Window.partitionBy("_key").orderBy(sort(F.col("_slice"))).rowsBetween(*earlier)
-    carried = ends.select(
-        "_key", "_slice", F.last("_end", ignorenulls=True).over(over_slices).alias("_carried")
+    held = F.when(F.col("_last._key") == F.col("_leaves"), F.col("_last._value"))
+    steps = edges.select(
+        "_range",
+        F.explode(
+            F.array(
+                F.struct(F.lit(0).alias("_leaving"), F.col("_enters").alias("_key"), F.when(F.lit(False), held).alias("_held")),
+                F.struct(F.lit(1).alias("_leaving"), F.col("_leaves").alias("_key"), held.alias("_held")),
+            )
+        ).alias("_step"),
+    ).select("_range", "_step.*")
+    over_ranges = Window.partitionBy("_key").orderBy(walk("_range"), "_leaving").rowsBetween(*earlier)
+    carried = (
+        steps.withColumn("_carried", F.last("_held", ignorenulls=True).over(over_ranges))
+        .where((F.col("_leaving") == 0) & F.col("_carried").isNotNull())
+        .select("_range", "_key", "_carried")
     )
-    return seen.join(carried, ["_key", "_slice"], "left").select(
+    return seen.join(carried, ["_range", "_key"], "left").select(
         *rows.columns, F.coalesce("_seen", "_carried").alias(output)
     )
 
@@ -113,13 +103,12 @@ def value_before(
     *,
     then_by: list[Column] = (),
     latest_first: bool = False,
-    hot_key_rows: int = HOT_KEY_ROWS,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Add the last non-NULL ``value`` among the rows before each row of its key.
 
     Rows are ordered by ``time`` and ``then_by`` (given in ascending sense). With
     ``latest_first`` the walk is reversed, so the result is the next value in time.
     """
-    rows = slice_timeline(df, keys, time, hot_key_rows)
-    found = look_back(rows, time, value, output, then_by=then_by, latest_first=latest_first)
-    return found.drop("_key", "_slice")
+    found = look_back(lay_out(df, keys, time, then_by, ranges), value, output, latest_first=latest_first)
+    return found.drop(*PLACES)

@@ -10,6 +10,7 @@ from quarrylake.operators.history import (
     as_of_join,
     scd2_apply,
     scd2_history,
+    scd2_merge,
     scd3_previous,
 )
 from quarrylake.operators.upsert import update_columns, upsert
@@ -127,6 +128,17 @@ def scd2_versions(inputs: Inputs) -> DataFrame:
     return scd2_history(_versions(inputs), ["customer_id"], "changed_at", ["order_id"])
 
 
+@query(f"WITH {_HISTORY} SELECT * FROM history")
+def scd2_late_changes(inputs: Inputs) -> DataFrame:
+    """A history of two thirds of the versions, into which the others come late and partly twice."""
+    versions = _versions(inputs)
+    late = F.col("order_id") % 3 == 0
+    history = scd2_history(versions.where(~late), ["customer_id"], "changed_at", ["order_id"])
+    changes = versions.where(late)
+    repeated = versions.where(F.col("order_id") % 5 == 0)
+    return scd2_merge(history, changes.unionByName(repeated), ["customer_id"], "changed_at", ["order_id"])
+
+
 _CHANGES = """
 changes AS (
   SELECT o_custkey AS customer_id, o_orderdate AS changed_at, o_orderkey AS order_id,

@@ -4,8 +4,15 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from quarrylake.operators.history import as_of_join, drop_unchanged, scd2_apply, scd2_history, scd3_previous
-from quarrylake.operators.timeline import hot_keys, slice_timeline, value_before
+from quarrylake.operators.history import (
+    as_of_join,
+    drop_unchanged,
+    scd2_apply,
+    scd2_history,
+    scd2_merge,
+    scd3_previous,
+)
+from quarrylake.operators.timeline import hot_keys, lay_out, value_before
 
 DAY0 = datetime(2024, 1, 1)
 VERSIONS = "k string, at timestamp, n int, v string"
@@ -31,14 +38,14 @@ def in_order(versions):
     return groups
 
 
-@pytest.mark.parametrize("hot_key_rows", [10, 1_000_000])
+@pytest.mark.parametrize("ranges", [1, 13])
 @pytest.mark.parametrize("latest_first", [False, True])
-def test_value_before_matches_brute_force(spark, hot_key_rows, latest_first):
+def test_value_before_matches_brute_force(spark, ranges, latest_first):
     versions = made_versions(1)
     df = spark.createDataFrame(versions, VERSIONS).repartition(7)
     sparse = F.when(F.col("n") % 5 == 0, F.col("n"))
     got = value_before(
-        df, ["k"], "at", sparse, "out", then_by=[F.col("n")], latest_first=latest_first, hot_key_rows=hot_key_rows
+        df, ["k"], "at", sparse, "out", then_by=[F.col("n")], latest_first=latest_first, ranges=ranges
     )
     expected = {}
     for group in in_order(versions).values():
@@ -49,27 +56,27 @@ def test_value_before_matches_brute_force(spark, hot_key_rows, latest_first):
     assert {r.n: r.out for r in got.collect()} == expected
 
 
-@pytest.mark.parametrize("hot_key_rows", [10, 1_000_000])
-def test_histories_match_brute_force(spark, hot_key_rows):
+@pytest.mark.parametrize("ranges", [1, 13])
+def test_histories_match_brute_force(spark, ranges):
     versions = [v for v in made_versions(2) if v[1] is not None]
     df = spark.createDataFrame(versions, VERSIONS).repartition(5)
     groups = in_order(versions)
 
-    history = scd2_history(df, ["k"], "at", ["n"], hot_key_rows=hot_key_rows)
+    history = scd2_history(df, ["k"], "at", ["n"], ranges=ranges)
     expected = {}
     for group in groups.values():
         for row, after in zip(group, [*group[1:], None]):
             expected[row[2]] = (row[1], after and after[1], after is None)
     assert {r.n: (r.valid_from, r.valid_to, r.is_current) for r in history.collect()} == expected
 
-    changes = drop_unchanged(df, ["k"], "at", ["v"], ["n"], hot_key_rows=hot_key_rows)
+    changes = drop_unchanged(df, ["k"], "at", ["v"], ["n"], ranges=ranges)
     kept = {
         row[2] for group in groups.values() for before, row in zip([None, *group], group)
         if before is None or before[3] != row[3]
     }
     assert {r.n for r in changes.collect()} == kept
 
-    short = scd2_history(df, ["k"], "at", ["n"], tracked=["v"], hot_key_rows=hot_key_rows)
+    short = scd2_history(df, ["k"], "at", ["n"], tracked=["v"], ranges=ranges)
     expected = {}
     for group in groups.values():
         group = [row for row in group if row[2] in kept]
@@ -77,7 +84,7 @@ def test_histories_match_brute_force(spark, hot_key_rows):
             expected[row[2]] = (row[1], after and after[1], after is None)
     assert {r.n: (r.valid_from, r.valid_to, r.is_current) for r in short.collect()} == expected
 
-    latest = scd3_previous(df, ["k"], "at", ["v"], ["n"], hot_key_rows=hot_key_rows)
+    latest = scd3_previous(df, ["k"], "at", ["v"], ["n"], ranges=ranges)
     expected = {}
     for key, group in groups.items():
         changed = [row for row in group if row[2] in kept]
@@ -85,8 +92,8 @@ def test_histories_match_brute_force(spark, hot_key_rows):
     assert {r.k: (r.current_since, r.current_v, r.previous_v) for r in latest.collect()} == expected
 
 
-@pytest.mark.parametrize("hot_key_rows", [10, 1_000_000])
-def test_as_of_join_matches_range_join(spark, hot_key_rows):
+@pytest.mark.parametrize("ranges", [1, 13])
+def test_as_of_join_matches_range_join(spark, ranges):
     versions = [v for v in made_versions(3, 200) if v[1] is not None]
     rng = random.Random(4)
     facts = [
@@ -100,7 +107,7 @@ def test_as_of_join_matches_range_join(spark, hot_key_rows):
         "valid_to", F.when(F.col("is_current"), F.lit(DAY0 + timedelta(hours=510))).otherwise(F.col("valid_to"))
     )
     df = spark.createDataFrame(facts, "id int, k string, at timestamp")
-    got = as_of_join(df, history, ["k"], "at", ["n", "v"], hot_key_rows=hot_key_rows)
+    got = as_of_join(df, history, ["k"], "at", ["n", "v"], ranges=ranges)
     intervals = [(r.k, r.valid_from, r.valid_to, r.n, r.v) for r in history.collect()]
     expected = {}
     for i, key, at in facts:
@@ -115,12 +122,16 @@ def test_hot_keys_are_listed_by_count(spark, rows):
     assert rows(hot_keys(df, ["k"], 4)) == [("a", 5), (None, 4)]
 
 
-def test_hot_key_windows_are_sliced(spark):
+@pytest.mark.parametrize("seconds", ["id", "id - id"])
+def test_one_key_is_spread_over_ranges(spark, seconds):
+    """Also if all its rows have one time."""
     df = spark.range(20000).select(
-        F.lit("hot").alias("k"), F.timestamp_seconds("id").alias("at"), F.col("id").alias("n")
+        F.lit("hot").alias("k"), F.timestamp_seconds(F.expr(seconds)).alias("at"), F.col("id").alias("n")
     )
-    sizes = slice_timeline(df, ["k"], "at", 1000).groupBy("_slice").count().agg(F.max("count"), F.count("*")).first()
-    assert sizes[0] < 100 and sizes[1] > 500
+    sizes = lay_out(df, ["k"], "at", ranges=50).groupBy("_range").count().agg(F.max("count"), F.count("*")).first()
+    assert sizes[0] < 1500 and sizes[1] > 40
+    found = value_before(df, ["k"], "at", F.col("n"), "before", then_by=[F.col("n")], ranges=50)
+    assert found.where("before <=> nullif(n - 1, -1)").count() == 20000
 
 
 def test_apply_changes_to_history(spark, rows):
@@ -150,9 +161,39 @@ def test_apply_changes_to_history(spark, rows):
     ]
 
 
-def test_chained_look_backs_share_one_shuffle(spark):
+def test_chained_look_backs_share_one_layout(spark):
     df = spark.createDataFrame([("a", DAY0, 1, "x")], VERSIONS)
     history = scd2_history(df, ["k"], "at", ["n"], tracked=["v"])
     history.collect()
     plan = history._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    assert plan.count("Window [") == 2 and plan.count("Exchange hashpartitioning") == 1
+    assert plan.count("rangepartitioning") == 0 and plan.count("FileScan parquet") <= 4
+    once = scd2_history(df, ["k"], "at", ["n"])
+    assert once._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 2
+
+
+@pytest.mark.parametrize("tracked", [None, ["v"]])
+def test_late_and_repeated_changes_match_a_rebuild(spark, rows, tracked):
+    versions = [v for v in made_versions(5, 120) if v[1] is not None]
+    df = spark.createDataFrame(versions, VERSIONS)
+    late = F.col("n") % 3 == 0
+    history = scd2_history(df.where(~late), ["k"], "at", ["n"])
+    changes = df.where(late).unionByName(df.where("n % 4 = 0"))
+    merged = scd2_merge(history, changes, ["k"], "at", ["n"], tracked)
+    if tracked:  # keys without changes pass as they are
+        changed = {r.k for r in changes.select("k").distinct().collect()}
+        full = [r for r in rows(scd2_history(df, ["k"], "at", ["n"], tracked)) if r[0] in changed]
+        assert [r for r in rows(merged) if r[0] in changed] == full
+    else:
+        assert rows(merged) == rows(scd2_history(df, ["k"], "at", ["n"]))
+
+
+def test_a_late_change_cuts_a_closed_version(spark, rows):
+    day = [DAY0 + timedelta(days=n) for n in range(10)]
+    history = scd2_history(spark.createDataFrame([("a", day[1], "x"), ("a", day[5], "y"), ("b", day[2], "z")], "k string, at timestamp, v string"), ["k"], "at")
+    changes = spark.createDataFrame([("a", day[3], "late"), ("a", day[3], "late"), ("a", day[0], "first"), ("c", day[4], "new"), ("b", day[2], "same time")], "k string, at timestamp, v string")
+    assert rows(scd2_merge(history, changes, ["k"], "at"), "k", "v", "valid_from", "valid_to", "is_current") == [
+        ("a", "first", day[0], day[1], False), ("a", "late", day[3], day[5], False), ("a", "x", day[1], day[3], False),
+        ("a", "y", day[5], None, True), ("b", "z", day[2], None, True), ("c", "new", day[4], None, True),
+    ]
+    assert rows(scd2_merge(history, changes.where("false"), ["k"], "at")) == rows(history)
+    assert scd2_merge(history.where("false"), changes, ["k"], "at").count() == 4

@@ -7,6 +7,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from quarrylake.operators.quality_rules import INVALID
 
@@ -168,6 +169,27 @@ def volume_changes(runs: DataFrame, tolerance: float = 0.2) -> DataFrame:
     )
 
 
+def volume_results(
+    runs: DataFrame, run_id: str, checked_at: datetime, tolerance: float = 0.2
+) -> DataFrame:
+    """``volume_changes`` as rows of the common result table, one per run that has a run before it."""
+    found = volume_changes(runs, tolerance).where(F.col("check_result") != "first")
+    name = F.concat_ws(".", "layer", "topic_name")
+    values = {
+        "check_id": F.concat(name, F.lit(".volume."), F.col("run_id")),
+        "run_id": F.lit(run_id),
+        "table_name": name,
+        "check_type": F.lit("volume"),
+        "check_description": F.lit("rows written against the run before"),
+        "check_result": F.col("check_result"),
+        "expected_value": F.col("previous_records").cast("string"),
+        "actual_value": F.col("records_written").cast("string"),
+        "threshold": F.lit(tolerance),
+        "checked_at": F.lit(checked_at).cast("timestamp"),
+    }
+    return found.select(*[values[column].alias(column) for column in RESULT_COLUMNS])
+
+
 def error_histogram(df: DataFrame) -> DataFrame:
     return df.groupBy("_validation_errors").agg(F.count("*").alias("records"))
 
@@ -209,6 +231,83 @@ def unknown_json_keys(lines: DataFrame, text: str, known: list[str]) -> DataFram
     return counted.where(~F.col("json_key").isin(known)) if known else counted
 
 
+_NUMBERS = "BIGINT|DECIMAL.*|DOUBLE|FLOAT"
+_KINDS = {
+    "string": "STRING", "boolean": "BOOLEAN", "double": _NUMBERS, "float": _NUMBERS,
+    "int": r"BIGINT|DECIMAL\(\d+,0\)", "bigint": r"BIGINT|DECIMAL\(\d+,0\)",
+}
+
+
+def _declared_paths(kind, path: str = "") -> dict[str, str]:
+    """Path -> the kinds of JSON value that fit there, as a pattern."""
+    if isinstance(kind, StructType):
+        found = {path: "OBJECT.*"} if path else {}
+        for part in kind.fields:
+            found |= _declared_paths(part.dataType, f"{path}.{part.name}".lstrip("."))
+        return found
+    if isinstance(kind, ArrayType):
+        return {path: "ARRAY.*"} | _declared_paths(kind.elementType, f"{path}[]")
+    return {path: _KINDS.get(kind.simpleString(), "STRING")}
+
+
+def json_drift(lines: DataFrame, text: str, schema: StructType) -> DataFrame:
+    """(path, finding, found_type, records): how raw JSON departs from the declared schema.
+
+    * ``new``: a path that is not declared, with the type that all its values have in common;
+    * ``retyped``: values of a declared path that are of another type, and what they have in common;
+    * ``missing``: values of the parent that lack the declared path.
+
+    ``items[]`` is an element of ``items``. Paths are followed one level deeper than the schema, so
+    parts of new objects are named too. JSON's null fits everywhere. Lines that are no JSON object are
+    left out. Values are exploded where they lie, level by level; only counts per path are shuffled.
+    """
+    declared = _declared_paths(schema)
+    value = F.try_parse_json(F.col(text))
+    whole = lines.select(F.lit("").alias("path"), value.alias("_value"))
+    level = whole.where(F.schema_of_variant("_value").startswith("OBJECT"))
+    levels, explode = [level], lines.sparkSession.tvf.variant_explode
+    for _ in range(1 + max(f"{path}.".replace("[]", ".").count(".") for path in declared)):
+        parts = levels[-1].lateralJoin(explode(F.col("_value").outer()))
+        step = F.when(F.col("key").isNull(), F.lit("[]"))
+        step = step.when(F.col("path") == "", F.col("key")).otherwise(F.concat(F.lit("."), "key"))
+        levels.append(parts.select(F.concat("path", step).alias("path"), F.col("value").alias("_value")))
+    seen = levels[0]
+    for more in levels[1:]:
+        seen = seen.unionByName(more)
+
+    expected = F.create_map(*[F.lit(part) for pair in declared.items() for part in pair])[F.col("path")]
+    kind = F.schema_of_variant("_value")
+    known = F.when(F.col("path") == "", F.lit("OBJECT.*")).otherwise(expected)
+    unfit = (kind != "VOID") & ~F.regexp_like(kind, F.concat(F.lit("^("), known, F.lit(")$")))
+    counted = seen.groupBy("path", known.alias("_known")).agg(
+        F.count("*").alias("_values"),
+        F.count_if(kind.startswith("OBJECT")).alias("_objects"),
+        F.schema_of_variant_agg("_value").alias("_type"),
+        F.count_if(unfit).alias("_unfit"),
+        F.schema_of_variant_agg(F.when(unfit, F.col("_value"))).alias("_unfit_type"),
+    )
+    new = counted.where("_known IS NULL").select(
+        "path", F.lit("new").alias("finding"), F.col("_type").alias("found_type"), F.col("_values").alias("records")
+    )
+    retyped = counted.where("_unfit > 0").select(
+        "path", F.lit("retyped").alias("finding"), F.col("_unfit_type").alias("found_type"), F.col("_unfit").alias("records")
+    )
+    named = [path for path in declared if not path.endswith("[]")]
+    wanted = lines.sparkSession.createDataFrame(
+        [(path, path.rpartition(".")[0]) for path in named], "path string, _parent string"
+    )
+    parents = counted.select(F.col("path").alias("_parent"), "_objects")
+    values = counted.select("path", "_values")
+    missing = (
+        wanted.join(parents, "_parent")
+        .join(values, "path", "left")
+        .withColumn("records", F.col("_objects") - F.coalesce("_values", F.lit(0)))
+        .where("records > 0")
+        .select("path", F.lit("missing").alias("finding"), F.lit(None).cast("string").alias("found_type"), "records")
+    )
+    return new.unionByName(retyped).unionByName(missing)
+
+
 def freshness_sla(
     df: DataFrame, column: str, table_name: str, minutes: int, now: datetime
 ) -> DataFrame:

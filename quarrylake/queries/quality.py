@@ -6,6 +6,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from quarrylake.functions.columns import generate_salt_key
 from quarrylake.operators import checks
@@ -36,7 +37,7 @@ from quarrylake.queries.inputs import (
     Inputs,
 )
 from quarrylake.schemas import CUSTOMERS, ORDERS
-from quarrylake.sources.landing import CORRUPT_COLUMN, parse_lines, unwrap_envelope
+from quarrylake.sources.landing import CORRUPT_COLUMN, parse_lines, rescued, unwrap_envelope
 
 NOW = datetime(2001, 1, 1)
 EVENTS_NOW = datetime(2024, 1, 31)
@@ -293,3 +294,61 @@ def corrupt_lines(inputs: Inputs) -> DataFrame:
     cut = F.when(F.col("o_totalprice") > 400000, F.regexp_replace(line, r"\}$", "")).otherwise(line)
     parsed = parse_lines(inputs.table("orders").select(cut.alias("line")), "line", ORDERS)
     return parsed.select("order_id", "total_amount", F.col(CORRUPT_COLUMN).isNotNull().alias("is_corrupt"))
+
+
+def _drifted_lines(inputs: Inputs) -> DataFrame:
+    """Order lines of a sender that changed: amounts, quantities, fields and line ends."""
+    price, status = F.col("o_totalprice"), F.col("o_orderstatus")
+    rare = (status == "P") & (F.col("o_orderpriority") == "5-LOW")
+    parts = F.concat_ws(
+        ",",
+        F.concat(F.lit('"order_id":"'), F.col("o_orderkey").cast("string"), F.lit('"')),
+        F.when(~rare, F.concat(F.lit('"customer_id":"'), F.col("o_custkey").cast("string"), F.lit('"'))),
+        F.when(price > 400000, F.lit('"total_amount":"n/a"')).otherwise(F.lit('"total_amount":12.5')),
+        F.when(F.col("o_orderpriority") == "1-URGENT", F.lit('"coupon":{"code":"U","share":10}')),
+        F.concat(F.lit('"items":[{"product_id":"1","quantity":'), F.when(status == "P", F.lit('"two"')).otherwise(F.lit("2")), F.lit("}]")),
+    )
+    end = F.when(price < 5000, F.lit("")).otherwise(F.lit("}"))
+    return inputs.table("orders").select(F.concat(F.lit("{"), parts, end).alias("line"))
+
+
+@query("""
+WITH o AS (
+  SELECT *, CASE WHEN o_totalprice > 400000 THEN '"n/a"' ELSE '12.5' END AS amount,
+    CASE WHEN o_orderstatus = 'P' THEN '"two"' ELSE '2' END AS quantity FROM orders)
+SELECT CAST(o_orderkey AS VARCHAR) AS order_id, 'total_amount' AS field, 'n/a' AS raw FROM o
+WHERE o_totalprice > 400000
+UNION ALL
+SELECT CAST(o_orderkey AS VARCHAR), 'coupon', '{"code":"U","share":10}' FROM o
+WHERE o_orderpriority = '1-URGENT' AND o_totalprice >= 5000
+UNION ALL
+SELECT CAST(o_orderkey AS VARCHAR), 'items', '[{"product_id":"1","quantity":"two"}]' FROM o
+WHERE o_orderstatus = 'P' AND o_totalprice >= 5000
+UNION ALL
+SELECT NULL, '_corrupt_record', '{"order_id":"' || o_orderkey || '",'
+  || CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN '' ELSE '"customer_id":"' || o_custkey || '",' END
+  || '"total_amount":12.5,' || CASE WHEN o_orderpriority = '1-URGENT' THEN '"coupon":{"code":"U","share":10},' ELSE '' END
+  || '"items":[{"product_id":"1","quantity":' || quantity || '}]' FROM o
+WHERE o_totalprice < 5000
+""")
+def rescued_fields(inputs: Inputs) -> DataFrame:
+    """Each value that the order columns lost, with its field."""
+    rows = rescued(_drifted_lines(inputs), "line", ORDERS)
+    return rows.select("order_id", F.explode("rescued").alias("field", "raw"))
+
+
+@query("""
+WITH o AS (SELECT * FROM orders WHERE o_totalprice >= 5000), counted AS (
+  SELECT count(*) AS n, count(*) FILTER (o_orderpriority = '1-URGENT') AS urgent,
+    count(*) FILTER (o_totalprice > 400000) AS large, count(*) FILTER (o_orderstatus = 'P') AS partial,
+    count(*) FILTER (o_orderstatus = 'P' AND o_orderpriority = '5-LOW') AS rare FROM o)
+SELECT unnest(['coupon', 'coupon.code', 'coupon.share', 'total_amount', 'items[].quantity', 'customer_id',
+    'order_date', 'status', 'payment_method', 'shipping_address_id', 'items[].unit_price']) AS path,
+  unnest(['new', 'new', 'new', 'retyped', 'retyped', 'missing', 'missing', 'missing', 'missing', 'missing', 'missing']) AS finding,
+  unnest(['OBJECT<code: STRING, share: BIGINT>', 'STRING', 'BIGINT', 'STRING', 'STRING', NULL, NULL, NULL, NULL, NULL, NULL]) AS found_type,
+  unnest([urgent, urgent, urgent, large, partial, rare, n, n, n, n, n]) AS records
+FROM counted
+""")
+def drifted_paths(inputs: Inputs) -> DataFrame:
+    """New, retyped and missing paths of the order lines, nested ones too, with counts."""
+    return checks.json_drift(_drifted_lines(inputs), "line", StructType.fromDDL(ORDERS.raw_ddl))

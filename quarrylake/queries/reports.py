@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarrylake.operators.checks import volume_changes
+from quarrylake.operators.checks import volume_changes, volume_results
 from quarrylake.plans import gold, reports
 from quarrylake.queries import query
-from quarrylake.queries.inputs import SQL_CUSTOMERS, SQL_FACT, Inputs
+from quarrylake.queries.inputs import PROCESSED_AT, SQL_CUSTOMERS, SQL_FACT, Inputs
 
 LAST_DAY = "2024-01-30"
 
@@ -135,6 +135,26 @@ def volume_check(inputs: Inputs) -> DataFrame:
     return volume_changes(_runs(inputs), 0.2)
 
 
+@query(f"""
+WITH {_RUNS}, paired AS (
+  SELECT run_id, topic_name, layer, records_written, lag(run_id) OVER w AS previous_run,
+    lag(records_written) OVER w AS previous_records
+  FROM runs WINDOW w AS (PARTITION BY topic_name, layer ORDER BY start_time, run_id)
+)
+SELECT layer || '.' || topic_name || '.volume.' || run_id AS check_id, 'run-1' AS run_id,
+  layer || '.' || topic_name AS table_name, 'volume' AS check_type,
+  'rows written against the run before' AS check_description,
+  CASE WHEN abs(records_written - previous_records) <= previous_records * CAST(0.2 AS DOUBLE) THEN 'pass' ELSE 'warn' END
+    AS check_result,
+  CAST(previous_records AS VARCHAR) AS expected_value, CAST(records_written AS VARCHAR) AS actual_value,
+  CAST(0.2 AS DOUBLE) AS threshold, TIMESTAMP '2002-01-02' AS checked_at
+FROM paired WHERE previous_records IS NOT NULL
+""")
+def volume_in_results(inputs: Inputs) -> DataFrame:
+    """The volume check as rows of the common result table."""
+    return volume_results(_runs(inputs), "run-1", PROCESSED_AT)
+
+
 def _usage(inputs: Inputs) -> DataFrame:
     return inputs.table("events").select(
         F.to_date("ts").alias("usage_date"),

@@ -80,6 +80,42 @@ def parse_lines(lines: DataFrame, text: str, topic: Topic) -> DataFrame:
     return lines.select(F.from_json(F.col(text), schema, options).alias("_r")).select("_r.*")
 
 
+def rescued(lines: DataFrame, text: str, topic: Topic) -> DataFrame:
+    """The topic's columns, the whole line as VARIANT (``record``), and what the columns lost (``rescued``).
+
+    ``rescued`` maps a top-level field to its raw value, as text or JSON: fields without a column,
+    and fields whose value did not fit its column, wholly or in a nested part. A line that is no JSON
+    object has no columns and no record, and is rescued whole under the name of the corrupt column.
+    Lines that lost nothing, and NULL lines, have an empty map.
+    """
+    line = F.col(text)
+    typed = F.from_json(line, topic.raw_ddl, {"mode": "PERMISSIVE"})
+    rows = lines.select(
+        line.alias("_line"), typed.alias("_typed"),
+        F.from_json(line, "map<string,string>").alias("_raw"),
+        F.try_parse_json(line).alias("record"),
+    )
+    lost = []
+    for name, kind in topic.raw.items():
+        raw, value = F.col("_raw")[name], F.col("_typed")[name]
+        missed = value.isNull()
+        if "<" in kind:  # a part may be lost while the rest was read: read the field alone, and look whether it fits
+            alone = F.from_json(
+                F.concat(F.lit('{"field":'), raw, F.lit("}")), f"field {kind}, {CORRUPT_COLUMN} string",
+                {"columnNameOfCorruptRecord": CORRUPT_COLUMN},
+            )
+            missed = missed | alone[CORRUPT_COLUMN].isNotNull()
+        lost.append(F.when(raw.isNotNull() & missed, F.lit(name)))
+    rows = rows.withColumn("_lost", F.array_compact(F.array(*lost)))
+    unfit = F.map_filter(
+        "_raw", lambda field, raw: raw.isNotNull() & (~field.isin(list(topic.raw)) | F.array_contains("_lost", field))
+    )
+    whole = F.create_map(F.lit(CORRUPT_COLUMN), F.col("_line"))
+    none = F.map_filter(whole, lambda field, raw: F.lit(False))
+    kept = F.when(F.col("_line").isNull(), none).when(F.col("_raw").isNull(), whole).otherwise(unfit)
+    return rows.select(*[F.col("_typed")[name].alias(name) for name in topic.raw], "record", kept.alias("rescued"))
+
+
 # The fields of a message envelope.
 ENVELOPE_DDL = "Type string, MessageId string, TopicArn string, Message string, Timestamp string"
 

@@ -5,13 +5,14 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from quarrylake.operators.checks import unknown_json_keys
+from quarrylake.operators.checks import json_drift, unknown_json_keys
 from quarrylake.plans.run_log import read_runs
 from quarrylake.schemas import CUSTOMERS, ORDERS, TOPICS
 from quarrylake.sources.landing import (
     read_landing,
     read_landing_hours,
     read_raw_lines,
+    rescued,
     unwrap_envelope,
     write_landing,
 )
@@ -317,3 +318,46 @@ def test_silver_runs_its_input_once(spark, rows, bronze, tmp_path):
     _merge(batch.withColumn("order_id", counted("order_id")), silver, datetime(2024, 1, 2), None, log, "test")
     assert seen.value == 20 and silver.read().count() == 15
     assert rows(read_runs(spark, log), "records_read", "records_written", "records_invalid") == [(20, 15, 5)]
+
+
+def test_rescued_fields_name_what_was_lost(spark, rows):
+    lines = [
+        json.dumps(order("ok")), json.dumps(order("new", gift={"a": 1}, note=None)), json.dumps(order("bad", total_amount="many")),
+        json.dumps(order("item", items=[{"product_id": "p", "quantity": "two"}])), "{broken", "[1]", "", None,
+    ]
+    got = rescued(spark.createDataFrame([(line,) for line in lines], "line string"), "line", ORDERS)
+    assert got.columns == [*ORDERS.raw, "record", "rescued"]
+    found = {(r.order_id, tuple(r.rescued.items())) for r in got.select("order_id", "rescued").collect()}
+    assert found == {
+        ("ok", ()), ("new", (("gift", '{"a":1}'),)), ("bad", (("total_amount", "many"),)),
+        ("item", (("items", '[{"product_id":"p","quantity":"two"}]'),)),
+        (None, (("_corrupt_record", "{broken"),)), (None, (("_corrupt_record", "[1]"),)),
+        (None, (("_corrupt_record", ""),)), (None, ()),
+    }
+    amount = F.try_variant_get("record", "$.total_amount", "string")
+    assert rows(got.where("order_id = 'bad'"), amount) == [("many",)]
+
+
+def test_drift_of_nested_paths(spark, rows):
+    from pyspark.sql.types import StructType
+
+    schema = StructType.fromDDL("id bigint, at string, items array<struct<p:string,q:int>>, place struct<x:double>")
+    lines = [
+        {"id": 1, "at": "t", "items": [{"p": "a", "q": 1}, {"p": "b", "q": 1.5, "r": [True]}], "place": {"x": 1}},
+        {"id": "2", "at": None, "items": {}, "place": {"y": 2}},
+        {"id": 3.0, "items": [7]},
+    ]
+    df = spark.createDataFrame([(json.dumps(line),) for line in lines] + [("{broken",), ("[1]",), (None,)], "line string")
+    assert rows(json_drift(df, "line", schema)) == [
+        ("at", "missing", None, 1),
+        ("id", "retyped", "STRING", 1),
+        ("items", "retyped", "OBJECT<>", 1),
+        ("items[]", "retyped", "BIGINT", 1),
+        ("items[].q", "retyped", "DECIMAL(2,1)", 1),
+        ("items[].r", "new", "ARRAY<BOOLEAN>", 1),
+        ("items[].r[]", "new", "BOOLEAN", 1),
+        ("place", "missing", None, 1),
+        ("place.x", "missing", None, 1),
+        ("place.y", "new", "BIGINT", 1),
+    ]
+    assert json_drift(df.where("false"), "line", schema).count() == 0

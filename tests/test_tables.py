@@ -185,6 +185,19 @@ def test_z_order_narrows_both_columns(spark):
     assert spans[0] < 60 and spans[1] < 60
 
 
+def test_z_order_tells_texts_apart_whatever_their_beginnings(spark):
+    """Ids with a long common beginning keep their ranks beside one odd key."""
+    ids = [(f"customer-of-the-shop-{i:06d}",) for i in range(10_000)] + [("a",), (None,), ("é" * 1000,)]
+    df = spark.createDataFrame(ids, "id string")
+    [cuts] = layout._cuts(df, ["id"])
+    ranked = df.withColumn("rank", layout._rank(F.col("id"), cuts, df.schema["id"].dataType))
+    assert ranked.select("rank").distinct().count() > 200
+    assert ranked.where("id is null").first()["rank"] == 256
+    below = sorted((r.id, r["rank"]) for r in ranked.dropna().collect())
+    assert [rank for _, rank in below] == sorted(rank for _, rank in below)
+    assert layout.z_ordered(df.where("false"), ["id"], 4).count() == 0
+
+
 def test_file_sizes(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(1000).repartition(3).write.parquet(path)

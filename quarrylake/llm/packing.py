@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
 from bisect import bisect_right, insort
 from collections.abc import Iterator
 
@@ -35,11 +36,19 @@ STEPS_AT_ONCE = 4
 _CONTROL = re.compile("[\x1c-\x1f]")
 
 
+def _plain_letters(word: str) -> bool:
+    """Letters that stay one letter each when case is folded and characters are taken apart."""
+    if word.isascii():
+        return word.isalpha()
+    return word.isalpha() and len(word.lower()) == len(word) and unicodedata.normalize("NFKD", word) == word
+
+
 class CachedTokenizer:
     """Token ids of texts as little-endian 32-bit numbers, remembered by white-space separated part.
 
     Right for tokenizers that lower-case, never join characters across white space and
-    keep letters apart from a full stop or comma. Two generations of about ``size`` parts
+    keep letters apart from a full stop or comma. A letter that the tokenizer takes apart before it
+    tells letters from marks may hold a mark, so a word with one is not parted. Two generations of about ``size`` parts
     are kept.
     """
 
@@ -70,7 +79,7 @@ class CachedTokenizer:
             if ids is None:
                 # a special token's string is told from ordinary text before case is folded
                 low = part.lower() if part.isascii() and "<|" not in part else part
-                cut = len(low) - 1 if low[-1:] in (",", ".") and low[:-1].isalpha() else len(low)
+                cut = len(low) - 1 if low[-1:] in (",", ".") and _plain_letters(low[:-1]) else len(low)
                 bare[part] = low[:cut], low[cut:]
             else:
                 self._young[part] = ids

@@ -1,3 +1,4 @@
+import sys
 import zlib
 
 import numpy as np
@@ -69,3 +70,15 @@ def test_empty_table_and_bad_tiers(spark, documents):
     assert pack(documents(), tokenizer_file(TOKENIZER)).count() == 0
     with pytest.raises(ValueError, match="tiers"):
         pack(documents(), tokenizer_file(TOKENIZER), tiers=(256, 1000))
+
+
+def test_words_before_marks_are_those_of_the_tokenizer(plain):
+    """Every letter beyond ASCII before a full stop or comma, alone and after another one."""
+    coder = CachedTokenizer(tokenizer_file(TOKENIZER), size=10**7)
+    letters = [c for c in map(chr, range(128, sys.maxunicode + 1)) if c.isalpha()]
+    words = [word for c in letters for word in (f"{c}.", f"a{c},")]
+    for start in range(0, len(words), 20_000):
+        part = words[start : start + 20_000]
+        coded = plain.encode_batch_fast(part, add_special_tokens=False)
+        wrong = [w for w, c in zip(part, coded) if np.frombuffer(coder.encode(w), "<u4").tolist() != c.ids]
+        assert not wrong

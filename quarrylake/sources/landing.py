@@ -10,19 +10,20 @@ from quarrylake.schemas import Topic
 
 HOUR_COLUMNS = ["year", "month", "day", "hour"]
 CORRUPT_COLUMN = "_corrupt_record"
+_FILES_AN_HOUR = 4
 
 
 def write_landing(df: DataFrame, path: str, arrival: Column) -> None:
     """Write gzip JSON lines under ``year=/month=/day=/hour=`` of the arrival time.
 
-    The hint groups an hour's rows into few files; an hour that is much larger
-    than the others is split over several tasks and files at run time.
+    An hour's rows come into at most ``_FILES_AN_HOUR`` files, by hash of the row, so that a
+    large hour is written by several tasks; small pieces share a task at run time.
     """
     patterns = dict(zip(HOUR_COLUMNS, ["yyyy", "MM", "dd", "HH"]))
     hours = {name: F.date_format(arrival, pattern) for name, pattern in patterns.items()}
     (
         df.withColumns(hours)
-        .hint("rebalance", *[F.col(name) for name in HOUR_COLUMNS])
+        .repartition(*HOUR_COLUMNS, F.pmod(F.xxhash64(*df.columns), F.lit(_FILES_AN_HOUR)))
         .write.mode("append")
         .partitionBy(*HOUR_COLUMNS)
         .option("compression", "gzip")

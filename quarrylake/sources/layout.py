@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
 
 _BITS = 8
 #: Rows of the sample that the cuts of all columns are taken from.
@@ -19,32 +20,32 @@ def compacted(df: DataFrame) -> DataFrame:
 
 
 def _cuts(df: DataFrame, columns: list[str]) -> list[list]:
-    """For each column up to 255 values that cut a sample of its rows into equal parts, in order.
+    """For each column up to 255 values, as text, that cut a sample of its rows into equal parts, in order.
 
     One pass for all columns: the rows with the least random numbers, a bounded number, come to the
     driver in the order of their values. Texts are cut by themselves, not by a number that stands for them.
     """
     sample = df.select(*columns).orderBy(F.rand(7)).limit(SAMPLE_ROWS)
-    picked = [F.sort_array(F.collect_list(name)).alias(f"_c{i}") for i, name in enumerate(columns)]
+    picked = [F.sort_array(F.collect_list(name)).cast("array<string>").alias(f"_c{i}") for i, name in enumerate(columns)]
     found = []
     for values in sample.agg(*picked).first():
         parts = 2**_BITS
         cuts = [values[len(values) * n // parts] for n in range(1, parts)] if values else []
-        cuts = [cut[:CUT_CHARACTERS] if isinstance(cut, str) else cut for cut in cuts]
-        found.append(cuts)
+        found.append([cut[:CUT_CHARACTERS] for cut in cuts])
     return found
 
 
-def _rank(value: Column, cuts: list, kind: DataType) -> Column:
-    """How many of the 255 cuts are at or below the value, by binary search; 256 for NULL."""
-    if not cuts:
-        return F.when(value.isNull(), 2**_BITS).otherwise(0)
-    given = F.array(*[F.lit(cut).cast(kind) for cut in cuts])
-    steps = F.array(*[F.lit(2**n) for n in reversed(range(_BITS))])
-    rank = F.aggregate(
-        steps, F.lit(0), lambda rank, step: rank + F.when(F.element_at(given, rank + step) <= value, step).otherwise(0)
-    )
-    return F.when(value.isNull(), 2**_BITS).otherwise(rank)
+def _ranked(df: DataFrame, name: str, cuts: list, rank: str) -> DataFrame:
+    """Add how many of the 255 cuts are at or below the value, by binary search; 256 for NULL."""
+    found, value = df.withColumn(rank, F.lit(0)), F.col(name)
+    if cuts:
+        kind = df.schema[name].dataType.simpleString()
+        given = F.from_json(F.lit(json.dumps(cuts)), "array<string>").cast(f"array<{kind}>")  # one constant
+        # one step per column keeps each expression small and compiled
+        for step in (2**n for n in reversed(range(_BITS))):
+            above = F.element_at(given, F.col(rank) + step) <= value
+            found = found.withColumn(rank, F.col(rank) + F.when(above, step).otherwise(0))
+    return found.withColumn(rank, F.when(value.isNull(), 2**_BITS).otherwise(F.col(rank)))
 
 
 def z_ordered(
@@ -63,7 +64,7 @@ def z_ordered(
         raise ValueError(f"more than {63 // (_BITS + 1)} columns do not fit the sort key")
     cut, buckets = df, [f"_b{i}" for i in range(len(columns))]
     for bucket, name, cuts in zip(buckets, columns, _cuts(df, columns)):
-        cut = cut.withColumn(bucket, _rank(F.col(name), cuts, df.schema[name].dataType))
+        cut = _ranked(cut, name, cuts, bucket)
     key = F.lit(0).cast("bigint")
     for bit in range(_BITS + 1):  # the NULL bucket is number 2**_BITS
         for place, bucket in enumerate(buckets):

@@ -156,27 +156,31 @@ class PartitionedTable:
         source.write.parquet(incoming)
         source = self.spark.read.schema(source.schema).parquet(incoming)
         own = [row[0] for row in source.select(self.partition).distinct().collect()]
-        held = self.holding(source, keys)
+        rows = self._rows()  # its files are listed once
+        held = self._holding(rows, source, keys)
         touched = list({*own, *(row[0] for row in held.collect())})
         if touched:
-            self._replace(touched, lambda old: upsert(old, source, keys, version_column), keys)
+            self._replace(rows, touched, lambda old: upsert(old, source, keys, version_column), keys)
         else:
             self.folders.drop(self._staged)
 
     def holding(self, source: DataFrame, keys: list[str]) -> DataFrame:
         """The partitions that hold a key of ``source``; reads keys where the filters cannot exclude one."""
-        maybe = _is_one_of(self.partition, self._candidates(source, keys))
-        known = self._rows().where(maybe).select(*keys, self.partition)
+        return self._holding(self._rows(), source, keys)
+
+    def _holding(self, rows: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
+        maybe = _is_one_of(self.partition, self._candidates(rows, source, keys))
+        known = rows.where(maybe).select(*keys, self.partition)
         return known.join(source.select(*keys), keys, "left_semi").select(self.partition).distinct()
 
-    def _candidates(self, source: DataFrame, keys: list[str]) -> list:
+    def _candidates(self, rows: DataFrame, source: DataFrame, keys: list[str]) -> list:
         if self._filtered_keys() != list(keys):
             self.folders.drop(self._filters)
-            self._write_filters(self._rows(), keys)
-        return [row[0] for row in meeting(self._stored_filters(), source, keys, self.partition).collect()]
+            self._write_filters(rows, keys)
+        return [row[0] for row in meeting(self._stored_filters(rows), source, keys, self.partition).collect()]
 
-    def _stored_filters(self) -> DataFrame:
-        kind = self._rows().schema[self.partition].dataType.simpleString()
+    def _stored_filters(self, rows: DataFrame) -> DataFrame:
+        kind = rows.schema[self.partition].dataType.simpleString()
         return self.spark.read.schema(f"`{self.partition}` {kind}, {FILTER_COLUMNS}, part int").parquet(self._filters)
 
     def _filtered_keys(self) -> list[str]:
@@ -197,7 +201,7 @@ class PartitionedTable:
         if self.folders.exists(self._filters):
             new = rows.select(self.partition).distinct()
             parts = filters.select("part").distinct()
-            stored = self._stored_filters().join(parts, "part", "left_semi")
+            stored = self._stored_filters(rows).join(parts, "part", "left_semi")
             same = stored[self.partition].eqNullSafe(new[self.partition])
             filters = filters.unionByName(stored.join(new, same, "left_anti"))
         (
@@ -223,31 +227,35 @@ class PartitionedTable:
         self._finish()
         self.folders.drop(self._staged)
         if days:
-            self._check_known([day for day in days if day is not None])
-            self._replace(list(days), change, None, arranged)
+            rows = self._rows()
+            self._check_known(rows, [day for day in days if day is not None])
+            self._replace(rows, list(days), change, None, arranged)
 
-    def _check_known(self, values: list) -> None:
+    def _check_known(self, rows: DataFrame, values: list) -> None:
         if values:
-            known = self._rows().where(F.col(self.partition).isin(values)).select(self.partition).distinct()
+            known = rows.where(F.col(self.partition).isin(values)).select(self.partition).distinct()
             asked = self.spark.createDataFrame([(value,) for value in values], ["value"])
             unknown = asked.join(known, asked["value"] == known[self.partition], "left_anti").collect()
             if unknown:
                 raise ValueError(f"no such partitions: {[row['value'] for row in unknown]}")
 
     def _replace(
-        self, values: list, change: Callable[[DataFrame], DataFrame], keys: list[str] | None, arranged: bool = False
+        self, rows: DataFrame, values: list, change: Callable[[DataFrame], DataFrame], keys: list[str] | None, arranged: bool = False
     ) -> None:
         """Write the changed rows of the partitions aside and take them in.
 
         A change that only arranges the rows is made while they are taken in.
         """
-        old = self._rows().where(_is_one_of(self.partition, values))
+        old = rows.where(_is_one_of(self.partition, values))
         new = old if arranged else change(old)
         new.write.parquet(f"{self._staged}/rows")
+        staged = self.spark.read.schema(new.schema).parquet(f"{self._staged}/rows").select(self.partition).distinct()
+        left = [row[0] for row in staged.collect()]
+        if {type(value) for value in values} <= {type(None), *map(type, left)}:  # else compare as Spark does
+            old = rows.where(_is_one_of(self.partition, [value for value in values if value not in left]))
         folder = F.regexp_extract("_metadata.file_path", "([^/]+)/[^/]+$", 1)
         before = old.select(folder.alias("folder"), F.col(self.partition).alias("value")).distinct()
-        left = self.spark.read.schema(new.schema).parquet(f"{self._staged}/rows").select(self.partition).distinct()
-        emptied = before.join(left, before["value"].eqNullSafe(left[self.partition]), "left_anti").select("folder")
+        emptied = before.join(staged, before["value"].eqNullSafe(staged[self.partition]), "left_anti").select("folder")
         emptied.coalesce(1).write.parquet(f"{self._staged}/emptied")
         about = self.spark.createDataFrame([(new.schema.json(), ",".join(keys or []))], _ABOUT)
         about.coalesce(1).write.parquet(f"{self._staged}/about")  # from here on the change counts
@@ -330,15 +338,16 @@ class BucketedTable(PartitionedTable):
         if not touched:
             self.folders.drop(self._staged)
             return
-        self._replace(touched, lambda old: upsert(old, source, keys, version_column), None)
+        self._replace(self._rows(), touched, lambda old: upsert(old, source, keys, version_column), None)
 
     def arrange(self, change: Callable[[DataFrame], DataFrame]) -> None:
         """Rewrite all buckets in the order that ``change`` gives their rows."""
         self._finish()
         self.folders.drop(self._staged)
         if self.exists():
-            buckets = [row[0] for row in self._rows().select(self.BUCKET).distinct().collect()]
-            self._replace(buckets, change, None, arranged=True)
+            rows = self._rows()
+            buckets = [row[0] for row in rows.select(self.BUCKET).distinct().collect()]
+            self._replace(rows, buckets, change, None, arranged=True)
 
 
 _ABOUT = "columns string, keys string"

@@ -74,7 +74,7 @@ def test_merge_cut_off_while_taken_over_is_finished_later(spark, rows, tmp_path,
     path = str(tmp_path / "fact")
     table = PartitionedTable(spark, path, "day")
     table.merge(first_rows(spark), ["k"], "ts")
-    table._candidates(first_rows(spark), ["k"])  # the filters exist
+    table.holding(first_rows(spark), ["k"])  # the filters exist
 
     def lost(*_):
         raise OSError("driver lost")
@@ -190,7 +190,7 @@ def test_z_order_tells_texts_apart_whatever_their_beginnings(spark):
     ids = [(f"customer-of-the-shop-{i:06d}",) for i in range(10_000)] + [("a",), (None,), ("é" * 1000,)]
     df = spark.createDataFrame(ids, "id string")
     [cuts] = layout._cuts(df, ["id"])
-    ranked = df.withColumn("rank", layout._rank(F.col("id"), cuts, df.schema["id"].dataType))
+    ranked = layout._ranked(df, "id", cuts, "rank")
     assert ranked.select("rank").distinct().count() > 200
     assert ranked.where("id is null").first()["rank"] == 256
     below = sorted((r.id, r["rank"]) for r in ranked.dropna().collect())

@@ -34,8 +34,6 @@ from quarrylake.workspace import new_folder
 
 
 _DAY = "CAST({} AS DATE) AS order_day"
-#: The stream below reads bronze files one by one, so a batch comes in several parts.
-_ROWS_PER_FILE = 2000
 
 
 def _land(folder: str, rows: DataFrame, key: str) -> None:
@@ -48,7 +46,8 @@ def _ingested(inputs: Inputs, topic=ORDERS, messages: DataFrame | None = None, r
     base = new_folder(inputs.spark, topic.name)
     messages = inputs.order_messages_with_items() if messages is None else messages
     _land(f"{base}/landing", messages, topic.key)
-    bronze = BronzeTable(inputs.spark, f"{base}/bronze", topic, _ROWS_PER_FILE)
+    third = inputs.table("orders").count() // 3 + 1  # a batch of orders lies in several files
+    bronze = BronzeTable(inputs.spark, f"{base}/bronze", topic, third)
     ingest(bronze, f"{base}/landing", f"{base}/bronze_checkpoint", run_log=run_log).awaitTermination()
     return bronze, base
 

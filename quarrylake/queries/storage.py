@@ -27,7 +27,7 @@ from quarrylake.queries.inputs import (
 from quarrylake.schemas import CUSTOMERS, ORDERS, PRODUCTS, ddl
 from quarrylake.sources import layout
 from quarrylake.sources.landing import read_landing_hours, write_landing
-from quarrylake.sources.tables import PartitionedTable, VersionedTable, table_files
+from quarrylake.sources.tables import PartitionedTable, VersionedTable, folder_sizes, table_files
 from quarrylake.streaming.bronze import BronzeTable, bulk_load, ingest
 from quarrylake.streaming.silver import SilverTable, refresh, since, stream_to_silver
 from quarrylake.workspace import new_folder
@@ -396,3 +396,36 @@ def wide_table_split(inputs: Inputs) -> DataFrame:
     core, rest = split_columns(nested, ["customer_id"], ["name"])
     both = core.join(rest.select("customer_id", "place"), "customer_id")
     return both.select("customer_id", "name", "place.city", "place.state", "place.country")
+
+
+@query(f"""
+WITH {SQL_MESSAGES}
+SELECT order_id, {_STATUS} AS _record_status, TRUE AS fewer_files, CAST(0 AS BIGINT) AS crowded_folders FROM messages
+""")
+def bronze_compacted(inputs: Inputs) -> DataFrame:
+    """Bronze batches of many small files read the same after compaction; a second one finds nothing to do."""
+    base, orders = new_folder(inputs.spark, "compacted"), inputs.order_messages_with_items()
+    _land(f"{base}/landing", orders, "order_id")
+    # files of a twentieth of the rows; compaction writes them without that limit
+    few = orders.count() // 20 + 1
+    bronze = BronzeTable(inputs.spark, f"{base}/bronze", ORDERS)
+    crowded = BronzeTable(inputs.spark, f"{base}/bronze", ORDERS, few)
+    ingest(crowded, f"{base}/landing", f"{base}/checkpoint").awaitTermination()
+    before = folder_sizes(inputs.spark, bronze.path).agg(F.sum("files")).first()[0]
+    bronze.compact()
+    after = folder_sizes(inputs.spark, bronze.path).agg(F.sum("files")).first()[0]
+    return bronze.read().select(
+        "order_id", "_record_status", F.lit(after < before).alias("fewer_files"),
+        F.lit(bronze.compact()).cast("bigint").alias("crowded_folders"),
+    )
+
+
+@query("""
+SELECT 'o_orderstatus=' || o_orderstatus AS folder, CAST(1 AS BIGINT) AS files, TRUE AS has_bytes
+FROM orders GROUP BY o_orderstatus
+""")
+def stored_folder_sizes(inputs: Inputs) -> DataFrame:
+    """Files and bytes by folder, from the listing alone."""
+    path = new_folder(inputs.spark, "orders")
+    inputs.table("orders").repartition("o_orderstatus").write.partitionBy("o_orderstatus").parquet(path)
+    return folder_sizes(inputs.spark, path).select("folder", "files", (F.col("size_bytes") > 0).alias("has_bytes"))

@@ -43,6 +43,10 @@ class Folders:
             return []
         return [status.getPath().getName() for status in self._fs.listStatus(self._path(path))]
 
+    def full(self, path: str) -> str:
+        """The path as listings give it."""
+        return self._fs.makeQualified(self._path(path)).toString()
+
     def bytes(self, path: str) -> int:
         return self._fs.getContentSummary(self._path(path)).getLength()
 
@@ -361,6 +365,35 @@ def _is_one_of(name: str, values: list):
     return known | F.col(name).isNull() if None in values else known
 
 
+def listed_files(spark: SparkSession, path: str) -> DataFrame:
+    """One row per data file below a folder: its folder relative to ``path``, path, length and time.
+
+    A listing only: no file is opened, and hidden folders are left out. A folder without files gives no rows.
+    """
+    files = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .option("pathGlobFilter", "*.parquet")
+        .load(path)
+        .select("path", "length", "modificationTime")  # without the content
+    )
+    root = Folders(spark, path).full(path).split(":", 1)[-1].lstrip("/")
+    # schemes may come with one slash or three
+    below = F.regexp_replace("path", "^[a-z0-9]+:/+", "")
+    inner = F.substr(below, F.lit(len(root) + 2))
+    return files.select(F.regexp_replace(inner, "/?[^/]+$", "").alias("folder"), "path", "length", "modificationTime")
+
+
+def folder_sizes(spark: SparkSession, path: str) -> DataFrame:
+    """(folder, files, size_bytes, smallest, largest) of every folder with data files below ``path``."""
+    return listed_files(spark, path).groupBy("folder").agg(
+        F.count("*").alias("files"),
+        F.sum("length").alias("size_bytes"),
+        F.min("length").alias("smallest"),
+        F.max("length").alias("largest"),
+    )
+
+
 def table_files(df: DataFrame, table_name: str) -> DataFrame:
     """One row: number of files and bytes behind a file-based frame."""
     files = df.select("_metadata.file_path", "_metadata.file_size").groupBy("file_path").agg(

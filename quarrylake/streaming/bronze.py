@@ -18,10 +18,15 @@ from quarrylake.operators.quality_rules import (
 from quarrylake.plans.run_log import log_run
 from quarrylake.schemas import Topic
 from quarrylake.sources.landing import CORRUPT_COLUMN, read_landing, stream_landing
-from quarrylake.sources.tables import SUCCESS, Folders
+from quarrylake.sources.tables import SUCCESS, Folders, listed_files
 
 
 CORRUPT_RULE = "corrupt_record"
+#: Files below this size are small.
+SMALL_BYTES = 32 << 20
+
+
+_FOLDERS = ["feed", "batch_id", "_record_status"]
 
 
 @dataclass(frozen=True)
@@ -59,6 +64,61 @@ class BronzeTable:
     def invalid(self) -> DataFrame:
         return self.read().where(F.col("_record_status") == INVALID)
 
+    @property
+    def _compacting(self) -> str:
+        return f"{self.path}/_compacting"
+
+    def compact(self, small_bytes: int = SMALL_BYTES, min_files: int = 8) -> int:
+        """Rewrite the folders of complete batches that hold ``min_files`` small files or more; returns their number.
+
+        Which ones is told by a listing. Their rows are written aside in files of even size and then taken in by
+        dynamic partition overwrite; other folders are not touched, and a batch stays the same batch. What is
+        completely written aside counts: a compaction that was cut off is finished by the next one or by the
+        next ``refresh`` or stream to silver. To be run while no one reads or writes the table. ``refresh`` goes by batch and does not
+        read compacted batches again; a stream takes their files for new ones and merges the same
+        rows once more, which changes nothing.
+        """
+        self.finish_compaction()
+        last = self.complete_batches(after={})
+        if not last:
+            return 0
+        files = listed_files(self.spark, self.path)
+        batch = F.regexp_extract("folder", "batch_id=([0-9]+)", 1).cast("int")
+        feed = F.regexp_extract("folder", "^feed=([^/]+)/", 1)
+        small = files.groupBy("folder").agg(F.count_if(F.col("length") < small_bytes).alias("small"))
+        crowded = small.where(F.col("small") >= min_files).select("folder", feed.alias("feed"), batch.alias("batch"))
+        # a part of the folder list, which the driver holds anyway
+        folders = [row.folder for row in crowded.collect() if row.batch <= last.get(row.feed, -1)]
+        if not folders:
+            return 0
+        folders_of = self.spark.read.schema(self.schema).option("basePath", self.path)
+        rows = folders_of.parquet(*[f"{self.path}/{folder}" for folder in folders])
+        (
+            rows.hint("rebalance", *[F.col(name) for name in _FOLDERS])
+            .write.mode("overwrite")
+            .option("maxRecordsPerFile", self.max_rows_per_file)
+            .partitionBy(*_FOLDERS)
+            .parquet(self._compacting)
+        )
+        self.finish_compaction()
+        return len(folders)
+
+    def finish_compaction(self) -> None:
+        """Take what a compaction has written aside into the table; may be cut off and repeated."""
+        folders = Folders(self.spark, self.path)
+        if not folders.exists(f"{self._compacting}/{SUCCESS}"):
+            return
+        staged = self.spark.read.schema(self.schema).parquet(self._compacting)
+        (
+            staged.hint("rebalance", *[F.col(name) for name in _FOLDERS])
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .option("maxRecordsPerFile", self.max_rows_per_file)
+            .partitionBy(*_FOLDERS)
+            .parquet(self.path)
+        )
+        folders.drop(self._compacting)
+
     def complete_batches(self, after: dict[str, int]) -> dict[str, int]:
         """The last complete batch per feed, for feeds with one later than ``after``.
 

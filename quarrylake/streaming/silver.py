@@ -13,7 +13,7 @@ from quarrylake.plans.run_log import log_run
 from quarrylake.plans.silver import conform, is_unfit
 from quarrylake.schemas import Topic, ddl
 from quarrylake.sources.layout import z_ordered
-from quarrylake.sources.tables import BucketedTable, Folders, PartitionedTable
+from quarrylake.sources.tables import BucketedTable, Folders, PartitionedTable, listed_files
 from quarrylake.streaming.bronze import BronzeTable
 
 #: The bronze file that a row was read from.
@@ -68,11 +68,12 @@ class SilverTable:
         else:
             self.rows.arrange(lambda old: z_ordered(old, columns, files, within=BucketedTable.BUCKET))
 
-    def keep_rejects(self, rows: DataFrame) -> None:
+    def keep_rejects(self, rows: DataFrame, bronze: BronzeTable) -> None:
         """Store bronze rows silver cannot hold, by the bronze file they lie in (``BRONZE_FILE``).
 
         A bronze batch may come in several runs, each with other files of it: rows of a file replace
-        what was stored of that file, and rows of the batch's other files stay. Only the batches of
+        what was stored of that file, and rows of the batch's other files stay, unless compaction has
+        taken their file's rows into another one. Only the batches of
         ``rows`` are rewritten, by Spark's dynamic partition overwrite.
         """
         stored = f"{self.path}/rejects"
@@ -84,6 +85,9 @@ class SilverTable:
                 .join(batches, ["feed", "batch_id"], "left_semi")
                 .join(files, BRONZE_FILE, "left_anti")
             )
+            name = F.element_at(F.split(BRONZE_FILE, "/"), -1)  # file names are unique
+            there = listed_files(self.spark, bronze.path).select(F.element_at(F.split("path", "/"), -1).alias("_there"))
+            others = others.join(there, name == F.col("_there"), "left_semi")
             rows = rows.unionByName(others)
         (
             rows.hint("rebalance", F.col("feed"), F.col("batch_id"))
@@ -122,12 +126,13 @@ def refresh(
     bronze: BronzeTable, silver: SilverTable, salt: str | None = None, run_log: str | None = None
 ) -> dict[str, int]:
     """Merge the bronze batches that silver does not hold yet; returns the new marks."""
+    bronze.finish_compaction()
     started, marks = datetime.now(timezone.utc), silver.marks()
     batches = bronze.complete_batches(after=marks)
     if not batches:
         return {}
     new = _with_file(bronze.valid().where(_between(marks, batches)))
-    _merge(new, silver, started, salt, run_log, "refresh")
+    _merge(new, bronze, silver, started, salt, run_log, "refresh")
     silver.add_marks(batches)
     return batches
 
@@ -137,7 +142,8 @@ def _with_file(bronze_rows: DataFrame) -> DataFrame:
 
 
 def _merge(
-    new: DataFrame, silver: SilverTable, started: datetime, salt: str | None, run_log: str | None, job: str
+    new: DataFrame, bronze: BronzeTable, silver: SilverTable, started: datetime, salt: str | None,
+    run_log: str | None, job: str,
 ) -> None:
     """Store what silver cannot hold, merge the rest, and log the run either way.
 
@@ -158,7 +164,7 @@ def _merge(
         read, invalid = counts.get["read"], counts.get["unfit"]
         rows = silver.spark.read.schema(split.schema).parquet(aside)
         if invalid:
-            silver.keep_rejects(rows.where(~F.col("_fits")).drop("_fits"))
+            silver.keep_rejects(rows.where(~F.col("_fits")).drop("_fits"), bronze)
         if read > invalid:
             fitting = rows.where("_fits").drop("_fits", BRONZE_FILE)
             silver.merge(conform(fitting, silver.topic, started, salt))
@@ -177,6 +183,7 @@ def stream_to_silver(
     run_log: str | None = None, max_files: int = 1000,
 ) -> StreamingQuery:
     """The same as a stream over the bronze files, one merge per batch."""
+    bronze.finish_compaction()
     spark = bronze.spark
     rows = (
         spark.readStream.schema(bronze.schema)
@@ -186,7 +193,7 @@ def stream_to_silver(
     rows = _with_file(rows).where(F.col("_record_status") == VALID)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        _merge(batch, silver, datetime.now(timezone.utc), salt, run_log, "stream")
+        _merge(batch, bronze, silver, datetime.now(timezone.utc), salt, run_log, "stream")
 
     return (
         rows.writeStream.foreachBatch(on_batch)

@@ -361,3 +361,55 @@ def test_drift_of_nested_paths(spark, rows):
         ("place.y", "new", "BIGINT", 1),
     ]
     assert json_drift(df.where("false"), "line", schema).count() == 0
+
+
+def _crowded_bronze(bronze, landing, tmp_path):
+    """Two batches of ten files each, with unreadable dates, and a batch that is not complete."""
+    small = BronzeTable(bronze.spark, bronze.path, ORDERS, 1)
+    for batch in (0, 1):
+        for n in range(10):
+            landing.put(order(f"o{batch}-{n}", order_date="never" if n == 3 else "2024-01-01T10:00:00Z"))
+        bulk_load(small, landing.path, "load")
+        write_batch(read_landing(bronze.spark, ORDERS, landing.path), 7 + batch, "other", small)
+    (tmp_path / "bronze" / "feed=other" / "batch_id=8" / "_SUCCESS").unlink()
+    return small
+
+
+def test_compaction_rewrites_crowded_folders_of_complete_batches(spark, bronze, landing, tmp_path, rows):
+    _crowded_bronze(bronze, landing, tmp_path)
+    before = rows(bronze.read())
+    files = lambda folder: sorted(p.name for p in (tmp_path / "bronze" / folder).rglob("*.parquet"))
+    incomplete, kept = files("feed=other/batch_id=8"), files("feed=other/batch_id=7")
+    assert bronze.compact(min_files=15) == 1  # 20 files of the load; the other feed's batch has 10
+    assert rows(bronze.read()) == before
+    assert len(files("feed=load")) < 10 and files("feed=other/batch_id=7") == kept
+    assert files("feed=other/batch_id=8") == incomplete
+    assert bronze.complete_batches({}) == {"load": 0, "other": 7}
+    assert bronze.compact(min_files=15) == 0
+
+
+def test_compaction_that_was_cut_off_is_finished(spark, bronze, landing, tmp_path, rows, monkeypatch):
+    _crowded_bronze(bronze, landing, tmp_path)
+    before = rows(bronze.read())
+    with monkeypatch.context() as patch:
+        patch.setattr(BronzeTable, "finish_compaction", lambda self: None)
+        assert bronze.compact(min_files=2) == 2
+    assert rows(bronze.read()) == before
+    for path in (tmp_path / "bronze" / "feed=load").rglob("*.parquet"):
+        path.unlink()  # the overwrite had removed a folder and not yet filled it
+    silver = SilverTable(spark, str(tmp_path / "silver"), ORDERS)
+    refresh(bronze, silver)
+    assert rows(bronze.read()) == before and silver.read().count() == 18
+    assert not (tmp_path / "bronze" / "_compacting").exists()
+
+
+def test_stream_keeps_rejects_once_after_compaction(spark, bronze, landing, tmp_path, rows):
+    _crowded_bronze(bronze, landing, tmp_path)
+    silver, checkpoint = SilverTable(spark, str(tmp_path / "silver"), ORDERS), str(tmp_path / "scp")
+    stream_to_silver(bronze, silver, checkpoint, max_files=12).awaitTermination()
+    kept, rejects = rows(silver.read(), "order_id"), rows(silver.rejects(bronze), "feed", "batch_id", "order_id")
+    assert len(kept) == 18 and len(rejects) == 5
+    assert bronze.compact(min_files=2) == 2
+    stream_to_silver(bronze, silver, checkpoint).awaitTermination()
+    assert rows(silver.read(), "order_id") == kept
+    assert rows(silver.rejects(bronze), "feed", "batch_id", "order_id") == rejects

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quarrylake.operators.key_filter import key_filters, meeting
 from quarrylake.operators.reshape import group_columns, split_columns
 from quarrylake.sources import layout
-from quarrylake.sources.tables import BucketedTable, Folders, PartitionedTable, VersionedTable, table_files
+from quarrylake.sources.tables import BucketedTable, Folders, PartitionedTable, VersionedTable, folder_sizes, listed_files, table_files
 from quarrylake.workspace import new_folder, shared_root
 
 T1, T2, T3 = datetime(2024, 1, 1), datetime(2024, 1, 2), datetime(2024, 1, 3)
@@ -238,3 +238,19 @@ def test_versioned_merge_takes_the_newest_of_repeated_source_rows(spark, rows, t
     for batch in ([(1, "a", 1), (1, "b", 2)], [(1, "c", 3), (1, "d", 4)]):
         table.merge(spark.createDataFrame(batch, "k int, v string, at int"), ["k"], "at")
     assert rows(table.read()) == [(1, "d", 4)]
+
+
+def test_folder_sizes_come_from_a_listing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(1000).selectExpr("id", "id % 3 part").repartition(4).write.partitionBy("part").parquet(path)
+    spark.range(5).write.parquet(f"{path}/_staged/rows")
+    sizes = {r.folder: (r.files, r.size_bytes, r.smallest, r.largest) for r in folder_sizes(spark, path).collect()}
+    expected = {}
+    for folder in (tmp_path / "t").glob("part=*"):
+        lengths = [p.stat().st_size for p in folder.glob("*.parquet")]
+        expected[folder.name] = (len(lengths), sum(lengths), min(lengths), max(lengths))
+    assert sizes == expected
+    files = listed_files(spark, path)
+    assert "content" not in files._jdf.queryExecution().executedPlan().toString()
+    spark.range(3).write.parquet(f"{path}/flat")
+    assert {r.folder for r in folder_sizes(spark, f"{path}/flat").collect()} == {""}

@@ -16,12 +16,13 @@ partition in their order, so a lost task gives the same windows again.
 from __future__ import annotations
 
 import os
-import re
-import unicodedata
+import struct
 from bisect import bisect_right, insort
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
@@ -33,26 +34,21 @@ POOL_TOKENS = 64 * 4096
 STEP_TOKENS = 16 * 4096
 #: Steps of one window size that are balanced against each other.
 STEPS_AT_ONCE = 4
-_CONTROL = re.compile("[\x1c-\x1f]")
-
-
-def _plain_letters(word: str) -> bool:
-    """Letters that stay one letter each when case is folded and characters are taken apart."""
-    if word.isascii():
-        return word.isalpha()
-    return word.isalpha() and len(word.lower()) == len(word) and unicodedata.normalize("NFKD", word) == word
+#: Longer words are not remembered.
+LONGEST = 64
+#: Text whose words are looked up together, words dealt to their places at once, words in one call of the tokenizer.
+BYTES_AT_ONCE, WORDS_AT_ONCE, ASKED_AT_ONCE = 4 << 20, 1 << 20, 4096
 
 
 class CachedTokenizer:
-    """Token ids of texts as little-endian 32-bit numbers, remembered by white-space separated part.
+    """Token ids of texts as little-endian 32-bit numbers, remembered by white-space separated word.
 
-    Right for tokenizers that lower-case, never join characters across white space and
-    keep letters apart from a full stop or comma. A letter that the tokenizer takes apart before it
-    tells letters from marks may hold a mark, so a word with one is not parted. Two generations of about ``size`` parts
-    are kept.
+    Right for tokenizers that lower-case, never join characters across ASCII white space and
+    part a letter a-z from a full stop or comma after it. Two generations of about ``size`` words
+    are kept, of at most ``LONGEST`` characters each.
     """
 
-    def __init__(self, path: str, size: int = 300_000):
+    def __init__(self, path: str, size: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -61,40 +57,67 @@ class CachedTokenizer:
         self._old: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
+        return next(self.encode_all(pa.array([text])))
+
+    def encode_all(self, texts: pa.Array) -> Iterator[bytes]:
+        """The ids of each text. Different words are looked up once; Arrow and numpy deal them to their places."""
         if len(self._young) > self._size:
             self._old, self._young = self._young, {}
-        # str.split() takes four control characters for space that tokenizers do not
-        parts = re.split(r"[ \t\n\r]+", text) if _CONTROL.search(text) else text.split()
-        found = list(map(self._young.get, parts))
-        if None in found:
-            self._learn({p for p, ids in zip(parts, found) if ids is None})
-            found = list(map(self._young.get, parts))
-        return b"".join(found)
-
-    def _learn(self, parts: set[str]) -> None:
-        """Ask the tokenizer for the bare words among new parts only."""
-        bare = {}
-        for part in parts:
-            ids = self._old.get(part)
+        # gives an array of its own: Arrow folds the case of a slice wrongly
+        apart = pc.replace_substring_regex(texts.cast(pa.large_string()), "([A-Za-z])([.,])", r"\1 \2")
+        # a special token's string is told from ordinary text before case is folded
+        if not pc.any(pc.match_substring(apart, "<|")).as_py():
+            apart = pc.ascii_lower(apart)
+        split = pc.ascii_split_whitespace(apart)
+        coded = split.flatten().dictionary_encode()
+        found = self._lookup(coded.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        starts = np.cumsum(sizes) - sizes
+        pool, places = np.frombuffer(b"".join(found), "<u4"), coded.indices.to_numpy()
+        # some words at a time: places take more room than ids
+        ids = [np.empty(0, "<u4")]
+        for at in range(0, len(places), WORDS_AT_ONCE):
+            some = places[at : at + WORDS_AT_ONCE]
+            lengths = sizes[some]
+            ends = np.cumsum(lengths)
+            ids.append(pool[np.arange(ends[-1]) + np.repeat(starts[some] - ends + lengths, lengths)])
+        every = np.concatenate(ids)
+        bounds = np.concatenate([[0], np.cumsum(sizes[places])])[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        for start, end in zip(bounds[:-1], bounds[1:]):
+            yield every[start:end].tobytes()
+
+    def _lookup(self, words: list[str]) -> list[bytes]:
+        found = list(map(self._young.get, words))
+        missing = [at for at, ids in enumerate(found) if ids is None]
+        new = []
+        for at in missing:
+            ids = self._old.get(words[at])
             if ids is None:
-                # a special token's string is told from ordinary text before case is folded
-                low = part.lower() if part.isascii() and "<|" not in part else part
-                cut = len(low) - 1 if low[-1:] in (",", ".") and _plain_letters(low[:-1]) else len(low)
-                bare[part] = low[:cut], low[cut:]
+                new.append(at)
             else:
-                self._young[part] = ids
-        new = []
-        for word in {w for pair in bare.values() for w in pair}:
-            if word not in self._young:
-                ids = self._old.get(word)
-                if ids is None:
-                    new.append(word)
-                else:
-                    self._young[word] = ids
-        for word, coded in zip(new, self._tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            self._young[word] = np.array(coded.ids, "<u4").tobytes()
-        for part, (word, mark) in bare.items():
-            self._young[part] = self._young[word] + self._young[mark]
+                found[at] = self._young[words[at]] = ids
+        for start in range(0, len(new), ASKED_AT_ONCE):
+            asked = new[start : start + ASKED_AT_ONCE]
+            answers = self._tokenizer.encode_batch_fast([words[at] for at in asked], add_special_tokens=False)
+            for at, answer in zip(asked, answers):
+                ids = answer.ids
+                found[at] = ids = struct.pack(f"<{len(ids)}I", *ids)
+                if len(words[at]) <= LONGEST:
+                    self._young[words[at]] = ids
+        return found
+
+
+def _slices(batch: pa.RecordBatch, size: int) -> Iterator[pa.RecordBatch]:
+    """Neighbouring rows with about ``size`` bytes of text or less; a longer text stands alone."""
+    lengths = pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False)
+    start = held = 0
+    for at, length in enumerate(lengths.tolist()):
+        if at > start and held + length > size:
+            yield batch.slice(start, at - start)
+            start, held = at, 0
+        held += length
+    if start < len(lengths):
+        yield batch.slice(start)
 
 
 _tokenizers: dict[str, CachedTokenizer] = {}
@@ -226,8 +249,9 @@ def pack(
 
         def pieces():
             for batch in batches:
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                    yield from packer.add(doc_id, coder.encode(text.as_py()) + end)
+                for some in _slices(batch, BYTES_AT_ONCE):
+                    for doc_id, ids in zip(some.column(0).to_pylist(), coder.encode_all(some.column(1))):
+                        yield from packer.add(doc_id, ids + end)
             yield from packer.finish()
 
         for piece in pieces():

@@ -2,6 +2,7 @@ import sys
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from quarrylake.llm.packing import END_ID, TIERS, CachedTokenizer, pack
@@ -29,6 +30,20 @@ def test_remembered_ids_equal_the_tokenizers(plain, odd, text):
         assert coder.encode(t) == ids(plain, t)[:-1].tobytes()
 
 
+def test_ids_before_marks_and_in_slices(plain):
+    """Every letter before a mark, special strings and odd white space; texts as a slice of a longer array."""
+    coder = CachedTokenizer(tokenizer_file(TOKENIZER), size=5000)
+    letters = [chr(i) for i in [*range(1, 0x3400), *range(0xF900, 0x11000)] if not 0xD800 <= i < 0xE000]
+    texts = [f"{x}. {x}, A{x}. a.{x} B{x}b,.{x}a {x}a.," for x in letters]
+    texts += ["<|ENDOFTEXT|> A.", "x<|endoftext|>.A, A.<|endoftext|>", "", " ", "'S 's'S.'s", "A.\u0301 e\u0301."]
+    for at in range(0, len(texts), 1000):
+        some = texts[at : at + 1000]
+        held = pa.array(["Éé some other text", *some, "the end"]).slice(1, len(some))
+        expected = plain.encode_batch_fast(some, add_special_tokens=False)
+        for t, want, got in zip(some, expected, coder.encode_all(held)):
+            assert got == np.array(want.ids, "<u4").tobytes(), t
+
+
 def test_pieces_give_back_every_document(spark, documents, odd, plain, text):
     docs = [*odd, *[(100 + i, text(i, 10 * i)) for i in range(60)]]
     rows = pack(documents(*docs).coalesce(2), tokenizer_file(TOKENIZER)).collect()

@@ -68,12 +68,12 @@ class SilverTable:
         else:
             self.rows.arrange(lambda old: z_ordered(old, columns, files, within=BucketedTable.BUCKET))
 
-    def keep_rejects(self, rows: DataFrame, bronze: BronzeTable) -> None:
+    def keep_rejects(self, rows: DataFrame, bronze: BronzeTable | None = None) -> None:
         """Store bronze rows silver cannot hold, by the bronze file they lie in (``BRONZE_FILE``).
 
         A bronze batch may come in several runs, each with other files of it: rows of a file replace
-        what was stored of that file, and rows of the batch's other files stay, unless compaction has
-        taken their file's rows into another one. Only the batches of
+        what was stored of that file, and rows of the batch's other files stay, unless compaction of
+        ``bronze`` has taken their file's rows into another one. Only the batches of
         ``rows`` are rewritten, by Spark's dynamic partition overwrite.
         """
         stored = f"{self.path}/rejects"
@@ -85,9 +85,10 @@ class SilverTable:
                 .join(batches, ["feed", "batch_id"], "left_semi")
                 .join(files, BRONZE_FILE, "left_anti")
             )
-            name = F.element_at(F.split(BRONZE_FILE, "/"), -1)  # file names are unique
-            there = listed_files(self.spark, bronze.path).select(F.element_at(F.split("path", "/"), -1).alias("_there"))
-            others = others.join(there, name == F.col("_there"), "left_semi")
+            if bronze:
+                name = F.element_at(F.split(BRONZE_FILE, "/"), -1)  # file names are unique
+                there = listed_files(self.spark, bronze.path).select(F.element_at(F.split("path", "/"), -1).alias("_there"))
+                others = others.join(there, name == F.col("_there"), "left_semi")
             rows = rows.unionByName(others)
         (
             rows.hint("rebalance", F.col("feed"), F.col("batch_id"))
@@ -132,7 +133,7 @@ def refresh(
     if not batches:
         return {}
     new = _with_file(bronze.valid().where(_between(marks, batches)))
-    _merge(new, bronze, silver, started, salt, run_log, "refresh")
+    _merge(new, silver, started, salt, run_log, "refresh", bronze)
     silver.add_marks(batches)
     return batches
 
@@ -142,8 +143,8 @@ def _with_file(bronze_rows: DataFrame) -> DataFrame:
 
 
 def _merge(
-    new: DataFrame, bronze: BronzeTable, silver: SilverTable, started: datetime, salt: str | None,
-    run_log: str | None, job: str,
+    new: DataFrame, silver: SilverTable, started: datetime, salt: str | None, run_log: str | None, job: str,
+    bronze: BronzeTable | None = None,
 ) -> None:
     """Store what silver cannot hold, merge the rest, and log the run either way.
 
@@ -193,7 +194,7 @@ def stream_to_silver(
     rows = _with_file(rows).where(F.col("_record_status") == VALID)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        _merge(batch, bronze, silver, datetime.now(timezone.utc), salt, run_log, "stream")
+        _merge(batch, silver, datetime.now(timezone.utc), salt, run_log, "stream", bronze)
 
     return (
         rows.writeStream.foreachBatch(on_batch)

@@ -114,7 +114,10 @@ def rescued(lines: DataFrame, text: str, topic: Topic) -> DataFrame:
     whole = F.create_map(F.lit(CORRUPT_COLUMN), F.col("_line"))
     none = F.map_filter(whole, lambda field, raw: F.lit(False))
     kept = F.when(F.col("_line").isNull(), none).when(F.col("_raw").isNull(), whole).otherwise(unfit)
-    return rows.select(*[F.col("_typed")[name].alias(name) for name in topic.raw], "record", kept.alias("rescued"))
+    # a caller's filter on the map, also the one that explode() brings, would repeat all parsing for each
+    # field of a line; filters do not pass below a column that is exploded
+    once = F.explode(F.array(kept)).alias("rescued")
+    return rows.select(*[F.col("_typed")[name].alias(name) for name in topic.raw], "record", once)
 
 
 # The fields of a message envelope.

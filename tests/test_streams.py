@@ -338,6 +338,13 @@ def test_rescued_fields_name_what_was_lost(spark, rows):
     assert rows(got.where("order_id = 'bad'"), amount) == [("many",)]
 
 
+def test_rescued_parses_a_line_once_however_it_is_filtered(spark):
+    lines = spark.range(3).select(F.col("id").cast("string").alias("line"))
+    lost = rescued(lines, "line", ORDERS).select("order_id", F.explode("rescued"))
+    plan = lost._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 3  # columns, map, and the items alone
+
+
 def test_drift_of_nested_paths(spark, rows):
     from pyspark.sql.types import StructType
 

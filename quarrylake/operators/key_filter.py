@@ -1,9 +1,11 @@
-"""Bitmaps of hashed keys: which partitions can hold a key, without reading their keys.
+"""Lists of hashed keys: which partitions can hold a key, without reading their keys.
 
-A partition's keys are dealt by hash to blocks, one bitmap of 32,768 bits each, with at least
-32 bits per key on average; a key sets 12 bits of its block. A key that a partition holds is
-always found. One that it does not hold is found about once in a million times, which costs
-a look at that partition and nothing else.
+A partition's list holds the 64-bit hash of each of its keys once, 8 bytes a key. A key that a
+partition holds is always found. One that it does not hold is found only if its hash is another
+key's, which costs a look at that partition and nothing else.
+
+Source and lists meet by equal hashes, so the work grows with keys and hashes, not with keys
+times partitions as it does where every key asks a bitmap of every partition.
 """
 
 from __future__ import annotations
@@ -11,61 +13,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_BITS = 32_768
-BITS_PER_KEY = 32
-BITS_SET = 12
-FILTER_COLUMNS = "blocks bigint, block bigint, bits binary"
+FILTER_COLUMNS = "key_hash bigint"
 
 
 def _hash(keys: list[str]) -> Column:
     return F.xxhash64(*[F.col(name).cast("string") for name in keys])
 
 
-def _block(hashed: Column, blocks: Column) -> Column:
-    return F.pmod(hashed, blocks)
-
-
-def _positions(hashed: Column) -> list[Column]:
-    """Bits of a key: steps of an odd width from a start, both from a second hash."""
-    again = F.xxhash64(hashed, F.lit(1))
-    start, step = F.shiftrightunsigned(again, 40), F.shiftrightunsigned(again, 8).bitwiseAND(BLOCK_BITS - 1).bitwiseOR(1)
-    return [F.pmod(start + step * n, F.lit(BLOCK_BITS)) for n in range(BITS_SET)]
-
-
 def key_filters(rows: DataFrame, keys: list[str], partition: str) -> DataFrame:
-    """(partition, blocks, block, bits): the bitmaps of every partition's keys.
+    """(partition, key_hash): the hashes of every partition's keys.
 
-    Bits are combined before the shuffle. Rows with a NULL key match nothing and are left out.
+    Rows with a NULL key match nothing and are left out.
     """
-    known = rows.dropna(subset=keys).select(partition, _hash(keys).alias("_hash"))
-    sizes = known.groupBy(partition).agg(F.count("*").alias("_keys"))
-    power = F.ceil(F.log2(F.greatest(F.lit(1.0), F.col("_keys") * BITS_PER_KEY / BLOCK_BITS)))
-    sizes = sizes.select(F.col(partition).alias("_of"), F.pow(F.lit(2.0), power).cast("bigint").alias("blocks"))
-    dealt = known.join(sizes, known[partition].eqNullSafe(sizes["_of"])).drop("_of")
-    bits = dealt.select(
-        partition, "blocks", _block(F.col("_hash"), F.col("blocks")).alias("block"),
-        F.explode(F.array(*_positions(F.col("_hash")))).alias("_bit"),
-    )
-    return bits.groupBy(partition, "blocks", "block").agg(F.bitmap_construct_agg("_bit").alias("bits"))
-
-
-def _has(bits: Column, position: Column) -> Column:
-    byte = F.conv(F.hex(F.substring(bits, (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return F.getbit(byte, (position % 8).cast("int")) == 1
+    return rows.dropna(subset=keys).select(partition, _hash(keys).alias("key_hash")).distinct()
 
 
 def meeting(filters: DataFrame, source: DataFrame, keys: list[str], partition: str) -> DataFrame:
-    """The partitions that can hold one of the source's keys.
-
-    Each source key meets the bitmap of its block in every partition; the list of distinct
-    numbers of blocks, powers of two, comes to the driver.
-    """
-    counts = [row[0] for row in filters.select("blocks").distinct().collect()]
-    asked = source.dropna(subset=keys).select(_hash(keys).alias("_hash")).distinct()
-    asked = asked.select("_hash", F.explode(F.array(*[F.lit(n).cast("bigint") for n in counts]).cast("array<bigint>")).alias("blocks"))
-    asked = asked.withColumn("block", _block(F.col("_hash"), F.col("blocks")))
-    met = filters.join(asked, ["blocks", "block"])
-    found = F.lit(True)
-    for position in _positions(F.col("_hash")):
-        found = found & _has(F.col("bits"), position)
-    return met.where(found).select(partition).distinct()
+    """The partitions that can hold one of the source's keys."""
+    asked = source.dropna(subset=keys).select(_hash(keys).alias("key_hash"))
+    return filters.join(asked, "key_hash", "left_semi").select(partition).distinct()

@@ -122,6 +122,15 @@ def test_key_filters_miss_no_key_and_name_few_others(spark):
     assert meeting(key_filters(nulls, ["id"], "part"), nulls, ["id"], "part").count() == 0
 
 
+def test_key_filters_meet_by_equal_hashes(spark):
+    """No source key is held against the lists of all partitions."""
+    known = spark.range(1000).select("id", (F.col("id") % 500).alias("part"))
+    met = meeting(key_filters(known, ["id"], "part"), spark.range(0, 1000, 250).toDF("id"), ["id"], "part")
+    plan = met._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Join LeftSemi, \(key_hash#\d+L = key_hash#\d+L\)", plan)
+    assert sorted(row[0] for row in met.collect()) == [0, 250]
+
+
 def test_bucketed_merge_rewrites_one_bucket(spark, rows, tmp_path):
     path = tmp_path / "dim"
     table = BucketedTable(spark, str(path), ["k"], buckets=8)

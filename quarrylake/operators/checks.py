@@ -259,21 +259,28 @@ def json_drift(lines: DataFrame, text: str, schema: StructType) -> DataFrame:
 
     ``items[]`` is an element of ``items``. Paths are followed one level deeper than the schema, so
     parts of new objects are named too. JSON's null fits everywhere. Lines that are no JSON object are
-    left out. Values are exploded where they lie, level by level; only counts per path are shuffled.
+    left out. Lines are read and parsed once and exploded where they lie, level by level; only counts per
+    path are shuffled.
     """
     declared = _declared_paths(schema)
-    value = F.try_parse_json(F.col(text))
-    whole = lines.select(F.lit("").alias("path"), value.alias("_value"))
-    level = whole.where(F.schema_of_variant("_value").startswith("OBJECT"))
-    levels, explode = [level], lines.sparkSession.tvf.variant_explode
-    for _ in range(1 + max(f"{path}.".replace("[]", ".").count(".") for path in declared)):
-        parts = levels[-1].lateralJoin(explode(F.col("_value").outer()))
+    # a filter does not pass below a column that is exploded, so it does not parse the line again
+    parsed = lines.select(F.explode(F.array(F.try_parse_json(F.col(text)))).alias("_value0"))
+    rows = parsed.where(F.schema_of_variant("_value0").startswith("OBJECT")).select(F.lit("").alias("_path0"), "_value0")
+    depth = 1 + max(f"{path}.".replace("[]", ".").count(".") for path in declared)
+    explode = lines.sparkSession.tvf.variant_explode_outer
+    for level in range(1, depth + 1):
+        above = f"_path{level - 1}"
+        parts = rows.lateralJoin(explode(F.col(f"_value{level - 1}").outer()))
         step = F.when(F.col("key").isNull(), F.lit("[]"))
-        step = step.when(F.col("path") == "", F.col("key")).otherwise(F.concat(F.lit("."), "key"))
-        levels.append(parts.select(F.concat("path", step).alias("path"), F.col("value").alias("_value")))
-    seen = levels[0]
-    for more in levels[1:]:
-        seen = seen.unionByName(more)
+        step = step.when(F.col(above) == "", F.col("key")).otherwise(F.concat(F.lit("."), "key"))
+        first = F.coalesce(F.col("pos"), F.lit(0)) == 0  # a value stays with its first part only, so it counts once
+        rows = parts.select(
+            *[F.col(f"_path{n}") for n in range(level)],
+            *[F.when(first, F.col(f"_value{n}")).alias(f"_value{n}") for n in range(level)],
+            F.concat(above, step).alias(f"_path{level}"), F.col("value").alias(f"_value{level}"),
+        )
+    levels = [F.struct(F.col(f"_path{n}").alias("path"), F.col(f"_value{n}").alias("_value")) for n in range(depth + 1)]
+    seen = rows.select(F.explode(F.array(*levels)).alias("_seen")).select("_seen.*").where("_value IS NOT NULL")
 
     expected = F.create_map(*[F.lit(part) for pair in declared.items() for part in pair])[F.col("path")]
     kind = F.schema_of_variant("_value")
@@ -286,26 +293,22 @@ def json_drift(lines: DataFrame, text: str, schema: StructType) -> DataFrame:
         F.count_if(unfit).alias("_unfit"),
         F.schema_of_variant_agg(F.when(unfit, F.col("_value"))).alias("_unfit_type"),
     )
-    new = counted.where("_known IS NULL").select(
-        "path", F.lit("new").alias("finding"), F.col("_type").alias("found_type"), F.col("_values").alias("records")
-    )
-    retyped = counted.where("_unfit > 0").select(
-        "path", F.lit("retyped").alias("finding"), F.col("_unfit_type").alias("found_type"), F.col("_unfit").alias("records")
-    )
-    named = [path for path in declared if not path.endswith("[]")]
-    wanted = lines.sparkSession.createDataFrame(
-        [(path, path.rpartition(".")[0]) for path in named], "path string, _parent string"
-    )
-    parents = counted.select(F.col("path").alias("_parent"), "_objects")
-    values = counted.select("path", "_values")
-    missing = (
-        wanted.join(parents, "_parent")
-        .join(values, "path", "left")
-        .withColumn("records", F.col("_objects") - F.coalesce("_values", F.lit(0)))
-        .where("records > 0")
-        .select("path", F.lit("missing").alias("finding"), F.lit(None).cast("string").alias("found_type"), "records")
-    )
-    return new.unionByName(retyped).unionByName(missing)
+
+    def found(path: Column, finding: str, kind: Column, records: Column) -> Column:
+        return F.struct(path.alias("path"), F.lit(finding).alias("finding"), kind.alias("found_type"), records.alias("records"))
+
+    path, none = F.col("path"), F.lit(None).cast("string")
+    named = [name for name in declared if not name.endswith("[]")]
+    findings = [
+        F.when(F.col("_known").isNull(), found(path, "new", F.col("_type"), F.col("_values"))),
+        F.when(F.col("_unfit") > 0, found(path, "retyped", F.col("_unfit_type"), F.col("_unfit"))),
+        # missing: the parent's objects less the path's own values
+        F.when(path.isin(named), found(path, "missing", none, -F.col("_values"))),
+        *[F.when(path == name.rpartition(".")[0], found(F.lit(name), "missing", none, F.col("_objects"))) for name in named],
+    ]
+    each = counted.select(F.explode(F.array(*findings)).alias("_found")).where("_found IS NOT NULL").select("_found.*")
+    summed = each.groupBy("path", "finding").agg(F.max("found_type").alias("found_type"), F.sum("records").alias("records"))
+    return summed.where("records > 0")
 
 
 def freshness_sla(

@@ -420,3 +420,13 @@ def test_stream_keeps_rejects_once_after_compaction(spark, bronze, landing, tmp_
     stream_to_silver(bronze, silver, checkpoint).awaitTermination()
     assert rows(silver.read(), "order_id") == kept
     assert rows(silver.rejects(bronze), "feed", "batch_id", "order_id") == rejects
+
+
+def test_drift_reads_the_lines_once(spark, tmp_path):
+    from pyspark.sql.types import StructType
+
+    path = str(tmp_path / "lines")
+    spark.createDataFrame([(json.dumps(order("a")),)], "value string").write.text(path)
+    drift = json_drift(spark.read.text(path), "value", StructType.fromDDL(ORDERS.raw_ddl))
+    plan = drift._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and plan.count("parseJson(") == 1

@@ -161,7 +161,8 @@ def _merge(
         split = new.withColumn("_fits", ~is_unfit(silver.topic)).observe(
             counts, F.count("*").alias("read"), F.count_if(~F.col("_fits")).alias("unfit")
         )
-        split.write.mode("overwrite").partitionBy("_fits").parquet(aside)
+        # a column, not a folder: a write by folders sorts all rows of a task
+        split.write.mode("overwrite").parquet(aside)
         read, invalid = counts.get["read"], counts.get["unfit"]
         rows = silver.spark.read.schema(split.schema).parquet(aside)
         if invalid:

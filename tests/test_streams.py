@@ -430,3 +430,21 @@ def test_drift_reads_the_lines_once(spark, tmp_path):
     drift = json_drift(spark.read.text(path), "value", StructType.fromDDL(ORDERS.raw_ddl))
     plan = drift._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation [") == 1 and plan.count("parseJson(") == 1
+
+
+def test_rows_are_split_without_a_sort(spark, tmp_path):
+    from datetime import datetime
+
+    from quarrylake.sources.landing import parse_lines
+    from quarrylake.streaming.silver import _merge
+
+    silver = SilverTable(spark, str(tmp_path / "silver"), ORDERS)
+    lines = [(json.dumps(order("fits")),), (json.dumps(order("odd", order_date="soon")),)]
+    batch = parse_lines(spark.createDataFrame(lines, "line string"), "line", ORDERS).withColumns(
+        {"_ingestion_timestamp": F.lit(datetime(2024, 1, 2)), "_record_status": F.lit("valid"), "feed": F.lit("f"),
+         "batch_id": F.lit(0), "_bronze_file": F.lit("a.parquet")}
+    )
+    _merge(batch, silver, datetime(2024, 1, 2), None, None, "test")
+    assert not list((tmp_path / "silver" / "incoming").glob("_fits=*"))
+    assert [row.order_id for row in silver.read().collect()] == ["fits"]
+    assert [row.order_id for row in spark.read.parquet(f"{silver.path}/rejects").collect()] == ["odd"]

@@ -132,3 +132,23 @@ def test_unit_probabilities_add_up_to_one_at_most(text):
     assert abs((10 ** (model.unit_scores(after) - model.unit_scores([b"k"]))).sum() - 1) < 1e-6
     seen, unseen = model.unit_scores([units[0]])[0], model.unit_scores([b"zzqxj "])[0]
     assert seen > unseen
+
+
+def test_mixer_learns_from_every_unit(spark, text, monkeypatch):
+    many = collections.Counter(u for i in range(300) for u in mixing.units_of(text(i, 200)))
+    assert sum(many.values()) > 50_000
+    tables = [np.zeros((1 << bits, 2), np.int32) for _, bits in mixing.CONTEXTS]
+    mixing.count_tables(list(many), np.array(list(many.values()), np.int32), tables)
+    first, whole, held = mixing.Learning(), mixing.Learning(), []
+    whole.see(tables, list(many), np.array(list(many.values())))
+    monkeypatch.setattr(mixing.Learning, "model", lambda self, tables: held.append(self))
+    rows = spark.createDataFrame([(bytearray(u), n) for u, n in many.items()], "unit binary, n long")
+    mixing._learned(rows, tables, 3)
+    assert np.allclose(held[0].pull, whole.pull) and not np.allclose(held[0].pull, first.pull)
+    one = mixing.Learning()
+    for unit, n in list(many.items())[:2000]:  # the sums count each unit as often as it occurs
+        one.see(tables, [unit], np.array([n])) if n > 50 else None
+    often = [(u, n) for u, n in list(many.items())[:2000] if n > 50]
+    again = mixing.Learning()
+    again.see(tables, [u for u, n in often for _ in range(n)], np.ones(sum(n for _, n in often), int))
+    assert np.allclose(one.pull, again.pull)

@@ -108,10 +108,10 @@ class BronzeTable:
         folders = Folders(self.spark, self.path)
         if not folders.exists(f"{self._compacting}/{SUCCESS}"):
             return
+        # dealt by folder in files of even size already, so they are not shuffled again
         staged = self.spark.read.schema(self.schema).parquet(self._compacting)
         (
-            staged.hint("rebalance", *[F.col(name) for name in _FOLDERS])
-            .write.mode("overwrite")
+            staged.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .option("maxRecordsPerFile", self.max_rows_per_file)
             .partitionBy(*_FOLDERS)

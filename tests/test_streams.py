@@ -448,3 +448,17 @@ def test_rows_are_split_without_a_sort(spark, tmp_path):
     assert not list((tmp_path / "silver" / "incoming").glob("_fits=*"))
     assert [row.order_id for row in silver.read().collect()] == ["fits"]
     assert [row.order_id for row in spark.read.parquet(f"{silver.path}/rejects").collect()] == ["odd"]
+
+
+def test_compaction_takes_rows_in_without_a_shuffle(spark, bronze, landing, tmp_path, rows, monkeypatch):
+    _crowded_bronze(bronze, landing, tmp_path)
+    before = rows(bronze.read())
+    with monkeypatch.context() as patch:
+        patch.setattr(BronzeTable, "finish_compaction", lambda self: None)
+        assert bronze.compact(min_files=2) == 2
+    spark.sparkContext.setJobGroup("taken in", "")
+    bronze.finish_compaction()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [len(tracker.getJobInfo(job).stageIds) for job in tracker.getJobIdsForGroup("taken in")]
+    assert stages and set(stages) == {1} and rows(bronze.read()) == before

@@ -4,8 +4,9 @@ Members of a bucket (texts with one band value) are not paired with each other.
 every member meets the bucket's hub. Where that leaves members unlinked, the bucket is cut into blocks of
 bounded size, and each task compares two blocks: pairs that are not linked yet, that
 share no earlier band, and whose distances to the hub differ by no more than the
-allowed distance (1 - Jaccard similarity is a metric). Rows grow with the number of
-blocks, only links come out. Every pair is verified on the texts, so the
+allowed distance (1 - Jaccard similarity is a metric). The members of the bucket's largest component
+have blocks of their own, which meet only those of the others. So rows grow with the number of
+blocks of the others, only links come out. Every pair is verified on the texts, so the
 components are those of all similar pairs that share a band.
 """
 
@@ -94,16 +95,25 @@ def _open_links(
         .withColumn("root", F.coalesce("root", "content"))
         .select("band", "content", "root", "similarity")
     )
+    # members of a bucket's largest component are not compared with each other: their blocks meet the blocks of the others only
+    sizes = placed.groupBy("band", "root").agg(F.count("*").alias("n"))
     still_open = (
-        placed.groupBy("band")
-        .agg(F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("most"))
-        .where("least <> most")
-        .select("band", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+        sizes.groupBy("band")
+        .agg(F.sum("n").alias("n"), F.max(F.struct("n", "root")).alias("largest"))
+        .where(F.col("largest.n") < F.col("n"))
+        .select(
+            "band",
+            F.col("largest.root").alias("main"),
+            F.ceil((F.col("n") - F.col("largest.n")) / BLOCK).cast("int").alias("blocks"),
+            F.ceil(F.col("largest.n") / BLOCK).cast("int").alias("main_blocks"),
+        )
     )
-    row = placed.join(still_open, "band").withColumn("block", F.pmod(F.xxhash64("content"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    hashed, in_main = F.xxhash64("content"), F.col("root") == F.col("main")
+    block = F.when(in_main, F.col("blocks") + F.pmod(hashed, F.col("main_blocks"))).otherwise(F.pmod(hashed, F.col("blocks")))
+    row = placed.join(still_open, "band").withColumn("block", block.cast("int"))
+    last = F.when(in_main, F.col("blocks")).otherwise(F.col("blocks") + F.col("main_blocks")) - 1
     dealt = (
-        row.withColumn("other", other)
+        row.withColumn("other", F.explode(F.sequence(F.lit(0), last)))
         .withColumns({"p": F.least("block", "other"), "q": F.greatest("block", "other")})
         .select("band", "p", "q", "block", "content", "root", "similarity")
         .join(contents.select("content", "bands"), "content")

@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pytest
 
-from quarrylake.llm import decontam, linededup, neardup, substring
+from quarrylake.llm import bandjoin, decontam, linededup, neardup, substring
 from quarrylake.llm.common import connected, shingles_of, words_of
 
 ODD_IDS = (None, 1, 2, 3, 4, 5, 6, 7, 8, 9)
@@ -216,3 +216,26 @@ def test_index_finds_every_print_within_the_radius():
         close = np.flatnonzero(decontam._POPULATION[items.prints ^ print_].sum(axis=1, dtype=int) <= decontam.RADIUS)
         found = np.unique(np.concatenate([items.index[b][v] for b, v in enumerate(print_)]))
         assert set(close) <= set(found)
+
+
+def test_members_of_the_largest_component_meet_the_others_only(spark, monkeypatch):
+    dealt = []
+    group = type(spark.range(1)).groupBy
+
+    def spy(self, *columns):
+        if [str(c) for c in columns] == ["band", "p", "q"]:
+            dealt.extend(self.select("p", "q", "block", "content").collect())
+        return group(self, *columns)
+
+    monkeypatch.setattr(type(spark.range(1)), "groupBy", spy)
+    monkeypatch.setattr(bandjoin, "BLOCK", 10)
+    # numbers that differ by 2 at most are similar: 0 to 199 hang together with the hub, 500 to 509 lie apart, as 900 and 901
+    at = [0, *range(1, 200), *range(500, 510), 900, 901]
+    near = {0: range(200)}
+    similarity = lambda a, b: 0.9 if abs(a - b) <= 1 or {a, b} <= set(near[0]) and 0 in (a, b) else 0.75
+    contents = spark.createDataFrame([(i, [7]) for i in at], "content long, bands array<long>")
+    texts = lambda wanted: wanted.select("content", wanted["content"].cast("string").alias("text"))
+    got = dict(bandjoin.components(contents, texts, int, similarity, 0.8, "largest").collect())
+    assert {got[i] for i in range(200)} == {0} and {got[i] for i in range(500, 510)} == {500} and got[900] == got[901] == 900
+    assert {r.content for r in dealt} == set(at) - {0}
+    assert len(dealt) < 5 * 199 < 20 * 199  # 211 members in 22 blocks would be 4642 rows

@@ -239,3 +239,18 @@ def test_members_of_the_largest_component_meet_the_others_only(spark, monkeypatc
     assert {got[i] for i in range(200)} == {0} and {got[i] for i in range(500, 510)} == {500} and got[900] == got[901] == 900
     assert {r.content for r in dealt} == set(at) - {0}
     assert len(dealt) < 5 * 199 < 20 * 199  # 211 members in 22 blocks would be 4642 rows
+
+
+def test_a_set_meets_one_hub_before_others(spark, documents, monkeypatch):
+    verified, similar = [], linededup._similar
+
+    def spy(docs, id_column, text_column, pairs, *more):
+        verified.append(pairs.count())
+        return similar(docs, id_column, text_column, pairs, *more)
+
+    monkeypatch.setattr(linededup, "_similar", spy)
+    words = [f"w{i}" for i in range(20)]
+    docs = [(i, " ".join(edited(" ".join(words), [i % 20], f"x{i}").split())) for i in range(60)]
+    got = {(r.doc_id, r.line_no) for r in linededup.later_matches(documents(*docs)).collect()}
+    assert got == lines_brute(docs).keys()
+    assert verified[0] <= 59

@@ -35,6 +35,8 @@ KEPT_BACK = 5
 CHAR_BITS, CHAR_SIZE = 15, 12
 CHAR_ORDERS = (3, 4, 5, 6)
 LONGEST_WORD = 24
+#: Words whose n-grams are looked up in one go.
+LOOKED_UP = 1024
 ROUNDS, EPOCHS, BATCH, RATE = 5, 3, 256, 0.01
 #: Clean windows of a round besides the worst ones, at least (all, if there are fewer).
 OTHERS = 1000
@@ -69,10 +71,10 @@ def fresh(seed: int = 5) -> Network:
     return Network({k: (r.standard_normal(s) * scale).astype(np.float32) for k, (s, scale) in shape.items()})
 
 
-def char_grams(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the character n-grams of each word, with marks at both ends: a padded matrix and its mask."""
+def char_grams(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, longest: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the character n-grams of each word, with marks at both ends: a matrix, padded for words of ``longest`` bytes, and its mask."""
     lengths = ends - starts
-    width = int(lengths.max()) + 2
+    width = (longest or int(lengths.max())) + 2
     place = np.arange(width)
     letters = raw[np.minimum(starts[:, None] + np.maximum(place - 1, 0), len(raw) - 1)].astype(np.uint32) | np.uint32(32)
     letters[:, 0] = 1
@@ -86,14 +88,23 @@ def char_grams(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[n
         total = total[:, : width - order + 1] * np.uint32(0x01000193) + letters[:, order - 1 :] * np.uint32(0x85EBCA6B)
         if order in CHAR_ORDERS:
             h = (total ^ (total >> np.uint32(15))) * np.uint32(0x9E3779B1)
-            out.append(((h ^ (h >> np.uint32(13))) >> np.uint32(32 - CHAR_BITS)).astype(np.int32))
+            out.append(((h ^ (h >> np.uint32(13))) >> np.uint32(32 - CHAR_BITS)).astype(np.uint16))
             real.append(used[:, order - 1 :])
     return np.concatenate(out, axis=1), np.concatenate(real, axis=1)
 
 
 def word_inputs(p: dict, numbers: np.ndarray, grams: np.ndarray, real: np.ndarray) -> np.ndarray:
-    char = (p["char"][grams] * real[:, :, None]).sum(axis=1) / np.sqrt(np.maximum(real.sum(axis=1), 1))[:, None]
-    return np.concatenate([p["word"][numbers >> np.uint64(64 - WORD_BITS)], char], axis=1).astype(np.float32)
+    out = np.empty((len(numbers), WORD_SIZE + CHAR_SIZE), np.float32)
+    out[:, :WORD_SIZE] = p["word"][numbers >> np.uint64(64 - WORD_BITS)]
+    # a piece at a time, as each n-gram of each word has a vector
+    for some in _pieces(len(numbers)):
+        present = real[some]
+        out[some, WORD_SIZE:] = (p["char"][grams[some]] * present[:, :, None]).sum(axis=1) / np.sqrt(np.maximum(present.sum(axis=1), 1))[:, None]
+    return out
+
+
+def _pieces(count: int) -> list[slice]:
+    return [slice(at, at + LOOKED_UP) for at in range(0, count, LOOKED_UP)]
 
 
 def window_starts(words: int) -> np.ndarray:
@@ -185,10 +196,11 @@ def prepared(texts: list[str]) -> Words:
     raw = np.frombuffer(b"".join(spelled) or b" ", np.uint8)
     ends = np.cumsum([len(s) for s in spelled] or [1])
     starts = np.concatenate([[0], ends[:-1]])
-    matrix, real = char_grams(raw, starts, ends)
+    longest = int((ends - starts).max())
+    matrix, real = (np.concatenate(m) for m in zip(*(char_grams(raw, starts[some], ends[some], longest) for some in _pieces(len(starts)))))
     rows, text = [], []
     for at, found in enumerate(words):
-        places = np.full(max(len(found), WINDOW), -1)
+        places = np.full(max(len(found), WINDOW), -1, np.int32)
         places[: len(found)] = np.searchsorted(distinct, found)
         begins = window_starts(len(found))
         rows.append(places[begins[:, None] + np.arange(WINDOW)])

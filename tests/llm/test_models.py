@@ -1,6 +1,7 @@
 import collections
 import math
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -152,3 +153,39 @@ def test_mixer_learns_from_every_unit(spark, text, monkeypatch):
     again = mixing.Learning()
     again.see(tables, [u for u, n in often for _ in range(n)], np.ones(sum(n for _, n in often), int))
     assert np.allclose(one.pull, again.pull)
+
+
+def test_inputs_of_many_words_take_little_memory():
+    r = np.random.default_rng(3)
+    p, count = toxicity.fresh().p, 20_000
+    numbers = r.integers(0, 2**63, count, dtype=np.uint64)
+    grams, real = r.integers(0, 1 << toxicity.CHAR_BITS, (count, 90), dtype=np.uint16), r.random((count, 90)) < 0.5
+    tracemalloc.start()
+    got = toxicity.word_inputs(p, numbers, grams, real)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 << 20  # the vectors of all n-grams at once: 165 MB
+    some = [0, 1023, 1024, count - 1]
+    assert np.array_equal(got[some], toxicity.word_inputs(p, numbers[some], grams[some], real[some]))
+
+
+def test_words_of_a_long_sample_have_the_grams_that_each_has_alone():
+    texts = [f"{'w' * (at % 20 + 1)}{at}" for at in range(3000)]
+    words = toxicity.prepared(texts)
+    assert words.grams.dtype == np.uint16 and len(words.numbers) == 3000
+    for at in (0, 1500, 2999):
+        alone, own = toxicity.prepared([texts[at]]), int(words.windows[at][0])
+        assert words.grams[own][words.real[own]].tolist() == alone.grams[0][alone.real[0]].tolist()
+
+
+def test_few_units_fill_few_copies_of_the_tables(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    made = []
+    monkeypatch.setattr(DataFrame, "repartition", lambda self, *to: made.append(to) or self)
+    units = spark.createDataFrame([(f"unit{i} ".encode(), 1 + i % 3) for i in range(500)], "unit binary, n long").repartitionByRange(40, "unit")
+    counted = mixing._tables(units, 2)
+    assert not made  # however many partitions a shuffle has
+    whole = [np.zeros((1 << size, 2), np.int32) for _, size in mixing.CONTEXTS]
+    mixing.count_tables([f"unit{i} ".encode() for i in range(500)], np.array([1 + i % 3 for i in range(500)], np.int32), whole)
+    assert all(np.array_equal(a, b) for a, b in zip(counted, whole))

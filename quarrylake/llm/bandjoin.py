@@ -53,13 +53,17 @@ def components(
     similarity: Callable,
     threshold: float,
     purpose: str,
+    similarities: Callable | None = None,
 ) -> DataFrame:
-    """(content, root) of ``contents`` (content, bands array<long>): root is the least content linked to it.
+    """(content, root) of ``contents`` (content, bands array<long>), one row per content: root is the least content linked to it.
 
     ``texts_of(wanted)`` gives (content, text) for the contents of ``wanted``. Contents
-    without a link are left out; a content without bands has none.
+    without a link are left out; a content without bands has none. ``similarities(features, features)`` gives the
+    matrix of ``similarity``, if all pairs of two blocks cost less than one by one.
     """
-    keyed = contents.select("content", F.explode("bands").alias("band")).distinct()
+    keyed = contents.select("content", F.explode(F.array_distinct("bands")).alias("band"))
+    # dealt once: the members and the hubs read the same shuffle
+    keyed = keyed.where("band IS NOT NULL AND content IS NOT NULL").repartition("band")
     hubs = keyed.groupBy("band").agg(F.min("content").alias("hub"), F.max("content").alias("last")).where("hub <> last")
     members = written(
         keyed.join(hubs.select("band", "hub"), "band").where("content <> hub").select("band", "hub", "content"),
@@ -72,7 +76,7 @@ def components(
     links = seen.where(F.col("similarity") >= threshold).select("a", "b")
     roots = connected(links, f"{purpose}-components")
 
-    more = written(_open_links(members, contents, texts, seen, roots, feature, similarity, threshold), f"{purpose}-links")
+    more = written(_open_links(members, contents, texts, seen, roots, feature, similarity, threshold, similarities), f"{purpose}-links")
     if not more.isEmpty():
         roots = connected(links.unionByName(more), f"{purpose}-components")
     return roots.select(F.col("node").alias("content"), "root")
@@ -87,6 +91,7 @@ def _open_links(
     feature: Callable,
     similarity: Callable,
     threshold: float,
+    similarities: Callable | None = None,
 ) -> DataFrame:
     """Links (a, b) between members of a bucket that the hub has left in different components."""
     placed = (
@@ -149,6 +154,11 @@ def _open_links(
 
         features: tuple[dict, dict] = ({}, {})
         found = []
+        if similarities and near.sum() > BLOCK:
+            for cache, side, used in ((features[0], left, near.any(axis=1)), (features[1], right, near.any(axis=0))):
+                cache.update({k: feature(side["text"].iloc[k]) for k in np.flatnonzero(used).tolist()})
+            i, j = (np.array(list(cache)) for cache in features)
+            near[np.ix_(i, j)] &= similarities(list(features[0].values()), list(features[1].values())) >= threshold - 1e-9
         for i, j in np.argwhere(near).tolist():
             x, y = top(at_left[i]), top(at_right[j])
             if x == y:

@@ -18,11 +18,12 @@ from __future__ import annotations
 import math
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarrylake.llm.bandjoin import components
-from quarrylake.llm.common import arrow_map, mixed, shingles_of, text_or_empty, words_of, written
+from quarrylake.llm.common import arrow_map, joined, mixed, shingles_of, text_or_empty, words_of, written
 
 SHINGLE, THRESHOLD = 5, 0.8
 MIN_WORDS = 25
@@ -30,6 +31,8 @@ MIN_WORDS = 25
 WINDOW, REACH = 25, 13
 #: Share of pairs at the threshold that share a band, at least, and of pairs at 0.3, at most.
 RECALL, CHANCE = 0.9995, 0.3
+#: Shingles that are sketched in one go, and different ones that are counted in one go where blocks are compared.
+SKETCHED, COLUMNS = 2048, 8192
 
 
 def tune(threshold: float = THRESHOLD, recall: float = RECALL, chance: float = CHANCE, low: float = 0.3) -> tuple[int, int]:
@@ -41,32 +44,49 @@ def tune(threshold: float = THRESHOLD, recall: float = RECALL, chance: float = C
     raise ValueError("no banding reaches this recall")
 
 
-def paragraphs(text: str) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """Line number and first word of each paragraph, and the words of each."""
-    raw = text.encode("utf-8", "replace")
+def paragraphs(raw: bytes, places: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of each paragraph of joined texts that start at ``places``: its text, its line there, its first word and number of words; and all words."""
     words, starts, _ = words_of(raw)
-    feeds = np.flatnonzero(np.frombuffer(raw, np.uint8) == 10) if raw else np.empty(0, np.int64)
+    feeds = np.flatnonzero(np.frombuffer(raw, np.uint8) == 10)
     line = np.searchsorted(feeds, starts)
     first = np.flatnonzero(np.append(True, line[1:] != line[:-1])) if len(line) else np.empty(0, np.int64)
     count = np.diff(np.append(first, len(line)))
     long_enough = count >= MIN_WORDS
     first, count = first[long_enough], count[long_enough]
-    return line[first], first, [words[f : f + c] for f, c in zip(first, count)]
+    text = np.searchsorted(places, starts[first], side="right") - 1
+    return text, line[first] - np.searchsorted(feeds, places[text]), first, count, words
 
 
-def _content(words: np.ndarray) -> np.uint64:
-    """A number for a sequence of words."""
-    place = np.arange(len(words), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    return mixed(mixed(words + place).sum(dtype=np.uint64, keepdims=True) + np.uint64(len(words)))[0]
+def _runs(first: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers first, first + 1, ... of each run, one run after the other, and where each run starts."""
+    begins = np.cumsum(count) - count
+    return np.arange(count.sum()) + np.repeat(first - begins, count), begins
 
 
-def sketch(found: np.ndarray, bands: int, rows: int) -> np.ndarray:
-    """Band values of a set of shingles."""
+def contents_of(words: np.ndarray, first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """A number for the sequence of words of each paragraph, of one at least."""
+    at, begins = _runs(first, count)
+    place = (at - np.repeat(first, count)).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return mixed(np.add.reduceat(mixed(words[at] + place), begins) + count.astype(np.uint64)).view(np.int64)
+
+
+def sketches(words: np.ndarray, first: np.ndarray, count: np.ndarray, bands: int, rows: int) -> np.ndarray:
+    """Band values of the shingles of each paragraph, a row each."""
     seeds = np.random.default_rng(41).integers(1, 2**63, (2, bands * rows), dtype=np.uint64)
-    least = ((found[:, None] ^ seeds[0]) * (seeds[1] | np.uint64(1))).min(axis=0).reshape(bands, rows)
-    total = np.arange(1, bands + 1, dtype=np.uint64)
+    seeds[1] |= np.uint64(1)
+    found, count = shingles_of(words, SHINGLE), count - (SHINGLE - 1)
+    least = np.empty((len(first), bands * rows), np.uint64)
+    size = np.cumsum(count)
+    begin = 0
+    while begin < len(first):  # about so many shingles in one go
+        end = max(begin + 1, int(np.searchsorted(size, (size[begin - 1] if begin else 0) + SKETCHED, side="right")))
+        at, begins = _runs(first[begin:end], count[begin:end])
+        least[begin:end] = np.minimum.reduceat((found[at][:, None] ^ seeds[0]) * seeds[1], begins, axis=0)
+        begin = end
+    least = least.reshape(-1, bands, rows)
+    total = np.tile(np.arange(1, bands + 1, dtype=np.uint64), (len(first), 1))
     for row in range(rows):
-        total = mixed(total * np.uint64(0xBF58476D1CE4E5B9) + least[:, row])
+        total = mixed(total * np.uint64(0xBF58476D1CE4E5B9) + least[:, :, row])
     return total.view(np.int64)
 
 
@@ -75,6 +95,24 @@ def jaccard(a: np.ndarray, b: np.ndarray) -> float:
     return common / (len(a) + len(b) - common)
 
 
+def jaccards(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """``jaccard`` of all pairs: common members are counted by products of matrices, so many members at a time."""
+    sizes = [np.array([len(x) for x in side]) for side in (left, right)]
+    members = [np.concatenate(side) for side in (left, right)]
+    owners = [np.repeat(np.arange(len(n)), n) for n in sizes]
+    shared = np.intersect1d(*members)
+    at = [np.minimum(np.searchsorted(shared, m), max(len(shared) - 1, 0)) for m in members]
+    common = np.zeros((len(left), len(right)), np.float32)
+    for begin in range(0, len(shared), COLUMNS):
+        width = min(COLUMNS, len(shared) - begin)
+        has = [np.zeros((len(n), width), np.float32) for n in sizes]
+        for matrix, place, own, member in zip(has, at, owners, members):
+            used = (place >= begin) & (place < begin + width) & (shared[place] == member)
+            matrix[own[used], place[used] - begin] = 1
+        common += has[0] @ has[1].T
+    return common / np.maximum(sizes[0][:, None] + sizes[1] - common, 1)
+
+
 def repeated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(doc_id, version, line_no, kept_doc_id, kept_line_no, class_id, words) of each paragraph that goes.
 
@@ -87,18 +125,24 @@ def repeated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     texts = docs.select(docs[id_column].alias("doc_id"), text_or_empty(text_column).alias("text"))
     texts = texts.withColumn("version", F.xxhash64("text"))
     kind = texts.schema["doc_id"].dataType.simpleString()
-    names = ("doc_id", "version", "line_no", "words", "content", "bands")
 
     def run(batches):
         for batch in batches:
-            out = []
-            for doc_id, version, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                lines, _, words = paragraphs(text.as_py())
-                for line, own in zip(lines.tolist(), words):
-                    values = sketch(shingles_of(own, SHINGLE), bands, rows)
-                    out.append((doc_id, version, line, len(own), int(_content(own).view(np.int64)), values))
-            if out:
-                yield dict(zip(names, map(list, zip(*out))))
+            begin = 0
+            for raw, starts in joined(batch.column(2).to_pylist()):
+                text, line, first, count, words = paragraphs(raw, starts)
+                if len(text):
+                    values = sketches(words, first, count, bands, rows)
+                    offsets = pa.array(np.arange(0, values.size + 1, bands), pa.int32())
+                    yield {
+                        "doc_id": batch.column(0).take(pa.array(text + begin)),
+                        "version": batch.column(1).take(pa.array(text + begin)),
+                        "line_no": line,
+                        "words": count,
+                        "content": contents_of(words, first, count),
+                        "bands": pa.ListArray.from_arrays(offsets, pa.array(values.ravel())),
+                    }
+                begin += len(starts) - 1
 
     places = written(
         arrow_map(
@@ -109,7 +153,7 @@ def repeated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
         "paragraphs",
     )
     place = F.struct("doc_id", "version", "line_no")
-    contents = places.groupBy("content").agg(F.min(place).alias("first"), F.first("bands").alias("bands"))
+    contents = written(places.groupBy("content").agg(F.min(place).alias("first"), F.first("bands").alias("bands")), "paragraph-contents")
 
     def texts_of(wanted: DataFrame) -> DataFrame:
         """The line of each content, out of the first document that has it."""
@@ -128,7 +172,7 @@ def repeated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
         )
 
     roots = components(
-        contents, texts_of, lambda text: np.unique(shingles_of(words_of(text)[0], SHINGLE)), jaccard, THRESHOLD, "passages"
+        contents, texts_of, lambda text: np.unique(shingles_of(words_of(text)[0], SHINGLE)), jaccard, THRESHOLD, "passages", jaccards
     )
     named = contents.select("content", "first").join(roots, "content", "left").withColumn("root", F.coalesce("root", "content"))
     kept = named.groupBy("root").agg(F.min("first").alias("kept"))
@@ -150,13 +194,11 @@ def repeated(docs: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     )
 
 
-def window_starts(words: np.ndarray) -> np.ndarray:
-    """First words of the windows that are taken from a text."""
-    count = len(words) - WINDOW + 1
-    if count < 1:
+def window_starts(hashes: np.ndarray) -> np.ndarray:
+    """First words of the windows that are taken from a text; ``hashes``: of the first shingle of each window."""
+    if not len(hashes):
         return np.empty(0, np.int64)
-    hashes = shingles_of(words, SHINGLE)[:count]
-    if count <= REACH:
+    if len(hashes) <= REACH:
         return np.array([hashes.argmin()])
     least = np.lib.stride_tricks.sliding_window_view(hashes, REACH).argmin(axis=1)
     return np.unique(least + np.arange(len(least)))
@@ -203,33 +245,33 @@ def spans(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
 
     def run(batches):
         for batch in batches:
-            rows, places, contents = [], [], []
-            for row, text in enumerate(batch.column(2)):
-                words = words_of(text.as_py())[0]
-                starts = window_starts(words)
-                rows.append(np.full(len(starts), row))
-                places.append(starts)
-                contents.append(window_contents(words, starts))
-            rows = np.concatenate(rows)
-            if len(rows):
-                yield {
-                    "doc_id": batch.column(0).take(rows),
-                    "version": batch.column(1).take(rows),
-                    "at": np.concatenate(places).astype(np.int32),
-                    "content": np.concatenate(contents),
-                }
-
-    windows = written(
-        arrow_map(texts.select("doc_id", "version", "text"), run, f"doc_id {kind}, version long, at int, content long"), "windows"
-    )
+            begin = 0
+            for raw, places in joined(batch.column(2).to_pylist()):
+                words, starts, _ = words_of(raw)
+                bounds = np.searchsorted(starts, places)
+                hashes = shingles_of(words, SHINGLE)
+                own = [window_starts(hashes[a : max(a, b - WINDOW + 1)]) for a, b in zip(bounds[:-1], bounds[1:])]
+                rows = np.repeat(np.arange(len(own)), [len(o) for o in own])
+                if len(rows):
+                    at = np.concatenate(own)
+                    yield {
+                        "doc_id": batch.column(0).take(pa.array(rows + begin)),
+                        "version": batch.column(1).take(pa.array(rows + begin)),
+                        "at": at.astype(np.int32),
+                        "content": window_contents(words, at + bounds[rows]),
+                    }
+                begin += len(places) - 1
+
+    windows = arrow_map(texts.select("doc_id", "version", "text"), run, f"doc_id {kind}, version long, at int, content long")
     place = F.struct("doc_id", "version", "at")
-    firsts = windows.groupBy("content").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last")
+    # one shuffle of the windows, not written and not joined with their firsts
+    placed = windows.withColumn("first", F.min(place).over(Window.partitionBy("content")))
     overlaps = (
         F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
         & (F.col("version") == F.col("first.version"))
         & (F.col("at") < F.col("first.at") + WINDOW)
     )
-    later = windows.join(firsts.select("content", "first"), "content").where((place > F.col("first")) & ~overlaps)
+    later = placed.where((place > F.col("first")) & ~overlaps)
     pairs = written(
         later.groupBy(
             "doc_id", "version", F.col("first.doc_id").alias("kept_doc_id"), F.col("first.version").alias("kept_version")

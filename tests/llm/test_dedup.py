@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from quarrylake.llm import bandjoin, decontam, linededup, neardup, substring
-from quarrylake.llm.common import connected, shingles_of, words_of
+from quarrylake.llm.common import connected, joined, shingles_of, words_of
 
 ODD_IDS = (None, 1, 2, 3, 4, 5, 6, 7, 8, 9)
 
@@ -254,3 +254,31 @@ def test_a_set_meets_one_hub_before_others(spark, documents, monkeypatch):
     got = {(r.doc_id, r.line_no) for r in linededup.later_matches(documents(*docs)).collect()}
     assert got == lines_brute(docs).keys()
     assert verified[0] <= 59
+
+
+def test_texts_of_a_batch_have_the_paragraphs_and_sketches_that_each_has_alone(text):
+    texts = ["", text(1, 30) + "\n" + text(2, 10) + "\n\n" + text(3, 400), "x\n\n", text(4, 24), "\n" + text(5, 25)]
+    ((raw, places),) = joined(texts)
+    of, line, first, count, words = substring.paragraphs(raw, places)
+    assert list(zip(of, line, count)) == [(1, 0, 30), (1, 3, 400), (4, 1, 25)]
+    values, contents = substring.sketches(words, first, count, 11, 3), substring.contents_of(words, first, count)
+    for at, (t, n) in enumerate([(1, 0), (1, 3), (4, 1)]):
+        alone = substring.paragraphs(texts[t].split("\n")[n].encode(), np.array([0]))
+        assert (substring.sketches(alone[4], alone[2], alone[3], 11, 3)[0] == values[at]).all()
+        assert substring.contents_of(alone[4], alone[2], alone[3])[0] == contents[at]
+
+
+def test_similarities_of_blocks_are_those_of_pairs(monkeypatch):
+    monkeypatch.setattr(substring, "COLUMNS", 7)
+    r = np.random.default_rng(2)
+    left, right = ([np.unique(r.integers(0, 60, 25, dtype=np.uint64)) for _ in range(n)] for n in (9, 6))
+    assert np.allclose(substring.jaccards(left, right), [[substring.jaccard(a, b) for b in right] for a in left])
+    assert not substring.jaccards(left, [np.array([1000], np.uint64)]).any()
+
+
+def test_windows_are_shuffled_once(spark, documents, text, monkeypatch):
+    plans = []
+    monkeypatch.setattr(substring, "written", lambda df, purpose: plans.append((purpose, df._jdf.queryExecution().executedPlan().toString())) or df)
+    substring.spans(documents((1, text(1, 60)), (2, text(1, 60))))
+    assert [p for p, _ in plans][0] == "window-pairs"  # the windows are not written
+    assert plans[0][1].count("hashpartitioning(content") == 1 and "Join" not in plans[0][1]

@@ -282,3 +282,12 @@ def test_windows_are_shuffled_once(spark, documents, text, monkeypatch):
     substring.spans(documents((1, text(1, 60)), (2, text(1, 60))))
     assert [p for p, _ in plans][0] == "window-pairs"  # the windows are not written
     assert plans[0][1].count("hashpartitioning(content") == 1 and "Join" not in plans[0][1]
+
+
+def test_sets_that_may_match_are_not_written_as_pairs(spark, documents, monkeypatch):
+    purposes, written = [], linededup.written
+    monkeypatch.setattr(linededup, "written", lambda df, purpose: purposes.append(purpose) or written(df, purpose))
+    words = [f"w{i}" for i in range(20)]
+    docs = [(i, " ".join(edited(" ".join(words), [i % 20], f"x{i}").split())) for i in range(60)]
+    got = {(r.doc_id, r.line_no) for r in linededup.later_matches(documents(*docs)).collect()}
+    assert got == lines_brute(docs).keys() and "line-pairs" not in purposes

@@ -105,12 +105,12 @@ def inverse_frequencies(docs: DataFrame) -> np.ndarray:
             yield {"bucket": np.append(keys, -1), "n": np.append(total[keys], count)}
 
     counted = arrow_map(docs.select("text"), run, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
-    found = counted.toPandas()  # as many rows as buckets at most
+    found = counted.toArrow()  # as many rows as buckets at most, without an object for each
     out = np.zeros(1 << FREQUENCY_BITS)
-    if len(found):
-        rows = found[found["bucket"] >= 0]
-        out[rows["bucket"].to_numpy()] = rows["n"]
-        out = np.log1p(out) / np.log1p(found.loc[found["bucket"] < 0, "n"].iloc[0])
+    if found.num_rows:
+        buckets, n = (found.column(c).to_numpy() for c in ("bucket", "n"))
+        out[buckets[buckets >= 0]] = n[buckets >= 0]
+        out = np.log1p(out) / np.log1p(n[buckets < 0][0])
     return (1 - DAMPING * out).astype(np.float32)
 
 

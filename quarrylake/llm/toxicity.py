@@ -265,10 +265,12 @@ def gradients(
     lone = used[real]
     d["word"], d["char"] = np.zeros_like(p["word"]), np.zeros_like(p["char"])
     np.add.at(d["word"], words.numbers[lone] >> np.uint64(64 - WORD_BITS), dx[real, :WORD_SIZE])
-    grams, present = words.grams[lone], words.real[lone]
-    of_gram = dx[real, WORD_SIZE:] / np.sqrt(np.maximum(present.sum(axis=1), 1))[:, None]
-    row, column = np.nonzero(present)
-    np.add.at(d["char"], grams[row, column], of_gram[row])
+    of_chars = dx[real, WORD_SIZE:]
+    for some in _pieces(len(lone)):  # in the same order as in one go, so sums are equal bit by bit
+        grams, present = words.grams[lone[some]], words.real[lone[some]]
+        of_gram = of_chars[some] / np.sqrt(np.maximum(present.sum(axis=1), 1))[:, None]
+        row, column = np.nonzero(present)
+        np.add.at(d["char"], grams[row, column], of_gram[row])
     return d
 
 

@@ -291,3 +291,24 @@ def test_sets_that_may_match_are_not_written_as_pairs(spark, documents, monkeypa
     docs = [(i, " ".join(edited(" ".join(words), [i % 20], f"x{i}").split())) for i in range(60)]
     got = {(r.doc_id, r.line_no) for r in linededup.later_matches(documents(*docs)).collect()}
     assert got == lines_brute(docs).keys() and "line-pairs" not in purposes
+
+
+def test_buckets_come_to_the_driver_without_an_object_each(spark, documents, text, monkeypatch):
+    docs = documents((1, text(1, 60)), (2, text(2, 60)), (3, None))
+    lines = linededup._lines(docs, "doc_id", "text")
+
+    def refused(self, *args):
+        raise AssertionError("rows of buckets as objects")
+
+    for kind in {type(docs), type(docs).__mro__[1]}:
+        for name in ("collect", "toPandas"):
+            if hasattr(kind, name):
+                monkeypatch.setattr(kind, name, refused)
+    classes, weights = linededup.rarity_classes(lines), neardup.inverse_frequencies(docs)
+    assert len(classes) == 1 << linededup.RARITY_BITS and 0 < sum(map(bool, classes)) <= 120
+    assert len(weights) == 1 << neardup.FREQUENCY_BITS and 0 < (weights < 1).sum() <= 112
+
+
+def test_few_wanted_lines_make_few_bits():
+    assert linededup._wanted_bits(0) == 0 and linededup._wanted_bits(1) == 7 and linededup._wanted_bits(1000) == 16
+    assert linededup._wanted_bits(10**12) == linededup.WANTED_BITS

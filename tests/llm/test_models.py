@@ -189,3 +189,17 @@ def test_few_units_fill_few_copies_of_the_tables(spark, monkeypatch):
     whole = [np.zeros((1 << size, 2), np.int32) for _, size in mixing.CONTEXTS]
     mixing.count_tables([f"unit{i} ".encode() for i in range(500)], np.array([1 + i % 3 for i in range(500)], np.int32), whole)
     assert all(np.array_equal(a, b) for a, b in zip(counted, whole))
+
+
+def test_gradients_of_many_words_take_little_memory(monkeypatch):
+    count = 6000
+    words = toxicity.prepared([" ".join(f"{'w' * 18}{at:06d}" for at in range(begin, begin + 30)) for begin in range(0, count, 30)])
+    p, labels, weight = toxicity.fresh().p, np.arange(len(words.windows)) % 2, np.ones(len(words.windows))
+    tracemalloc.start()
+    got = toxicity.gradients(p, words, words.windows, labels, weight)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 45 << 20  # the vectors of all n-grams at once: 75 MB
+    monkeypatch.setattr(toxicity, "LOOKED_UP", count)
+    whole = toxicity.gradients(p, words, words.windows, labels, weight)
+    assert all(np.array_equal(got[k], whole[k]) for k in whole)

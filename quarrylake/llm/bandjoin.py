@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -126,25 +126,26 @@ def _open_links(
     )
     allowed = 1 - threshold + 1e-9
 
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        first, second = int(rows["p"].iloc[0]), int(rows["q"].iloc[0])
-        left = rows[rows["block"] == first].reset_index(drop=True)
-        right = left if first == second else rows[rows["block"] == second].reset_index(drop=True)
-        band = int(rows["band"].iloc[0])
-        if not len(left) or not len(right):
-            return pd.DataFrame({"a": rows["content"].iloc[:0], "b": rows["content"].iloc[:0]})
-        near = np.abs(left["similarity"].to_numpy()[:, None] - right["similarity"].to_numpy()) <= allowed
-        numbers = {root: at for at, root in enumerate(pd.unique(rows["root"]))}
-        at_left, at_right = (np.array([numbers[r] for r in side["root"]]) for side in (left, right))
-        near &= at_left[:, None] != at_right
+    kind = texts.schema["content"].dataType.simpleString()
+
+    def compare(rows: pa.Table) -> pa.Table:
+        first, second, band = (rows.column(c)[0].as_py() for c in ("p", "q", "band"))
+        blocks, similar = rows.column("block").to_numpy(), rows.column("similarity").to_numpy()
+        left = np.flatnonzero(blocks == first)
+        right = left if first == second else np.flatnonzero(blocks == second)
+        near = np.abs(similar[left][:, None] - similar[right]) <= allowed
+        numbers: dict = {}
+        at = np.array([numbers.setdefault(root, len(numbers)) for root in rows.column("root").to_pylist()])
+        near &= at[left][:, None] != at[right]
         if first == second:
             near &= np.triu(np.ones_like(near), 1)
-        bands = [np.stack(side["bands"].to_numpy()) for side in (left, right)]
-        done = np.zeros_like(near)
-        for k in range(bands[0].shape[1]):  # a pair counts in its first common band
-            same = bands[0][:, k][:, None] == bands[1][:, k]
-            near &= ~(done & (bands[0][:, k] == band)[:, None] & same)
-            done |= same
+        if near.any():
+            bands = np.stack(rows.column("bands").to_numpy())
+            done = np.zeros_like(near)
+            for k in range(bands.shape[1]):  # a pair counts in its first common band
+                same = bands[left, k][:, None] == bands[right, k]
+                near &= ~(done & (bands[left, k] == band)[:, None] & same)
+                done |= same
         known: dict[int, int] = {}
 
         def top(x: int) -> int:
@@ -152,24 +153,25 @@ def _open_links(
                 x = known[x]
             return x
 
-        features: tuple[dict, dict] = ({}, {})
+        cache: dict = {}
+
+        def feature_of(row: int):
+            if row not in cache:
+                cache[row] = feature(rows.column("text")[row].as_py())
+            return cache[row]
+
         found = []
         if similarities and near.sum() > BLOCK:
-            for cache, side, used in ((features[0], left, near.any(axis=1)), (features[1], right, near.any(axis=0))):
-                cache.update({k: feature(side["text"].iloc[k]) for k in np.flatnonzero(used).tolist()})
-            i, j = (np.array(list(cache)) for cache in features)
-            near[np.ix_(i, j)] &= similarities(list(features[0].values()), list(features[1].values())) >= threshold - 1e-9
+            i, j = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
+            sides = [[feature_of(row) for row in side.tolist()] for side in (left[i], right[j])]
+            near[np.ix_(i, j)] &= similarities(*sides) >= threshold - 1e-9
         for i, j in np.argwhere(near).tolist():
-            x, y = top(at_left[i]), top(at_right[j])
-            if x == y:
-                continue
-            for cache, side, k in ((features[0], left, i), (features[1], right, j)):
-                if k not in cache:
-                    cache[k] = feature(side["text"].iloc[k])
-            if similarity(features[0][i], features[1][j]) >= threshold:
+            a, b = int(left[i]), int(right[j])
+            x, y = top(at[a]), top(at[b])
+            if x != y and similarity(feature_of(a), feature_of(b)) >= threshold:
                 known[x] = y
-                found.append((left["content"].iloc[i], right["content"].iloc[j]))
-        return pd.DataFrame(found, columns=["a", "b"]).astype({"a": rows["content"].dtype, "b": rows["content"].dtype})
+                found.append((a, b))
+        contents = rows.column("content")
+        return pa.table({c: contents.take(pa.array([pair[k] for pair in found], pa.int64())) for k, c in enumerate("ab")})
 
-    kind = texts.schema["content"].dataType.simpleString()
-    return dealt.groupBy("band", "p", "q").applyInPandas(compare, f"a {kind}, b {kind}")
+    return dealt.groupBy("band", "p", "q").applyInArrow(compare, f"a {kind}, b {kind}")

@@ -212,21 +212,29 @@ def window_contents(words: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return mixed(total).view(np.int64)
 
 
-def extended(own: np.ndarray, other: np.ndarray, seeds: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
-    """(start, end, start in ``other``) of the longest equal runs around pairs of places (own, other) of one window."""
-    out: list[tuple[int, int, int]] = []
-    for at, there in sorted(seeds, key=lambda s: (s[0] - s[1], s[0])):
-        if out and out[-1][0] - out[-1][2] == at - there and at < out[-1][1]:
+def extended(own: np.ndarray, other: np.ndarray, at: np.ndarray, there: np.ndarray) -> np.ndarray:
+    """(start, end, start in ``other``, seed) of the longest equal runs around places (own, other) of one window, a row each.
+
+    The seed is the first one of the run.
+    """
+    out: list[tuple[int, int, int, int]] = []
+    order = np.lexsort((at, at - there))
+    shift, until, compared = None, 0, None
+    for seed, a, b in zip(order.tolist(), at[order].tolist(), there[order].tolist()):
+        if a - b == shift and a < until:
             continue
-        back = min(at, there)
-        differ = np.flatnonzero(own[at - back : at] != other[there - back : there])
-        left = back - differ[-1] - 1 if len(differ) else back
-        ahead = min(len(own) - at, len(other) - there)
-        differ = np.flatnonzero(own[at : at + ahead] != other[there : there + ahead])
-        right = differ[0] if len(differ) else ahead
-        if right >= WINDOW:  # else two windows with one number
-            out.append((int(at - left), int(at + right), int(there - left)))
-    return out
+        if a - b != compared:  # the places where the texts differ, once for all seeds of a shift
+            compared = a - b
+            low = max(compared, 0)
+            high = min(len(own), len(other) + compared)
+            differ = np.flatnonzero(own[low:high] != other[low - compared : high - compared]) + low
+        k = int(np.searchsorted(differ, a))
+        start = int(differ[k - 1]) + 1 if k else low
+        end = int(differ[k]) if k < len(differ) else high
+        if end - a >= WINDOW:  # else two windows with one number
+            out.append((start, end, start - compared, seed))
+            shift, until = compared, end
+    return np.array(out, np.int64).reshape(-1, 4)
 
 
 def spans(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -299,23 +307,25 @@ def spans(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
         points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
         return words, points[starts], points[ends], np.searchsorted(np.flatnonzero(data == 10), starts)
 
-    names = ("doc_id", "version", "line_no", "start", "end", "kept_doc_id", "kept_line_no", "kept_start", "class_id", "words")
-
     def extend(batches):
         for batch in batches:
+            seeds = batch.column(3)
+            bounds = seeds.offsets.to_numpy()
+            at, there, content = (field.to_numpy() for field in seeds.values.flatten())
             out = []
             for row in range(batch.num_rows):
-                doc_id, version, kept, seeds, text, other_text = (batch.column(k)[row].as_py() for k in range(6))
-                words, starts, ends, lines = places_of(text)
-                others, other_starts, _, other_lines = places_of(other_text)
-                contents = {(s["at"], s["there"]): s["content"] for s in seeds}
-                for begin, end, there in extended(words, others, list(contents)):
-                    inside = min(s for s in contents if s[0] - s[1] == begin - there and begin <= s[0] < end)
-                    out.append(
-                        (doc_id, version, lines[begin], starts[begin], ends[end - 1], kept, other_lines[there], other_starts[there], contents[inside], end - begin)
-                    )
+                words, starts, ends, lines = places_of(batch.column(4)[row].as_py())
+                others, other_starts, _, other_lines = places_of(batch.column(5)[row].as_py())
+                own = slice(bounds[row], bounds[row + 1])
+                begin, end, kept, seed = extended(words, others, at[own], there[own]).T
+                if len(begin):
+                    places = (lines[begin], starts[begin], ends[end - 1], other_lines[kept], other_starts[kept])
+                    out.append((np.full(len(begin), row), *places, content[own][seed], end - begin))
             if out:
-                yield dict(zip(names, map(list, zip(*out))))
+                rows, *found = (np.concatenate(c) for c in zip(*out))
+                names = ("line_no", "start", "end", "kept_line_no", "kept_start", "class_id", "words")
+                ids = {c: batch.column(k).take(pa.array(rows)) for k, c in enumerate(("doc_id", "version", "kept_doc_id"))}
+                yield ids | dict(zip(names, found))
 
     return arrow_map(
         both,

@@ -312,3 +312,32 @@ def test_buckets_come_to_the_driver_without_an_object_each(spark, documents, tex
 def test_few_wanted_lines_make_few_bits():
     assert linededup._wanted_bits(0) == 0 and linededup._wanted_bits(1) == 7 and linededup._wanted_bits(1000) == 16
     assert linededup._wanted_bits(10**12) == linededup.WANTED_BITS
+
+
+def test_runs_around_many_windows_are_found_at_once():
+    r = np.random.default_rng(3)
+    own = r.integers(0, 2**60, 30_000, dtype=np.uint64)
+    other = own.copy()
+    other[::60] += np.uint64(1)  # 500 runs of 59 words on one shift
+    at = np.sort(r.choice(len(own) - substring.WINDOW, 8000, replace=False))
+    at = at[[(own[a : a + substring.WINDOW] == other[a : a + substring.WINDOW]).all() for a in at]]
+    calls, real = [], np.flatnonzero
+    substring.np.flatnonzero = lambda x: calls.append(1) or real(x)
+    try:
+        got = substring.extended(own, other, at, at)
+    finally:
+        substring.np.flatnonzero = real
+    assert len(calls) == 1  # not one for each run
+    begins = sorted({a // 60 * 60 + 1 for a in at.tolist()})
+    assert got[:, 0].tolist() == begins == got[:, 2].tolist() and (got[:, 1] - got[:, 0] == 59).all()
+    assert at[got[:, 3]].tolist() == [min(a for a in at.tolist() if a > begin - 1) for begin in begins]
+
+
+def test_small_blocks_are_compared_without_pandas(spark, monkeypatch):
+    monkeypatch.setattr(type(spark.range(1).groupBy("id")), "applyInPandas", None)
+    at = [0, 10, 11, 20]
+    similarity = lambda a, b: 0.9 if abs(a - b) <= 1 else 0.75
+    contents = spark.createDataFrame([(i, [7, i]) for i in at], "content long, bands array<long>")
+    texts = lambda wanted: wanted.select("content", wanted["content"].cast("string").alias("text"))
+    got = dict(bandjoin.components(contents, texts, int, similarity, 0.8, "small").collect())
+    assert got[10] == got[11] == 10

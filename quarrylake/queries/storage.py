@@ -120,6 +120,7 @@ def _streamed(inputs: Inputs, run_log: str | None = None) -> tuple[SilverTable,
     bronze, base = _ingested(inputs, run_log=run_log)
     silver = SilverTable(inputs.spark, f"{base}/fact_orders", ORDERS)
     stream_to_silver(bronze, silver, f"{base}/silver_checkpoint", run_log=run_log, max_files=2).awaitTermination()
+    silver.settle()
     return silver, bronze
 
 

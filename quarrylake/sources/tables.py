@@ -17,7 +17,7 @@ import json
 from collections.abc import Callable
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -53,6 +53,12 @@ class Folders:
     def drop(self, path: str) -> None:
         self._fs.delete(self._path(path), True)
 
+    def move(self, path: str, to: str) -> None:
+        """Rename a folder; the one it comes to lie in is made."""
+        self._fs.mkdirs(self._path(to).getParent())
+        if not self._fs.rename(self._path(path), self._path(to)):
+            raise OSError(f"cannot rename {path} to {to}")
+
 
 class VersionedTable:
     def __init__(self, spark: SparkSession, path: str):
@@ -105,6 +111,9 @@ class PartitionedTable:
 
     Next to the rows lies a key filter of every partition (see ``key_filters``), so a merge
     knows which partitions can hold its keys without reading the table's keys.
+
+    Many small changes come in by ``put``: each is a set of its own that is read together with the
+    partitions, and the sets are merged into these once they are as large as the table.
     """
 
     def __init__(self, spark: SparkSession, path: str, partition: str, schema: str | None = None):
@@ -112,12 +121,18 @@ class PartitionedTable:
         self._schema = schema
         self.folders = Folders(spark, self.path)
         self._staged, self._filters = f"{self.path}/_staged", f"{self.path}/_keys"
+        self._pending, self._pending_of = f"{self.path}/_pending", f"{self.path}/_pending_of"
 
     def exists(self) -> bool:
         return any(name.startswith(f"{self.partition}=") for name in self.folders.names(self.path))
 
     def read(self) -> DataFrame:
-        return self._rows()
+        """The rows as they are with all that was put."""
+        waiting = self._waiting()
+        if not waiting:
+            return self._rows()
+        source, keys, version_column = self._put_rows(waiting)
+        return upsert(self._rows(), source, keys, version_column) if self._schema or self.exists() else source
 
     def _rows(self) -> DataFrame:
         """The rows; columns that older files lack are NULL.
@@ -130,7 +145,7 @@ class PartitionedTable:
         return self.spark.read.option("mergeSchema", "true").parquet(self.path)
 
     def partitions(self) -> DataFrame:
-        return self._rows().select(self.partition).distinct().orderBy(self.partition)
+        return self.read().select(self.partition).distinct().orderBy(self.partition)
 
     def write(self, df: DataFrame) -> None:
         """Replace the whole table, its key filters included."""
@@ -141,6 +156,64 @@ class PartitionedTable:
                 self.folders.drop(f"{self.path}/{name}")
         self._save(self.spark.read.schema(df.schema).parquet(f"{self._staged}/rows"))
         self.folders.drop(self._staged)
+        self.folders.drop(self._pending)
+
+    def put(self, source: DataFrame, keys: list[str], version_column: str) -> None:
+        """Upsert as ``merge`` does, for many small changes: the partitions take it in later.
+
+        The source becomes a set next to the partitions, one rename makes it count, and ``read`` sees it from then on.
+        Sets are merged into the partitions together once they hold as many bytes as those, or by ``settle``. So n
+        changes rewrite the table about log n times instead of n times. A source with a row without key or
+        version is merged at once, as what such a row does depends on what came before it.
+        """
+        latest = keep_latest(source, keys, [version_column])
+        about, waiting = (latest.schema.json(), ",".join(keys), version_column), self._waiting()
+        if waiting and self._put_about() != about:
+            self.settle()
+            waiting = []
+        incoming, counts, odd = f"{self.path}/_incoming", Observation(), F.col(version_column).isNull()
+        for name in keys:
+            odd = odd | F.col(name).isNull()
+        latest.observe(counts, F.count_if(odd).alias("odd"), F.count("*").alias("rows")).write.mode("overwrite").parquet(incoming)
+        if counts.get["odd"]:
+            self.merge(self.spark.read.schema(latest.schema).parquet(incoming), keys, version_column)
+            self.folders.drop(incoming)
+        elif counts.get["rows"]:
+            if not waiting:
+                self.folders.drop(self._pending)
+                self.spark.createDataFrame([about], _PUT_ABOUT).coalesce(1).write.mode("overwrite").parquet(self._pending_of)
+            self.folders.move(incoming, f"{self._pending}/{_SET}={max(waiting, default=0) + 1}")
+            if self.folders.bytes(self._pending) >= max(self._bytes(), _FEW_BYTES):
+                self.settle()
+
+    def settle(self) -> None:
+        """Merge all that was put into the partitions; may be cut off and repeated."""
+        self._finish()
+        waiting = self._waiting()
+        if waiting:
+            self._merge(*self._put_rows(waiting))
+            self.folders.drop(self._pending)
+
+    def _waiting(self) -> list[int]:
+        """The numbers of the sets that no merge has taken into the partitions."""
+        return sorted(int(name.split("=")[1]) for name in self.folders.names(self._pending) if name.startswith(f"{_SET}="))
+
+    def _put_about(self) -> tuple[str, str, str]:
+        return tuple(self.spark.read.schema(_PUT_ABOUT).parquet(self._pending_of).first())
+
+    def _put_rows(self, waiting: list[int]) -> tuple[DataFrame, list[str], str]:
+        """What the sets come to, a row per key: the newest, of equal ones the first put, as if each had been merged."""
+        columns, names, version_column = self._put_about()
+        schema = StructType.fromJson(json.loads(columns)).add(_SET, "integer")
+        sets = self.spark.read.schema(schema).option("basePath", self._pending)
+        rows = sets.parquet(*[f"{self._pending}/{_SET}={number}" for number in waiting]).withColumn(_SET, -F.col(_SET))
+        keys = names.split(",")
+        return keep_latest(rows, keys, [version_column, _SET]).drop(_SET), keys, version_column
+
+    def _bytes(self) -> int:
+        """Bytes of the partitions."""
+        hidden = [name for name in self.folders.names(self.path) if name.startswith("_")]
+        return self.folders.bytes(self.path) - sum(self.folders.bytes(f"{self.path}/{name}") for name in hidden)
 
     def merge(self, source: DataFrame, keys: list[str], version_column: str) -> None:
         """Upsert; only partitions that hold a changed key, old or new, are rewritten.
@@ -148,9 +221,12 @@ class PartitionedTable:
         The source is written aside once. Key filters name the partitions that may hold one of
         its keys; of those alone the keys are read, and those with a real match are rewritten,
         together with the partitions of the source's rows. The list of partitions is as small as
-        the table's folder list, which the driver holds anyway.
+        the table's folder list, which the driver holds anyway. What was put before is merged first.
         """
-        self._finish()
+        self.settle()
+        self._merge(source, keys, version_column)
+
+    def _merge(self, source: DataFrame, keys: list[str], version_column: str) -> None:
         source = keep_latest(source, keys, [version_column])
         if not self.exists():
             self.write(source)
@@ -170,6 +246,7 @@ class PartitionedTable:
 
     def holding(self, source: DataFrame, keys: list[str]) -> DataFrame:
         """The partitions that hold a key of ``source``; reads keys where the filters cannot exclude one."""
+        self.settle()
         return self._holding(self._rows(), source, keys)
 
     def _holding(self, rows: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
@@ -228,7 +305,7 @@ class PartitionedTable:
         ``arranged`` says that it sorted the rows by the partition column first, and as they
         shall lie in the files.
         """
-        self._finish()
+        self.settle()
         self.folders.drop(self._staged)
         if days:
             rows = self._rows()
@@ -344,6 +421,9 @@ class BucketedTable(PartitionedTable):
             return
         self._replace(self._rows(), touched, lambda old: upsert(old, source, keys, version_column), None)
 
+    def put(self, source: DataFrame, keys: list[str], version_column: str) -> None:
+        self.merge(source, keys, version_column)
+
     def arrange(self, change: Callable[[DataFrame], DataFrame]) -> None:
         """Rewrite all buckets in the order that ``change`` gives their rows."""
         self._finish()
@@ -355,6 +435,7 @@ class BucketedTable(PartitionedTable):
 
 
 _ABOUT = "columns string, keys string"
+_SET, _PUT_ABOUT = "_set", "columns string, keys string, version string"
 _FILTER_PARTS = 16
 #: Less than a task's usual share in all.
 _FEW_BYTES = 64 << 20

@@ -24,6 +24,8 @@ from quarrylake.sources.tables import SUCCESS, Folders, listed_files
 CORRUPT_RULE = "corrupt_record"
 #: Files below this size are small.
 SMALL_BYTES = 32 << 20
+#: Bytes of a row group: a run that reads few files has several tasks for each.
+ROW_GROUP_BYTES = 8 << 20
 
 
 _FOLDERS = ["feed", "batch_id", "_record_status"]
@@ -114,6 +116,7 @@ class BronzeTable:
             staged.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .option("maxRecordsPerFile", self.max_rows_per_file)
+            .option("parquet.block.size", ROW_GROUP_BYTES)
             .partitionBy(*_FOLDERS)
             .parquet(self.path)
         )
@@ -174,6 +177,7 @@ def write_batch(
             checked.hint("rebalance", F.col("_record_status"))
             .write.mode("overwrite")
             .option("maxRecordsPerFile", table.max_rows_per_file)
+            .option("parquet.block.size", ROW_GROUP_BYTES)
             .partitionBy("_record_status")
             .parquet(folder)
         )

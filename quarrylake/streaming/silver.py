@@ -49,9 +49,18 @@ class SilverTable:
         return self.rows.read()
 
     def merge(self, latest: DataFrame) -> None:
-        if self.topic.partition_by:
-            latest = latest.withColumn(self.topic.partition_by, F.to_date(self.topic.event_time))
-        self.rows.merge(latest, [self.topic.key], "_ingestion_timestamp")
+        self.rows.merge(self._dealt(latest), [self.topic.key], "_ingestion_timestamp")
+
+    def put(self, latest: DataFrame) -> None:
+        """Merge one of many small batches: facts take it into their days later, at the latest by ``settle``."""
+        self.rows.put(self._dealt(latest), [self.topic.key], "_ingestion_timestamp")
+
+    def settle(self) -> None:
+        self.rows.settle()
+
+    def _dealt(self, latest: DataFrame) -> DataFrame:
+        by = self.topic.partition_by
+        return latest.withColumn(by, F.to_date(self.topic.event_time)) if by else latest
 
     def optimize(self, files: int, partitions: list | None = None) -> None:
         """Rewrite the rows so that filters on the topic's cluster columns skip files.
@@ -144,13 +153,14 @@ def _with_file(bronze_rows: DataFrame) -> DataFrame:
 
 def _merge(
     new: DataFrame, silver: SilverTable, started: datetime, salt: str | None, run_log: str | None, job: str,
-    bronze: BronzeTable | None = None,
+    bronze: BronzeTable | None = None, one_of_many: bool = False,
 ) -> None:
     """Store what silver cannot hold, merge the rest, and log the run either way.
 
     The input runs once: it is written aside, split into rows that fit and rows that do not, and
     counted by that write. Of the rows read, those written went into the merge, the invalid ones
-    to the rejects. Without rows neither table is touched.
+    to the rejects. Without rows neither table is touched. Rows that fit are written without the columns
+    that silver does not have.
     """
     about = dict(
         run_id=f"silver/{silver.topic.name}/{started.isoformat()}", topic=silver.topic.name, layer="silver",
@@ -161,6 +171,8 @@ def _merge(
         split = new.withColumn("_fits", ~is_unfit(silver.topic)).observe(
             counts, F.count("*").alias("read"), F.count_if(~F.col("_fits")).alias("unfit")
         )
+        unread = [name for name in silver.topic.raw if name not in silver.topic.silver and name in split.columns]
+        split = split.withColumns({name: F.when(~F.col("_fits"), F.col(name)) for name in unread})
         # a column, not a folder: a write by folders sorts all rows of a task
         split.write.mode("overwrite").parquet(aside)
         read, invalid = counts.get["read"], counts.get["unfit"]
@@ -169,7 +181,8 @@ def _merge(
             silver.keep_rejects(rows.where(~F.col("_fits")).drop("_fits"), bronze)
         if read > invalid:
             fitting = rows.where("_fits").drop("_fits", BRONZE_FILE)
-            silver.merge(conform(fitting, silver.topic, started, salt))
+            rows = conform(fitting, silver.topic, started, salt)
+            silver.put(rows) if one_of_many else silver.merge(rows)
     except Exception as failure:
         if run_log:
             log_run(silver.spark, run_log, status="failed", error=str(failure), **about)
@@ -184,7 +197,11 @@ def stream_to_silver(
     bronze: BronzeTable, silver: SilverTable, checkpoint: str, salt: str | None = None,
     run_log: str | None = None, max_files: int = 1000,
 ) -> StreamingQuery:
-    """The same as a stream over the bronze files, one merge per batch."""
+    """The same as a stream over the bronze files, one merge per batch.
+
+    Facts hold each batch from its end on, but take several together into their days (see ``PartitionedTable.put``);
+    ``SilverTable.settle`` takes in what is left.
+    """
     bronze.finish_compaction()
     spark = bronze.spark
     rows = (
@@ -195,7 +212,7 @@ def stream_to_silver(
     rows = _with_file(rows).where(F.col("_record_status") == VALID)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        _merge(batch, silver, datetime.now(timezone.utc), salt, run_log, "stream", bronze)
+        _merge(batch, silver, datetime.now(timezone.utc), salt, run_log, "stream", bronze, one_of_many=True)
 
     return (
         rows.writeStream.foreachBatch(on_batch)

@@ -286,6 +286,23 @@ def test_rejects_of_one_batch_read_in_parts(spark, rows, landing, bronze, tmp_pa
     assert tuple(logged) == (10, 4, 6)
 
 
+def test_small_batches_of_a_stream_do_not_rewrite_the_days_each(spark, rows, landing, bronze, tmp_path, monkeypatch):
+    from quarrylake.sources.tables import PartitionedTable
+
+    for at in range(4):
+        landing.put(order(f"o{at}"), order("o9", status=str(at)))
+        run(bronze, landing, tmp_path)
+    saved, save = [], PartitionedTable._save
+    monkeypatch.setattr(PartitionedTable, "_save", lambda self, *about: saved.append(1) or save(self, *about))
+    silver = SilverTable(spark, str(tmp_path / "silver"), ORDERS)
+    stream_to_silver(bronze, silver, str(tmp_path / "silver_cp"), max_files=1).awaitTermination(120)
+    expected = [("o0",), ("o1",), ("o2",), ("o3",), ("o9",)]
+    assert rows(silver.read(), "order_id") == expected
+    silver.settle()
+    assert rows(silver.rows._rows(), "order_id") == expected and len(saved) == 1
+    assert rows(silver.read().where("order_id = 'o9'"), "status") == [("3",)]
+
+
 def test_empty_batches_touch_nothing(spark, rows, landing, bronze, tmp_path):
     silver, log = SilverTable(spark, str(tmp_path / "silver"), ORDERS), str(tmp_path / "silver_log")
     landing.put(order(None))

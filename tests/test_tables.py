@@ -111,6 +111,57 @@ def test_merge_reads_keys_of_partitions_that_can_hold_them_only(spark, rows, tmp
     assert rows(table.holding(source.where("k = 'k3'"), ["k"])) == [(D1,)]
 
 
+def test_small_changes_come_into_the_partitions_together(spark, rows, tmp_path, monkeypatch):
+    put, merged = (PartitionedTable(spark, str(tmp_path / name), "day", SCHEMA) for name in ("put", "merged"))
+    changes = [
+        [("a", "1", T1, D1), ("b", "1", T1, D1)],
+        [("a", "2", T2, D2), ("b", "equal", T1, D2), ("c", "2", T2, D3)],  # a moves, b stays
+        [("c", "older", T1, D1), ("d", "3", T3, D3)],
+        [(None, "x", T1, D1), ("e", "no time", None, D1)],
+        [(None, "y", T1, D1), ("e", "5", T3, D2), ("a", "5", T3, D1)],
+        [("f", "6", T1, D2), ("d", "6", T3, D1)],
+    ]
+    saved, save = [], PartitionedTable._save
+    monkeypatch.setattr(PartitionedTable, "_save", lambda self, *about: saved.append(self.path) or save(self, *about))
+    for number, change in enumerate(changes):
+        source = spark.createDataFrame(change, SCHEMA)
+        put.put(source, ["k"], "ts")
+        merged.merge(source, ["k"], "ts")
+        assert rows(put.read(), "k", "v", "day") == rows(merged.read(), "k", "v", "day")
+        if number == 2:
+            assert put.path not in saved and rows(put.partitions()) == [(D1,), (D2,), (D3,)]
+    assert rows(put.read().where(F.col("day") == D1), "k") == rows(merged.read().where(F.col("day") == D1), "k")
+    put.settle()
+    assert rows(put._rows(), "k", "v", "ts", "day") == rows(merged.read(), "k", "v", "ts", "day")
+    assert saved.count(merged.path) == 6 > saved.count(put.path) and not (tmp_path / "put" / "_pending").exists()
+
+
+def test_small_changes_are_taken_in_before_they_outgrow_the_table(spark, rows, tmp_path, monkeypatch):
+    from quarrylake.sources import tables
+
+    monkeypatch.setattr(tables, "_FEW_BYTES", 0)
+    table, sizes = PartitionedTable(spark, str(tmp_path / "fact"), "day", SCHEMA), []
+    for at in range(6):
+        table.put(spark.createDataFrame([(f"k{at}{i}", "1", T1, D1) for i in range(50)], SCHEMA), ["k"], "ts")
+        sizes.append(table._rows().count())
+        assert table.read().count() == 50 * (at + 1)
+    assert sizes[0] == 50 and 1 < len(set(sizes)) < 6
+
+
+def test_change_that_was_put_survives_a_cut_off_settling(spark, rows, tmp_path, monkeypatch):
+    table = PartitionedTable(spark, str(tmp_path / "fact"), "day", SCHEMA)
+    table.merge(first_rows(spark), ["k"], "ts")
+    table.put(later_rows(spark), ["k"], "ts")
+    with monkeypatch.context() as patch:
+        patch.setattr(PartitionedTable, "_save", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            table.settle()
+    again = PartitionedTable(spark, table.path, "day", SCHEMA)
+    assert rows(again.read(), "k", "v", "day") == MERGED
+    again.settle()
+    assert rows(again._rows(), "k", "v", "day") == MERGED
+
+
 def test_key_filters_miss_no_key_and_name_few_others(spark):
     known = spark.range(20_000).select("id", (F.col("id") % 10).alias("part"))
     filters = key_filters(known, ["id"], "part")

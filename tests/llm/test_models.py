@@ -135,6 +135,59 @@ def test_unit_probabilities_add_up_to_one_at_most(text):
     assert seen > unseen
 
 
+def test_score_sees_what_is_before_a_unit(spark, documents, text):
+    rows = [(i, "the cat sat on the mat and the dog lay by the door " * 3 + text(i, 40)) for i in range(60)]
+    there = "the cat sat on the mat and the dog lay by the door"
+    shuffled = " ".join(sorted(there.split(), key=lambda w: w[::-1]))
+    rows += [(100, f"{there} "), (101, f"{shuffled} ")]
+    got = {r.doc_id: r for r in mixing.score(documents(*rows), F.col("doc_id") >= 100).collect()}
+    assert round(got[100].base_score, 9) == round(got[101].base_score, 9) and got[100].n_tokens == got[101].n_tokens
+    assert got[100].score > got[101].score + 1
+
+
+def test_units_and_borders_score_every_byte_of_a_text_once(text):
+    texts = [f"a b\n\nc {text(i, 30)} {'long' * 9}{i} \t" for i in range(20)] + ["", "é", "x" * 12]
+    many, starts = collections.Counter(u for t in texts for u in mixing.units_of(t)), np.concatenate([mixing.starts_of(mixing.units_of(t)) for t in texts])
+    assert all(np.array_equal(a, b) for a, b in zip(mixing.unpacked(mixing.packed(np.array([3, 7, 500_000]), np.array([1, 70_000, 2]))), ([3, 7, 500_000], [1, 70_000, 2])))
+    borders = [p.tobytes() for _, found in mixing.borders_of(starts) for p in mixing.pieces_of(found)]
+    assert len(borders) + sum(n * max(len(u) - mixing.NEAR, 0) for u, n in many.items()) == sum(len(t.encode()) + 1 for t in texts)
+    tables = [np.zeros((1 << bits, 2), np.int32) for _, bits in mixing.CONTEXTS]
+    mixing.count_tables([*many, *borders], np.array([*many.values(), *[1] * len(borders)], np.int32), tables, mixing.NEAR)
+    model = mixing.Learning().model(tables)
+    for t in texts:
+        units = mixing.units_of(t)
+        fast = model.unit_scores(units, mixing.NEAR).sum() + model.start_scores(mixing.starts_of(units)).sum()
+        slow, chain, begin = 0.0, bytes([mixing.BLANK]) * 5 + b"".join(units), 5
+        for unit in units:  # each byte alone, after its contexts
+            for at, byte in enumerate(unit):
+                x = chain[: begin + at + 1]
+                contexts = [x[-1 - n : -1] if n else unit[:at] for n, _ in mixing.CONTEXTS]
+                slow += byte_score(model, byte, contexts)
+            begin += len(unit)
+        assert abs(fast - slow) < 1e-6
+
+
+def byte_score(model, byte, contexts):
+    total, powers = 0.0, mixing._power_tables(64)[0]
+    for at in range(8):
+        partial, bit, counts, inputs = (1 << at) | byte >> (8 - at), byte >> (7 - at) & 1, [], []
+        for k, ((length, size), context) in enumerate(zip(mixing.CONTEXTS, contexts)):
+            number = np.zeros(1, np.uint64)
+            if length is None:
+                number += (mixing._BYTES[list(context)] * powers[: len(context)]).sum(dtype=np.uint64) + np.uint64(7)
+            else:
+                for c in reversed(context):
+                    number = number * np.uint64(0x9E3779B97F4A7C15) + mixing._BYTES[c]
+                number += np.uint64(length)
+            slot = (mixing.mixed(number) + np.full(1, partial, np.uint64) * np.uint64(0xD6E8FEB86659FD93)) * np.uint64(0x2545F4914F6CDD1D) >> np.uint64(64 - size)
+            counts.append(model.counts[k][slot.astype(np.int64)])
+            inputs.append(model.inputs[k][slot.astype(np.int64)])
+        weights = model.weights[mixing.gate(counts, at)]
+        x = model.refine(sum(weights[:, k] * v for k, v in enumerate(inputs)), np.array([partial]))
+        total -= np.logaddexp(0, -x if bit else x)[0] / np.log(10)
+    return total
+
+
 def test_mixer_learns_from_every_unit(spark, text, monkeypatch):
     many = collections.Counter(u for i in range(300) for u in mixing.units_of(text(i, 200)))
     assert sum(many.values()) > 50_000
